@@ -10,25 +10,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def identity_contacts(contacts: DataFrame, on_conflict: str = "min_id") -> DataFrame:
-    """Contact -> person: a personal-email contact becomes the work contact with the same phone.
+def phone_owners(contacts: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+    """Phone -> work contact that personal contacts with this phone belong to.
 
-    Adds ``company_id``, the account of the person (not of the contact). When several work contacts share
-    a phone, ``fanout`` returns a row per work contact, which the uniqueness contract then rejects;
-    ``min_id`` takes the lowest contact id, so a switchboard number cannot multiply rows, and
-    ``phone_conflicts`` reports the case.
+    When several work contacts share a phone, ``fanout`` keeps a row per work contact; ``min_id`` keeps the
+    lowest contact id, so that a switchboard number cannot multiply rows.
     """
     owners = (contacts.filter(~F.col("is_personal_email") & F.col("phone_key").isNotNull())
               .select("phone_key", F.col("contact_id").alias("owner_id"), F.col("company_id").alias("owner_company")))
-    if on_conflict == "min_id":
-        owners = owners.groupBy("phone_key").agg(
-            F.min("owner_id").alias("owner_id"), F.min_by("owner_company", "owner_id").alias("owner_company"))
-    elif on_conflict != "fanout":
+    if on_conflict == "fanout":
+        return owners
+    if on_conflict != "min_id":
         raise ValueError(f"unknown on_conflict: {on_conflict}")
+    return owners.groupBy("phone_key").agg(
+        F.min("owner_id").alias("owner_id"), F.min_by("owner_company", "owner_id").alias("owner_company"))
+
 
-    facts = ["contact_id", "email", "phone_key", "company_id"]
+def identity_contacts(contacts: DataFrame, on_conflict: str = "min_id", owners: DataFrame | None = None) -> DataFrame:
+    """Contact -> person: a personal-email contact becomes the work contact with the same phone.
+
+    Adds ``company_id``, the account of the person (not of the contact). With ``fanout`` an ambiguous phone
+    yields a row per work contact, which the uniqueness contract rejects; with ``min_id`` it is
+    ``phone_conflicts`` that reports it. ``owners`` takes ``phone_owners`` as a written table: with a scan
+    on both sides adaptive execution can split a phone that very many contacts share.
+    """
+    owners = phone_owners(contacts, on_conflict) if owners is None else owners
     # Only personal contacts look for an owner; the others skip the join and its shuffle.
-    personal = contacts.filter(F.col("is_personal_email")).select(*facts).join(owners, "phone_key", "left")
+    personal = (contacts.filter(F.col("is_personal_email")).select("contact_id", "email", "phone_key", "company_id")
+                .join(owners, "phone_key", "left"))
     matched = F.col("owner_id").isNotNull()
     resolved = personal.select(
         "contact_id", "email",

@@ -155,15 +155,17 @@ def retention(movements: DataFrame, fct_opps: DataFrame) -> DataFrame:
 
     Gross retention counts a customer with at most their starting revenue.
     """
-    channel = F.coalesce("first_touch_channel", F.lit(UNATTRIBUTED)).alias("source")
-    customers = movements.join(winning_channel(fct_opps), "domain", "left").select(channel, *movements.columns)
-    kept = F.least("current_mrr_usd", "starting_mrr")
-    grouped = customers.rollup("source").agg(
-        F.grouping("source").alias("is_total"),
-        F.count(F.lit(1)).alias("customers"),
-        *[F.sum(c).alias(c) for c in ("starting_mrr", "current_mrr_usd")],
-        *[F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in ("expansion_mrr", "contraction_mrr", "churned_mrr")],
-        F.sum(kept).alias("kept_mrr"))
+    sums = ("starting_mrr", "current_mrr_usd", "expansion_mrr", "contraction_mrr", "churned_mrr", "kept_mrr")
+    # one row per domain before the join, however many subscriptions a domain has
+    per_domain = (movements.withColumn("kept_mrr", F.least("current_mrr_usd", "starting_mrr")).groupBy("domain")
+                  .agg(F.count(F.lit(1)).alias("customers"), *[F.sum(c).alias(c) for c in sums]))
+    source = F.coalesce("first_touch_channel", F.lit(UNATTRIBUTED)).alias("source")
+    grouped = (per_domain.join(winning_channel(fct_opps), "domain", "left").select(source, *per_domain.columns)
+               .rollup("source").agg(
+                   F.grouping("source").alias("is_total"), F.sum("customers").alias("customers"),
+                   *[F.sum(c).alias(c) for c in ("starting_mrr", "current_mrr_usd", "kept_mrr")],
+                   *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                     for c in ("expansion_mrr", "contraction_mrr", "churned_mrr")]))
     return grouped.select(
         F.when(F.col("is_total") == 1, "all_customers").otherwise(F.col("source")).alias("first_touch_channel"),
         "customers",

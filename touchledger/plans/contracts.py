@@ -36,7 +36,7 @@ ACCEPTED = (
     ("fct_attribution", "model", MODELS),
 )
 # Layers several contracts read.
-WRITTEN = ("identity_contacts", "touchpoints", "opportunities", "fct_attribution")
+WRITTEN = ("identity_contacts", "identity_client_map", "touchpoints", "opportunities", "fct_attribution")
 
 
 def _table(wh: Warehouse, name: str) -> DataFrame:

@@ -50,11 +50,11 @@ def run(spark: SparkSession, wh: Warehouse, root: str, run_id: int, revision: st
     started = datetime.now(timezone.utc)
     status, summary = "failed", None
     try:
-        for name in ("identity_contacts", "touchpoints", "opportunities", *MARTS):
+        for name in ("identity_contacts", "identity_client_map", "touchpoints", "opportunities", *MARTS):
             wh.shared(name)
         gate = contract_gate(all_contracts(wh))
         published = {n: write_layer(getattr(wh, n), "staging", n) for n in STAGING}
-        published |= {n: write_layer(wh._written.get(n, getattr(wh, n)), "intermediate", n, root) for n in INTERMEDIATE}
+        published |= {n: write_layer(wh.latest(n), "intermediate", n, root) for n in INTERMEDIATE}
         published |= {n: write_layer(wh.shared(n), "marts", n, root) for n in MARTS}
         dashboard_extract(extracts(wh), f"{root}/dashboard", wh.cfg.lookback_days)
         summary = wh.run_summary.first().asDict()

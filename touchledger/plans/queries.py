@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchledger.functions import settle
-from touchledger.operators import attribution, contracts, crm, journeys, staging
+from touchledger.operators import attribution, contracts, crm, staging
 from touchledger.plans import contracts as contract_plans
 from touchledger.plans import nightly
 from touchledger.plans.warehouse import Warehouse
@@ -35,7 +35,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(pin(spark), driver_tables.raw_feeds(spark, folder))
+    return Warehouse(pin(spark), driver_tables.DriverFeeds(spark, folder))
 
 
 def _query(build: Callable[[Warehouse], DataFrame]) -> Query:
@@ -54,7 +54,7 @@ def _landed(wh: Warehouse) -> dict[str, DataFrame]:
     """The feeds written as CSV exports and landed again."""
     folder = f"{wh.workspace.root}/exports"
     for name in RAW_FEEDS:
-        (wh.feeds[name].write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        (driver_tables.as_text(wh.feeds[name]).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(f"{folder}/{name}.csv"))
     return landing.land_raw(wh.spark, folder)
 
@@ -118,8 +118,7 @@ QUERIES: dict[str, Query] = {
     "attr_w_shaped": _model("w_shaped"),
     "attr_time_decay": _model("time_decay"),
     "unpivot_models": _query(lambda wh: attribution.unpivot_models(
-        attribution.attribution_weights(journeys.deal_journeys(
-            wh.shared("deal_anchors"), wh.shared("account_touches"), wh.cfg), wh.cfg)
+        attribution.attribution_weights(wh.deal_journeys, wh.cfg)
         .select("deal_id", "touchpoint_id", *attribution.MODELS))
         .withColumn("credit", F.round("credit", 8))),
     "attr_unattributed": _query(
@@ -135,10 +134,9 @@ QUERIES: dict[str, Query] = {
     "metric_catalogue": _layer("metric_catalogue", "grain", "definition"),
     "dashboard_extract": _query(_dashboard),
     # CRM
-    "credited_pipeline_by_company": _query(
-        lambda wh: (wh.shared("fct_attribution"), wh.credited_pipeline_by_company)[1]),
-    "channel_score": _query(lambda wh: (wh.shared("fct_attribution"), wh.channel_score)[1]
-                            .withColumns({c: F.round(c, 9) for c in ("win_rank", "rev_rank")})),
+    "credited_pipeline_by_company": _layer("credited_pipeline_by_company"),
+    "channel_score": _query(
+        lambda wh: wh.channel_score.withColumns({c: F.round(c, 9) for c in ("win_rank", "rev_rank")})),
     "latest_deal_per_company": _layer("latest_deal_per_company"),
     "crm_payload": _query(lambda wh: wh.crm_payload()),
     "existing_by_domain": _layer("existing_by_domain"),

@@ -6,6 +6,7 @@ written once per warehouse through ``shared``; the rest flow straight into their
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ from touchledger.sources.feeds import dim_channel
 class Warehouse:
     """All layers over one set of raw feeds (see sources.feeds for their names)."""
 
-    def __init__(self, spark: SparkSession, feeds: dict[str, DataFrame], cfg: AttributionConfig = AttributionConfig(),
+    def __init__(self, spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: AttributionConfig = AttributionConfig(),
                  workspace: Workspace | None = None):
         self.spark, self.feeds, self.cfg = spark, feeds, cfg
         self.workspace = workspace or Workspace(spark)
@@ -43,6 +44,10 @@ class Warehouse:
             self._written[name] = self.workspace.settle(getattr(self, name), name)
         return self._written[name]
 
+    def latest(self, name: str) -> DataFrame:
+        """A layer in its written form if it has been written, else as a plan."""
+        return self._written[name] if name in self._written else getattr(self, name)
+
     # staging -----------------------------------------------------------------------------------------
     @cached_property
     def stg_companies(self):
@@ -102,9 +107,15 @@ class Warehouse:
         return dim_channel(self.spark)
 
     # identity ----------------------------------------------------------------------------------------
+    # A lookup that a feed with hot keys is joined to is written first: adaptive execution splits a skewed
+    # join only when both sides come out of a shuffle of their own, not out of an aggregate on the key.
+    @cached_property
+    def phone_owners(self):
+        return identity.phone_owners(self.stg_contacts, self.cfg.on_phone_conflict)
+
     @cached_property
     def identity_contacts(self):
-        return identity.identity_contacts(self.stg_contacts, self.cfg.on_phone_conflict)
+        return identity.identity_contacts(self.stg_contacts, owners=self.shared("phone_owners"))
 
     @cached_property
     def identity_people(self):
@@ -130,7 +141,7 @@ class Warehouse:
     @cached_property
     def touchpoints(self):
         return touches.touchpoints(
-            self.stg_sessions, self.identity_client_map, self.stg_email_events, self.identity_email_map,
+            self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events, self.identity_email_map,
             self.stg_signals, self.stg_bot_threads, self.stg_calls, self.identity_people)
 
     @cached_property
@@ -167,33 +178,33 @@ class Warehouse:
     @cached_property
     def fct_opportunities(self):
         # Two of the five models; read the fact table only if it has been written anyway.
-        credit = self._written.get("fct_attribution", self.fct_attribution)
+        credit = self.latest("fct_attribution")
         return attribution.fct_opportunities(self.shared("opportunities"), credit)
 
     # marts -------------------------------------------------------------------------------------------
     @cached_property
     def channel_performance(self):
-        credit = self._written.get("fct_attribution", self.fct_attribution)
+        credit = self.latest("fct_attribution")
         return marts.channel_performance(credit, self.stg_spend_daily, self.dim_channel)
 
     @cached_property
     def channel_summary(self):
-        performance = self._written.get("channel_performance", self.channel_performance)
+        performance = self.latest("channel_performance")
         return marts.channel_summary(performance, self.stg_spend_daily)
 
     @cached_property
     def model_disagreement(self):
-        return marts.model_disagreement(self._written.get("channel_summary", self.channel_summary))
+        return marts.model_disagreement(self.latest("channel_summary"))
 
     @cached_property
     def funnel_monthly(self):
         return marts.funnel_monthly(
-            self.stg_sessions, self.identity_client_map, self.lead_events, self.stg_calls,
+            self.stg_sessions, self.shared("identity_client_map"), self.lead_events, self.stg_calls,
             self.shared("opportunities"))
 
     @cached_property
     def velocity(self):
-        return marts.velocity(self._written.get("fct_opportunities", self.fct_opportunities))
+        return marts.velocity(self.latest("fct_opportunities"))
 
     @cached_property
     def subscription_movements(self):
@@ -202,7 +213,7 @@ class Warehouse:
     @cached_property
     def retention(self):
         return marts.retention(
-            self.subscription_movements, self._written.get("fct_opportunities", self.fct_opportunities))
+            self.subscription_movements, self.latest("fct_opportunities"))
 
     @cached_property
     def incremental_lift(self):
@@ -210,7 +221,9 @@ class Warehouse:
 
     @cached_property
     def truth(self):
-        return self.feeds.get("channel_incrementality", None) or self.incremental_lift
+        """Measured effect per channel: the exported one if there is one, else computed from the replicates."""
+        known = "channel_incrementality" in self.feeds
+        return self.feeds["channel_incrementality"] if known else self.incremental_lift
 
     @cached_property
     def truth_evaluation(self):
@@ -220,18 +233,17 @@ class Warehouse:
     def data_quality(self):
         return quality.data_quality(
             self.stg_sessions, self.stg_spend_daily, self.shared("opportunities"),
-            self._written.get("fct_attribution", self.fct_attribution), self.identity_client_map,
+            self.latest("fct_attribution"), self.shared("identity_client_map"),
             self.shared("identity_contacts"), self.shared("touchpoints"), self.stg_signals)
 
     @cached_property
     def dashboard_summary(self):
-        return marts.dashboard_summary(self._written.get("fct_opportunities", self.fct_opportunities))
+        # deal facts only; the fact table adds nothing but channels to them
+        return marts.dashboard_summary(self.shared("opportunities"))
 
     @cached_property
     def run_summary(self):
-        return quality.run_summary(
-            self._written.get("fct_opportunities", self.fct_opportunities),
-            self._written.get("data_quality", self.data_quality))
+        return quality.run_summary(self.shared("opportunities"), self.latest("data_quality"))
 
     @cached_property
     def recent_runs(self):
@@ -240,17 +252,17 @@ class Warehouse:
     # CRM ---------------------------------------------------------------------------------------------
     @cached_property
     def credited_pipeline_by_company(self):
-        return crm.credited_pipeline_by_company(
-            self._written.get("fct_attribution", self.fct_attribution),
-            self._written.get("fct_opportunities", self.fct_opportunities))
+        # domains are deal facts, so the deals themselves will do
+        return crm.credited_pipeline_by_company(self.latest("fct_attribution"), self.shared("opportunities"))
 
     @cached_property
     def channel_score(self):
-        return crm.channel_score(self.velocity, self._written.get("channel_summary", self.channel_summary))
+        self.shared("fct_attribution")  # read by velocity and by the summary
+        return crm.channel_score(self.velocity, self.latest("channel_summary"))
 
     @cached_property
     def latest_deal_per_company(self):
-        return crm.latest_deal_per_company(self._written.get("fct_opportunities", self.fct_opportunities))
+        return crm.latest_deal_per_company(self.latest("fct_opportunities"))
 
     def crm_payload(self, limit: int | None = 200) -> DataFrame:
         # the fact tables feed three inputs of the payload, so they are written first
