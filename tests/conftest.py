@@ -1,0 +1,36 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
+
+from touchledger.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false"})
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def frame(spark):
+    """Literal rows under a DDL schema; timestamps may be given as text."""
+    def make(schema, *rows):
+        from pyspark.sql import functions as F
+
+        fields = [f.strip().split(" ", 1) for f in schema.split(";")]
+        kinds = {"timestamp": "string", "date": "string", "decimal(12,2)": "string", "decimal(18,2)": "string"}
+        raw = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"`{n}` {kinds.get(t, t)}" for n, t in fields))
+        return raw.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
+    return make
+
+
+def rows(df, *order):
+    """Rows as tuples in a fixed order."""
+    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

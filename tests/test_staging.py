@@ -1,0 +1,118 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+
+from touchledger.operators import staging
+from touchledger.sources.feeds import RAW_FEEDS
+
+
+@pytest.fixture
+def feed(frame):
+    def make(name, *values):
+        return frame("; ".join(f"{c} string" for c in RAW_FEEDS[name]), *values)
+    return make
+
+
+def test_companies(feed):
+    raw = feed("hubspot_companies",
+               ("1", " Acme ", " ACME.io ", "E_COMMERCE", "99", "2025-03-17T10:00:00Z"),
+               ("2", "B", "b.io", "PROFESSIONAL_SERVICES", "100", None), ("3", "C", "c.io", None, "1000", None),
+               ("4", "D", "d.io", "SAAS", "1001", None), ("5", "E", "e.io", "SAAS", None, None))
+    got = rows(staging.stg_companies(raw), "company_id")
+    assert got[0] == (1, "Acme", "acme.io", "E Commerce", 99, "small", dt.datetime(2025, 3, 17, 10))
+    assert [r[5] for r in got] == ["small", "mid", "mid", "large", "large"]
+    assert got[1][3] == "Professional Services"
+
+
+def test_contacts(feed):
+    raw = feed("hubspot_contacts",
+               ("1", " Ann@Acme.IO ", "Ann", "Lee", "GC", "+1 (415) 555-0134", "7", "lead", "2025-03-17T10:00:00Z"),
+               ("2", "ann@GMAIL.com", "Ann", None, None, "4155550134", None, "lead", None),
+               ("3", None, "Z", "Y", None, None, None, None, None), ("4", "nomail", "Z", "Y", None, "", None, None, None))
+    got = [r.asDict() for r in staging.stg_contacts(raw).orderBy("contact_id").collect()]
+    assert got[0]["email"] == "ann@acme.io" and got[0]["email_domain"] == "acme.io"
+    assert got[0]["full_name_key"] == "ann lee" and got[0]["company_id"] == 7
+    assert [r["is_personal_email"] for r in got] == [False, True, None, False]
+    assert [r["phone_key"] for r in got] == ["4155550134", "4155550134", None, ""]
+    assert got[1]["full_name_key"] is None
+
+
+def test_deals_and_history(feed):
+    raw = feed("hubspot_deals",
+               ("1", "D", "9000.00", "p", "closedwon", "2025-03-17T10:00:00Z", None, "true", "7", None),
+               ("2", "E", "10.5", "p", "contractsent", "2025-03-17T10:00:00Z", None, "false", "7", "9"))
+    got = [r.asDict() for r in staging.stg_deals(raw).orderBy("deal_id").collect()]
+    assert got[0]["amount"] == Decimal("9000.00") and got[0]["is_won"] and got[0]["is_closed"]
+    assert got[0]["contact_id"] is None and got[1]["contact_id"] == 9 and not got[1]["is_won"]
+    history = staging.stg_stage_history(feed("hubspot_deal_stage_history", ("1", "closedwon", "2025-03-17T10:00:00Z")))
+    assert rows(history) == [(1, "closedwon", dt.datetime(2025, 3, 17, 10))]
+
+
+def test_sessions_classify_before_blanks_become_null(feed):
+    raw = feed("ga4_sessions", ("s1", "c", "2025-03-17T10:00:00Z", "LinkedIn_Ads", "CPC", "Spring", None, "/"),
+               ("s2", "c", "2025-03-17T10:00:00Z", "", "", "", "", "/"),
+               ("s3", "c", "2025-03-17T10:00:00Z", None, None, None, "G2.com", "/"))
+    got = [r.asDict() for r in staging.stg_sessions(raw).orderBy("session_id").collect()]
+    assert [r["channel"] for r in got] == ["linkedin_ads", "other", "referral"]
+    assert got[0]["utm_campaign"] == "Spring" and got[1]["utm_source"] is None and got[1]["referrer"] is None
+
+
+def test_email_events(feed):
+    cases = ["clay_signal_x", "sig_x", "sigXpost", "outbound_x", None]
+    raw = feed("smartlead_email_events", *[(c, " A@B.io", "reply", "2025-03-17T10:00:00Z", "") for c in cases])
+    got = {r["campaign_name"]: r for r in staging.stg_email_events(raw).collect()}
+    # an underscore in the pattern matches any character
+    assert [got[c]["channel"] for c in cases] == ["signal_engine"] * 3 + ["cold_email"] * 2
+    assert got["sig_x"]["email"] == "a@b.io" and got["sig_x"]["reply_category"] is None
+    assert len({r["email_event_id"] for r in got.values()}) == 5
+
+
+def test_signals_threads_and_form_fills(feed):
+    signal = staging.stg_signals(feed("clay_signal_leads", (
+        "u", " Ann Lee ", "GC", " ACME.io", " ", "2025-03-17T10:00:00Z"))).first()
+    assert (signal["full_name_key"], signal["company_domain"], signal["email"]) == ("ann lee", "acme.io", None)
+    thread = staging.stg_bot_threads(feed("reply_bot_threads", (
+        "A@b.io ", "2025-03-17T10:00:00Z", "demo", None, "true"))).first()
+    assert thread["bot_replied_at"] is None and thread["handed_off_to_human"] and thread["email"] == "a@b.io"
+    fill = staging.stg_form_fills(feed("ga4_form_fills", ("s", "c", " A@b.io ", "demo", "2025-03-17T10:00:00Z"))).first()
+    assert fill["email"] == "a@b.io"
+
+
+def test_calls_are_local_india_time(feed):
+    call = staging.stg_calls(feed("voice_agent_calls", ("c1", "a@b.io", "1", "2025-04-01 03:00:00", "60", "no_answer"))).first()
+    assert call["called_at"] == dt.datetime(2025, 3, 31, 21, 30) and call["duration_sec"] == 60
+
+
+def test_spend_has_one_shape(feed):
+    got = rows(staging.stg_spend_daily(
+        feed("linkedin_ads_daily", ("2025-03-17", "a", "100", "5", "12.50")),
+        feed("google_ads_daily", ("2025-03-17", "b", "6", "12345678")),
+        feed("adroll_daily", ("2025-03-17", "c", "7", "3.999"))), "channel")
+    day = dt.date(2025, 3, 17)
+    assert got == [(day, "google_ads", "b", 6, Decimal("12.35")), (day, "linkedin_ads", "a", 5, Decimal("12.50")),
+                   (day, "retargeting_ads", "c", 7, Decimal("4.00"))]
+
+
+def test_subscriptions(feed):
+    sub = staging.stg_subscriptions(feed("stripe_subscriptions", ("s", "ACME.io", "active", "2025-03-17", "12345"))).first()
+    assert sub["domain"] == "acme.io" and sub["current_mrr_usd"] == Decimal("123.45")
+    event = staging.stg_subscription_events(feed("stripe_subscription_events", ("s", "churn", "-12345", "2025-03-17"))).first()
+    assert event["mrr_delta_usd"] == Decimal("-123.45")
+
+
+def test_malformed_values_stop_the_job_unless_lenient(feed):
+    raw = feed("hubspot_deals", ("x1", "D", "oops", "p", "closedwon", "never", None, "maybe", "", None))
+    with pytest.raises(Exception):
+        staging.stg_deals(raw).collect()
+    got = staging.stg_deals(raw, lenient=True).first()
+    assert got["deal_id"] is None and got["amount"] is None and got["is_closed"] is None and got["is_won"]
+
+
+def test_page_urls(frame):
+    pages = frame("page_id bigint; url string", (1, "https://x.io/a?utm_source=LinkedIn&utm_medium=cpc#top"),
+                  (2, "https://x.io/a"), (3, "https://x.io/?utm_source="), (4, "not a url"),
+                  (5, "https://x.io/?utm_medium=cpc&utm_source=google"))
+    assert [r["channel"] for r in staging.classify_page_urls(pages).orderBy("page_id").collect()] == [
+        "linkedin_ads", "direct", "other", "direct", "google_ads"]
