@@ -54,7 +54,7 @@ INVARIANTS = {
                                  "except select deal_id, model from attribution)",
     "no_credit_after_deal_created": "select count(*) from attribution where deal_created_at < touched_at",
     "credit_in_unit_interval": "select count(*) from attribution where credit not between 0 and 1",
-    "won_revenue_reconciles": "select count(*) from (select sum(credited_won_revenue) as x from attribution group by model) "
+    "won_revenue_reconciles": "select count(*) from (select sum(cast(credited_won_revenue as decimal(28,8))) as x from attribution group by model) "
                               "where abs(x - (select sum(amount) from opps where is_won)) > 0.01",
 }
 PHONES = ("select count(*) from (select phone_key from contacts where phone_key is not null group by phone_key "
@@ -149,7 +149,7 @@ from (select page_id, nullif(lower(regexp_extract(url, '[?&]utm_source=([^&#]*)'
     "unpivot_models": "select deal_id, touchpoint_id, model, round(credit, 8) as credit from credits",
     "attr_unattributed": "select deal_id, model, 'unattributed' as channel, 1.0::double as credit from untouched",
     "fct_attribution": f"""
-select * replace (cast(credit as double) as credit, {money('credited_pipeline')} as credited_pipeline,
+select * replace ({money('credited_pipeline')} as credited_pipeline,
                   {money('credited_won_revenue')} as credited_won_revenue) from attribution""",
     "fct_opportunities": f"select {DEAL_ROWS}, first_touch_channel, last_non_direct_channel from fct_opps",
     "channel_performance": """

@@ -1,5 +1,3 @@
-from decimal import Decimal
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -62,16 +60,16 @@ def test_deals_without_touches_keep_their_revenue(spark):
     rows = fact.collect()
     assert {(r["deal_id"], r["model"]) for r in rows} == {(d, m) for d in (1, 2) for m in MODELS}
     assert {(r["channel"], r["touchpoint_id"], r["touched_at"]) for r in rows} == {("unattributed", None, None)}
-    assert {r["credited_won_revenue"] for r in rows} == {Decimal("12.34"), Decimal(0)}
+    assert {r["credited_won_revenue"] for r in rows} == {12.34, 0.0}
     assert attribution.unattributed(anchors).count() == 10
 
 
 def test_money_uses_unrounded_credit_and_only_won_deals_earn(spark):
     touches = [touch(f"t{i}", 1, i - 10) for i in range(3)]
     fact = chain(spark, [deal(1, 1, 0, "100.00", won=False)], touches)[3].filter("model = 'linear'").collect()
-    assert {r["credit"] for r in fact} == {Decimal("0.33333333")}
-    assert all(abs(r["credited_pipeline"] - Decimal("33.3333333333333")) < Decimal("1e-10") for r in fact)
-    assert {r["credited_won_revenue"] for r in fact} == {Decimal(0)}
+    assert {r["credit"] for r in fact} == {0.33333333}
+    assert all(r["credited_pipeline"] == pytest.approx(100 / 3, abs=1e-12) for r in fact)
+    assert {r["credited_won_revenue"] for r in fact} == {0.0}
 
 
 def test_attribution_ids_and_entry_channels(spark):

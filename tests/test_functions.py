@@ -51,3 +51,19 @@ def test_safe_ratio_guards_zero_and_rounds_half_up(frame):
 def test_settle_treats_binary_noise_as_a_tie(frame):
     df = frame("x double", (30.014999999999997,), (30.0149,))
     assert [r[0] for r in df.select(fn.settle(F.col("x"), 2)).collect()] == [30.02, 30.01]
+
+
+def test_exact_sum_is_a_decimal_that_no_order_changes(frame, spark):
+    from decimal import Decimal
+
+    df = frame("x double", (0.1,), (0.2,), (1e15 + 0.5,), (-3.75,), (None,), (1e-9,))
+    for parts in (1, 3):
+        assert df.repartition(parts).agg(fn.exact_sum(F.col("x"))).first()[0] == Decimal("999999999999997.05000000")
+    assert df.filter("x is null").agg(fn.exact_sum(F.col("x"))).first()[0] is None
+    third = spark.range(3_000_00).select((F.lit(100.0) / 3).alias("x")).agg(fn.exact_sum(F.col("x"))).first()[0]
+    assert third == Decimal("33.33333333") * 300000
+
+
+def test_snap_rounds_half_up(frame):
+    df = frame("x double", (0.001953125,), (1 / 3,), (1.0,), (None,))
+    assert [r[0] for r in df.select(fn.snap(F.col("x"), 8)).collect()] == [0.00195313, 0.33333333, 1.0, None]

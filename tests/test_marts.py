@@ -11,10 +11,8 @@ from touchledger.sources.feeds import dim_channel
 @pytest.fixture
 def credit(frame):
     def make(*values):
-        kinds = "model string; channel string; deal_created_at timestamp; credit double; is_won boolean; p double; w double"
-        df = frame(kinds, *values)
-        return df.selectExpr("model", "channel", "deal_created_at", "cast(credit as decimal(9,8)) credit", "is_won",
-                             "cast(p as decimal(30,18)) credited_pipeline", "cast(w as decimal(30,18)) credited_won_revenue")
+        return frame("model string; channel string; deal_created_at timestamp; credit double; is_won boolean; "
+                     "credited_pipeline double; credited_won_revenue double", *values)
     return make
 
 

@@ -10,12 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchledger.config import MODELS, UNATTRIBUTED, AttributionConfig
-from touchledger.functions import surrogate_key
+from touchledger.functions import snap, surrogate_key
 
-# Credit inside the money product keeps all digits a double has; the product and its sums are then exact
-# decimals, so totals do not depend on how rows are spread over tasks.
-_CREDIT = "decimal(17,16)"
-_CREDIT_OUT = "decimal(9,8)"
+# Decimals of a credit in the fact table.
+CREDIT_DIGITS = 8
 
 
 def _one_if(condition: Column) -> Column:
@@ -65,7 +63,7 @@ def unpivot_models(weights: DataFrame) -> DataFrame:
 def attribute(journeys: DataFrame, model: str, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
     """Credit of a single model."""
     return (journeys.withColumn("credit", model_weights(cfg)[model]).filter(F.col("credit") > 0)
-            .select("deal_id", "touchpoint_id", "channel", F.round("credit", 8).alias("credit")))
+            .select("deal_id", "touchpoint_id", "channel", snap(F.col("credit"), CREDIT_DIGITS).alias("credit")))
 
 
 def attr_first_touch(journeys: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
@@ -106,7 +104,10 @@ def unattributed(anchors: DataFrame) -> DataFrame:
 
 def fct_attribution(journeys: DataFrame, anchors: DataFrame,
                     cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
-    """Credit per deal, model and touch; every deal hands out one whole credit in every model."""
+    """Credit per deal, model and touch; every deal hands out one whole credit in every model.
+
+    Money is the amount times the unrounded credit, as a double per row; add it up with ``exact_sum``.
+    """
     facts = ["deal_id", "model", "touchpoint_id", "channel", "touched_at", "credit", "amount", "created_at",
              "closed_at", "is_won"]
     # only what the fact table needs enters the five-fold unpivot
@@ -114,15 +115,15 @@ def fct_attribution(journeys: DataFrame, anchors: DataFrame,
                            "closed_at", "is_won",
                            *[c.alias(m) for m, c in model_weights(cfg).items()])
     rows = unpivot_models(wide).select(*facts).unionByName(unattributed(anchors).select(*facts))
-    money = F.col("amount") * F.col("credit").cast(_CREDIT)
+    money = F.col("amount").cast("double") * F.col("credit")
     return rows.select(
         surrogate_key(F.col("deal_id"), F.col("model"), F.col("touchpoint_id")).alias("attribution_id"),
         "deal_id", "model", "touchpoint_id", "channel", "touched_at",
-        F.round("credit", 8).cast(_CREDIT_OUT).alias("credit"),
+        snap(F.col("credit"), CREDIT_DIGITS).alias("credit"),
         F.col("created_at").alias("deal_created_at"),
         "closed_at", "is_won",
         money.alias("credited_pipeline"),
-        F.when(F.col("is_won"), money).otherwise(F.lit(0)).alias("credited_won_revenue"),
+        F.when(F.col("is_won"), money).otherwise(F.lit(0.0)).alias("credited_won_revenue"),
     )
 
 

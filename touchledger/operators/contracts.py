@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchledger.functions import exact_sum
 from touchledger.operators.attribution import each_model
 
 
@@ -62,7 +63,7 @@ def credit_in_unit_interval(attribution: DataFrame) -> DataFrame:
 
 def won_revenue_reconciles(attribution: DataFrame, opps: DataFrame, tolerance: float = 0.01) -> DataFrame:
     """Models whose credited won revenue is not the won revenue of the CRM."""
-    credited = attribution.groupBy("model").agg(F.sum("credited_won_revenue").alias("credited"))
+    credited = attribution.groupBy("model").agg(exact_sum(F.col("credited_won_revenue")).alias("credited"))
     crm = (opps.filter("is_won").agg(F.sum("amount").alias("crm_won")).withColumn("model", each_model()))
     return (credited.join(crm, "model", "left")
             .filter(F.abs(F.col("credited") - F.col("crm_won")) > tolerance)

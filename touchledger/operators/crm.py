@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchledger.config import UNATTRIBUTED
+from touchledger.functions import exact_sum
 from touchledger.operators.numbering import number_rows
 
 PROPERTIES = ("first_touch_channel", "attributed_pipeline", "source_quality_score")
@@ -16,7 +17,7 @@ WIN_WEIGHT, REVENUE_WEIGHT = 0.6, 0.4
 def credited_pipeline_by_company(attribution: DataFrame, fct_opps: DataFrame) -> DataFrame:
     """W-shaped pipeline per company domain; reduced to deals before the join."""
     per_deal = attribution.filter(F.col("model") == "w_shaped").groupBy("deal_id").agg(
-        F.sum("credited_pipeline").alias("pipeline"))
+        exact_sum(F.col("credited_pipeline")).alias("pipeline"))
     return (fct_opps.select("deal_id", "domain").join(per_deal, "deal_id")
             .groupBy("domain").agg(F.sum("pipeline").alias("attributed_pipeline")))
 

@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchledger.config import MODELS, UNATTRIBUTED
-from touchledger.functions import month_of, safe_ratio, settle
+from touchledger.functions import exact_sum, month_of, safe_ratio, settle
 from touchledger.operators.attribution import each_model
 
 
 def channel_performance(attribution: DataFrame, spend: DataFrame, dim: DataFrame) -> DataFrame:
     """Model x channel x month of deal creation; ad spend of the same channel and month beside it."""
     credit = attribution.groupBy("model", "channel", month_of(F.col("deal_created_at")).alias("month")).agg(
-        F.sum("credit").alias("deals"),
-        F.sum(F.when(F.col("is_won"), F.col("credit"))).alias("wins"),
-        F.sum("credited_pipeline").alias("pipeline"),
-        F.sum("credited_won_revenue").alias("won_revenue"))
+        exact_sum(F.col("credit")).alias("deals"),
+        exact_sum(F.when(F.col("is_won"), F.col("credit"))).alias("wins"),
+        exact_sum(F.col("credited_pipeline")).alias("pipeline"),
+        exact_sum(F.col("credited_won_revenue")).alias("won_revenue"))
     monthly_spend = spend.groupBy("channel", month_of(F.col("spend_date")).alias("month")).agg(
         F.sum("spend_usd").alias("spend_usd"), F.sum("clicks").alias("clicks"))
     groups = F.broadcast(dim.select("channel", "channel_group"))

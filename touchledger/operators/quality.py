@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchledger.config import PAID_CHANNELS, QUALITY_THRESHOLDS, UNATTRIBUTED, Threshold
-from touchledger.functions import safe_ratio
+from touchledger.functions import exact_sum, safe_ratio
 
 DESCRIPTIONS = {
     "utm_coverage_paid_clicks": "Paid ad clicks that reached the site with their tags, as a share of all paid clicks",
@@ -64,7 +64,7 @@ def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, attribu
         spread(session_totals, ("utm_coverage_paid_clicks", "tagged", None),
                ("identified_session_share", "known", "n")),
         _parts(spend, "utm_coverage_paid_clicks", den=F.sum("clicks")),
-        _parts(blind, "unattributed_won_revenue_share", num=F.coalesce(F.sum("credited_won_revenue"), F.lit(0))),
+        _parts(blind, "unattributed_won_revenue_share", num=F.coalesce(exact_sum(F.col("credited_won_revenue")), F.lit(0))),
         spread(deal_totals, ("unattributed_won_revenue_share", None, "won_usd"),
                ("deals_missing_contact_share", "missing", "n"), ("reopened_won_deals", "reopened", None)),
         spread(contact_totals, ("personal_email_contacts_merged", "merged", None),

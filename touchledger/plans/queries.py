@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchledger.functions import settle
+from touchledger.functions import settle, snap
 from touchledger.operators import attribution, contracts, crm, staging
 from touchledger.plans import contracts as contract_plans
 from touchledger.plans import nightly
@@ -26,7 +26,7 @@ def plain(df: DataFrame) -> DataFrame:
     def one(field: T.StructField):
         c = F.col(field.name)
         if isinstance(field.dataType, T.DecimalType):
-            c = settle(c, 2) if field.dataType.scale > 8 else c
+            c = settle(c, 2) if field.dataType.scale > 6 else c
             return c.cast("double").alias(field.name)
         if isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             return c.cast("bigint").alias(field.name)
@@ -120,10 +120,11 @@ QUERIES: dict[str, Query] = {
     "unpivot_models": _query(lambda wh: attribution.unpivot_models(
         attribution.attribution_weights(wh.deal_journeys, wh.cfg)
         .select("deal_id", "touchpoint_id", *attribution.MODELS))
-        .withColumn("credit", F.round("credit", 8))),
+        .withColumn("credit", snap(F.col("credit"), attribution.CREDIT_DIGITS))),
     "attr_unattributed": _query(
         lambda wh: attribution.unattributed(wh.deal_anchors).select("deal_id", "model", "channel", "credit")),
-    "fct_attribution": _layer("fct_attribution"),
+    "fct_attribution": _query(lambda wh: wh.fct_attribution.withColumns(
+        {c: settle(F.col(c), 2) for c in ("credited_pipeline", "credited_won_revenue")})),
     "fct_opportunities": _layer("fct_opportunities"),
     # marts
     **{n: _layer(n) for n in (

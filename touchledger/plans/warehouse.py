@@ -131,7 +131,7 @@ class Warehouse:
 
     @cached_property
     def match_signals(self):
-        return identity.match_signals(self.stg_signals, self.identity_people)
+        return identity.match_signals(self.stg_signals, self.shared("identity_people"))
 
     @cached_property
     def lead_events(self):
@@ -142,7 +142,7 @@ class Warehouse:
     def touchpoints(self):
         return touches.touchpoints(
             self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events, self.identity_email_map,
-            self.stg_signals, self.stg_bot_threads, self.stg_calls, self.identity_people)
+            self.stg_signals, self.stg_bot_threads, self.stg_calls, self.shared("identity_people"))
 
     @cached_property
     def account_touches(self):
