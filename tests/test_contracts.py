@@ -38,3 +38,13 @@ def test_gate_raises_on_any_violation(frame):
     assert rows(c.contract_gate({"filled": c.expect_not_null(df, "k")})) == [("filled", 0)]
     with pytest.raises(c.ContractViolation, match="unique: 1"):
         c.contract_gate({"filled": c.expect_not_null(df, "k"), "unique": c.expect_unique(df, "k")})
+
+
+def test_row_contracts_are_counted_in_one_pass(frame):
+    from pyspark.sql import functions as F
+
+    df = frame("k bigint; v string", (1, None), (None, None), (3, "x"))
+    counted = c.count_failing(df, {"not_null:t.k": F.col("k").isNull(), "not_null:t.v": F.col("v").isNull()})
+    assert rows(counted, "contract") == [("not_null:t.k", 1), ("not_null:t.v", 2)]
+    with pytest.raises(c.ContractViolation, match="not_null:t.k: 1; not_null:t.v: 2"):
+        c.contract_gate({}, [counted])

@@ -1,10 +1,14 @@
-"""Data contracts: each returns the rows that break it. An empty result is a pass."""
+"""Data contracts: each returns the rows that break it. An empty result is a pass.
+
+Contracts that look at one row at a time can also be counted together, in one pass over their table
+(``count_failing``); a run uses that form.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchledger.functions import exact_sum
@@ -53,12 +57,20 @@ def every_deal_in_every_model(opps: DataFrame, attribution: DataFrame) -> DataFr
 
 def no_credit_after_deal_created(attribution: DataFrame) -> DataFrame:
     """Credit for touches that came after the deal."""
-    return attribution.filter(F.col("touched_at") > F.col("deal_created_at"))
+    return attribution.filter(is_late())
+
+
+def is_late() -> Column:
+    return F.col("touched_at") > F.col("deal_created_at")
 
 
 def credit_in_unit_interval(attribution: DataFrame) -> DataFrame:
     """Credit below zero or above one."""
-    return attribution.filter((F.col("credit") < 0) | (F.col("credit") > 1))
+    return attribution.filter(is_out_of_range())
+
+
+def is_out_of_range() -> Column:
+    return (F.col("credit") < 0) | (F.col("credit") > 1)
 
 
 def won_revenue_reconciles(attribution: DataFrame, opps: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -70,21 +82,29 @@ def won_revenue_reconciles(attribution: DataFrame, opps: DataFrame, tolerance: f
             .select("model", "credited", "crm_won"))
 
 
-def summarise(contracts: dict[str, DataFrame]) -> DataFrame:
-    """Contract -> number of violations, one row each."""
+def count_failing(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """Contract -> number of rows that meet its failure condition; one pass for all conditions."""
+    counts = df.agg(*[F.count_if(failed).alias(name) for name, failed in conditions.items()])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("contract"), F.col(f"`{name}`").alias("violations")) for name in conditions
+    ])).alias("c")).select("c.*")
+
+
+def summarise(contracts: dict[str, DataFrame], counted: list[DataFrame] | None = None) -> DataFrame:
+    """Contract -> number of violations, one row each; ``counted`` adds results of ``count_failing``."""
     counts = [df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("contract"), "violations")
               for name, df in contracts.items()]
-    return reduce(DataFrame.unionByName, counts)
+    return reduce(DataFrame.unionByName, [*counts, *(counted or [])])
 
 
-def contract_gate(contracts: dict[str, DataFrame]) -> DataFrame:
+def contract_gate(contracts: dict[str, DataFrame], counted: list[DataFrame] | None = None) -> DataFrame:
     """Summary of all contracts; raises when one is broken, so call it before publishing.
 
     Only one count per contract reaches the driver.
     """
-    found = summarise(contracts).collect()
+    summary = summarise(contracts, counted)
+    found = summary.collect()
     broken = [f"{r['contract']}: {r['violations']}" for r in found if r["violations"]]
     if broken:
-        raise ContractViolation("; ".join(broken))
-    spark = next(iter(contracts.values())).sparkSession
-    return spark.createDataFrame([tuple(r) for r in found], "contract string, violations bigint")
+        raise ContractViolation("; ".join(sorted(broken)))
+    return summary.sparkSession.createDataFrame([tuple(r) for r in found], "contract string, violations bigint")

@@ -7,8 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchledger.operators.contracts import contract_gate
-from touchledger.plans.contracts import all_contracts
+from touchledger.plans.contracts import check_all
 from touchledger.plans.warehouse import Warehouse
 from touchledger.sinks import append_run_log, dashboard_extract, write_layer
 
@@ -52,7 +51,7 @@ def run(spark: SparkSession, wh: Warehouse, root: str, run_id: int, revision: st
     try:
         for name in ("identity_contacts", "identity_client_map", "touchpoints", "opportunities", *MARTS):
             wh.shared(name)
-        gate = contract_gate(all_contracts(wh))
+        gate = check_all(wh)
         published = {n: write_layer(getattr(wh, n), "staging", n) for n in STAGING}
         published |= {n: write_layer(wh.latest(n), "intermediate", n, root) for n in INTERMEDIATE}
         published |= {n: write_layer(wh.shared(n), "marts", n, root) for n in MARTS}

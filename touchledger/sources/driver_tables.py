@@ -73,9 +73,12 @@ class DriverFeeds(Mapping):
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder.rstrip("/")
         self._built: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._tables[name]
 
     def events(self, *kinds: str) -> DataFrame:
         """Events of some types. Their times cover one month; spread over four, so that windows and months
