@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchledger.operators.contracts import ContractViolation
-from touchledger.plans import nightly
+from touchledger.plans import contracts, nightly
 from touchledger.plans.queries import QUERIES, warehouse
 from touchledger.plans.warehouse import Warehouse
 from touchledger.plans.workspace import Workspace, shared_folder
@@ -94,25 +94,35 @@ def test_workspace_follows_the_cluster_setting(spark):
 
 def test_nightly_run_publishes_and_logs(spark, tmp_path):
     root = str(tmp_path)
-    published = nightly.run(spark, warehouse(spark, FOLDER), root, run_id=1, revision="abc")
-    assert spark.read.parquet(f"{root}/marts/channel_summary").count() == published["channel_summary"].count()
-    document = json.loads(spark.read.text(f"{root}/dashboard").first()[0])
+    feeds = warehouse(spark, FOLDER).feeds
+    for run_id in (1, 2):
+        wh = nightly.run(spark, feeds, root, run_id, revision="abc")
+    assert nightly.published(spark, root, "channel_summary").count() == wh.latest("channel_summary").count() > 0
+    assert spark.read.parquet(f"{root}/published").orderBy("run_id").collect()[-1]["folder"] == wh.workspace.root
+    document = json.loads(spark.read.text(f"{wh.workspace.root}/dashboard").first()[0])
     assert document["summary"]["opps"] == 1500 and len(document["runs"]) == 14
-    assert {r["violations"] for r in published["contracts"].collect()} == {0} and published["contracts"].count() == 44
-    log = spark.read.parquet(f"{root}/ops/pipeline_runs").first()
-    assert (log["status"], log["revision"]) == ("success", "abc")
-    assert json.loads(log["summary"])["opps"] == 1500
+    assert spark.table("staging_stg_deals").count() == 1500 and spark.table("deal_touch_window").count() > 0
+    log = spark.read.parquet(f"{root}/pipeline_runs").orderBy("run_id").collect()
+    assert [(r["run_id"], r["status"], r["revision"]) for r in log] == [(1, "success", "abc"), (2, "success", "abc")]
+    assert json.loads(log[0]["summary"])["opps"] == 1500
+    assert [s["step"] for s in json.loads(log[0]["steps"])] == ["build", "contracts", "publish"]
 
 
 def test_broken_contract_keeps_the_published_tables(spark, tmp_path):
     root = str(tmp_path)
-    wh = warehouse(spark, FOLDER)
-    feeds = {name: wh.feeds[name] for name in wh.feeds}
+    driver = warehouse(spark, FOLDER).feeds
+    feeds = {name: driver[name] for name in driver}
     feeds["hubspot_companies"] = feeds["hubspot_companies"].union(feeds["hubspot_companies"].filter("hs_object_id = 1"))
     with pytest.raises(ContractViolation, match="unique:stg_companies.company_id"):
-        nightly.run(spark, Warehouse(spark, feeds), root, run_id=2)
-    assert not (tmp_path / "marts").exists()
-    assert spark.read.parquet(f"{root}/ops/pipeline_runs").first()["status"] == "failed"
+        nightly.run(spark, feeds, root, run_id=2)
+    assert not (tmp_path / "published").exists()
+    log = spark.read.parquet(f"{root}/pipeline_runs").first()
+    assert log["status"] == "failed" and json.loads(log["steps"])[-1] == {"step": "contracts", "ok": False}
+
+
+def test_all_contracts_are_checked(spark):
+    found = contracts.check_all(warehouse(spark, FOLDER))
+    assert found.count() == 44 and {r["violations"] for r in found.collect()} == {0}
 
 
 def test_registry_and_oracles_cover_the_same_queries():

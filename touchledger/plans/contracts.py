@@ -37,7 +37,7 @@ ACCEPTED = (
     ("fct_attribution", "model", MODELS),
 )
 # Layers several contracts read.
-WRITTEN = ("identity_contacts", "identity_client_map", "touchpoints", "opportunities", "fct_attribution")
+WRITTEN = ("identity_contacts", "identity_email_map", "identity_client_map", "touchpoints", "opportunities", "fct_attribution")
 
 
 def _table(wh: Warehouse, name: str) -> DataFrame:

@@ -1,71 +1,94 @@
-"""A whole run: land, build, check, publish, log."""
+"""A whole run: build, check, publish, log.
+
+Every run writes its tables into a folder of its own under the root. Publishing only adds a row that names
+this folder, after all contracts hold. So nothing is copied, readers switch from one complete set of tables
+to the next, and a failed run leaves the published one in place.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchledger.config import AttributionConfig
 from touchledger.plans.contracts import check_all
 from touchledger.plans.warehouse import Warehouse
+from touchledger.plans.workspace import Workspace
 from touchledger.sinks import append_run_log, dashboard_extract, write_layer
 
 STAGING = ("stg_companies", "stg_contacts", "stg_deals", "stg_stage_history", "stg_sessions", "stg_form_fills",
            "stg_email_events", "stg_signals", "stg_bot_threads", "stg_calls", "stg_spend_daily", "stg_subscriptions",
            "stg_subscription_events")
+# Tables in the order of their dependencies: what has been written is what later layers read. The pairs of
+# deals and touches stay a view, as every row of them is in the linear model of the fact table anyway.
 INTERMEDIATE = ("identity_contacts", "identity_people", "identity_email_map", "identity_client_map", "lead_events",
-                "touchpoints", "opportunities", "deal_touch_window")
-# In the order of their dependencies: a published mart is what later marts read.
+                "touchpoints", "opportunities")
+INTERMEDIATE_VIEWS = ("deal_touch_window",)
 MARTS = ("fct_attribution", "fct_opportunities", "channel_performance", "channel_summary", "model_disagreement",
          "funnel_monthly", "velocity", "retention", "truth_evaluation", "data_quality")
-EXTRACTS = {"monthly": "funnel_monthly", "channels": "channel_summary", "disagreement": "model_disagreement",
-            "truth": "truth_evaluation", "velocity": "velocity", "retention": "retention", "quality": "data_quality"}
-# Reading order of the dashboard tables.
-EXTRACT_ORDER = {"monthly": [F.asc, "month"], "channels": [F.desc, "won_revenue_usd"],
-                 "disagreement": [F.desc, "swing"], "truth": [F.desc, "true_share"], "velocity": [F.desc, "opps"],
-                 "retention": [F.desc, "customers"], "quality": [F.asc, "check_name"]}
+# Result set of the dashboard -> mart and reading order.
+EXTRACTS = {
+    "monthly": ("funnel_monthly", [F.asc, "month"]),
+    "channels": ("channel_summary", [F.asc, "model"], [F.desc, "won_revenue_usd"]),
+    "disagreement": ("model_disagreement", [F.desc, "swing"]),
+    "truth": ("truth_evaluation", [F.asc, "model"], [F.desc, "true_share"]),
+    "velocity": ("velocity", [F.desc, "opps"]),
+    "retention": ("retention", [F.desc, "customers"]),
+    "quality": ("data_quality", [F.asc, "check_name"]),
+}
 
 
 def extracts(wh: Warehouse) -> dict[str, DataFrame]:
     """The nine result sets of the dashboard, each a bounded report in its reading order."""
     results = {"summary": wh.dashboard_summary}
-    for name, mart in EXTRACTS.items():
-        direction, column = EXTRACT_ORDER[name]
-        df = getattr(wh, mart)
-        first = [F.asc("model")] if name in ("channels", "truth") else []
-        results[name] = df.orderBy(*first, direction(column))
-    results["quality"] = results["quality"].drop("checked_at")
+    for name, (mart, *order) in EXTRACTS.items():
+        results[name] = wh.latest(mart).drop("checked_at").orderBy(*[direction(c) for direction, c in order])
     results["runs"] = wh.recent_runs
     return results
 
 
-def run(spark: SparkSession, wh: Warehouse, root: str, run_id: int, revision: str | None = None) -> dict[str, DataFrame]:
-    """Builds all layers under ``root`` and publishes them once every contract holds.
-
-    Layers are built in the run's workspace first. A broken contract raises before anything under ``root``
-    except the run log is touched, so readers keep the previous run's tables.
-    """
+def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id: int,
+        cfg: AttributionConfig = AttributionConfig(), revision: str | None = None) -> Warehouse:
+    """Builds all layers, publishes them once every contract holds, and logs the run either way."""
     started = datetime.now(timezone.utc)
-    status, summary = "failed", None
+    wh = Warehouse(spark, feeds, cfg, Workspace(spark, root))
+    steps: list[tuple[str, bool]] = []
+    summary: dict[str, float] = {}
+
+    def step(name: str, action) -> None:
+        steps.append((name, False))
+        action()
+        steps[-1] = (name, True)
+
+    def publish() -> None:
+        for name in STAGING:
+            write_layer(getattr(wh, name), "staging", name)
+        for name in INTERMEDIATE_VIEWS:
+            getattr(wh, name).createOrReplaceTempView(name)
+        dashboard_extract(extracts(wh), f"{wh.workspace.root}/dashboard", cfg.lookback_days)
+        summary.update({k: float(v) for k, v in wh.run_summary.first().asDict().items()})
+        (spark.createDataFrame([(run_id, wh.workspace.root, datetime.now(timezone.utc))],
+                               "run_id bigint, folder string, published_at timestamp")
+         .coalesce(1).write.mode("append").parquet(f"{root}/published"))
+
     try:
-        for name in ("identity_contacts", "identity_client_map", "touchpoints", "opportunities", *MARTS):
-            wh.shared(name)
-        gate = check_all(wh)
-        published = {n: write_layer(getattr(wh, n), "staging", n) for n in STAGING}
-        published |= {n: write_layer(wh.latest(n), "intermediate", n, root) for n in INTERMEDIATE}
-        published |= {n: write_layer(wh.shared(n), "marts", n, root) for n in MARTS}
-        dashboard_extract(extracts(wh), f"{root}/dashboard", wh.cfg.lookback_days)
-        summary = wh.run_summary.first().asDict()
-        status = "success"
-        published["contracts"] = gate
-        return published
+        step("build", lambda: [wh.shared(name) for name in (*INTERMEDIATE, *MARTS)])
+        step("contracts", lambda: check_all(wh))
+        step("publish", publish)
+        return wh
     finally:
+        status = "success" if len(steps) == 3 and steps[-1][1] else "failed"
         log = spark.createDataFrame(
-            [(run_id, started, datetime.now(timezone.utc), status,
-              [("build", "contracts", "publish")] if status == "success" else [],
-              {k: float(v) for k, v in (summary or {}).items()}, revision)],
+            [(run_id, started, datetime.now(timezone.utc), status, steps, summary, revision)],
             "run_id bigint, started_at timestamp, finished_at timestamp, status string, "
-            "steps array<struct<first string, second string, third string>>, summary map<string,double>, "
-            "revision string")
-        append_run_log(log, f"{root}/ops/pipeline_runs")
+            "steps array<struct<step string, ok boolean>>, summary map<string,double>, revision string")
+        append_run_log(log.coalesce(1), f"{root}/pipeline_runs")
+
+
+def published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the latest published run."""
+    folder = spark.read.parquet(f"{root}/published").orderBy(F.desc("published_at")).first()["folder"]
+    return spark.read.parquet(f"{folder}/{name}")

@@ -127,7 +127,7 @@ class Warehouse:
 
     @cached_property
     def identity_client_map(self):
-        return identity.identity_client_map(self.stg_form_fills, self.identity_email_map)
+        return identity.identity_client_map(self.stg_form_fills, self.latest("identity_email_map"))
 
     @cached_property
     def match_signals(self):
@@ -135,14 +135,14 @@ class Warehouse:
 
     @cached_property
     def lead_events(self):
-        return identity.lead_events(self.stg_form_fills, self.stg_email_events, self.identity_email_map)
+        return identity.lead_events(self.stg_form_fills, self.stg_email_events, self.latest("identity_email_map"))
 
     # touches and deals -------------------------------------------------------------------------------
     @cached_property
     def touchpoints(self):
         return touches.touchpoints(
-            self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events, self.identity_email_map,
-            self.stg_signals, self.stg_bot_threads, self.stg_calls, self.shared("identity_people"))
+            self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events,
+            self.latest("identity_email_map"), self.stg_signals, self.stg_bot_threads, self.stg_calls, self.shared("identity_people"))
 
     @cached_property
     def account_touches(self):
@@ -155,7 +155,7 @@ class Warehouse:
 
     @cached_property
     def deal_lead_moment(self):
-        return opportunities.deal_lead_moment(self.shared("opportunities"), self.lead_events, self.cfg)
+        return opportunities.deal_lead_moment(self.shared("opportunities"), self.latest("lead_events"), self.cfg)
 
     @cached_property
     def deal_anchors(self):
@@ -199,7 +199,7 @@ class Warehouse:
     @cached_property
     def funnel_monthly(self):
         return marts.funnel_monthly(
-            self.stg_sessions, self.shared("identity_client_map"), self.lead_events, self.stg_calls,
+            self.stg_sessions, self.shared("identity_client_map"), self.latest("lead_events"), self.stg_calls,
             self.shared("opportunities"))
 
     @cached_property
