@@ -87,7 +87,7 @@ METRIC_TABLES = {
 METRIC_ROWS = _union([
     f"select '{name}' as name, '{table}' as source_table, '{column}' as source_column, {version} as version, "
     f"(select count({column}) from {METRIC_TABLES[table]}) as filled_values"
-    for name, table, column, _, version, _ in METRICS])
+    for name, table, column, _, version, *_ in METRICS])
 
 EXTRACT_ROWS = _union([f"select '{n}' as result_set, (select count(*) from {r}) as rows" for n, r in {
     "summary": "(select 1)", "monthly": "funnel", "channels": "summary", "disagreement": "disagreement",

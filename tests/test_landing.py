@@ -60,11 +60,15 @@ def test_drift_compares_ordered_headers(spark, folder):
     assert {r["action"] for r in fresh} == {"create"} and {r["expected"] for r in fresh} == {None}
 
 
-def test_second_load_replaces_the_first(spark, folder, tmp_path):
-    first = landing.land_raw(spark, folder)["ga4_form_fills"]
-    first.write.mode("overwrite").parquet(str(tmp_path / "raw"))
-    landing.land_raw(spark, folder)["ga4_form_fills"].write.mode("overwrite").parquet(str(tmp_path / "raw"))
-    assert spark.read.parquet(str(tmp_path / "raw")).count() == 3
+def test_second_load_replaces_the_first_and_reports_changed_headers(spark, folder, tmp_path):
+    root = str(tmp_path / "store")
+    actions = [{r["action"] for r in landing.refresh_raw(spark, landing.land_raw(spark, folder), root).collect()}
+               for _ in range(2)]
+    assert actions == [{"create"}, {"replace"}]
+    assert spark.read.parquet(f"{root}/raw/ga4_form_fills").count() == 3
+    changed = {"ga4_form_fills": landing.land_raw(spark, folder)["ga4_form_fills"].drop("form_name")}
+    assert [r["action"] for r in landing.refresh_raw(spark, changed, root).collect()] == ["rebuild"]
+    assert "form_name" not in spark.read.parquet(f"{root}/raw/ga4_form_fills").columns
 
 
 def test_feed_schemas_and_channel_dimension(spark):

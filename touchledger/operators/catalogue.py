@@ -5,44 +5,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Metric name, table, column, grain, version.
+# Metric name, table, column, grain, version. The last two are the definition and its history.
 METRICS = (
     ("won_revenue_by_model", "channel_summary", "won_revenue_usd", "model, channel", 2,
-     "Won deal amounts split over channels by the chosen model; won means the deal's current stage"),
+     "Won deal amounts split over channels by the chosen model; won means the deal's current stage",
+     "v1 took any closedlost in the history as lost; v2 looks at the current stage, so that reopened deals count once"),
     ("pipeline_by_model", "channel_summary", "pipeline_usd", "model, channel", 1,
-     "Amounts of all deals created, open or closed, split over channels by the chosen model"),
+     "Amounts of all deals created, open or closed, split over channels by the chosen model", None),
     ("share_of_won_revenue", "channel_summary", "share_of_won_revenue", "model, channel", 1,
-     "A channel's part of all won revenue under one model, unattributed revenue included"),
+     "A channel's part of all won revenue under one model, unattributed revenue included", None),
     ("pipeline_per_dollar", "channel_summary", "pipeline_per_dollar", "model, channel", 1,
-     "Credited pipeline per dollar of ad spend of the same channel, all time"),
+     "Credited pipeline per dollar of ad spend of the same channel, all time", None),
     ("cost_per_credited_win", "channel_summary", "cost_per_credited_win", "model, channel", 1,
-     "Ad spend per credited (possibly fractional) win"),
+     "Ad spend per credited (possibly fractional) win", None),
     ("model_swing", "model_disagreement", "swing", "channel", 1,
-     "Highest minus lowest share of won revenue over the five models"),
+     "Highest minus lowest share of won revenue over the five models", None),
     ("win_rate", "funnel_monthly", "win_rate", "month", 1,
-     "Won deals among the deals closed in the month"),
+     "Won deals among the deals closed in the month", None),
     ("median_cycle_days_won", "velocity", "median_cycle_days_won", "first_touch_channel", 1,
-     "Median days from creation to win, by the channel of the first touch"),
+     "Median days from creation to win, by the channel of the first touch", None),
     ("new_leads", "funnel_monthly", "new_leads", "month", 1,
-     "People whose first demo form or interested reply fell in the month"),
+     "People whose first demo form or interested reply fell in the month", None),
     ("net_revenue_retention", "retention", "net_revenue_retention", "first_touch_channel", 1,
-     "Current over starting recurring revenue, by the first-touch channel of the winning deal"),
+     "Current over starting recurring revenue, by the first-touch channel of the winning deal", None),
     ("gross_revenue_retention", "retention", "gross_revenue_retention", "first_touch_channel", 2,
-     "As net retention, but a customer counts with at most the starting revenue"),
+     "As net retention, but a customer counts with at most the starting revenue",
+     "v1 subtracted contraction and churn and could fall below zero; v2 caps each customer at the starting revenue"),
     ("unattributed_won_revenue_share", "data_quality", "value", "check_name", 1,
-     "Part of won revenue whose deals have no touch in the look-back window"),
+     "Part of won revenue whose deals have no touch in the look-back window", None),
     ("model_mean_abs_error", "truth_evaluation", "model_mean_abs_error", "model, channel", 1,
-     "Mean distance of a model's channel shares from the measured incremental shares"),
+     "Mean distance of a model's channel shares from the measured incremental shares", None),
     ("attributed_pipeline", "crm_payload", "attributed_pipeline", "company", 1,
-     "W-shaped pipeline of all deals of a company, as pushed to the CRM"),
+     "W-shaped pipeline of all deals of a company, as pushed to the CRM", None),
     ("source_quality_score", "crm_payload", "source_quality_score", "company", 1,
-     "0 to 100 score of the first-touch channel: 60% win rate rank, 40% W-shaped won revenue rank"),
+     "0 to 100 score of the first-touch channel: 60% win rate rank, 40% W-shaped won revenue rank", None),
 )
 
 
 def metric_definitions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
-        list(METRICS), "name string, source_table string, source_column string, grain string, version int, definition string")
+        list(METRICS), "name string, source_table string, source_column string, grain string, version int, definition string, changelog string")
 
 
 def metric_catalogue(tables: dict[str, DataFrame]) -> DataFrame:
@@ -70,4 +72,4 @@ def metric_catalogue(tables: dict[str, DataFrame]) -> DataFrame:
         filled = counts if filled is None else filled.unionByName(counts)
     spark = filled.sparkSession
     return F.broadcast(metric_definitions(spark)).join(filled, ["source_table", "source_column"]).select(
-        "name", "source_table", "source_column", "grain", "version", "definition", "filled_values")
+        "name", "source_table", "source_column", "grain", "version", "definition", "changelog", "filled_values")

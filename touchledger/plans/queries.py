@@ -136,7 +136,7 @@ QUERIES: dict[str, Query] = {
         "subscription_movements", "retention", "truth_evaluation", "incremental_lift", "dashboard_summary",
         "run_summary", "recent_runs")},
     "data_quality": _layer("data_quality", "description", "checked_at"),
-    "metric_catalogue": _layer("metric_catalogue", "grain", "definition"),
+    "metric_catalogue": _layer("metric_catalogue", "grain", "definition", "changelog"),
     "dashboard_extract": _query(_dashboard),
     # CRM
     "credited_pipeline_by_company": _layer("credited_pipeline_by_company"),

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchledger.operators.catalogue import METRICS
+from touchledger.operators.catalogue import metric_definitions
 
 VIEW_LAYERS = ("staging",)
 
@@ -50,7 +50,7 @@ def dashboard_extract(results: dict[str, DataFrame], path: str, lookback_days: i
         document[summary] = document[summary][0] if document[summary] else {}
     document["meta"] = {"lookback_days": lookback_days,
                         "built_at": datetime.now(timezone.utc).isoformat(timespec="minutes")}
-    document["metrics"] = [dict(zip(("name", "source_table", "source_column", "grain", "version", "definition"), m)) for m in METRICS]
+    document["metrics"] = [r.asDict() for r in metric_definitions(spark).collect()]
     spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return document
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchledger.sinks import write_layer
 from touchledger.sources.feeds import LOADED_AT, text_schema
 
 # A cell that cannot occur in an export. It stands for "no value", so that a quoted empty cell stays an
@@ -65,6 +67,21 @@ def schema_drift(spark: SparkSession, expected: dict[str, list[str]], landed: di
     return spark.createDataFrame(rows, "table string, expected string, found string, action string")
 
 
+def refresh_raw(spark: SparkSession, landed: dict[str, DataFrame], root: str) -> DataFrame:
+    """Replaces the stored raw tables by the landed ones and returns the drift against what was stored."""
+    stored = {}
+    for table in landed:
+        try:
+            stored[table] = [c for c in spark.read.parquet(f"{root}/raw/{table}").columns if c != LOADED_AT]
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":  # anything but the first delivery of this export
+                raise
+    drift = schema_drift(spark, stored, landed)
+    for table, df in landed.items():
+        write_layer(df, "raw", table, root)
+    return drift
+
+
 def load_manifest(landed: dict[str, DataFrame]) -> DataFrame:
     """Row count per landed table and in total (``table`` = ``all``)."""
     counts = None
