@@ -61,9 +61,14 @@ PHONES = ("select count(*) from (select phone_key from contacts where phone_key
           "having count(*) filter (not is_personal_email) > 1 and count(*) filter (is_personal_email) > 0)")
 
 
+SIGNALS = ("select count(*) from (select full_name_key, company_domain from signals where email is null "
+           "intersect select full_name_key, company_domain from people group by all having count(*) > 1)")
+
+
 def _gate() -> list[str]:
     return [*_unique(), *_not_null(), *_relationships(), *_accepted(),
-            *[_violations(n, s) for n, s in INVARIANTS.items()], _violations("unambiguous_phones", PHONES)]
+            *[_violations(n, s) for n, s in INVARIANTS.items()], _violations("unambiguous_phones", PHONES),
+            _violations("unambiguous_signals", SIGNALS)]
 
 
 # rows a feed delivers, by table of origin

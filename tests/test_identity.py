@@ -82,9 +82,21 @@ def test_signals_match_by_email_or_by_name_and_domain(frame):
     signals = frame(SIGNAL, ("by_mail", "zzz", "zzz", "ann@acme.io", at), ("by_name", "ann lee", "acme.io", None, at),
                     ("twins", "dee fox", "acme.io", None, at), ("mail_only", "ann lee", "acme.io", "no@acme.io", at),
                     ("other_domain", "ann lee", "beta.io", None, at), ("nameless", None, "acme.io", None, at))
-    got = rows(ident.match_signals(signals, people).select("signal_id", "person_id", "match_rule"), "signal_id", "person_id")
-    assert got == [("by_mail", 1, "work_email"), ("by_name", 1, "name_and_domain"), ("twins", 2, "name_and_domain"),
-                   ("twins", 3, "name_and_domain")]
+    def matched(**how):
+        return rows(ident.match_signals(signals, people, **how).select("signal_id", "person_id", "match_rule"),
+                    "signal_id", "person_id")
+
+    fixed = [("by_mail", 1, "work_email"), ("by_name", 1, "name_and_domain"), ("twins", 2, "name_and_domain")]
+    assert matched() == fixed and matched(keys=ident.people_keys(people)) == fixed
+    assert matched(on_conflict="fanout") == [*fixed, ("twins", 3, "name_and_domain")]
+    assert rows(ident.signal_conflicts(signals, people)) == [("name_and_domain", "dee fox", "acme.io", 2)]
+    assert ident.signal_conflicts(signals.filter("signal_id <> 'twins'"), people).isEmpty()
+
+
+def test_ambiguous_address_stays_visible_but_does_not_multiply(frame):
+    email_map = frame("email string; person_id bigint; company_id bigint", ("a@x.io", 3, 30), ("a@x.io", 2, 20), ("b@x.io", 4, 40))
+    assert rows(ident.email_lookup(email_map), "email") == [("a@x.io", 2, 20), ("b@x.io", 4, 40)]
+    assert ident.email_lookup(email_map, "fanout").count() == 3
 
 
 def test_lead_events(frame, contacts):

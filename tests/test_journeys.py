@@ -81,14 +81,11 @@ def test_touchpoints_of_every_system(frame):
                      ("s1", "k", at_, "direct"), ("s2", "anonymous", at_, "direct"), ("s3", None, at_, "direct"))
     mails = frame("email_event_id string; email string; event_type string; event_at timestamp; channel string",
                   *[(f"m{t}", "a@x.io", t, at_, "cold_email") for t in ("sent", "open", "click", "reply")])
-    signals = frame("signal_id string; full_name_key string; company_domain string; email string; detected_at timestamp",
-                    ("g1", None, None, "a@x.io", at_), ("g2", None, None, "b@x.io", at_))
+    signals = frame("signal_id string; detected_at timestamp; person_id bigint; company_id bigint", ("g1", at_, 1, 10))
     bot = frame("thread_id string; email string; bot_replied_at timestamp", ("b1", "a@x.io", at_), ("b2", "a@x.io", None))
     calls = frame("call_id string; email string; called_at timestamp; outcome string", ("c1", "a@x.io", at_, "meeting_booked"),
                   ("c2", "a@x.io", at_, "no_answer"), ("c3", "a@x.io", at_, None))
-    people = frame("person_id bigint; work_email string; full_name_key string; company_id bigint; company_domain string",
-                   (1, "a@x.io", "a", 10, "x.io"))
-    got = touchpoints(sessions, client_map, mails, email_map, signals, bot, calls, people)
+    got = touchpoints(sessions, client_map, mails, email_map, signals, bot, calls)
     assert rows(got.select("source_system", "source_record_id", "channel", "touch_type", "company_id"), "source_record_id") == [
         ("reply_bot", "b1", "reply_bot", "bot_reply", 10), ("voice_agent", "c1", "voice_agent", "voice_call", 10),
         ("clay", "g1", "signal_engine", "signal_detected", 10), ("smartlead", "mclick", "cold_email", "email_click", 10),

@@ -122,7 +122,7 @@ def test_broken_contract_keeps_the_published_tables(spark, tmp_path):
 
 def test_all_contracts_are_checked(spark):
     found = contracts.check_all(warehouse(spark, FOLDER))
-    assert found.count() == 44 and {r["violations"] for r in found.collect()} == {0}
+    assert found.count() == 45 and {r["violations"] for r in found.collect()} == {0}
 
 
 def test_registry_and_oracles_cover_the_same_queries():

@@ -41,6 +41,7 @@ PERSONAL_EMAIL_DOMAINS = ("gmail.com", "yahoo.com", "outlook.com", "hotmail.com"
 class AttributionConfig:
     """Knobs of the attribution chain.
 
+    ``on_conflict`` is what joins do with an ambiguous phone, address or name (see operators.identity).
     ``bucket_days`` and ``slice_days`` only shape the physical plan (see operators.journeys and
     operators.numbering); results do not depend on them.
     """
@@ -50,7 +51,7 @@ class AttributionConfig:
     anchor_weight: float = 0.30
     bucket_days: int = 30
     slice_days: int = 1
-    on_phone_conflict: str = "min_id"
+    on_conflict: str = "min_id"
 
 
 @dataclass(frozen=True)

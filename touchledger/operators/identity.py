@@ -2,6 +2,10 @@
 
 The person's account is found once, while contacts are merged, and travels with every mapping. So a touch
 needs one join to reach both its person and its account.
+
+A phone, address or name that belongs to several people is a broken contract, not a result: it is reported,
+and nothing is published. Until then ``on_conflict`` decides what a join on such a key does. ``min_id`` takes
+the lowest person, so that no key can multiply rows; ``fanout`` returns every match.
 """
 
 from __future__ import annotations
@@ -10,28 +14,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def phone_owners(contacts: DataFrame, on_conflict: str = "min_id") -> DataFrame:
-    """Phone -> work contact that personal contacts with this phone belong to.
-
-    When several work contacts share a phone, ``fanout`` keeps a row per work contact; ``min_id`` keeps the
-    lowest contact id, so that a switchboard number cannot multiply rows.
-    """
-    owners = (contacts.filter(~F.col("is_personal_email") & F.col("phone_key").isNotNull())
-              .select("phone_key", F.col("contact_id").alias("owner_id"), F.col("company_id").alias("owner_company")))
+def _lowest(df: DataFrame, keys: list[str], on_conflict: str) -> DataFrame:
+    """One person and account per key, or all of them."""
     if on_conflict == "fanout":
-        return owners
+        return df
     if on_conflict != "min_id":
         raise ValueError(f"unknown on_conflict: {on_conflict}")
-    return owners.groupBy("phone_key").agg(
-        F.min("owner_id").alias("owner_id"), F.min_by("owner_company", "owner_id").alias("owner_company"))
+    return df.groupBy(*keys).agg(F.min("person_id").alias("person_id"),
+                                 F.min_by("company_id", "person_id").alias("company_id"))
+
+
+def phone_owners(contacts: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+    """Phone -> work contact that personal contacts with this phone belong to."""
+    owners = (contacts.filter(~F.col("is_personal_email") & F.col("phone_key").isNotNull())
+              .select("phone_key", F.col("contact_id").alias("person_id"), "company_id"))
+    return (_lowest(owners, ["phone_key"], on_conflict)
+            .withColumnsRenamed({"person_id": "owner_id", "company_id": "owner_company"}))
 
 
 def identity_contacts(contacts: DataFrame, on_conflict: str = "min_id", owners: DataFrame | None = None) -> DataFrame:
     """Contact -> person: a personal-email contact becomes the work contact with the same phone.
 
-    Adds ``company_id``, the account of the person (not of the contact). With ``fanout`` an ambiguous phone
-    yields a row per work contact, which the uniqueness contract rejects; with ``min_id`` it is
-    ``phone_conflicts`` that reports it. ``owners`` takes ``phone_owners`` as a written table: with a scan
+    Adds ``company_id``, the account of the person (not of the contact). ``owners`` takes ``phone_owners`` as a written table: with a scan
     on both sides adaptive execution can split a phone that very many contacts share.
     """
     owners = phone_owners(contacts, on_conflict) if owners is None else owners
@@ -81,6 +85,11 @@ def identity_email_map(id_contacts: DataFrame) -> DataFrame:
             .select("email", "person_id", "company_id").distinct())
 
 
+def email_lookup(email_map: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+    """The address map as joins use it. An ambiguous address breaks the uniqueness of ``identity_email_map``."""
+    return _lowest(email_map, ["email"], on_conflict)
+
+
 def identity_client_map(form_fills: DataFrame, email_map: DataFrame) -> DataFrame:
     """Cookie -> person, learned from form fills; the lowest person id wins.
 
@@ -94,20 +103,44 @@ def identity_client_map(form_fills: DataFrame, email_map: DataFrame) -> DataFram
                  F.min_by("company_id", "person_id").alias("company_id")))
 
 
-def match_signals(signals: DataFrame, people: DataFrame) -> DataFrame:
+def people_keys(people: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+    """What a signal can be matched by: a person's work email, or name and company domain."""
+    def rule(name: str, key: str, domain):
+        return F.struct(F.lit(name).alias("match_rule"), F.col(key).alias("match_key"), domain.alias("match_domain"))
+
+    keys = people.select("person_id", "company_id", F.inline(F.array(
+        rule("work_email", "work_email", F.lit("")), rule("name_and_domain", "full_name_key", F.col("company_domain")))))
+    known = keys.filter(F.col("match_key").isNotNull() & F.col("match_domain").isNotNull())
+    return _lowest(known, ["match_rule", "match_key", "match_domain"], on_conflict)
+
+
+def _signal_keys(signals: DataFrame) -> DataFrame:
+    by_email = F.col("email").isNotNull()
+    return signals.select(
+        "signal_id", "detected_at",
+        F.when(by_email, "work_email").otherwise("name_and_domain").alias("match_rule"),
+        F.coalesce("email", "full_name_key").alias("match_key"),
+        F.when(by_email, "").otherwise(F.col("company_domain")).alias("match_domain"))
+
+
+def match_signals(signals: DataFrame, people: DataFrame, on_conflict: str = "min_id",
+                  keys: DataFrame | None = None) -> DataFrame:
     """Signal -> person: by work email when the signal has one, else by name and company domain.
 
-    The two rules exclude each other, so they run as two equi-joins instead of one join on an OR.
+    A signal follows exactly one rule, so both rules run as one equi-join on the rule and its key instead of
+    a join on an OR. ``keys`` takes ``people_keys`` as a written table.
     """
-    keys = ["signal_id", "detected_at"]
-    by_email = (signals.filter(F.col("email").isNotNull()).select(*keys, "email")
-                .join(people.select(F.col("work_email").alias("email"), "person_id", "company_id"), "email")
-                .select(*keys, "person_id", "company_id", F.lit("work_email").alias("match_rule")))
-    by_name = (signals.filter(F.col("email").isNull()).select(*keys, "full_name_key", "company_domain")
-               .join(people.select("full_name_key", "company_domain", "person_id", "company_id"),
-                     ["full_name_key", "company_domain"])
-               .select(*keys, "person_id", "company_id", F.lit("name_and_domain").alias("match_rule")))
-    return by_email.unionByName(by_name)
+    keys = people_keys(people, on_conflict) if keys is None else keys
+    return (_signal_keys(signals).join(keys, ["match_rule", "match_key", "match_domain"])
+            .select("signal_id", "detected_at", "person_id", "company_id", "match_rule"))
+
+
+def signal_conflicts(signals: DataFrame, people: DataFrame) -> DataFrame:
+    """Keys that signals use and that more than one person has: the match is ambiguous there."""
+    on = ["match_rule", "match_key", "match_domain"]
+    shared = (people_keys(people, "fanout").groupBy(*on).agg(F.count(F.lit(1)).alias("people"))
+              .filter(F.col("people") > 1))
+    return shared.join(_signal_keys(signals).select(*on).distinct(), on, "left_semi")
 
 
 def lead_events(form_fills: DataFrame, email_events: DataFrame, email_map: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchledger.functions import surrogate_key, time_bucket
-from touchledger.operators.identity import match_signals
 from touchledger.operators.numbering import number_rows
 
 _SHAPE = ["source_record_id", "person_id", "company_id", "touched_at", "channel", "touch_type", "source_system"]
@@ -22,7 +21,7 @@ def _touch(df: DataFrame, key: str | None, record: str, at: str, channel: Column
 
 
 def touchpoints(sessions: DataFrame, client_map: DataFrame, email_events: DataFrame, email_map: DataFrame,
-                signals: DataFrame, bot: DataFrame, calls: DataFrame, people: DataFrame) -> DataFrame:
+                matched_signals: DataFrame, bot: DataFrame, calls: DataFrame) -> DataFrame:
     """Web sessions of known cookies, email clicks and replies, matched signals, bot replies, answered calls.
 
     The three feeds keyed by email address are stacked before the one join that finds person and account.
@@ -35,7 +34,7 @@ def touchpoints(sessions: DataFrame, client_map: DataFrame, email_events: DataFr
                      F.lit("reply_bot"), F.lit("bot_reply"), "reply_bot")
     answered = _touch(calls.filter(F.col("outcome") != "no_answer"), "email", "call_id", "called_at",
                       F.lit("voice_agent"), F.lit("voice_call"), "voice_agent")
-    spotted = _touch(match_signals(signals, people), None, "signal_id", "detected_at", F.lit("signal_engine"),
+    spotted = _touch(matched_signals, None, "signal_id", "detected_at", F.lit("signal_engine"),
                      F.lit("signal_detected"), "clay")
 
     by_cookie = web.join(client_map.select("client_id", "person_id", "company_id"), "client_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchledger.config import DEAL_STAGES, EMAIL_EVENT_TYPES, MODELS
 from touchledger.operators import contracts as c
-from touchledger.operators.identity import phone_conflicts
+from touchledger.operators.identity import phone_conflicts, signal_conflicts
 from touchledger.plans.warehouse import Warehouse
 
 # Which columns must be unique, filled, known to a parent, or from a vocabulary.
@@ -81,10 +81,11 @@ def credit_totals(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def check_all(wh: Warehouse) -> DataFrame:
-    """The 43 contracts, and the ambiguous phones that ``min_id`` keeps out of the first of them.
+    """The 43 contracts, and the ambiguous phones and signal keys that ``min_id`` would keep out of them.
 
     Raises when one is broken.
     """
     grouped = {**unique(wh), **relationships(wh), **accepted_values(wh), **credit_totals(wh),
-               "unambiguous_phones": phone_conflicts(wh.stg_contacts)}
+               "unambiguous_phones": phone_conflicts(wh.stg_contacts),
+               "unambiguous_signals": signal_conflicts(wh.stg_signals, wh.latest("identity_people"))}
     return c.contract_gate(grouped, [*not_null(wh), credit_rows(wh)])

@@ -111,7 +111,7 @@ class Warehouse:
     # join only when both sides come out of a shuffle of their own, not out of an aggregate on the key.
     @cached_property
     def phone_owners(self):
-        return identity.phone_owners(self.stg_contacts, self.cfg.on_phone_conflict)
+        return identity.phone_owners(self.stg_contacts, self.cfg.on_conflict)
 
     @cached_property
     def identity_contacts(self):
@@ -125,24 +125,32 @@ class Warehouse:
     def identity_email_map(self):
         return identity.identity_email_map(self.shared("identity_contacts"))
 
+    @cached_property
+    def email_lookup(self):
+        return identity.email_lookup(self.latest("identity_email_map"), self.cfg.on_conflict)
+
     @cached_property
     def identity_client_map(self):
-        return identity.identity_client_map(self.stg_form_fills, self.latest("identity_email_map"))
+        return identity.identity_client_map(self.stg_form_fills, self.shared("email_lookup"))
+
+    @cached_property
+    def people_keys(self):
+        return identity.people_keys(self.latest("identity_people"), self.cfg.on_conflict)
 
     @cached_property
     def match_signals(self):
-        return identity.match_signals(self.stg_signals, self.shared("identity_people"))
+        return identity.match_signals(self.stg_signals, self.latest("identity_people"), keys=self.shared("people_keys"))
 
     @cached_property
     def lead_events(self):
-        return identity.lead_events(self.stg_form_fills, self.stg_email_events, self.latest("identity_email_map"))
+        return identity.lead_events(self.stg_form_fills, self.stg_email_events, self.shared("email_lookup"))
 
     # touches and deals -------------------------------------------------------------------------------
     @cached_property
     def touchpoints(self):
         return touches.touchpoints(
-            self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events,
-            self.latest("identity_email_map"), self.stg_signals, self.stg_bot_threads, self.stg_calls, self.shared("identity_people"))
+            self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events, self.shared("email_lookup"),
+            self.match_signals, self.stg_bot_threads, self.stg_calls)
 
     @cached_property
     def account_touches(self):
