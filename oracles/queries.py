@@ -90,7 +90,7 @@ METRIC_TABLES = {
     "truth_evaluation": "graded_out", "crm_payload": "(select * from payload order by attributed_pipeline desc, domain limit 200)",
 }
 METRIC_ROWS = _union([
-    f"select '{name}' as name, '{table}' as source_table, '{column}' as source_column, {version} as version, "
+    f"select '{name}' as name, '{table}' as source_table, '{column}' as source_column, {version}::bigint as version, "
     f"(select count({column}) from {METRIC_TABLES[table]}) as filled_values"
     for name, table, column, _, version, *_ in METRICS])
 
