@@ -2,37 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local: tempfile.TemporaryDirectory | None = None
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach, as the cluster names it in ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors are one process, gets a folder of its own when the
-    setting is missing.
-    """
-    global _local
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    """The folder all executors reach: ``spark.checkpoint.dir``, or else the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if _local is None:
-        _local = tempfile.TemporaryDirectory(prefix="touchledger-")
-    return _local.name
+    return folder.rstrip("/")
 
 
 class Workspace:
-    """Intermediate tables of one run, in their own subfolder of the shared folder."""
+    """Intermediate tables of one run, in their own subfolder of the shared folder.
+
+    Without a root of the caller's, the subfolder goes when the session ends.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{root or shared_folder(spark)}/run-{uuid.uuid4().hex}"
+        if root is None:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
 
     def settle(self, df: DataFrame, name: str) -> DataFrame:
         """Writes a table once and returns a reader of it.
