@@ -52,7 +52,7 @@ def replaced(df: DataFrame, **columns: Column) -> DataFrame:
     return df.withColumns(columns)
 
 
-@functools.cache
+@functools.lru_cache(maxsize=3)
 def once(make, *args):
     """One object per Python worker, such as a tokenizer or the dense form of a broadcast model."""
     return make(*args)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchledger.llm import decontaminate, exact, packing, simhash, toxicity
+from touchledger.llm import decontaminate, exact, html, language, packing, quality, secrets, simhash, toxicity, warc
 from touchledger.llm.common import prepared, remainder, table
 from touchledger.plans.workspace import Workspace
 
@@ -19,12 +19,35 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, packing.byte_bpe()).drop("key", "ids")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(prepared(spark), sf_dir, "pages"), f"{Workspace(spark).root}/warc"
+    warc.register(spark)
+    warc.records_of(pages).write.format("warc").mode("append").save(folder)
+    schema = "record_type string, record_id string, refers_to string, payload_digest string, payload_bytes bigint"
+    read = spark.read.format("warc").schema(schema).option("verify", "true").option("partitionBytes", 16 << 20)
+    return read.load(folder).select(
+        warc.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc.page_of("refers_to").alias("refers_to"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents")
     return simhash.near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents")
+    model = language.LanguageModel.fit(docs.where(language.is_training(F.col("doc_id"))))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score",
+                        "ambiguous")
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(prepared(spark), sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, workspace = table(prepared(spark), sf_dir, "documents"), Workspace(spark)
     index = exact.DigestIndex(spark, f"{workspace.root}/digest_index")
@@ -32,6 +55,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(prepared(spark), sf_dir, n) for n in ("documents", "labels"))
+    return quality.judge(docs, labels.where("quality = 1"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(prepared(spark), sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(prepared(spark), sf_dir, n) for n in ("documents", "labels"))
     scored = toxicity.score_documents(docs.select("doc_id", "text"), labels)
@@ -48,7 +80,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_packing, op3_simhash, op6_exact_dedup, op9_toxicity, op10_decontamination)}
+    op1_packing, op2_warc, op3_simhash, op4_language, op5_html, op6_exact_dedup, op7_quality, op8_secrets,
+    op9_toxicity, op10_decontamination)}
 
 ORACLES = {
     "op6_exact_dedup": """
