@@ -1,0 +1,89 @@
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from touchledger.llm import decontaminate
+from touchledger.llm.automaton import SuffixAutomaton
+
+
+def plain(words, items, width):
+    """Hit words and items by comparing every window with every place."""
+    hit, found = set(), set()
+    for item, own in items:
+        n = min(len(own), width)
+        windows = {tuple(own[i:i + n]) for i in range(len(own) - n + 1)} if n else set()
+        for i in range(len(words) - n + 1 if n else 0):
+            if tuple(words[i:i + n]) in windows:
+                hit |= set(range(i, i + n))
+                found.add(item)
+    return hit, found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([b"a", b"b", b"c"]), max_size=9), max_size=5),
+       st.lists(st.sampled_from([b"a", b"b", b"c", b"x"]), max_size=40), st.integers(2, 4))
+def test_automaton_against_all_windows(items, words, width):
+    items = [(str(i), w) for i, w in enumerate(items)]
+    spans, found = SuffixAutomaton(items, width).scan(words)
+    hit, want = plain(words, items, width)
+    assert found == want and {p for a, b in spans for p in range(a, b)} == hit
+    assert all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
+
+
+def test_words_are_those_of_the_pattern():
+    text = "Ab9 déjà-VU É\x7fx_y　z\x80q`[{"
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    assert [w.decode() for w in decontaminate.words_of(text)] == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def tables(llm):
+    rng = random.Random(1)
+    passage = [f"p{i}" for i in range(14)]
+    items = llm.createDataFrame([(1, " ".join(passage)), (2, "short item"), (3, None), (4, ""), (None, "x y z"), (5, "Short, ITEM")],
+                                "item_id bigint, text string")
+    filler = lambda n: [f"f{rng.randrange(50)}" for _ in range(n)]
+    docs = llm.createDataFrame(
+        [(1, " ".join(filler(30) + passage[2:13] + filler(9)), 7), (2, "a SHORT\nitem and more words so it stays", 7),
+         (3, None, 7), (4, "", 7), (5, " ".join(passage), 7), (6, " ".join(passage[:9]), 7), (6, " ".join(passage[:9]), 7)],
+        "doc_id bigint, text string, items int")
+    return docs, items
+
+
+def test_hits_alike_with_one_and_several_automata(llm, workspace):
+    docs, items = tables(llm)
+    def found(**how):
+        rows = decontaminate.find_hits(docs, items, workspace=workspace, **how).collect()
+        return sorted((r["doc_id"], r["n_words"], [(s["start"], s["stop"]) for s in r["spans"]], list(r["items"])) for r in rows)
+    one = found()
+    assert one == [(1, 50, [(30, 41)], ["1"]), (2, 9, [(1, 3)], ["2", "5"]), (3, 0, [], []), (4, 0, [], []),
+                   (5, 14, [(0, 14)], ["1"]), (6, 9, [], []), (6, 9, [], [])]
+    assert found(shard_words=10) == one
+
+
+def test_spans_are_cut_and_covered_documents_go(llm, workspace):
+    docs, items = tables(llm)
+    for how in ({}, {"shard_words": 10}):
+        rows = decontaminate.remove_hits(docs, items, workspace=workspace, **how)
+        assert rows.columns == docs.columns
+        kept = {r["doc_id"]: r["text"] for r in rows.collect()}
+        assert set(kept) == {1, 2, 3, 4, 6} and kept[3] is None
+        assert kept[2] == "a \n and more words so it stays"
+        assert decontaminate.find_hits(rows, items, workspace=workspace).where("size(spans) > 0").isEmpty()
+
+
+def test_what_a_cut_brings_together_is_cut_too():
+    items = [("1", [b"a", b"b", b"c", b"d"]), ("2", [b"x", b"y", b"z", b"w"])]
+    automaton = SuffixAutomaton(items, 4)
+    text = "k a b x y z w c d m"
+    spans, _ = automaton.scan(decontaminate.words_of(text))
+    once = decontaminate.without_spans(text, spans)
+    assert automaton.scan(decontaminate.words_of(once))[0] == [(1, 5)]
+
+
+def test_empty_benchmark_and_empty_documents(llm, workspace):
+    docs, items = tables(llm)
+    assert decontaminate.find_hits(docs, items.limit(0), workspace=workspace).where("size(spans) > 0").isEmpty()
+    assert decontaminate.find_hits(docs.limit(0), items, workspace=workspace).count() == 0
+    assert decontaminate.remove_hits(docs, items.limit(0), workspace=workspace).count() == 7

@@ -1,0 +1,122 @@
+import random
+import re
+
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from touchledger.llm import simhash
+
+
+def plain_fingerprint(text, shingle=4):
+    """By the definition, bit by bit."""
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    runs = [words[i:i + shingle] for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(" ".join(r).encode(), 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, most):
+    nodes, label = sorted(prints), {}
+    for start in nodes:
+        if start in label:
+            continue
+        todo, seen = [start], {start}
+        while todo:
+            a = todo.pop()
+            for b in nodes:
+                if b not in seen and (a ^ b).bit_count() <= most:
+                    seen.add(b)
+                    todo.append(b)
+        for a in seen:
+            label[a] = min(i for b in seen for i in prints[b])
+    return label
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aB \t\x0b\x1cé ß", max_size=60))
+def test_fingerprint_follows_the_definition(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_fingerprint_in_parts(monkeypatch):
+    text = " ".join(str(i * i % 97) for i in range(500))
+    monkeypatch.setattr(simhash, "_BLOCK", 7)
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_native_hash_is_the_seeded_one(llm, documents):
+    from pyspark.sql import functions as F
+
+    got = documents((1, "two words")).select(F.xxhash64("text")).first()[0]
+    assert got % (1 << 64) == xxhash.xxh64_intdigest(b"two words", 42)
+
+
+def test_every_pair_within_the_distance_is_linked_once(llm, workspace):
+    rng = random.Random(4)
+    prints = {rng.getrandbits(64) for _ in range(150)}
+    for f in list(prints):
+        for _ in range(2):
+            g = f
+            for bit in rng.sample(range(64), rng.randint(1, 6)):
+                g ^= 1 << bit
+            prints.add(g)
+    signed = [(f - (1 << 64) if f >= 1 << 63 else f,) for f in prints]
+    frame = llm.createDataFrame(signed, "fp bigint")
+    for most in (0, 2, 4):
+        got = [(r["a"], r["b"]) for r in simhash.links(frame, most).collect()]
+        want = {(a[0], b[0]) for a in signed for b in signed
+                if a[0] < b[0] and ((a[0] ^ b[0]) % (1 << 64)).bit_count() <= most}
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_longer_distances_are_refused(llm):
+    with pytest.raises(ValueError, match="4 differing bits"):
+        simhash.links(llm.createDataFrame([(1,)], "fp bigint"), 5)
+
+
+def test_components_of_chains_stars_and_rings(llm, workspace):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 201), (201, 202), (200, 202)]
+    got = {r["node"]: r["root"] for r in simhash.components(llm.createDataFrame(edges, "a bigint, b bigint"),
+                                                           workspace).collect()}
+    want = {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 30)} | {201: 200, 202: 200}
+    assert got == want
+
+
+def test_groups_match_brute_force_with_nulls_and_repeats(llm, documents, workspace):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(40):
+        base = [rng.choice(words) for _ in range(200)]
+        rows.append((3 * i + 5, " ".join(base)))
+        near = list(base)
+        near[rng.randrange(200)] = "other"
+        rows.append((3 * i + 4, " ".join(near)))
+    rows += [(1000, None), (1001, ""), (1002, " \t"), (5, rows[0][1]), (None, "alone with no id"), (2000, "A b"), (2000, "a B")]
+    frame = documents(*rows)
+    got = [(r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in simhash.near_duplicates(frame, workspace=workspace).collect()]
+    prints = {}
+    for i, t in rows:
+        prints.setdefault(plain_fingerprint(t), []).append(i if i is not None else float("inf"))
+    label = plain_components(prints, 4)
+    want = [(i, plain_fingerprint(t), None if label[plain_fingerprint(t)] == float("inf") else label[plain_fingerprint(t)])
+            for i, t in rows]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_one_of_each_group_stays(llm, documents, workspace):
+    long = " ".join(f"word{i}" for i in range(300))
+    rows = [(9, long, "x"), (4, long, "y"), (4, long, "y"), (7, "something else here entirely", "z"), (None, "no id", "q")]
+    frame = documents(*rows, schema="doc_id bigint, text string, fp string")
+    kept = sorted(map(tuple, simhash.keep_one(frame, workspace=workspace).collect()), key=str)
+    assert kept == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
+def test_empty_table(llm, documents, workspace):
+    frame = documents(schema="doc_id bigint, text string")
+    assert simhash.near_duplicates(frame, workspace=workspace).count() == 0

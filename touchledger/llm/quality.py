@@ -33,6 +33,7 @@ ORDER, BITS = 4, 6
 ALPHABET = 1 << BITS
 #: Quantile of the trusted documents' perplexities that is still kept, and what the threshold is multiplied by.
 QUANTILE, SLACK = 0.99, 1.05
+LEAST_DISCOUNT = 0.1
 #: Labels up to which a set of ids is broadcast; beyond, documents and labels are shuffled.
 BROADCAST_ROWS = 2_000_000
 #: Symbols that are counted at once.
@@ -116,8 +117,9 @@ def smoothed(counted: DataFrame, workspace: Workspace) -> list[DataFrame]:
         few = level.agg(*[F.sum((F.col("n") == k).cast("bigint")) for k in (1, 2, 3, 4)]).first()
         n1, n2, n3, n4 = (float(x or 0) for x in few)
         y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
-        d = [max(0.0, 1 - 2 * y * n2 / n1) if n1 else 0.5, max(0.0, 2 - 3 * y * n3 / n2) if n2 else 0.75,
-             max(0.0, 3 - 4 * y * n4 / n3) if n3 else 0.9]
+        # Never nothing: each context keeps a share for symbols that it has not had.
+        d = [max(LEAST_DISCOUNT, x) for x in (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75,
+                                              3 - 4 * y * n4 / n3 if n3 else 0.9)]
         discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         level = level.withColumns({"context": F.shiftright("code", BITS), "d": F.least(discount, F.col("n").cast("double"))})
         context = level.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
