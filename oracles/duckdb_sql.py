@@ -270,32 +270,33 @@ window deal as (partition by o.deal_id),
        timeline as (partition by o.deal_id order by t.touched_at, t.touchpoint_id)"""
 
 # -------------------------------------------------------------------------------------------- attribution
-RELATIONS["placed"] = """
-select j.*,
-       coalesce(max(touch_number) filter (channel not in ('direct', 'other')) over deal, touch_count) as last_number,
-       coalesce(max(touch_number) filter (touched_at <= lead_at) over deal, 1) as lead_number
-from journeys j window deal as (partition by deal_id)"""
-
-RELATIONS["weighed"] = """
-select deal_id, touchpoint_id, channel, touched_at, touch_number, touch_count, last_number,
-       pow(0.5::double, days_before_deal / 7.0::double) as decay,
-       if(touch_number in (1, lead_number, touch_count),
-          0.3::double * list_count(list_filter([1, lead_number, touch_count], lambda a: a = touch_number)),
-          (1 - 3 * 0.3::double) / nullif(touch_count - 3, 0)) as shape
-from placed"""
-
-RELATIONS["credits"] = """
-select deal_id, touchpoint_id, channel, touched_at, c.model, c.credit
-from (select deal_id, touchpoint_id, channel, touched_at, unnest([
-          {'model': 'first_touch', 'credit': if(touch_number = 1, 1, 0)::double},
-          {'model': 'last_non_direct', 'credit': if(touch_number = last_number, 1, 0)::double},
-          {'model': 'linear', 'credit': 1::double / touch_count},
-          {'model': 'w_shaped', 'credit': shape / sum(shape) over deal},
-          {'model': 'time_decay', 'credit': decay / sum(decay) over deal}]) as c
-      from weighed window deal as (partition by deal_id))
-where c.credit > 0"""
-
-RELATIONS["untouched"] = f"""
+# A deal's touches as lists in order of time; a model is a list of weights, one for each touch.
+RELATIONS["deal_timelines"] = """
+select deal_id, count(*) as n, list(touchpoint_id order by touch_number) as ids, list(channel order by touch_number) as channels,
+       list(touched_at order by touch_number) as times, list(days_before_deal order by touch_number) as ages,
+       coalesce(max(touch_number) filter (channel not in ('direct', 'other')), count(*)) as last_non_direct_place,
+       coalesce(max(touch_number) filter (touched_at <= lead_at), 1) as lead_place
+from journeys group by deal_id"""
+
+RELATIONS["deal_weights"] = """
+select deal_id, ids, channels, times, [
+       {'model': 'first_touch', 'weights': [if(i = 1, 1.0::double, 0) for i in range(1, n + 1)]},
+       {'model': 'last_non_direct', 'weights': [if(i = last_non_direct_place, 1.0::double, 0) for i in range(1, n + 1)]},
+       {'model': 'linear', 'weights': [1.0::double for i in range(1, n + 1)]},
+       {'model': 'w_shaped', 'weights': [
+           if(i = 1 or i = lead_place or i = n,
+              0.3::double * ((i = 1)::int + (i = lead_place)::int + (i = n)::int),
+              (1 - 3 * 0.3::double) / nullif(n - 3, 0)) for i in range(1, n + 1)]},
+       {'model': 'time_decay', 'weights': [pow(0.5::double, a / 7.0::double) for a in ages]}] as models
+from deal_timelines"""
+
+RELATIONS["touch_credit"] = """
+select deal_id, model, ids[i] as touchpoint_id, channels[i] as channel, times[i] as touched_at, weights[i] / list_sum(weights) as credit
+from (select deal_id, ids, channels, times, m.model, m.weights, unnest(range(1, len(ids) + 1)) as i
+      from (select deal_id, ids, channels, times, unnest(models) as m from deal_weights))
+where weights[i] > 0"""
+
+RELATIONS["unattributed"] = f"""
 select deal_id, unnest({MODEL_LIST}) as model from opps where deal_id not in (select deal_id from journeys)"""
 
 RELATIONS["attribution"] = f"""
@@ -304,7 +305,7 @@ select {key('a.deal_id', 'a.model', 'a.touchpoint_id')} as attribution_id, a.dea
        o.created_at as deal_created_at, o.closed_at, o.is_won,
        cast(o.amount as double) * a.credit as credited_pipeline,
        if(o.is_won, cast(o.amount as double) * a.credit, 0) as credited_won_revenue
-from (select * from credits union all by name select *, 1.0::double as credit from untouched) a
+from (select * from touch_credit union all by name select *, 1.0::double as credit from unattributed) a
 join opps o on o.deal_id = a.deal_id"""
 
 RELATIONS["fct_opps"] = """
@@ -315,6 +316,11 @@ from opps o left join (
 on x.deal_id = o.deal_id"""
 
 # -------------------------------------------------------------------------------------------------- marts
+RELATIONS["dashboard"] = """
+select count(*) as opps, count(*) filter (is_won) as won, count(*) filter (is_closed) as closed,
+       cast(sum(amount) as double) as pipeline_usd, cast(sum(amount) filter (is_won) as double) as won_revenue_usd,
+       cast(min(created_at) as date) as first_deal, cast(max(created_at) as date) as last_deal from fct_opps"""
+
 RELATIONS["performance"] = """
 select c.*, g.channel_group, s.spend_usd, s.clicks
 from (select model, channel, cast(date_trunc('month', deal_created_at) as date) as month,
@@ -366,7 +372,7 @@ left join (select cast(date_trunc('month', closed_at) as date) as month, count(*
                   count(*) filter (not is_won) as lost, sum(amount) filter (is_won) as usd
            from opps where is_closed group by 1) w on w.month = m.month"""
 
-RELATIONS["pace"] = f"""
+RELATIONS["velocity"] = f"""
 select coalesce(first_touch_channel, 'unattributed') as first_touch_channel, count(*) as opps,
        count(*) filter (is_closed) as closed_opps, count(*) filter (is_won) as won_opps,
        {ratio('count(*) filter (is_won)', 'count(*) filter (is_closed)', 3)} as win_rate,
@@ -374,7 +380,7 @@ select coalesce(first_touch_channel, 'unattributed') as first_touch_channel, cou
        quantile_cont(cycle_days, 0.5) filter (is_won) as median_cycle_days_won
 from fct_opps group by 1"""
 
-RELATIONS["movements"] = """
+RELATIONS["subscription_movements"] = """
 select s.subscription_id, s.domain, s.start_date, s.current_mrr_usd,
        sum(mrr_delta_usd) filter (event_type = 'new') as starting_mrr,
        sum(mrr_delta_usd) filter (event_type = 'expansion') as expansion_mrr,
@@ -382,14 +388,14 @@ select s.subscription_id, s.domain, s.start_date, s.current_mrr_usd,
        sum(-mrr_delta_usd) filter (event_type = 'churn') as churned_mrr
 from subscription_events v join subscriptions s on s.subscription_id = v.subscription_id group by all"""
 
-RELATIONS["customers"] = """
+RELATIONS["subscription_customers"] = """
 select m.*, coalesce(w.first_touch_channel, 'unattributed') as source
-from movements m
+from subscription_movements m
 left join (select domain, first_touch_channel from fct_opps where is_won
            qualify row_number() over (partition by domain order by closed_at desc nulls first, deal_id desc) = 1) w
        on w.domain = m.domain"""
 
-RELATIONS["kept"] = f"""
+RELATIONS["retention"] = f"""
 select first_touch_channel, count(*) as customers, cast(sum(starting_mrr) as double) as starting_mrr_usd,
        cast(sum(coalesce(expansion_mrr, 0)) as double) as expansion_mrr_usd,
        cast(sum(coalesce(contraction_mrr, 0)) as double) as contraction_mrr_usd,
@@ -397,7 +403,7 @@ select first_touch_channel, count(*) as customers, cast(sum(starting_mrr) as dou
        cast(sum(current_mrr_usd) as double) as current_mrr_usd,
        {ratio('sum(current_mrr_usd)', 'sum(starting_mrr)', 3)} as net_revenue_retention,
        {ratio('sum(least(starting_mrr, current_mrr_usd))', 'sum(starting_mrr)', 3)} as gross_revenue_retention
-from (select *, unnest([source, 'all_customers']) as first_touch_channel from customers) group by first_touch_channel"""
+from (select *, unnest([source, 'all_customers']) as first_touch_channel from subscription_customers) group by first_touch_channel"""
 
 RELATIONS["runs_off"] = f"""
 select o_orderkey % 12 as replicate,
@@ -414,7 +420,7 @@ select a.disabled_channel as channel, count(*) as replicates,
 from runs_off a join runs_off b on b.replicate = a.replicate and b.disabled_channel = 'none'
 where a.disabled_channel <> 'none' group by a.disabled_channel"""
 
-RELATIONS["graded"] = """
+RELATIONS["truth_shares"] = """
 select *, avg(abs(model_share - true_share)) over (partition by model) as mae
 from (select m.model, t.channel, t.true_share, coalesce(s.share_of_won_revenue, 0) as model_share
       from (select channel, greatest(expected_incremental_revenue, 0)
@@ -422,11 +428,11 @@ from (select m.model, t.channel, t.true_share, coalesce(s.share_of_won_revenue,
       cross join (select distinct model from summary) m
       left join summary s on s.model = m.model and s.channel = t.channel)"""
 
-RELATIONS["graded_out"] = """
+RELATIONS["truth_evaluation"] = """
 select model, channel, cast(round(cast(true_share as decimal(28,10)), 4) as double) as true_share, model_share,
        cast(round(cast(model_share - true_share as decimal(28,10)), 4) as double) as error,
        cast(round(cast(mae as decimal(28,10)), 4) as double) as model_mean_abs_error
-from graded"""
+from truth_shares"""
 
 RELATIONS["checks"] = f"""
 select 'utm_coverage_paid_clicks' as check_name, 0.80 as threshold, 'min' as direction,
@@ -464,13 +470,19 @@ RELATIONS["company_pipeline"] = """
 select o.domain, sum(cast(a.credited_pipeline as decimal(28,8))) as pipeline
 from attribution a join opps o on o.deal_id = a.deal_id where a.model = 'w_shaped' group by o.domain"""
 
-RELATIONS["scores"] = """
-select v.first_touch_channel as channel,
-       percent_rank() over (order by coalesce(v.win_rate, 0)) as win_rank,
-       percent_rank() over (order by coalesce(cast(s.won_revenue_usd as double), 0)) as rev_rank
-from pace v left join (select * from summary where model = 'w_shaped') s on s.channel = v.first_touch_channel"""
+RELATIONS["channel_results"] = """
+select first_touch_channel as channel, coalesce(win_rate, 0) as win_rate,
+       coalesce((select cast(won_revenue_usd as double) from summary
+                 where summary.model = 'w_shaped' and summary.channel = velocity.first_touch_channel), 0) as revenue
+from velocity"""
+
+# A channel's rank is the share of the other channels that do worse.
+RELATIONS["channel_score"] = """
+select a.channel, coalesce(count(*) filter (b.win_rate < a.win_rate) / nullif(count(*) - 1, 0)::double, 0) as win_rank,
+       coalesce(count(*) filter (b.revenue < a.revenue) / nullif(count(*) - 1, 0)::double, 0) as rev_rank
+from channel_results a, channel_results b group by a.channel"""
 
-RELATIONS["newest"] = """
+RELATIONS["latest_deal"] = """
 select domain, company_name, first_touch_channel, created_at, deal_id from fct_opps
 qualify row_number() over (partition by domain order by created_at desc nulls first, deal_id desc) = 1"""
 
@@ -479,22 +491,22 @@ select n.domain, n.company_name, coalesce(n.first_touch_channel, 'unattributed')
        cast(round(round(coalesce(p.pipeline, 0), 6), 0) as bigint) as attributed_pipeline,
        cast(round_even(round(100 * (0.6::double * coalesce(s.win_rank, 0) + 0.4::double * coalesce(s.rev_rank, 0)), 9), 0) as bigint)
            as source_quality_score
-from newest n left join company_pipeline p on p.domain = n.domain
-left join scores s on s.channel = n.first_touch_channel"""
+from latest_deal n left join company_pipeline p on p.domain = n.domain
+left join channel_score s on s.channel = n.first_touch_channel"""
 
 RELATIONS["crm_records"] = f"""
 select c_custkey * 2 as record_id, {DOMAIN.format('c_custkey')} as domain, 'unattributed' as current_first_touch_channel,
        '0' as current_attributed_pipeline, '0.0' as current_source_quality_score
 from customer where c_custkey % 2 = 0"""
 
-RELATIONS["differing"] = """
+RELATIONS["changed_rows"] = """
 select p.*, r.record_id
 from payload p left join crm_records r on r.domain = p.domain
 where r.record_id is null or not (p.first_touch_channel = r.current_first_touch_channel
       and p.attributed_pipeline = cast(r.current_attributed_pipeline as double)
       and p.source_quality_score = cast(r.current_source_quality_score as double))"""
 
-RELATIONS["upserts"] = "select *, if(record_id is null, 'create', 'update') as action from differing"
+RELATIONS["split_upserts"] = "select *, if(record_id is null, 'create', 'update') as action from changed_rows"
 
 
 def with_relations(select: str) -> str:

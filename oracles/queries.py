@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from oracles.duckdb_sql import EMAIL, INSTANT, MODEL_LIST, money, with_relations
-from touchledger.operators.catalogue import METRICS
-from touchledger.plans.contracts import ACCEPTED, NOT_NULL, RELATIONSHIPS, UNIQUE
-from touchledger.sources.feeds import RAW_FEEDS
+from oracles.definitions import ACCEPTED, DESCRIPTIONS, METRICS, NOT_NULL, RAW_FEEDS, RELATIONSHIPS, UNIQUE
+from oracles.duckdb_sql import MODEL_LIST, RELATIONS, money, with_relations
 
 # layer of the engine -> relation of the oracle
 RELATION_OF = {
@@ -25,31 +23,57 @@ def _violations(name: str, counted: str) -> str:
     return f"select '{name}' as contract, ({counted}) as violations"
 
 
-def _unique() -> list[str]:
-    return [_violations(f"unique:{t}.{c}", f"select count(*) from (select {c} from {RELATION_OF[t]} where {c} is not null "
+# The queries of single contracts run over tables with faults: those whose key has an MD5 that begins with 0 or 1.
+SPOILT = "md5(cast({0} as varchar)) < '2'"
+
+
+def _texts(t: str, c: str) -> bool:
+    return c in ("domain", "channel", "current_stage", "event_type", "model")
+
+
+def _unique(broken: bool = True) -> list[str]:
+    def keys(t, c):
+        r = RELATION_OF[t]
+        return f"(select {c} from {r} union all select {c} from {r} where {SPOILT.format(c)})" if broken else r
+    return [_violations(f"unique:{t}.{c}", f"select count(*) from (select {c} from {keys(t, c)} where {c} is not null "
                                            f"group by {c} having count(*) > 1)") for t, cs in UNIQUE.items() for c in cs]
 
 
-def _not_null() -> list[str]:
-    return [_violations(f"not_null:{t}.{c}", f"select count(*) - count({c}) from {RELATION_OF[t]}")
-            for t, cs in NOT_NULL.items() for c in cs]
+def _not_null(broken: bool = True) -> list[str]:
+    empty = " or {1}" if broken else ""
+    return [_violations(f"not_null:{t}.{c}", f"select count(*) from {RELATION_OF[t]} where {c} is null"
+                        + empty.format(c, SPOILT.format(c))) for t, cs in NOT_NULL.items() for c in cs]
 
 
-def _relationships() -> list[str]:
-    return [_violations(f"relationship:{t}.{c}", f"select count(distinct {c}) from {RELATION_OF[t]} "
+def _values(t: str, c: str, broken: bool) -> str:
+    r = RELATION_OF[t]
+    if not broken:
+        return r
+    stray = f"select 'no ' || {c} as {c} from {r}" if _texts(t, c) else f"select -{c} - 1 as {c} from {r} where {SPOILT.format(c)}"
+    return f"(select {c} from {r} union all {stray})"
+
+
+def _relationships(broken: bool = True) -> list[str]:
+    return [_violations(f"relationship:{t}.{c}", f"select count(distinct {c}) from {_values(t, c, broken)} "
                                                  f"where {c} not in (select {pc} from {RELATION_OF[p]})")
             for t, c, p, pc in RELATIONSHIPS]
 
 
-def _accepted() -> list[str]:
-    return [_violations(f"accepted_values:{t}.{c}", f"select count(distinct {c}) from {RELATION_OF[t]} "
+def _accepted(broken: bool = True) -> list[str]:
+    return [_violations(f"accepted_values:{t}.{c}", f"select count(distinct {c}) from {_values(t, c, broken)} "
                                                     f"where {c} not in ({', '.join(repr(v) for v in values)})")
             for t, c, values in ACCEPTED]
 
 
+# Credit too high in one model, missing in another and later than the deal, for the spoilt deals.
+BROKEN_CREDIT = f"""(
+    select * replace (if(model = 'w_shaped' and {SPOILT.format('deal_id')}, credit * 2 + 0.5, credit) as credit,
+                      if(model = 'w_shaped', credited_won_revenue * 2, credited_won_revenue) as credited_won_revenue,
+                      if({SPOILT.format('deal_id')}, touched_at + to_days(1000), touched_at) as touched_at)
+    from attribution where not (model = 'linear' and {SPOILT.format('deal_id')}))"""
 INVARIANTS = {
     "credit_sums_to_one": "select count(*) from (select deal_id, model from attribution group by all "
-                          "having abs(1 - sum(credit)) > 1e-5)",
+                          "having abs(1 - sum(credit)) > 1e-5 + count(*) * 0.5e-8)",
     "every_deal_in_every_model": f"select count(*) from (select deal_id, unnest({MODEL_LIST}) as model from opps "
                                  "except select deal_id, model from attribution)",
     "no_credit_after_deal_created": "select count(*) from attribution where deal_created_at < touched_at",
@@ -66,11 +90,15 @@ SIGNALS = ("select count(*) from (select full_name_key, company_domain from sign
 
 
 def _gate() -> list[str]:
-    return [*_unique(), *_not_null(), *_relationships(), *_accepted(),
+    return [*_unique(False), *_not_null(False), *_relationships(False), *_accepted(False),
             *[_violations(n, s) for n, s in INVARIANTS.items()], _violations("unambiguous_phones", PHONES),
             _violations("unambiguous_signals", SIGNALS)]
 
 
+def _broken(name: str) -> str:
+    return _violations(name, INVARIANTS[name].replace("from attribution", f"from {BROKEN_CREDIT}"))
+
+
 # rows a feed delivers, by table of origin
 FEED_ROWS = {
     "hubspot_companies": "companies", "hubspot_contacts": "contacts", "hubspot_deals": "deals",
@@ -81,40 +109,72 @@ FEED_ROWS = {
     "stripe_subscriptions": "subscriptions", "stripe_subscription_events": "subscription_events",
 }
 MANIFEST = _union([f"select '{t}' as feed, count(*) as rows from {r}" for t, r in FEED_ROWS.items()])
-DRIFT = _union([f"select '{t}' as \"table\", '{','.join(cs)}' as expected, '{','.join(cs)}' as found, 'replace' as action"
-                for t, cs in RAW_FEEDS.items()])
+def _drift() -> str:
+    rows = []
+    for t, cs in RAW_FEEDS.items():
+        stored = {"hubspot_deals": cs[::-1], "ga4_sessions": cs[:-1], "adroll_daily": None}.get(t, cs)
+        expected = "cast(null as varchar)" if stored is None else f"'{','.join(stored)}'"
+        action = "create" if stored is None else "replace" if stored == cs else "rebuild"
+        rows.append(f"select '{t}' as \"table\", {expected} as expected, '{','.join(cs)}' as found, '{action}' as action")
+    return _union(rows)
+
+
+# staging layer -> relation and columns
+STAGED = {
+    "stg_companies": "companies", "stg_contacts": "contacts", "stg_deals": "deals", "stg_stage_history": "stage_history",
+    "stg_sessions": "sessions", "stg_form_fills": "form_fills", "stg_email_events": "email_events", "stg_signals": "signals",
+    "stg_bot_threads": "bot_threads", "stg_calls": "calls", "stg_spend_daily": "spend", "stg_subscriptions": "subscriptions",
+    "stg_subscription_events": "subscription_events",
+}
+LANDED = _union([
+    f"select '{layer}' as \"table\", name as \"column\", n as filled, d as different from (unpivot (select "
+    f"struct_pack(n := count(columns(*)), d := count(distinct columns(*))) from {relation}) on columns(*) into name name value v), "
+    "(select 1) u, lateral (select v.n as n, v.d as d)" for layer, relation in STAGED.items()])
+
+def _text(value: str | None) -> str:
+    return "cast(null as varchar)" if value is None else "'" + value.replace("'", "''") + "'"
+
 
 METRIC_TABLES = {
-    "channel_summary": "summary", "model_disagreement": "disagreement", "funnel_monthly": "funnel", "velocity": "pace",
-    "retention": "kept", "data_quality": "quality where check_name = 'unattributed_won_revenue_share'",
-    "truth_evaluation": "graded_out", "crm_payload": "(select * from payload order by attributed_pipeline desc, domain limit 200)",
+    "channel_summary": "summary", "model_disagreement": "disagreement", "funnel_monthly": "funnel", "velocity": "velocity",
+    "retention": "retention", "data_quality": "quality where check_name = 'unattributed_won_revenue_share'",
+    "truth_evaluation": "truth_evaluation", "crm_payload": "payload",
 }
 METRIC_ROWS = _union([
-    f"select '{name}' as name, '{table}' as source_table, '{column}' as source_column, {version}::bigint as version, "
+    f"select '{name}' as name, '{table}' as source_table, '{column}' as source_column, '{grain}' as grain, "
+    f"{version}::bigint as version, {_text(definition)} as definition, {_text(changelog)} as changelog, "
     f"(select count({column}) from {METRIC_TABLES[table]}) as filled_values"
-    for name, table, column, _, version, *_ in METRICS])
+    for name, table, column, grain, version, definition, changelog in METRICS])
 
-EXTRACT_ROWS = _union([f"select '{n}' as result_set, (select count(*) from {r}) as rows" for n, r in {
-    "summary": "(select 1)", "monthly": "funnel", "channels": "summary", "disagreement": "disagreement",
-    "truth": "graded_out", "velocity": "pace", "retention": "kept", "quality": "quality",
-    "runs": "(select e from ev order by e desc limit 14)"}.items()])
+# result set of the dashboard -> relation and the fields that are numbers
+EXTRACTS = {
+    "summary": ("dashboard", ("opps", "won", "closed", "pipeline_usd", "won_revenue_usd")),
+    "monthly": ("funnel", ("sessions", "identified_sessions", "new_leads", "voice_meetings_booked", "opps_created",
+                           "pipeline_created_usd", "deals_won", "deals_lost", "won_revenue_usd", "win_rate")),
+    "channels": ("summary", ("credited_deals", "credited_wins", "pipeline_usd", "won_revenue_usd", "share_of_won_revenue",
+                             "spend_usd", "pipeline_per_dollar", "cost_per_credited_win")),
+    "disagreement": ("disagreement", ("first_touch", "last_non_direct", "linear", "w_shaped", "time_decay", "swing", "swing_rank")),
+    "truth": ("(select *, dense_rank() over (order by model_mean_abs_error) as model_rank from truth_evaluation)",
+              ("true_share", "model_share", "error", "model_mean_abs_error", "model_rank")),
+    "velocity": ("velocity", ("opps", "closed_opps", "won_opps", "win_rate", "avg_won_deal_usd", "median_cycle_days_won")),
+    "retention": ("retention", ("customers", "starting_mrr_usd", "expansion_mrr_usd", "contraction_mrr_usd", "churned_mrr_usd",
+                                "current_mrr_usd", "net_revenue_retention", "gross_revenue_retention")),
+    "quality": ("quality", ("value", "threshold")),
+    "runs": ("(select e as run_id from ev order by e desc limit 14)", ("run_id",)),
+}
+EXTRACT_ROWS = _union([
+    f"select '{n}' as result_set, '{c}' as field, (select count(*) from {r}) as rows, (select count({c}) from {r}) as filled, "
+    f"(select cast(round(sum(cast({c} as decimal(38,10))), 2) as double) from {r}) as total" for n, (r, cs) in EXTRACTS.items() for c in cs])
 
-WEIGHT = "select deal_id, touchpoint_id, channel, round(credit, 8) as credit from credits where model = '{0}'"
+WEIGHT = "select deal_id, touchpoint_id, channel, round(credit, 8) as credit from touch_credit where model = '{0}'"
 RUNS = ("select e as run_id, moment as started_at, moment + to_seconds(40) as finished_at, "
         "if(kind = 'error', 'failed', 'success') as status, {0} props as summary from ev")
 DEAL_ROWS = """deal_id, deal_name, company_id, company_name, domain, industry, size_band, contact_id, is_missing_contact,
     cast(amount as double) as amount, created_at, current_stage, is_closed, is_won, closed_at, cycle_days, was_reopened"""
 
 SELECTS = {
-    "land_raw": f"""
-select cast(contact_id as varchar) as hs_object_id,
-       if(is_personal_email, email, ' ' || upper({EMAIL.format("cast(contact_id // 2 as varchar)")})) as email,
-       first_name as firstname, last_name as lastname, job_title as jobtitle,
-       if(is_personal_email, phone_key, '+1 (' || left(phone_key, 3) || ') ' || phone_key[4:6] || '-' || phone_key[7:]) as phone,
-       cast(company_id as varchar) as associatedcompanyid, lifecycle_stage as lifecyclestage,
-       strftime(created_at, {INSTANT}) as createdate
-from contacts""",
-    "schema_drift": DRIFT,
+    "land_raw": LANDED,
+    "schema_drift": _drift(),
     "load_manifest": f"select coalesce(feed, 'all') as \"table\", cast(sum(rows) as bigint) as rows from ({MANIFEST}) group by rollup (feed)",
     "stg_companies": "select * from companies",
     "stg_contacts": "select * from contacts",
@@ -151,8 +211,8 @@ from (select page_id, nullif(lower(regexp_extract(url, '[?&]utm_source=([^&#]*)'
     "attr_linear": WEIGHT.format("linear"),
     "attr_w_shaped": WEIGHT.format("w_shaped"),
     "attr_time_decay": WEIGHT.format("time_decay"),
-    "unpivot_models": "select deal_id, touchpoint_id, model, round(credit, 8) as credit from credits",
-    "attr_unattributed": "select deal_id, model, 'unattributed' as channel, 1.0::double as credit from untouched",
+    "unpivot_models": "select deal_id, touchpoint_id, model, round(credit, 8) as credit from touch_credit",
+    "attr_unattributed": "select deal_id, model, 'unattributed' as channel, 1.0::double as credit from unattributed",
     "fct_attribution": f"""
 select * replace ({money('credited_pipeline')} as credited_pipeline,
                   {money('credited_won_revenue')} as credited_won_revenue) from attribution""",
@@ -171,46 +231,48 @@ select model, channel, channel_group, cast(credited_deals as double) as credited
     "funnel_monthly": """
 select * replace (cast(pipeline_created_usd as double) as pipeline_created_usd,
                   cast(won_revenue_usd as double) as won_revenue_usd) from funnel order by month""",
-    "velocity": "select * from pace",
+    "velocity": "select * from velocity",
     "subscription_movements": """
 select subscription_id, domain, start_date, """ + ", ".join(
         f"cast({c} as double) as {c}"
-        for c in ("current_mrr_usd", "starting_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr")) + " from movements",
-    "retention": "select * from kept",
-    "truth_evaluation": "select *, dense_rank() over (order by model_mean_abs_error) as model_rank from graded_out",
+        for c in ("current_mrr_usd", "starting_mrr", "expansion_mrr", "contraction_mrr", "churned_mrr")) + " from subscription_movements",
+    "retention": "select * from retention",
+    "truth_evaluation": "select *, dense_rank() over (order by model_mean_abs_error) as model_rank from truth_evaluation",
     "incremental_lift": "select * from lift",
-    "dashboard_summary": """
-select count(*) as opps, count(*) filter (is_won) as won, count(*) filter (is_closed) as closed,
-       cast(sum(amount) as double) as pipeline_usd, cast(sum(amount) filter (is_won) as double) as won_revenue_usd,
-       cast(min(created_at) as date) as first_deal, cast(max(created_at) as date) as last_deal from fct_opps""",
+    "dashboard_summary": "select * from dashboard",
     "run_summary": """
 select count(*) as opps, count(*) filter (is_won) as won, cast(sum(amount) filter (is_won) as double) as won_revenue_usd,
        (select count(*) from quality where status = 'warn') as data_quality_warnings from fct_opps""",
     "recent_runs": RUNS.format("") + " order by e desc limit 14",
-    "data_quality": "select * from quality",
+    "truth_evaluation_exported": "select *, dense_rank() over (order by model_mean_abs_error) as model_rank from truth_evaluation",
+    "data_quality": "select quality.*, case check_name " + " ".join(
+        f"when '{k}' then {_text(v)}" for k, v in DESCRIPTIONS.items()) + " end as description from quality",
     "metric_catalogue": METRIC_ROWS,
     "dashboard_extract": EXTRACT_ROWS,
     "credited_pipeline_by_company": f"select domain, {money('pipeline')} as attributed_pipeline from company_pipeline",
-    "channel_score": "select channel, round(win_rank, 9) as win_rank, round(rev_rank, 9) as rev_rank from scores",
-    "latest_deal_per_company": "select * from newest",
-    "crm_payload": "select * from payload order by attributed_pipeline desc, domain limit 200",
+    "channel_score": "select channel, round(win_rank, 9) as win_rank, round(rev_rank, 9) as rev_rank from channel_score",
+    "latest_deal_per_company": "select * from latest_deal",
+    "crm_payload": "select * from payload",
     "existing_by_domain": "select * from crm_records",
-    "changed_rows": "select * from differing",
-    "split_upserts": "select * from upserts",
+    "changed_rows": "select * from changed_rows",
+    "split_upserts": "select * from split_upserts",
     "batch_ids": """
-select domain, action, (row_number() over (partition by action order by md5(domain), domain) - 1) // 100 as batch_id
-from upserts""",
-    "append_write_log": "select 'hubspot' as system, 'company' as object, domain, 'dry_run' as mode from differing",
+select domain, action, (row_number() over (partition by action order by attributed_pipeline desc, domain) - 1) // 100 as batch_id
+from split_upserts""",
+    "append_write_log": """
+select 'hubspot' as system, 'company' as object, domain, 'dry_run' as mode, first_touch_channel,
+       cast(attributed_pipeline as varchar) as attributed_pipeline, cast(source_quality_score as varchar) as source_quality_score
+from changed_rows""",
     "append_run_log": RUNS.format("""'[{"step":"load"}]' as steps,"""),
     "contract_unique": _union(_unique()),
     "contract_not_null": _union(_not_null()),
     "contract_relationship": _union(_relationships()),
     "contract_accepted_values": _union(_accepted()),
-    "contract_credit_sum": _violations("credit_sums_to_one", INVARIANTS["credit_sums_to_one"]),
-    "contract_every_deal": _violations("every_deal_in_every_model", INVARIANTS["every_deal_in_every_model"]),
-    "contract_no_late_credit": _violations("no_credit_after_deal_created", INVARIANTS["no_credit_after_deal_created"]),
-    "contract_credit_range": _violations("credit_in_unit_interval", INVARIANTS["credit_in_unit_interval"]),
-    "contract_reconcile": _violations("won_revenue_reconciles", INVARIANTS["won_revenue_reconciles"]),
+    "contract_credit_sum": _broken("credit_sums_to_one"),
+    "contract_every_deal": _broken("every_deal_in_every_model"),
+    "contract_no_late_credit": _broken("no_credit_after_deal_created"),
+    "contract_credit_range": _broken("credit_in_unit_interval"),
+    "contract_reconcile": _broken("won_revenue_reconciles"),
     "contract_gate": _union(_gate()),
 }
 

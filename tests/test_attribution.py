@@ -1,7 +1,8 @@
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from world import at, brute_force, chain, credits_of, deal, touch
+from pyspark.sql import functions as F
+from world import TOUCH, at, brute_force, chain, credits_of, deal, timeline, touch
 
 from touchledger.config import MODELS, AttributionConfig
 from touchledger.operators import attribution, contracts
@@ -75,15 +76,21 @@ def test_money_uses_unrounded_credit_and_only_won_deals_earn(spark):
 def test_attribution_ids_and_entry_channels(spark):
     import hashlib
 
-    opps, _, pairs, fact = chain(
-        spark, [deal(1, 1, 0), deal(2, 9, 0)],
-        [touch("a", 1, -9, "referral"), touch("b", 1, -8, "cold_email"), touch("c", 1, -7, "direct")])
+    touches = [touch("a", 1, -9, "referral"), touch("b", 1, -8, "cold_email"), touch("c", 1, -7, "direct"),
+               touch("d", 3, -1, "direct")]
+    opps, anchors, pairs, fact = chain(spark, [deal(1, 1, 0), deal(2, 9, 0), deal(3, 3, 0)], touches)
+    numbered = timeline(spark.createDataFrame(touches, TOUCH))
     ids = {(r["deal_id"], r["model"], r["touchpoint_id"]): r["attribution_id"] for r in fact.collect()}
     assert ids[(1, "linear", "b")] == hashlib.md5(b"1|linear|b").hexdigest()
     assert ids[(2, "linear", None)] == hashlib.md5(b"2|linear|").hexdigest()
     ends = {r["deal_id"]: (r["first_touch_channel"], r["last_non_direct_channel"])
-            for r in attribution.fct_opportunities(opps, fact).collect()}
-    assert ends == {1: ("referral", "cold_email"), 2: ("unattributed", "unattributed")}
+            for r in attribution.fct_opportunities(opps, anchors, numbered).collect()}
+    assert ends == {1: ("referral", "cold_email"), 2: ("unattributed", "unattributed"), 3: ("direct", "direct")}
+    for model in ("first_touch", "last_non_direct"):
+        one = {(r["deal_id"], r["touchpoint_id"], r["channel"], r["credit"])
+               for r in attribution.end_touch(anchors, numbered, model).collect()}
+        assert one == {(r["deal_id"], r["touchpoint_id"], r["channel"], r["credit"])
+                       for r in fact.filter((F.col("model") == model) & F.col("touchpoint_id").isNotNull()).collect()}
 
 
 def test_single_model_functions_agree_with_the_fact_table(spark):
@@ -91,7 +98,7 @@ def test_single_model_functions_agree_with_the_fact_table(spark):
     _, _, pairs, fact = chain(spark, [deal(1, 1, 0)], touches, [(1, at(-16))])
     whole = credits_of(fact)
     for model in MODELS:
-        one = getattr(attribution, f"attr_{model}")(pairs)
+        one = attribution.attribute(pairs, model)
         got = {(r["deal_id"], model, r["touchpoint_id"]): r["credit"] for r in one.collect()}
         assert got == pytest.approx({k: v for k, v in whole.items() if k[1] == model}, abs=1e-8)
 

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from touchledger.operators import contracts as c
 
@@ -41,10 +42,30 @@ def test_gate_raises_on_any_violation(frame):
 
 
 def test_row_contracts_are_counted_in_one_pass(frame):
-    from pyspark.sql import functions as F
-
     df = frame("k bigint; v string", (1, None), (None, None), (3, "x"))
     counted = c.count_failing(df, {"not_null:t.k": F.col("k").isNull(), "not_null:t.v": F.col("v").isNull()})
     assert rows(counted, "contract") == [("not_null:t.k", 1), ("not_null:t.v", 2)]
     with pytest.raises(c.ContractViolation, match="not_null:t.k: 1; not_null:t.v: 2"):
         c.contract_gate({}, [counted])
+
+
+@pytest.mark.parametrize("touches", [3000, 7000, 1_000_000])
+def test_rounded_credit_of_many_touches_adds_up_to_one(spark, touches):
+    from touchledger.config import MODELS
+    from touchledger.functions import snap
+    from touchledger.operators.attribution import CREDIT_DIGITS
+
+    # the widest spread of weights a model can have, for each of them
+    weights = {m: w for m, w in zip(MODELS, ("if(id = 0, 1.0, 0.0)", "if(id = 1, 1.0, 0.0)", f"1D / {touches}",
+                                             f"if(id < 3, 0.3D, 0.1D / ({touches} - 3))", f"(id + 1) * 2D / {touches} / ({touches} + 1)"))}
+    rows_ = spark.range(touches).selectExpr("1L as deal_id", f"stack({len(MODELS)}, " + ", ".join(
+        f"'{m}', cast({w} as double)" for m, w in weights.items()) + ") as (model, weight)")
+    credit = rows_.filter("weight > 0").withColumn("credit", snap(F.col("weight"), CREDIT_DIGITS))
+    assert c.credit_sums_to_one(credit).count() == 0
+    off = credit.withColumn("credit", F.when(F.col("model") == "w_shaped", F.col("credit") * 1.05).otherwise(F.col("credit")))
+    assert [r["model"] for r in c.credit_sums_to_one(off).collect()] == ["w_shaped"]
+
+
+def test_a_thousandth_too_much_is_reported(frame):
+    bad = frame("deal_id bigint; model string; credit double", (1, "linear", 0.501), (1, "linear", 0.5))
+    assert c.credit_sums_to_one(bad).count() == 1

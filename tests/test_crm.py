@@ -1,4 +1,6 @@
 from conftest import rows
+from pyspark.sql import functions as F
+from world import written
 
 from touchledger.operators import crm
 
@@ -41,6 +43,16 @@ def test_payload_rounds_and_defaults(frame):
     assert got == {"a": ("x", 11, 12), "b": ("y", 99, 80), "c": ("unattributed", 0, 0), "d": ("x", 11, 12)}
 
 
+def test_no_company_is_left_out_by_default(frame, spark):
+    from inspect import signature
+
+    from touchledger.plans.warehouse import Warehouse
+
+    assert {signature(f).parameters["limit"].default for f in (
+        crm.crm_payload, Warehouse.crm_payload, Warehouse.changed_rows)} == {None}
+    assert payload(frame).count() == 4
+
+
 def test_payload_limit_takes_the_largest_with_a_stable_tie(frame):
     assert [r["domain"] for r in payload(frame, 2).collect()] == ["b", "a"]
 
@@ -74,8 +86,13 @@ def test_second_diff_is_empty(frame, spark):
 
 
 def test_batches_hold_at_most_n_rows_per_action(spark):
-    rows_ = spark.range(505).selectExpr("concat('c', id, '.io') domain", "if(id % 5 = 0, 'create', 'update') action")
+    rows_ = written(crm.placed_for_batches(spark.range(505).repartition(3).selectExpr(
+        "concat('c', id, '.io') domain", "if(id % 5 = 0, 'create', 'update') action", "id % 40 as attributed_pipeline")))
     got = {(r["action"], r["batch_id"]): r["count"] for r in crm.batch_ids(rows_).groupBy("action", "batch_id").count().collect()}
     assert got == {("create", 0): 100, ("create", 1): 1, **{("update", i): 100 for i in range(4)}, ("update", 4): 4}
     small = crm.batch_ids(rows_, 50).groupBy("action", "batch_id").count()
     assert max(r["count"] for r in small.collect()) == 50
+    # largest pipeline first
+    ends = {(r["action"], r["batch_id"]): (r["low"], r["high"]) for r in crm.batch_ids(rows_).groupBy("action", "batch_id")
+            .agg(F.min("attributed_pipeline").alias("low"), F.max("attributed_pipeline").alias("high")).collect()}
+    assert all(ends["update", i][0] >= ends["update", i + 1][1] for i in range(4)) and ends["update", 0][1] == 39

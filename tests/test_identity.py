@@ -29,13 +29,13 @@ def companies(frame):
 
 
 def test_personal_contacts_join_the_work_contact_with_their_phone(contacts):
-    got = {r["contact_id"]: (r["person_id"], r["match_rule"]) for r in ident.identity_contacts(contacts).collect()}
+    got = {r["contact_id"]: (r["person_id"], r["match_rule"]) for r in ident.identity_contacts(contacts, "min_id").collect()}
     assert got == {1: (1, "self"), 2: (1, "phone_match"), 3: (3, "unmatched_personal"), 4: (4, "unmatched_personal"),
                    5: (5, "self"), 6: (6, "self"), 7: (5, "phone_match"), 8: (8, "self")}
 
 
-def test_shared_phone_fans_out_on_request_and_is_reported(contacts):
-    fan = ident.identity_contacts(contacts, "fanout")
+def test_shared_phone_fans_out_and_is_reported(contacts):
+    fan = ident.identity_contacts(contacts)
     assert sorted(r["person_id"] for r in fan.filter("contact_id = 7").collect()) == [5, 6]
     conflict = ident.phone_conflicts(contacts).collect()
     assert [(r["phone_key"], r["work_contacts"], r["personal_contacts"]) for r in conflict] == [("777", 2, 1)]
@@ -57,7 +57,7 @@ def test_people_without_account_are_dropped(contacts, companies):
 
 
 def test_email_map_holds_merged_addresses(contacts):
-    got = rows(ident.identity_email_map(ident.identity_contacts(contacts)), "email")
+    got = rows(ident.identity_email_map(ident.identity_contacts(contacts, "min_id")), "email")
     assert got == [("ann@acme.io", 1, 10), ("ann@gmail.com", 1, 10), ("dee@acme.io", 5, 10), ("dup@gmail.com", 5, 10),
                    ("eve@acme.io", 6, 11)]
 
@@ -87,16 +87,16 @@ def test_signals_match_by_email_or_by_name_and_domain(frame):
                     "signal_id", "person_id")
 
     fixed = [("by_mail", 1, "work_email"), ("by_name", 1, "name_and_domain"), ("twins", 2, "name_and_domain")]
-    assert matched() == fixed and matched(keys=ident.people_keys(people)) == fixed
-    assert matched(on_conflict="fanout") == [*fixed, ("twins", 3, "name_and_domain")]
+    assert matched(on_conflict="min_id") == fixed and matched(keys=ident.people_keys(people, "min_id")) == fixed
+    assert matched() == [*fixed, ("twins", 3, "name_and_domain")]
     assert rows(ident.signal_conflicts(signals, people)) == [("name_and_domain", "dee fox", "acme.io", 2)]
     assert ident.signal_conflicts(signals.filter("signal_id <> 'twins'"), people).isEmpty()
 
 
-def test_ambiguous_address_stays_visible_but_does_not_multiply(frame):
+def test_ambiguous_address_multiplies_unless_the_lowest_is_asked_for(frame):
     email_map = frame("email string; person_id bigint; company_id bigint", ("a@x.io", 3, 30), ("a@x.io", 2, 20), ("b@x.io", 4, 40))
-    assert rows(ident.email_lookup(email_map), "email") == [("a@x.io", 2, 20), ("b@x.io", 4, 40)]
-    assert ident.email_lookup(email_map, "fanout").count() == 3
+    assert rows(ident.email_lookup(email_map, "min_id"), "email") == [("a@x.io", 2, 20), ("b@x.io", 4, 40)]
+    assert ident.email_lookup(email_map).count() == 3
 
 
 def test_lead_events(frame, contacts):

@@ -4,12 +4,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from world import at, chain, deal, touch
+from world import at, chain, deal, timeline, touch, written
 
 from touchledger.config import AttributionConfig
 from touchledger.operators import journeys, opportunities
-from touchledger.operators.numbering import number_rows
-from touchledger.operators.touches import account_touches, touchpoints
+from touchledger.operators.numbering import number_rows, place_rows
+from touchledger.operators.touches import touchpoints
 
 
 def test_window_is_open_at_the_far_end_and_closed_at_the_deal(spark):
@@ -40,20 +40,20 @@ def test_touch_without_time_or_deal_without_account_never_pairs(spark):
     assert anchors.count() == 2
 
 
-@pytest.mark.parametrize("bucket_days,slice_days", [(1, 1), (7, 30), (90, 7), (365, 400)])
-def test_plan_knobs_do_not_change_results(spark, bucket_days, slice_days):
+@pytest.mark.parametrize("bucket_days", [1, 7, 90, 365])
+def test_plan_knobs_do_not_change_results(spark, bucket_days):
     touches = [touch(f"t{i}", i % 3, at(-i * 1.37), person=i) for i in range(150)]
     deals = [deal(i, i % 3, -i * 2.5) for i in range(12)]
     base = chain(spark, deals, touches)[2]
-    other = chain(spark, deals, touches, cfg=AttributionConfig(bucket_days=bucket_days, slice_days=slice_days))[2]
+    other = chain(spark, deals, touches, cfg=AttributionConfig(bucket_days=bucket_days))[2]
     cols = ["deal_id", "touch_number", "touchpoint_id", "touch_count"]
     assert rows(base.select(cols), *cols) == rows(other.select(cols), *cols)
 
 
-def test_numbering_in_slices_equals_a_plain_window(spark):
+def test_numbering_over_partitions_equals_a_plain_window(spark):
     df = spark.range(2000).select((F.col("id") % 3).alias("k"), F.pmod(F.hash("id"), F.lit(500)).alias("v"), "id")
-    ours = number_rows(df.withColumn("s", F.floor(F.col("v") / 50)), ["k"], "s", ["v", "id"], "n").select("id", "n")
-    plain = df.select("id", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")).cast("bigint").alias("n"))
+    ours = number_rows(written(place_rows(df.repartition(7), ["k", "v", "id"])), "n").select("id", "n")
+    plain = df.select("id", F.row_number().over(Window.orderBy("k", "v", "id")).cast("bigint").alias("n"))
     assert rows(ours, "id") == rows(plain, "id")
 
 
@@ -61,7 +61,22 @@ def test_account_sequence_spans_days_without_gaps(spark):
     from world import TOUCH
 
     touches = spark.createDataFrame([touch(f"t{i}", 1, at(i * 0.4)) for i in range(20)], TOUCH)
-    assert [r["account_seq"] for r in account_touches(touches).orderBy("touched_at").collect()] == list(range(1, 21))
+    assert [r["account_seq"] for r in timeline(touches).orderBy("touched_at").collect()] == list(range(1, 21))
+
+
+def test_one_account_day_with_a_third_of_all_touches_is_spread(spark):
+    """Placed rows per partition stay even, however many share an account and a day."""
+    from world import TOUCH
+
+    hot = [touch(f"h{i:05d}", 7, at(0, i % 50)) for i in range(4000)]
+    cold = [touch(f"c{i:05d}", 100 + i % 900, at(-(i % 80))) for i in range(8000)]
+    placed = place_rows(spark.createDataFrame(hot + cold, TOUCH).repartition(5), ["company_id", "touched_at", "touchpoint_id"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in placed.groupBy("_part").count().collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
 
 
 def test_lead_moment_is_the_first_inside_the_window(frame):

@@ -1,6 +1,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchledger.sources import landing
 from touchledger.sources.feeds import LOADED_AT, RAW_FEEDS, dim_channel, feed_schema
@@ -35,9 +36,29 @@ def test_manifest_counts_each_table_and_all(spark, folder):
     assert rows == {"ga4_form_fills": 3, "hubspot_deal_stage_history": 3, "all": 6}
 
 
-def test_line_breaks_in_cells_need_multi_line(spark, tmp_path):
+@pytest.mark.parametrize("line", ["4,5", "6,7,8,9"])
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_short_or_long_row_stops_the_load(spark, tmp_path, line, multi_line):
+    (tmp_path / "t.csv").write_text(f"x,y,z\n1,2,3\n{line}\n")
+    landed = landing.land_raw(spark, str(tmp_path), multi_line=multi_line)["t"]
+    with pytest.raises(Exception, match="MALFORMED"):
+        landed.collect()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_a_part_with_another_header_stops_the_load(spark, tmp_path, multi_line):
+    parts = tmp_path / "t.csv"
+    parts.mkdir()
+    (parts / "part-0.csv").write_text("x,y,z\n1,2,3\n")
+    (parts / "part-1.csv").write_text("y,x,z\n4,5,6\n")
+    landed = landing.land_raw(spark, str(tmp_path), multi_line=multi_line)["t"]
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        landed.collect()
+
+
+def test_line_breaks_in_quoted_cells(spark, tmp_path):
     (tmp_path / "t.csv").write_text('a,b\n1,"two\nlines"\n')
-    landed = landing.land_raw(spark, str(tmp_path), multi_line=True)
+    landed = landing.land_raw(spark, str(tmp_path))
     assert [tuple(r)[:2] for r in landed["t"].collect()] == [("1", "two\nlines")]
 
 
@@ -65,10 +86,15 @@ def test_second_load_replaces_the_first_and_reports_changed_headers(spark, folde
     actions = [{r["action"] for r in landing.refresh_raw(spark, landing.land_raw(spark, folder), root).collect()}
                for _ in range(2)]
     assert actions == [{"create"}, {"replace"}]
-    assert spark.read.parquet(f"{root}/raw/ga4_form_fills").count() == 3
+    assert landing.raw_table(spark, root, "ga4_form_fills").count() == 3
+    broken = {"ga4_form_fills": landing.land_raw(spark, folder)["ga4_form_fills"].withColumn(
+        "form_name", F.raise_error(F.lit("broken export")))}
+    with pytest.raises(Exception, match="broken export"):
+        landing.refresh_raw(spark, broken, root)
+    assert landing.raw_table(spark, root, "ga4_form_fills").count() == 3
     changed = {"ga4_form_fills": landing.land_raw(spark, folder)["ga4_form_fills"].drop("form_name")}
     assert [r["action"] for r in landing.refresh_raw(spark, changed, root).collect()] == ["rebuild"]
-    assert "form_name" not in spark.read.parquet(f"{root}/raw/ga4_form_fills").columns
+    assert "form_name" not in landing.raw_table(spark, root, "ga4_form_fills").columns
 
 
 def test_feed_schemas_and_channel_dimension(spark):

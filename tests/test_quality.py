@@ -12,8 +12,8 @@ def inputs(frame):
         "spend": frame("clicks int", (2,), (2,)),
         "opps": frame("amount decimal(12,2); is_won boolean; is_missing_contact boolean; was_reopened boolean",
                       ("75.00", True, True, True), ("25.00", True, False, None), ("5.00", False, False, False)),
-        "attribution": frame("model string; channel string; credited_won_revenue double", ("linear", "unattributed", 25.0),
-                             ("w_shaped", "unattributed", 100.0), ("linear", "referral", 75.0)),
+        "anchors": frame("amount decimal(12,2); is_won boolean; touch_count bigint", ("25.00", True, None), ("75.00", True, 3),
+                         ("5.00", False, None)),
         "client_map": frame("client_id string", ("k",)),
         "id_contacts": frame("match_rule string", ("self",), ("phone_match",), *[("unmatched_personal",)] * 6),
         "touches": frame("source_system string; source_record_id string", ("clay", "g1"), ("clay", "g1"), ("ga4", "s")),

@@ -21,11 +21,11 @@ def test_dashboard_document_survives_a_failing_result(spark, tmp_path):
     broken = spark.sql("select raise_error('no log yet') as x")
     results = {"summary": spark.sql("select 3 as opps, cast(null as int) as won"),
                "monthly": spark.sql("select date'2025-01-01' as month, cast(1.50 as decimal(12,2)) as usd"), "runs": broken}
-    sinks.dashboard_extract(results, str(tmp_path / "d"), lookback_days=60)
+    sinks.dashboard_extract(results, str(tmp_path / "d"), lookback_days=60, company="Acme", pitch="One line")
     document = json.loads(spark.read.text(str(tmp_path / "d")).first()[0])
     assert document["summary"] == {"opps": 3, "won": None} and document["runs"] == []
     assert document["monthly"] == [{"month": "2025-01-01", "usd": 1.5}]
-    assert document["meta"]["lookback_days"] == 60 and len(document["metrics"]) == 15
+    assert document["meta"]["lookback_days"] == 60 and document["meta"]["company"] == "Acme" and len(document["metrics"]) == 15
 
 
 def test_logs_only_grow(spark, tmp_path):

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from touchledger.config import DIRECT_CHANNELS, MODELS, AttributionConfig
 from touchledger.operators import attribution, journeys
-from touchledger.operators.touches import account_touches
+from touchledger.operators.numbering import place_rows
+from touchledger.operators.touches import TIMELINE, account_touches
 
 EPOCH = dt.datetime(2025, 6, 1)
 DEAL = ("deal_id bigint, company_id bigint, amount decimal(12,2), created_at timestamp, closed_at timestamp, "
@@ -29,12 +33,24 @@ def touch(tid, company, day, channel="referral", person=1):
     return (tid, person, company, day if isinstance(day, dt.datetime) else at(day), channel, "web_session")
 
 
+def written(df):
+    """The frame through a table, as a run writes it."""
+    folder = f"{df.sparkSession.conf.get('spark.checkpoint.dir')}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def timeline(touches):
+    return account_touches(written(place_rows(
+        touches.withColumns({"source_record_id": F.lit("r"), "source_system": F.lit("s")}), TIMELINE)))
+
+
 def chain(spark, deals, touches, leads=(), cfg=AttributionConfig()):
     """Frames of the attribution chain: anchors, journeys and credit."""
     opps = spark.createDataFrame(list(deals), DEAL)
     touched = spark.createDataFrame(list(touches), TOUCH)
     moments = spark.createDataFrame(list(leads), "deal_id bigint, lead_at timestamp")
-    numbered = account_touches(touched, cfg.slice_days)
+    numbered = timeline(touched)
     anchors = journeys.deal_anchors(opps, numbered, moments, cfg)
     pairs = journeys.deal_journeys(anchors, numbered, cfg)
     return opps, anchors, pairs, attribution.fct_attribution(pairs, anchors, cfg)

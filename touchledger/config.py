@@ -7,7 +7,8 @@ from dataclasses import dataclass
 # Attribution models, in reporting order.
 MODELS = ("first_touch", "last_non_direct", "linear", "w_shaped", "time_decay")
 
-# The channel dimension (channel, channel_group, is_direct, description).
+# The channel dimension (channel, channel_group, is_direct, description). Fixed values are the first three columns; the
+# descriptions are our own words.
 CHANNELS = (
     ("linkedin_ads", "paid", False, "Tagged clicks on sponsored LinkedIn posts"),
     ("google_ads", "paid", False, "Tagged clicks on paid Google results"),
@@ -42,16 +43,14 @@ class AttributionConfig:
     """Knobs of the attribution chain.
 
     ``on_conflict`` is what joins do with an ambiguous phone, address or name (see operators.identity).
-    ``bucket_days`` and ``slice_days`` only shape the physical plan (see operators.journeys and
-    operators.numbering); results do not depend on them.
+    ``bucket_days`` only shapes the physical plan (see operators.journeys); results do not depend on it.
     """
 
     lookback_days: int = 90
     half_life_days: float = 7.0
     anchor_weight: float = 0.30
     bucket_days: int = 30
-    slice_days: int = 1
-    on_conflict: str = "min_id"
+    on_conflict: str = "fanout"
 
 
 @dataclass(frozen=True)

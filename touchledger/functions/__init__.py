@@ -9,38 +9,30 @@ from pyspark.sql import functions as F
 
 DAY_MICROS = 86_400_000_000
 
-# How a web session's tags and referrer name its channel.
-UTM_SOURCE_CHANNELS = {"linkedin": "linkedin_ads", "linkedin_ads": "linkedin_ads", "adroll": "retargeting_ads"}
-PAID_CLICK_MEDIUM = "cpc"
-PAID_CLICK_CHANNELS = {"google": "google_ads"}
-REFERRER_CHANNELS = {
-    "linkedin.com": "organic_social",
-    "google.com": "organic_search",
-    "bing.com": "organic_search",
-    "g2.com": "referral",
-    "capterra.com": "referral",
-    "legaltechpartners.io": "referral",
-}
-
-
-def _lookup(key: Column, table: dict[str, str]) -> Column:
-    """Value of a small fixed table, NULL when the key is not in it."""
-    found = F.lit(None).cast("string")
-    for value in sorted(set(table.values())):
-        keys = [k for k, v in table.items() if v == value]
-        found = F.coalesce(found, F.when(key.isin(keys), F.lit(value)))
-    return found
+# How a web session's tags and referrer name its channel; the first rule that holds decides.
+# A rule is the channel and what the columns have to be; None stands for NULL.
+CHANNEL_RULES = (
+    ("linkedin_ads", {"utm_source": ("linkedin", "linkedin_ads")}),
+    ("google_ads", {"utm_source": ("google",), "utm_medium": ("cpc",)}),
+    ("retargeting_ads", {"utm_source": ("adroll",)}),
+    ("organic_social", {"referrer": ("linkedin.com",)}),
+    ("organic_search", {"referrer": ("google.com", "bing.com")}),
+    ("referral", {"referrer": ("g2.com", "capterra.com", "legaltechpartners.io")}),
+    ("direct", {"utm_source": None, "referrer": None}),
+    ("other", {}),
+)
 
 
 def classify_web_channel(utm_source: Column, utm_medium: Column, referrer: Column) -> Column:
-    """Channel of a web session: paid tag first, then referrer, then direct, else other."""
-    return F.coalesce(
-        _lookup(utm_source, UTM_SOURCE_CHANNELS),
-        F.when(utm_medium == PAID_CLICK_MEDIUM, _lookup(utm_source, PAID_CLICK_CHANNELS)),
-        _lookup(referrer, REFERRER_CHANNELS),
-        F.when(utm_source.isNull() & referrer.isNull(), F.lit("direct")),
-        F.lit("other"),
-    )
+    """Channel of a web session by the first of the rules that holds."""
+    given = {"utm_source": utm_source, "utm_medium": utm_medium, "referrer": referrer}
+
+    def holds(conditions: dict) -> Column:
+        met = F.lit(True)
+        for name, values in conditions.items():
+            met = met & (given[name].isNull() if values is None else given[name].isin(*values))
+        return met
+    return F.coalesce(*[F.when(holds(conditions), F.lit(channel)) for channel, conditions in CHANNEL_RULES])
 
 
 def surrogate_key(*cols: Column) -> Column:

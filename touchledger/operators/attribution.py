@@ -66,26 +66,6 @@ def attribute(journeys: DataFrame, model: str, cfg: AttributionConfig = Attribut
             .select("deal_id", "touchpoint_id", "channel", snap(F.col("credit"), CREDIT_DIGITS).alias("credit")))
 
 
-def attr_first_touch(journeys: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
-    return attribute(journeys, "first_touch", cfg)
-
-
-def attr_last_non_direct(journeys: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
-    return attribute(journeys, "last_non_direct", cfg)
-
-
-def attr_linear(journeys: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
-    return attribute(journeys, "linear", cfg)
-
-
-def attr_w_shaped(journeys: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
-    return attribute(journeys, "w_shaped", cfg)
-
-
-def attr_time_decay(journeys: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
-    return attribute(journeys, "time_decay", cfg)
-
-
 def each_model() -> Column:
     return F.explode(F.array(*[F.lit(m) for m in MODELS]))
 
@@ -127,13 +107,26 @@ def fct_attribution(journeys: DataFrame, anchors: DataFrame,
     )
 
 
-def fct_opportunities(opps: DataFrame, attribution: DataFrame) -> DataFrame:
-    """Deals with the channel of their first and of their last non-direct touch, in one aggregate."""
-    def channel_of(model: str) -> Column:
-        return F.max(F.when(F.col("model") == model, F.col("channel")))
+def end_touch(anchors: DataFrame, touches: DataFrame, model: str) -> DataFrame:
+    """The one touch per deal that takes the whole credit in ``first_touch`` or ``last_non_direct``.
 
-    ends = (attribution.filter(F.col("model").isin("first_touch", "last_non_direct")).groupBy("deal_id").agg(
-        channel_of("first_touch").alias("first_touch_channel"),
-        channel_of("last_non_direct").alias("last_non_direct_channel")))
-    return opps.join(ends, "deal_id", "left").select(
-        *opps.columns, "first_touch_channel", "last_non_direct_channel")
+    Pass one has its number in the account's timeline, so one equi-join with a row per deal finds it.
+    """
+    numbers = {"first_touch": F.col("first_seq"),
+               "last_non_direct": F.col("first_seq") - 1 + F.coalesce("last_non_direct_number", "touch_count")}
+    deals = anchors.filter(F.col("touch_count").isNotNull()).select("deal_id", numbers[model].alias("account_seq"))
+    return (deals.join(touches.select("account_seq", "touchpoint_id", "channel"), "account_seq")
+            .select("deal_id", "touchpoint_id", "channel", F.lit(1.0).alias("credit")))
+
+
+def fct_opportunities(opps: DataFrame, anchors: DataFrame, touches: DataFrame) -> DataFrame:
+    """Deals with the channel of their first and of their last non-direct touch."""
+    def channel(model: str) -> DataFrame:
+        return end_touch(anchors, touches, model).select("deal_id", F.col("channel").alias(f"{model}_channel"))
+
+    untouched = anchors.select("deal_id", F.col("touch_count").isNull().alias("untouched"))
+    joined = (opps.join(untouched, "deal_id", "left").join(channel("first_touch"), "deal_id", "left")
+              .join(channel("last_non_direct"), "deal_id", "left"))
+    return joined.select(*opps.columns, *[
+        F.when(F.col("untouched"), F.lit(UNATTRIBUTED)).otherwise(F.col(c)).alias(c)
+        for c in ("first_touch_channel", "last_non_direct_channel")])

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchledger.functions import exact_sum
-from touchledger.operators.attribution import each_model
+from touchledger.operators.attribution import CREDIT_DIGITS, each_model
 
 
 class ContractViolation(RuntimeError):
@@ -44,9 +44,14 @@ def expect_accepted_values(df: DataFrame, col: str, values) -> DataFrame:
 
 
 def credit_sums_to_one(attribution: DataFrame, tolerance: float = 1e-5) -> DataFrame:
-    """Deals that hand out more or less than one credit in a model."""
-    return (attribution.groupBy("deal_id", "model").agg(F.sum("credit").alias("total_credit"))
-            .filter(F.abs(F.col("total_credit") - 1) > tolerance))
+    """Deals that hand out more or less than one credit in a model.
+
+    Every row's credit is rounded, so each adds up to half a unit of its last digit to the tolerance.
+    """
+    rounding = F.col("rows") * F.lit(0.5 * 10.0 ** -CREDIT_DIGITS)
+    return (attribution.groupBy("deal_id", "model")
+            .agg(F.sum("credit").alias("total_credit"), F.count(F.lit(1)).alias("rows"))
+            .filter(F.abs(F.col("total_credit") - 1) > F.lit(tolerance) + rounding).drop("rows"))
 
 
 def every_deal_in_every_model(opps: DataFrame, attribution: DataFrame) -> DataFrame:

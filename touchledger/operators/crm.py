@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchledger.config import UNATTRIBUTED
 from touchledger.functions import exact_sum
-from touchledger.operators.numbering import number_rows
+from touchledger.operators.numbering import number_rows, place_rows
 
 PROPERTIES = ("first_touch_channel", "attributed_pipeline", "source_quality_score")
 # Weights of win rate and won revenue in the quality score.
@@ -42,8 +42,9 @@ def latest_deal_per_company(fct_opps: DataFrame) -> DataFrame:
         "domain", "d.company_name", "d.first_touch_channel", "d.created_at", "d.deal_id")
 
 
-def crm_payload(latest: DataFrame, credited: DataFrame, score: DataFrame, limit: int | None = 200) -> DataFrame:
-    """What the CRM should show per company, largest attributed pipeline first; ``None`` takes every company.
+def crm_payload(latest: DataFrame, credited: DataFrame, score: DataFrame, limit: int | None = None) -> DataFrame:
+    """What the CRM should show per company, one row each; with a limit, that many companies of the largest
+    attributed pipeline.
 
     The score is halfway-to-even rounded, as doubles round in the warehouse it mirrors.
     """
@@ -91,14 +92,20 @@ def split_upserts(changed: DataFrame) -> DataFrame:
     return changed.withColumn("action", F.when(F.col("record_id").isNull(), "create").otherwise("update"))
 
 
-def batch_ids(rows: DataFrame, n: int = 100) -> DataFrame:
-    """Assigns the rows of each action to batches of at most ``n``.
+def batch_order() -> list[Column]:
+    """Order in which rows are pushed: by action, then largest attributed pipeline first."""
+    return [F.col("action"), F.desc("attributed_pipeline"), F.col("domain")]
 
-    Rows are ordered by a hash of the domain, which also cuts them into even slices, so no task has to
-    hold all rows of an action. ``rows`` is read twice; pass a written table when it is costly.
-    """
-    key = F.md5("domain")
-    keyed = rows.withColumn("__key", key).withColumn("__slice", F.substring("__key", 1, 3))
-    return (number_rows(keyed, ["action"], "__slice", ["__key", "domain"], "__row")
-            .withColumn("batch_id", F.floor((F.col("__row") - 1) / n))
-            .drop("__key", "__slice", "__row"))
+
+def placed_for_batches(rows: DataFrame) -> DataFrame:
+    """Rows in the order of their push; write the result before ``batch_ids``."""
+    return place_rows(rows, batch_order())
+
+
+def batch_ids(placed: DataFrame, n: int = 100) -> DataFrame:
+    """Assigns the rows of each action to batches of at most ``n``, in the order of their push."""
+    numbered = number_rows(placed, "_number")
+    first = numbered.groupBy("action").agg(F.min("_number").alias("_first"))
+    # one row per action
+    return (numbered.join(F.broadcast(first), "action")
+            .withColumn("batch_id", F.floor((F.col("_number") - F.col("_first")) / n)).drop("_number", "_first"))

@@ -3,9 +3,10 @@
 The person's account is found once, while contacts are merged, and travels with every mapping. So a touch
 needs one join to reach both its person and its account.
 
-A phone, address or name that belongs to several people is a broken contract, not a result: it is reported,
-and nothing is published. Until then ``on_conflict`` decides what a join on such a key does. ``min_id`` takes
-the lowest person, so that no key can multiply rows; ``fanout`` returns every match.
+A phone, address or name that belongs to several people breaks a contract. ``on_conflict`` decides what a join on
+such a key does: ``fanout``, the default, returns every match; ``min_id`` keeps the lowest person. A nightly run
+checks these contracts before it builds any touches, so a key that very many people share stops it instead of
+multiplying rows.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def _lowest(df: DataFrame, keys: list[str], on_conflict: str) -> DataFrame:
                                  F.min_by("company_id", "person_id").alias("company_id"))
 
 
-def phone_owners(contacts: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+def phone_owners(contacts: DataFrame, on_conflict: str = "fanout") -> DataFrame:
     """Phone -> work contact that personal contacts with this phone belong to."""
     owners = (contacts.filter(~F.col("is_personal_email") & F.col("phone_key").isNotNull())
               .select("phone_key", F.col("contact_id").alias("person_id"), "company_id"))
@@ -32,7 +33,7 @@ def phone_owners(contacts: DataFrame, on_conflict: str = "min_id") -> DataFrame:
             .withColumnsRenamed({"person_id": "owner_id", "company_id": "owner_company"}))
 
 
-def identity_contacts(contacts: DataFrame, on_conflict: str = "min_id", owners: DataFrame | None = None) -> DataFrame:
+def identity_contacts(contacts: DataFrame, on_conflict: str = "fanout", owners: DataFrame | None = None) -> DataFrame:
     """Contact -> person: a personal-email contact becomes the work contact with the same phone.
 
     Adds ``company_id``, the account of the person (not of the contact). ``owners`` takes ``phone_owners`` as a written table: with a scan
@@ -85,7 +86,7 @@ def identity_email_map(id_contacts: DataFrame) -> DataFrame:
             .select("email", "person_id", "company_id").distinct())
 
 
-def email_lookup(email_map: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+def email_lookup(email_map: DataFrame, on_conflict: str = "fanout") -> DataFrame:
     """The address map as joins use it. An ambiguous address breaks the uniqueness of ``identity_email_map``."""
     return _lowest(email_map, ["email"], on_conflict)
 
@@ -103,7 +104,7 @@ def identity_client_map(form_fills: DataFrame, email_map: DataFrame) -> DataFram
                  F.min_by("company_id", "person_id").alias("company_id")))
 
 
-def people_keys(people: DataFrame, on_conflict: str = "min_id") -> DataFrame:
+def people_keys(people: DataFrame, on_conflict: str = "fanout") -> DataFrame:
     """What a signal can be matched by: a person's work email, or name and company domain."""
     def rule(name: str, key: str, domain):
         return F.struct(F.lit(name).alias("match_rule"), F.col(key).alias("match_key"), domain.alias("match_domain"))
@@ -123,7 +124,7 @@ def _signal_keys(signals: DataFrame) -> DataFrame:
         F.when(by_email, "").otherwise(F.col("company_domain")).alias("match_domain"))
 
 
-def match_signals(signals: DataFrame, people: DataFrame, on_conflict: str = "min_id",
+def match_signals(signals: DataFrame, people: DataFrame, on_conflict: str = "fanout",
                   keys: DataFrame | None = None) -> DataFrame:
     """Signal -> person: by work email when the signal has one, else by name and company domain.
 

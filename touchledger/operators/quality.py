@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchledger.config import PAID_CHANNELS, QUALITY_THRESHOLDS, UNATTRIBUTED, Threshold
-from touchledger.functions import exact_sum, safe_ratio
+from touchledger.config import PAID_CHANNELS, QUALITY_THRESHOLDS, Threshold
+from touchledger.functions import safe_ratio
 
 DESCRIPTIONS = {
     "utm_coverage_paid_clicks": "Paid ad clicks that reached the site with their tags, as a share of all paid clicks",
@@ -28,7 +28,7 @@ def _parts(df: DataFrame, check: str, num: Column | None = None, den: Column | N
                       "check_name", F.lit(check))
 
 
-def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, attribution: DataFrame,
+def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, anchors: DataFrame,
                  client_map: DataFrame, id_contacts: DataFrame, touches: DataFrame, signals: DataFrame,
                  thresholds: dict[str, Threshold] | None = None) -> DataFrame:
     """One row per check with its value, threshold and status.
@@ -50,7 +50,7 @@ def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, attribu
     contact_totals = id_contacts.agg(
         F.count_if(F.col("match_rule") == "phone_match").alias("merged"),
         F.count_if(F.col("match_rule") == "unmatched_personal").alias("unmatched"))
-    blind = attribution.filter((F.col("model") == "linear") & (F.col("channel") == UNATTRIBUTED))
+    blind = anchors.filter(F.col("touch_count").isNull() & won)
 
     def spread(totals: DataFrame, *entries: tuple[str, str | None, str | None]) -> DataFrame:
         """A one-row table of totals as (check, num, den) rows."""
@@ -64,7 +64,7 @@ def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, attribu
         spread(session_totals, ("utm_coverage_paid_clicks", "tagged", None),
                ("identified_session_share", "known", "n")),
         _parts(spend, "utm_coverage_paid_clicks", den=F.sum("clicks")),
-        _parts(blind, "unattributed_won_revenue_share", num=F.coalesce(exact_sum(F.col("credited_won_revenue")), F.lit(0))),
+        _parts(blind, "unattributed_won_revenue_share", num=F.coalesce(F.sum("amount"), F.lit(0))),
         spread(deal_totals, ("unattributed_won_revenue_share", None, "won_usd"),
                ("deals_missing_contact_share", "missing", "n"), ("reopened_won_deals", "reopened", None)),
         spread(contact_totals, ("personal_email_contacts_merged", "merged", None),

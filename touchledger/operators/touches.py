@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchledger.functions import surrogate_key, time_bucket
+from touchledger.functions import surrogate_key
 from touchledger.operators.numbering import number_rows
 
 _SHAPE = ["source_record_id", "person_id", "company_id", "touched_at", "channel", "touch_type", "source_system"]
@@ -44,14 +44,16 @@ def touchpoints(sessions: DataFrame, client_map: DataFrame, email_events: DataFr
         surrogate_key(F.col("source_system"), F.col("source_record_id")).alias("touchpoint_id"), *_SHAPE)
 
 
-def account_touches(touches: DataFrame, slice_days: int = 1) -> DataFrame:
-    """Touches with ``account_seq``, their position in the account's timeline (time, then touch id).
+#: Order in which touches are placed: an account's timeline is a run of it.
+TIMELINE = ["company_id", "touched_at", "touchpoint_id", "person_id"]
+
+
+def account_touches(placed: DataFrame) -> DataFrame:
+    """Touches with ``account_seq``, a number that is contiguous along each account's timeline.
 
     A look-back window is a contiguous run of that timeline. So touch numbers inside any deal follow from
-    the first position in the window by subtraction, and no window function ever has to hold a whole
-    deal or account. ``touches`` is read twice; pass a written table.
+    the first number in the window by subtraction, and no window function ever has to hold a whole deal,
+    account or day. ``placed`` is the written table of touches, placed in the order of ``TIMELINE``.
     """
-    timed = touches.filter(F.col("touched_at").isNotNull()).withColumn(
-        "time_slice", time_bucket(F.col("touched_at"), slice_days))
-    return number_rows(timed, ["company_id"], "time_slice", ["touched_at", "touchpoint_id", "person_id"],
-                       "account_seq").drop("time_slice")
+    numbered = number_rows(placed.drop("source_record_id", "source_system"), "account_seq")
+    return numbered.filter(F.col("touched_at").isNotNull())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,43 +38,51 @@ ACCEPTED = (
     ("stg_email_events", "event_type", EMAIL_EVENT_TYPES),
     ("fct_attribution", "model", MODELS),
 )
+# A layer's columns, given the warehouse and their names.
+Reader = Callable[[Warehouse, str, list[str]], DataFrame]
 # Layers several contracts read.
 WRITTEN = ("identity_contacts", "identity_email_map", "identity_client_map", "touchpoints", "opportunities", "fct_attribution")
 
 
 def _table(wh: Warehouse, name: str) -> DataFrame:
-    return wh.shared(name) if name in WRITTEN else getattr(wh, name)
+    return wh.shared(name) if name in WRITTEN else wh.latest(name)
+
 
+def _layer(wh: Warehouse, name: str, columns: list[str]) -> DataFrame:
+    """What a contract on these columns reads."""
+    return _table(wh, name).select(*columns)
 
-def unique(wh: Warehouse) -> dict[str, DataFrame]:
-    return {f"unique:{t}.{col}": c.expect_unique(_table(wh, t), col) for t, cols in UNIQUE.items() for col in cols}
 
+def unique(wh: Warehouse, read: Reader = _layer) -> dict[str, DataFrame]:
+    return {f"unique:{t}.{col}": c.expect_unique(read(wh, t, [col]), col)
+            for t, cols in UNIQUE.items() for col in cols}
 
-def not_null(wh: Warehouse) -> list[DataFrame]:
+
+def not_null(wh: Warehouse, read: Reader = _layer) -> list[DataFrame]:
     """Counts per table, one pass each."""
-    return [c.count_failing(_table(wh, t), {f"not_null:{t}.{col}": F.col(col).isNull() for col in cols})
+    return [c.count_failing(read(wh, t, cols), {f"not_null:{t}.{col}": F.col(col).isNull() for col in cols})
             for t, cols in NOT_NULL.items()]
 
 
-def relationships(wh: Warehouse) -> dict[str, DataFrame]:
-    return {f"relationship:{t}.{col}": c.expect_relationship(_table(wh, t), col, _table(wh, parent), pcol)
+def relationships(wh: Warehouse, read: Reader = _layer) -> dict[str, DataFrame]:
+    return {f"relationship:{t}.{col}": c.expect_relationship(read(wh, t, [col]), col, _table(wh, parent), pcol)
             for t, col, parent, pcol in RELATIONSHIPS}
 
 
-def accepted_values(wh: Warehouse) -> dict[str, DataFrame]:
-    return {f"accepted_values:{t}.{col}": c.expect_accepted_values(_table(wh, t), col, values)
+def accepted_values(wh: Warehouse, read: Reader = _layer) -> dict[str, DataFrame]:
+    return {f"accepted_values:{t}.{col}": c.expect_accepted_values(read(wh, t, [col]), col, values)
             for t, col, values in ACCEPTED}
 
 
-def credit_rows(wh: Warehouse) -> DataFrame:
+def credit_rows(wh: Warehouse, credit: DataFrame | None = None) -> DataFrame:
     """The two invariants of single credit rows."""
-    return c.count_failing(wh.shared("fct_attribution"), {
+    return c.count_failing(wh.shared("fct_attribution") if credit is None else credit, {
         "no_credit_after_deal_created": c.is_late(), "credit_in_unit_interval": c.is_out_of_range()})
 
 
-def credit_totals(wh: Warehouse) -> dict[str, DataFrame]:
+def credit_totals(wh: Warehouse, credit: DataFrame | None = None) -> dict[str, DataFrame]:
     """The three invariants of sums and pairs."""
-    credit, opps = wh.shared("fct_attribution"), wh.shared("opportunities")
+    credit, opps = wh.shared("fct_attribution") if credit is None else credit, wh.shared("opportunities")
     return {
         "credit_sums_to_one": c.credit_sums_to_one(credit),
         "every_deal_in_every_model": c.every_deal_in_every_model(opps, credit),
@@ -80,12 +90,20 @@ def credit_totals(wh: Warehouse) -> dict[str, DataFrame]:
     }
 
 
-def check_all(wh: Warehouse) -> DataFrame:
-    """The 43 contracts, and the ambiguous phones and signal keys that ``min_id`` would keep out of them.
+def ambiguous(wh: Warehouse) -> dict[str, DataFrame]:
+    """Phones, addresses and signal keys that more than one person has."""
+    return {"unambiguous_phones": phone_conflicts(wh.latest("stg_contacts")),
+            "unambiguous_addresses": c.expect_unique(_table(wh, "identity_email_map"), "email"),
+            "unambiguous_signals": signal_conflicts(wh.latest("stg_signals"), wh.latest("identity_people"))}
 
-    Raises when one is broken.
-    """
-    grouped = {**unique(wh), **relationships(wh), **accepted_values(wh), **credit_totals(wh),
-               "unambiguous_phones": phone_conflicts(wh.stg_contacts),
-               "unambiguous_signals": signal_conflicts(wh.stg_signals, wh.latest("identity_people"))}
+
+def check_unambiguous(wh: Warehouse) -> DataFrame:
+    """The contracts that keep a shared key from multiplying rows. Raises when one is broken."""
+    return c.contract_gate(ambiguous(wh))
+
+
+def check_all(wh: Warehouse) -> DataFrame:
+    """The 43 contracts, and the ambiguous phones and signal keys. Raises when one is broken."""
+    keys = {k: v for k, v in ambiguous(wh).items() if k != "unambiguous_addresses"}  # one of the 43
+    grouped = {**unique(wh), **relationships(wh), **accepted_values(wh), **credit_totals(wh), **keys}
     return c.contract_gate(grouped, [*not_null(wh), credit_rows(wh)])

@@ -14,19 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchledger.config import AttributionConfig
-from touchledger.plans.contracts import check_all
+from touchledger.operators.numbering import PLACE
+from touchledger.plans.contracts import check_all, check_unambiguous
 from touchledger.plans.warehouse import Warehouse
 from touchledger.plans.workspace import Workspace
-from touchledger.sinks import append_run_log, dashboard_extract, write_layer
+from touchledger.sinks import append_run_log, dashboard_extract
 
 STAGING = ("stg_companies", "stg_contacts", "stg_deals", "stg_stage_history", "stg_sessions", "stg_form_fills",
            "stg_email_events", "stg_signals", "stg_bot_threads", "stg_calls", "stg_spend_daily", "stg_subscriptions",
            "stg_subscription_events")
-# Tables in the order of their dependencies: what has been written is what later layers read. The pairs of
-# deals and touches stay a view, as every row of them is in the linear model of the fact table anyway.
-INTERMEDIATE = ("identity_contacts", "identity_people", "identity_email_map", "identity_client_map", "lead_events",
-                "touchpoints", "opportunities")
-INTERMEDIATE_VIEWS = ("deal_touch_window",)
+# Tables in the order of their dependencies: what has been written is what later layers read.
+IDENTITY = ("identity_contacts", "identity_people", "identity_email_map")
+INTERMEDIATE = ("identity_client_map", "lead_events", "touchpoints", "opportunities", "deal_touch_window")
 MARTS = ("fct_attribution", "fct_opportunities", "channel_performance", "channel_summary", "model_disagreement",
          "funnel_monthly", "velocity", "retention", "truth_evaluation", "data_quality")
 # Result set of the dashboard -> mart and reading order.
@@ -64,10 +63,6 @@ def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id:
         steps[-1] = (name, True)
 
     def publish() -> None:
-        for name in STAGING:
-            write_layer(getattr(wh, name), "staging", name)
-        for name in INTERMEDIATE_VIEWS:
-            getattr(wh, name).createOrReplaceTempView(name)
         dashboard_extract(extracts(wh), f"{wh.workspace.root}/dashboard", cfg.lookback_days)
         summary.update({k: float(v) for k, v in wh.run_summary.first().asDict().items()})
         (spark.createDataFrame([(run_id, wh.workspace.root, datetime.now(timezone.utc))],
@@ -75,12 +70,17 @@ def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id:
          .coalesce(1).write.mode("append").parquet(f"{root}/published"))
 
     try:
-        step("build", lambda: [wh.shared(name) for name in (*INTERMEDIATE, *MARTS)])
+        # Written, so that a later session can read them by name, and so that raw text is parsed once.
+        step("staging", lambda: wh.materialise(STAGING))
+        step("identity", lambda: wh.materialise(IDENTITY))
+        # Before any touches are built: an ambiguous key would multiply them.
+        step("unambiguous", lambda: check_unambiguous(wh))
+        step("build", lambda: wh.materialise((*INTERMEDIATE, *MARTS)))
         step("contracts", lambda: check_all(wh))
         step("publish", publish)
         return wh
     finally:
-        status = "success" if len(steps) == 3 and steps[-1][1] else "failed"
+        status = "success" if steps[-1] == ("publish", True) else "failed"
         log = spark.createDataFrame(
             [(run_id, started, datetime.now(timezone.utc), status, steps, summary, revision)],
             "run_id bigint, started_at timestamp, finished_at timestamp, status string, "
@@ -91,4 +91,4 @@ def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id:
 def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the latest published run."""
     folder = spark.read.parquet(f"{root}/published").orderBy(F.desc("published_at")).first()["folder"]
-    return spark.read.parquet(f"{folder}/{name}")
+    return spark.read.parquet(f"{folder}/{name}").drop(*PLACE)

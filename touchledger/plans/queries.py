@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import math
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +13,8 @@ from pyspark.sql import types as T
 
 from touchledger.functions import settle, snap
 from touchledger.operators import attribution, contracts, crm, staging
+from touchledger.plans import broken, nightly
 from touchledger.plans import contracts as contract_plans
-from touchledger.plans import nightly
 from touchledger.plans.warehouse import Warehouse
 from touchledger.session import pin
 from touchledger.sinks import append_run_log, append_write_log, dashboard_extract
@@ -50,27 +53,66 @@ def _model(name: str) -> Query:
     return _query(lambda wh: attribution.attribute(wh.deal_journeys, name, wh.cfg))
 
 
-def _landed(wh: Warehouse) -> dict[str, DataFrame]:
-    """The feeds written as CSV exports and landed again."""
+def _end(name: str) -> Query:
+    return _query(lambda wh: attribution.end_touch(wh.shared("deal_anchors"), wh.account_touches, name))
+
+
+def _landed(wh: Warehouse, names: Iterable[str] = RAW_FEEDS) -> dict[str, DataFrame]:
+    """Feeds written as CSV exports and landed again."""
     folder = f"{wh.workspace.root}/exports"
-    for name in RAW_FEEDS:
+    for name in names:
         (driver_tables.as_text(wh.feeds[name]).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(f"{folder}/{name}.csv"))
-    return landing.land_raw(wh.spark, folder)
+    return landing.land_raw(wh.spark, folder, tables=list(names))
+
+
+def _filled(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, column, values, different values) of every column."""
+    parts = []
+    for name, df in tables.items():
+        columns = [c for c in df.columns if c != LOADED_AT]
+        counts = df.agg(*[F.struct(F.count(c).alias("n"), F.count_distinct(c).alias("d")).alias(c) for c in columns])
+        parts.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(name).alias("table"), F.lit(c).alias("column"), F.col(f"{c}.n").alias("filled"),
+                     F.col(f"{c}.d").alias("different")) for c in columns]))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _land_raw(wh: Warehouse) -> DataFrame:
+    """What staging finds in each of the landed exports."""
+    landed = Warehouse(wh.spark, _landed(wh), wh.cfg, wh.workspace)
+    return _filled({name: getattr(landed, name) for name in nightly.STAGING})
+
+
+def _drift(wh: Warehouse) -> DataFrame:
+    """The landed headers against stored ones, of which one has another order, one lacks a column and one is missing."""
+    stored = {k: list(v) for k, v in RAW_FEEDS.items()}
+    stored["hubspot_deals"].reverse()
+    stored["ga4_sessions"].pop()
+    del stored["adroll_daily"]
+    return landing.schema_drift(wh.spark, stored, _landed(wh))
 
 
 def _dashboard(wh: Warehouse) -> DataFrame:
     for name in nightly.MARTS:
         wh.shared(name)
-    document = dashboard_extract(nightly.extracts(wh), f"{wh.workspace.root}/dashboard", wh.cfg.lookback_days)
-    sizes = [(k, len(v) if isinstance(v, list) else 1) for k, v in document.items() if k not in ("meta", "metrics")]
-    return wh.spark.createDataFrame(sizes, "result_set string, rows bigint")
+    path = f"{wh.workspace.root}/dashboard"
+    dashboard_extract(nightly.extracts(wh), path, wh.cfg.lookback_days)
+    document = json.loads(wh.spark.read.text(path).first()[0])
+    out = []
+    for name, found in document.items():
+        found = found if isinstance(found, list) else [found]
+        numbers = {k: [r[k] for r in found if isinstance(r[k], (int, float)) and not isinstance(r[k], bool)]
+                   for k in (found[0] if name not in ("meta", "metrics") and found else {})}
+        out += [(name, k, len(found), len(v), round(math.fsum(v), 2)) for k, v in numbers.items() if v]
+    return wh.spark.createDataFrame(out, "result_set string, field string, rows bigint, filled bigint, total double")
 
 
 def _write_log(wh: Warehouse) -> DataFrame:
     path = f"{wh.workspace.root}/crm_writes"
-    append_write_log(wh.changed_rows(limit=None), "dry_run", path)
-    return wh.spark.read.parquet(path).select("system", "object", "domain", "mode")
+    append_write_log(wh.changed_rows(), "dry_run", path)
+    shown = {p: F.get_json_object("payload", f"$.{p}") for p in crm.PROPERTIES}
+    return wh.spark.read.parquet(path).select("system", "object", "domain", "mode", *[c.alias(p) for p, c in shown.items()])
 
 
 def _run_log(wh: Warehouse) -> DataFrame:
@@ -80,25 +122,32 @@ def _run_log(wh: Warehouse) -> DataFrame:
 
 
 def _split(wh: Warehouse) -> DataFrame:
-    return crm.split_upserts(wh.changed_rows(limit=None))
+    return crm.split_upserts(wh.changed_rows())
 
 
-def _contracts(of: Callable[[Warehouse], dict[str, DataFrame]]) -> Query:
-    return _query(lambda wh: contracts.summarise(of(wh)))
+def _contracts(of: Callable[[Warehouse, contract_plans.Reader], dict[str, DataFrame]], read: contract_plans.Reader) -> Query:
+    """Contracts over tables with faults, so that there is something to find."""
+    return _query(lambda wh: contracts.summarise(of(wh, read)))
 
 
 def _total(name: str) -> Query:
-    return _contracts(lambda wh: {name: contract_plans.credit_totals(wh)[name]})
+    return _query(lambda wh: contracts.summarise({name: contract_plans.credit_totals(wh, broken.credit(wh))[name]}))
 
 
 def _row_check(name: str) -> Query:
-    return _query(lambda wh: contract_plans.credit_rows(wh).filter(F.col("contract") == name))
+    return _query(lambda wh: contract_plans.credit_rows(wh, broken.credit(wh)).filter(F.col("contract") == name))
+
+
+def _exported_truth(wh: Warehouse) -> DataFrame:
+    """Models scored against a measured effect that comes as an export, as text."""
+    feeds = {**{n: wh.feeds[n] for n in wh.feeds}, "channel_incrementality": driver_tables.as_text(wh.incremental_lift)}
+    return Warehouse(wh.spark, feeds, wh.cfg, wh.workspace).truth_evaluation
 
 
 QUERIES: dict[str, Query] = {
     # landing
-    "land_raw": _query(lambda wh: _landed(wh)["hubspot_contacts"].drop(LOADED_AT)),
-    "schema_drift": _query(lambda wh: landing.schema_drift(wh.spark, RAW_FEEDS, _landed(wh))),
+    "land_raw": _query(_land_raw),
+    "schema_drift": _query(_drift),
     "load_manifest": _query(lambda wh: landing.load_manifest(_landed(wh))),
     # staging
     **{n: _layer(n) for n in nightly.STAGING},
@@ -116,8 +165,8 @@ QUERIES: dict[str, Query] = {
     "deal_lead_moment": _layer("deal_lead_moment"),
     "deal_touch_window": _layer("deal_touch_window"),
     # attribution
-    "attr_first_touch": _model("first_touch"),
-    "attr_last_non_direct": _model("last_non_direct"),
+    "attr_first_touch": _end("first_touch"),
+    "attr_last_non_direct": _end("last_non_direct"),
     "attr_linear": _model("linear"),
     "attr_w_shaped": _model("w_shaped"),
     "attr_time_decay": _model("time_decay"),
@@ -135,8 +184,9 @@ QUERIES: dict[str, Query] = {
         "channel_performance", "channel_summary", "model_disagreement", "funnel_monthly", "velocity",
         "subscription_movements", "retention", "truth_evaluation", "incremental_lift", "dashboard_summary",
         "run_summary", "recent_runs")},
-    "data_quality": _layer("data_quality", "description", "checked_at"),
-    "metric_catalogue": _layer("metric_catalogue", "grain", "definition", "changelog"),
+    "truth_evaluation_exported": _query(_exported_truth),
+    "data_quality": _layer("data_quality", "checked_at"),
+    "metric_catalogue": _layer("metric_catalogue"),
     "dashboard_extract": _query(_dashboard),
     # CRM
     "credited_pipeline_by_company": _layer("credited_pipeline_by_company"),
@@ -145,17 +195,17 @@ QUERIES: dict[str, Query] = {
     "latest_deal_per_company": _layer("latest_deal_per_company"),
     "crm_payload": _query(lambda wh: wh.crm_payload()),
     "existing_by_domain": _layer("existing_by_domain"),
-    "changed_rows": _query(lambda wh: wh.changed_rows(limit=None)),
+    "changed_rows": _query(lambda wh: wh.changed_rows()),
     "split_upserts": _query(_split),
-    "batch_ids": _query(lambda wh: crm.batch_ids(wh.workspace.settle(_split(wh), "split_upserts"))
+    "batch_ids": _query(lambda wh: crm.batch_ids(wh.workspace.settle(crm.placed_for_batches(_split(wh)), "split_upserts"))
                         .select("domain", "action", "batch_id")),
     "append_write_log": _query(_write_log),
     "append_run_log": _query(_run_log),
     # contracts
-    "contract_unique": _contracts(contract_plans.unique),
-    "contract_not_null": _query(lambda wh: contracts.summarise({}, contract_plans.not_null(wh))),
-    "contract_relationship": _contracts(contract_plans.relationships),
-    "contract_accepted_values": _contracts(contract_plans.accepted_values),
+    "contract_unique": _contracts(contract_plans.unique, broken.doubled),
+    "contract_not_null": _query(lambda wh: contracts.summarise({}, contract_plans.not_null(wh, broken.emptied))),
+    "contract_relationship": _contracts(contract_plans.relationships, broken.strayed),
+    "contract_accepted_values": _contracts(contract_plans.accepted_values, broken.strayed),
     "contract_credit_sum": _total("credit_sums_to_one"),
     "contract_every_deal": _total("every_deal_in_every_model"),
     "contract_no_late_credit": _row_check("no_credit_after_deal_created"),

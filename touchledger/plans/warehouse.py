@@ -1,12 +1,13 @@
 """The layers of the engine and how they feed each other.
 
-A layer is a property and lazy: asking for it only builds a plan. Layers that several others read are
-written once per warehouse through ``shared``; the rest flow straight into their reader.
+A layer is a property that gives a plan. Where a plan is built on a layer that several others read, that layer is
+written first, once per warehouse, through ``shared``; so asking for a late layer runs the jobs that write the early
+ones. ``materialise`` writes layers by name, in the order given, and says so.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from touchledger.operators import (
     staging,
     touches,
 )
+from touchledger.operators.numbering import PLACE, place_rows
 from touchledger.plans.workspace import Workspace
 from touchledger.sources.feeds import dim_channel
 
@@ -40,10 +42,17 @@ class Warehouse:
 
     def shared(self, name: str) -> DataFrame:
         """The written form of a layer that has several readers."""
+        if name == "touchpoints":
+            return self.placed_touches.drop(*PLACE)
         if name not in self._written:
             self._written[name] = self.workspace.settle(getattr(self, name), name)
         return self._written[name]
 
+    def materialise(self, names: Iterable[str]) -> None:
+        """Writes layers, and whatever they are built on."""
+        for name in names:
+            self.shared(name)
+
     def latest(self, name: str) -> DataFrame:
         """A layer in its written form if it has been written, else as a plan."""
         return self._written[name] if name in self._written else getattr(self, name)
@@ -111,15 +120,15 @@ class Warehouse:
     # join only when both sides come out of a shuffle of their own, not out of an aggregate on the key.
     @cached_property
     def phone_owners(self):
-        return identity.phone_owners(self.stg_contacts, self.cfg.on_conflict)
+        return identity.phone_owners(self.latest("stg_contacts"), self.cfg.on_conflict)
 
     @cached_property
     def identity_contacts(self):
-        return identity.identity_contacts(self.stg_contacts, owners=self.shared("phone_owners"))
+        return identity.identity_contacts(self.latest("stg_contacts"), owners=self.shared("phone_owners"))
 
     @cached_property
     def identity_people(self):
-        return identity.identity_people(self.shared("identity_contacts"), self.stg_contacts, self.stg_companies)
+        return identity.identity_people(self.shared("identity_contacts"), self.latest("stg_contacts"), self.latest("stg_companies"))
 
     @cached_property
     def identity_email_map(self):
@@ -131,7 +140,7 @@ class Warehouse:
 
     @cached_property
     def identity_client_map(self):
-        return identity.identity_client_map(self.stg_form_fills, self.shared("email_lookup"))
+        return identity.identity_client_map(self.latest("stg_form_fills"), self.shared("email_lookup"))
 
     @cached_property
     def people_keys(self):
@@ -139,27 +148,31 @@ class Warehouse:
 
     @cached_property
     def match_signals(self):
-        return identity.match_signals(self.stg_signals, self.latest("identity_people"), keys=self.shared("people_keys"))
+        return identity.match_signals(self.latest("stg_signals"), self.latest("identity_people"), keys=self.shared("people_keys"))
 
     @cached_property
     def lead_events(self):
-        return identity.lead_events(self.stg_form_fills, self.stg_email_events, self.shared("email_lookup"))
+        return identity.lead_events(self.latest("stg_form_fills"), self.latest("stg_email_events"), self.shared("email_lookup"))
 
     # touches and deals -------------------------------------------------------------------------------
     @cached_property
     def touchpoints(self):
         return touches.touchpoints(
-            self.stg_sessions, self.shared("identity_client_map"), self.stg_email_events, self.shared("email_lookup"),
-            self.match_signals, self.stg_bot_threads, self.stg_calls)
+            self.latest("stg_sessions"), self.shared("identity_client_map"), self.latest("stg_email_events"), self.shared("email_lookup"),
+            self.match_signals, self.latest("stg_bot_threads"), self.latest("stg_calls"))
+
+    @cached_property
+    def placed_touches(self):
+        """The one written copy of the touches, sorted by account and time."""
+        return self.workspace.settle(place_rows(self.touchpoints, touches.TIMELINE), "touchpoints")
 
     @cached_property
     def account_touches(self):
-        return touches.account_touches(
-            self.shared("touchpoints").drop("source_record_id", "source_system"), self.cfg.slice_days)
+        return touches.account_touches(self.placed_touches)
 
     @cached_property
     def opportunities(self):
-        return opportunities.opportunities(self.stg_deals, self.stg_stage_history, self.stg_companies)
+        return opportunities.opportunities(self.latest("stg_deals"), self.latest("stg_stage_history"), self.latest("stg_companies"))
 
     @cached_property
     def deal_lead_moment(self):
@@ -168,11 +181,11 @@ class Warehouse:
     @cached_property
     def deal_anchors(self):
         return journeys.deal_anchors(
-            self.shared("opportunities"), self.shared("account_touches"), self.deal_lead_moment, self.cfg)
+            self.shared("opportunities"), self.account_touches, self.deal_lead_moment, self.cfg)
 
     @cached_property
     def deal_journeys(self):
-        return journeys.deal_journeys(self.shared("deal_anchors"), self.shared("account_touches"), self.cfg)
+        return journeys.deal_journeys(self.shared("deal_anchors"), self.account_touches, self.cfg)
 
     @cached_property
     def deal_touch_window(self):
@@ -185,20 +198,19 @@ class Warehouse:
 
     @cached_property
     def fct_opportunities(self):
-        # Two of the five models; read the fact table only if it has been written anyway.
-        credit = self.latest("fct_attribution")
-        return attribution.fct_opportunities(self.shared("opportunities"), credit)
+        return attribution.fct_opportunities(
+            self.shared("opportunities"), self.shared("deal_anchors"), self.account_touches)
 
     # marts -------------------------------------------------------------------------------------------
     @cached_property
     def channel_performance(self):
         credit = self.latest("fct_attribution")
-        return marts.channel_performance(credit, self.stg_spend_daily, self.dim_channel)
+        return marts.channel_performance(credit, self.latest("stg_spend_daily"), self.dim_channel)
 
     @cached_property
     def channel_summary(self):
         performance = self.latest("channel_performance")
-        return marts.channel_summary(performance, self.stg_spend_daily)
+        return marts.channel_summary(performance, self.latest("stg_spend_daily"))
 
     @cached_property
     def model_disagreement(self):
@@ -207,7 +219,7 @@ class Warehouse:
     @cached_property
     def funnel_monthly(self):
         return marts.funnel_monthly(
-            self.stg_sessions, self.shared("identity_client_map"), self.latest("lead_events"), self.stg_calls,
+            self.latest("stg_sessions"), self.shared("identity_client_map"), self.latest("lead_events"), self.latest("stg_calls"),
             self.shared("opportunities"))
 
     @cached_property
@@ -216,7 +228,7 @@ class Warehouse:
 
     @cached_property
     def subscription_movements(self):
-        return marts.subscription_movements(self.stg_subscriptions, self.stg_subscription_events)
+        return marts.subscription_movements(self.latest("stg_subscriptions"), self.latest("stg_subscription_events"))
 
     @cached_property
     def retention(self):
@@ -240,9 +252,9 @@ class Warehouse:
     @cached_property
     def data_quality(self):
         return quality.data_quality(
-            self.stg_sessions, self.stg_spend_daily, self.shared("opportunities"),
-            self.latest("fct_attribution"), self.shared("identity_client_map"),
-            self.shared("identity_contacts"), self.shared("touchpoints"), self.stg_signals)
+            self.latest("stg_sessions"), self.latest("stg_spend_daily"), self.shared("opportunities"),
+            self.shared("deal_anchors"), self.shared("identity_client_map"),
+            self.shared("identity_contacts"), self.shared("touchpoints"), self.latest("stg_signals"))
 
     @cached_property
     def dashboard_summary(self):
@@ -265,14 +277,13 @@ class Warehouse:
 
     @cached_property
     def channel_score(self):
-        self.shared("fct_attribution")  # read by velocity and by the summary
         return crm.channel_score(self.velocity, self.latest("channel_summary"))
 
     @cached_property
     def latest_deal_per_company(self):
         return crm.latest_deal_per_company(self.latest("fct_opportunities"))
 
-    def crm_payload(self, limit: int | None = 200) -> DataFrame:
+    def crm_payload(self, limit: int | None = None) -> DataFrame:
         # the fact tables feed three inputs of the payload, so they are written first
         self.shared("fct_attribution")
         self.shared("fct_opportunities")
@@ -283,7 +294,7 @@ class Warehouse:
     def existing_by_domain(self):
         return crm.existing_by_domain(self.feeds["crm_snapshot"])
 
-    def changed_rows(self, limit: int | None = 200) -> DataFrame:
+    def changed_rows(self, limit: int | None = None) -> DataFrame:
         return crm.changed_rows(self.crm_payload(limit), self.existing_by_domain)
 
     @cached_property

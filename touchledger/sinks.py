@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from touchledger.operators.catalogue import metric_definitions
 
 VIEW_LAYERS = ("staging",)
+# Rows that a result set of the dashboard can have.
+REPORT_ROWS = 100_000
 
 
 def write_layer(df: DataFrame, layer: str, name: str, root: str | None = None, mode: str = "overwrite") -> DataFrame:
@@ -31,24 +33,27 @@ def write_layer(df: DataFrame, layer: str, name: str, root: str | None = None, m
 
 
 def dashboard_extract(results: dict[str, DataFrame], path: str, lookback_days: int = 90,
-                      summary: str = "summary") -> dict:
+                      summary: str = "summary", company: str = "", pitch: str = "") -> dict:
     """Writes the result sets, the run's metadata and the metric definitions as one JSON document.
 
-    Result sets are reports of bounded size (channels, models, months, last runs). One that fails becomes an
-    empty list, so that a missing log does not keep the rest from being published. Returns the document.
+    Result sets are reports of bounded size (channels, models, months, last runs); more than ``REPORT_ROWS`` rows
+    raise, for nothing larger may pass through the driver. One that fails becomes an empty list, so that a missing
+    log does not keep the rest from being published. ``company`` and ``pitch`` head the page. Returns the document.
     """
     spark = next(iter(results.values())).sparkSession
     document: dict = {}
     for name, df in results.items():
         try:
-            document[name] = [json.loads(r[0]) for r in
-                              df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
+            rows = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).limit(REPORT_ROWS + 1).collect()
+            if len(rows) > REPORT_ROWS:
+                raise ValueError(f"{name} has more than {REPORT_ROWS} rows; a dashboard shows reports only")
+            document[name] = [json.loads(r[0]) for r in rows]
         except PySparkException as failure:
             print(f"  ! {name}: {str(failure).splitlines()[0]}")
             document[name] = []
     if summary in document:
         document[summary] = document[summary][0] if document[summary] else {}
-    document["meta"] = {"lookback_days": lookback_days,
+    document["meta"] = {"company": company, "pitch": pitch, "lookback_days": lookback_days,
                         "built_at": datetime.now(timezone.utc).isoformat(timespec="minutes")}
     document["metrics"] = [r.asDict() for r in metric_definitions(spark).collect()]
     spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.mode("overwrite").text(path)

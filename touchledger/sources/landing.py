@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ _NO_VALUE = "\u0001"
 
 
 def _csv(spark: SparkSession, multi_line: bool):
-    return (spark.read.option("header", True).option("inferSchema", False)
+    """A short or long row, and a part file with another header, stop the load."""
+    return (spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
+            .option("enforceSchema", False).option("columnPruning", False)
             .option("nullValue", _NO_VALUE).option("emptyValue", "")
             .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
 
@@ -33,11 +36,12 @@ def _exports(spark: SparkSession, folder: str) -> list[str]:
 
 
 def land_raw(spark: SparkSession, folder: str, load_ts: datetime | None = None, fmt: str = "csv",
-             tables: list[str] | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
+             tables: list[str] | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
     """Every export in ``folder`` as a DataFrame of text columns named after its header, plus the load time.
 
-    ``tables`` names the exports when the caller knows them, which saves listing the folder. ``multi_line``
-    admits line breaks inside quoted cells, but then a file can no longer be split over tasks.
+    ``tables`` names the exports when the caller knows them, which saves listing the folder. Quoted cells may hold
+    line breaks, for which a file is read by one task; deliver large exports as part files. Only where no cell has a
+    line break, ``multi_line=False`` splits files. Reading a table with a malformed row raises.
     """
     stamp = F.lit(load_ts) if load_ts else F.current_timestamp()
     root = folder.rstrip("/")
@@ -68,20 +72,37 @@ def schema_drift(spark: SparkSession, expected: dict[str, list[str]], landed: di
 
 
 def refresh_raw(spark: SparkSession, landed: dict[str, DataFrame], root: str) -> DataFrame:
-    """Replaces the stored raw tables by the landed ones and returns the drift against what was stored."""
-    stored = {}
-    for table in landed:
-        try:
-            stored[table] = [c for c in spark.read.parquet(f"{root}/raw/{table}").columns if c != LOADED_AT]
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":  # anything but the first delivery of this export
-                raise
+    """Replaces the stored raw tables by the landed ones and returns the drift against what was stored.
+
+    The tables are written into a folder of this load; a row that names it is added when all are there. So readers
+    see one complete load or the other, and a load that fails leaves the last one in place.
+    """
+    stored = {t: [c for c in df.columns if c != LOADED_AT]
+              for t, df in ((t, raw_table(spark, root, t)) for t in landed) if df is not None}
     drift = schema_drift(spark, stored, landed)
+    load = f"load-{uuid.uuid4().hex}"
     for table, df in landed.items():
-        write_layer(df, "raw", table, root)
+        write_layer(df, load, table, f"{root.rstrip('/')}/raw")
+    stamp = datetime.now(timezone.utc)
+    rows = [(table, load, stamp) for table in sorted(landed)]
+    (spark.createDataFrame(rows, "table string, folder string, loaded_at timestamp").coalesce(1)
+     .write.mode("append").parquet(f"{root.rstrip('/')}/raw/loads"))
     return drift
 
 
+def raw_table(spark: SparkSession, root: str, table: str) -> DataFrame | None:
+    """The latest load of a raw table, None before the first."""
+    folder = f"{root.rstrip('/')}/raw"
+    try:
+        loads = spark.read.schema("table string, folder string, loaded_at timestamp").parquet(f"{folder}/loads")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = loads.where(F.col("table") == table).orderBy(F.desc("loaded_at")).first()
+    return spark.read.parquet(f"{folder}/{last['folder']}/{table}") if last else None
+
+
 def load_manifest(landed: dict[str, DataFrame]) -> DataFrame:
     """Row count per landed table and in total (``table`` = ``all``)."""
     counts = None
