@@ -1,0 +1,107 @@
+import html as entities
+import random
+import re
+
+import pytest
+
+from touchledger.llm import html
+from touchledger.plans.workspace import Workspace
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def text_of(page):
+    return html.extract(page, frozenset())
+
+
+def test_article_without_what_stands_around_it():
+    page = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a = "</p><article>";</script></head><body>
+    <header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav><aside>Side</aside>
+    <div class="cookie-notice">We use cookies</div><main><article><h1>Head &amp; line</h1><p>One  <b>two</b>
+    three.<p>Four<br>five &lt;six&gt; &copy;<script>x()</script></p><div class="ad">Buy</div><form>Name <input></form>
+    <ul><li>Item<li>Other</ul><footer>By me</footer><section id="comments"><p>Nice!</p></section></article></main>
+    <footer>&copy; all</footer><!-- <p>no</p> --></body></html>"""
+    assert text_of(page).split("\n\n") == ["Head & line", "One two three.", "Four five <six> ©", "Item", "Other"]
+
+
+@pytest.mark.parametrize("page,want", [
+    (None, ""), ("", ""), ("   ", ""), ("no markup at all", "no markup at all"), ("<p>cut off", "cut off"),
+    ("<article><p>a<p>b</article>", "a\n\nb"), ("<article><p>a &am", "a &am"), ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"),
+    ("<ARTICLE><P CLASS=x>UP</P></ARTICLE>", "UP"), ("<div hidden>x</div><p>y</p>", "y"), ("<p>a</p></div></p><p>b", "a\n\nb"),
+    ("<article>x<p title='a>b'>y</p></article>", "x\n\ny"), ("<p title=\"open>z</p>", "z"), ("<script>never closed <p>x", ""),
+    ("<div role='navigation'>n</div><p>t</p>", "t"), ("<article><p>a b c</p></article>", "a b c"),
+    ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"), ("<a>all</a> <a>links</a>", "")])
+def test_odd_pages(page, want):
+    assert text_of(page) == want
+
+
+def test_very_long_and_deep_pages():
+    assert text_of("<article>" + "<p>word</p>" * 20_000 + "</article>").count("word") == 20_000
+    assert text_of("<div>" * 3_000 + "deep" + "</div>" * 3_000) == "deep"
+    assert len(text_of("<article><p>" + "x" * 1_000_000)) == 1_000_000
+
+
+def site(n, seed=1):
+    """Pages whose template is text in plain elements, with no name that gives it away."""
+    rng = random.Random(seed)
+    words = [f"word{i}" for i in range(500)]
+    pages = []
+    for i in range(n):
+        body = [" ".join(rng.choice(words) for _ in range(rng.randint(15, 40))) for _ in range(rng.randint(1, 4))]
+        markup = ("<html><body><div class='top'><span>Welcome to our site</span></div><div class='x1'><p>Read more stories here</p></div>"
+                  "<div class='body'>" + "".join(f"<p>{b}</p>" for b in body) + "</div><div class='x2'>All rights reserved today</div></body></html>")
+        pages.append((i, f"https://plain.example/{i}", markup, "\n\n".join(body)))
+    return pages
+
+
+@pytest.fixture(params=[html.BROADCAST, -1])
+def limit(request):
+    return request.param
+
+
+def test_texts_of_the_template_are_deduced_from_the_pages_of_a_host(llm, workspace, limit):
+    pages = site(30)
+    other = [(100 + i, f"http://few.example/{i}", f"<p>Read more stories here</p><p>own text {i}</p>", None) for i in range(3)]
+    frame = llm.createDataFrame([p[:3] for p in pages + other], "page_id bigint, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in html.main_texts(frame, workspace, limit).collect()}
+    assert len(got) == 33
+    for page, _, _, body in pages:
+        assert got[page] == body
+    assert all(f"own text {i}" in got[100 + i] for i in range(3))
+
+
+def test_classes_are_those_of_equal_vectors(llm, workspace):
+    """Against vectors held whole, page by page."""
+    pages = site(12, 2)
+    frame = llm.createDataFrame([p[:3] for p in pages], "page_id bigint, url string, html string").repartition(3)
+    got = {r["host"]: set(r["tokens"]) for r in html.templates(frame, workspace).collect()}
+    vectors = {}
+    for k, (_, _, page, _) in enumerate(pages):
+        for t in html._tokens_of(page):
+            vectors.setdefault(t, [0] * len(pages))[k] += 1
+    classes = {}
+    for t, v in vectors.items():
+        if t and sum(x > 0 for x in v) >= len(pages) / 2:
+            classes.setdefault(tuple(v), set()).add(t)
+    want = {html._signed(t) for c in classes.values() if len(c) >= html.CLASS_SIZE for t in c}
+    assert want and set(map(frozenset, got.values())) == {frozenset(want)}
+
+
+def test_main_text_of_all_pages(llm, limit, tmp_path):
+    pages = llm.read.parquet(f"{FOLDER}/pages.parquet")
+    got = {r["page_id"]: r for r in html.main_texts(pages, Workspace(llm, str(tmp_path)), limit).collect()}
+    rows = pages.collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", r["html"], re.DOTALL)[1]
+        parts = [" ".join(entities.unescape(re.sub(r"<[^>]*>", " ", p)).split()) for p in re.split(r"</?(?:p|h1)>", re.sub("</?b>", "", article))]
+        assert got[r["page_id"]]["text"] == "\n\n".join(p for p in parts if p)
+        assert got[r["page_id"]]["n_chars"] == len(got[r["page_id"]]["text"])
+
+
+def test_nulls_repeats_and_clashing_columns(llm, workspace, limit):
+    rows = [(1, "http://a/1", "<p>x</p>", "old"), (1, "http://a/1", "<p>x</p>", "old"), (None, None, None, None), (2, "not a url", "", "t")]
+    frame = llm.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = sorted(((r["page_id"], r["url"], r["text"], r["n_chars"]) for r in html.main_texts(frame, workspace, limit).collect()), key=str)
+    assert got == sorted([(1, "http://a/1", "x", 1), (1, "http://a/1", "x", 1), (None, None, "", 0), (2, "not a url", "", 0)], key=str)
+    assert html.main_texts(frame.limit(0), Workspace(llm, workspace.root), limit).count() == 0

@@ -1,0 +1,116 @@
+import math
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from touchledger.llm import decontaminate, packing, queries, simhash, toxicity
+from touchledger.plans.workspace import Workspace
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(llm, tmp_path_factory):
+    """What each stage read and returned."""
+    workspace = Workspace(llm, str(tmp_path_factory.mktemp("stages")))
+    docs, out = llm.read.parquet(f"{FOLDER}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        after = workspace.settle(stage(llm, docs, FOLDER), name)
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_stages_and_their_columns(stages):
+    assert [n for n, *_ in stages] == ["toxicity", "exact_dedup", "simhash_near_dedup", "benchmark_decontamination", "packing"]
+    first = stages[0][1]
+    for _, _, after in stages[:-1]:
+        assert after.dtypes == first.dtypes
+
+
+def texts(frame):
+    return sorted(((r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()), key=str)
+
+
+def test_toxic_documents_go(llm, stages):
+    _, before, after = stages[0]
+    labels = llm.read.parquet(f"{FOLDER}/labels.parquet")
+    judged = toxicity.score_documents(before, labels).collect()
+    assert texts(after) == sorted(((r["doc_id"], r["text"]) for r in judged if not r["predicted"]), key=str)
+    assert 0 < sum(r["predicted"] for r in judged) < 0.25 * len(judged) and len(texts(after)) < len(judged)
+
+
+def test_one_of_equal_texts_stays(stages):
+    _, before, after = stages[1]
+    last = {}
+    for i, t in texts(before):
+        last[t] = max(i, last.get(t, i))
+    assert texts(after) == sorted(((i, t) for t, i in last.items()), key=str)
+
+
+def test_one_of_near_copies_stays(stages):
+    _, before, after = stages[2]
+    rows = texts(before)
+    prints = {i: simhash.fingerprint(t) for i, t in rows}
+    label = {i: i for i in prints}
+    again = True
+    while again:
+        again = False
+        for a in prints:
+            for b in prints:
+                if label[b] < label[a] and (prints[a] ^ prints[b]).bit_count() <= 4:
+                    label[a], again = label[b], True
+    assert [i for i, _ in texts(after)] == sorted((i for i in prints if label[i] == i), key=str) and len(texts(after)) < len(rows)
+
+
+def test_no_test_item_is_left(llm, stages):
+    _, before, after = stages[3]
+    items = llm.read.parquet(f"{FOLDER}/benchmark.parquet")
+    assert decontaminate.find_hits(after, items).where("size(spans) > 0").isEmpty()
+    hit = {r["doc_id"]: sum(s["stop"] - s["start"] for s in r["spans"]) / r["n_words"]
+           for r in decontaminate.find_hits(before, items).where("size(spans) > 0").collect()}
+    left = dict(texts(after))
+    for i, t in texts(before):
+        assert i in left if hit.get(i, 0) <= 0.5 else i not in left
+        assert hit.get(i) or left[i] == t
+    assert all(r["n_chars"] == len(r["text"]) for r in after.collect() if r["doc_id"] in hit)
+
+
+def test_packed_ids_are_all_ids(stages):
+    _, before, after = stages[4]
+    tokens = packing.WordTokens(*packing.byte_bpe())
+    total = sum(len(tokens.tokenizer.encode(t, add_special_tokens=False).ids) + 1 for _, t in texts(before))
+    rows = after.collect()
+    assert sum(r["length"] for r in rows) == total and max(r["sequence_id"] for r in rows) + 1 == math.ceil(total / 2048)
+
+
+def test_run_is_all_stages(llm, stages):
+    assert corpus_pipeline.run(llm, FOLDER).count() == stages[-1][2].count() and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_take_nulls_repeats_and_no_rows(llm, stages, tmp_path):
+    schema = stages[0][1].schema
+    rows = [(1, None, None, None, None), (1, None, None, None, None), (None, "some text", "en", "s", 9), (None, "other text", "en", "s", 10),
+            (2, "", "en", "s", 0), (3, "word " * 30_000, "en", "s", 150_000), (3, "word " * 30_000, "en", "s", 150_000)]
+    for k, some in enumerate((rows, [])):
+        docs, workspace = llm.createDataFrame(some, schema), Workspace(llm, str(tmp_path / str(k)))
+        for name, stage in corpus_pipeline.STAGES:
+            docs = workspace.settle(stage(llm, docs, FOLDER), name)
+        found = {r["doc_id"] for r in docs.collect()}
+        assert found == ({1, None, 3} if some else set()) or found == ({2, None, 3} if some else set())
+
+
+def test_registry():
+    names = entry.queries()
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert set(queries.QUERIES) < set(names) and "pipeline" in names and set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_nothing_else_imports_the_subpackage():
+    from pathlib import Path
+
+    root = Path(entry.__file__).parent
+    for file in [*root.glob("touchledger/**/*.py"), *root.glob("oracles/*.py"), *root.glob("tests/*.py"), root / "bench.py"]:
+        if "llm" not in file.parts:
+            assert "llm" not in file.read_text(), file

@@ -1,0 +1,118 @@
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from touchledger.llm import quality
+
+TEXTS = ["the cat sat on the mat", "a cat and a hat", "the hat on the cat é", None, "", "the cat sat on the mat"]
+
+
+def plain_model(texts, symbols):
+    """Interpolated modified Kneser-Ney as the definition has it, by recursion over dictionaries."""
+    n = quality.ORDER
+    space = int(symbols[32])
+    counts = [None] + [Counter() for _ in range(n)]
+    for t in texts:
+        s = [space] * (n - 1) + [int(symbols[b]) for b in (t or "").encode()] + [space]
+        for i in range(n - 1, len(s)):
+            counts[n][tuple(s[i - n + 1:i + 1])] += 1
+    for k in range(n - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    discounts = [None]
+    for k in range(1, n + 1):
+        c = Counter(counts[k].values())
+        n1, n2, n3, n4 = (c[i] for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
+        d = (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75, 3 - 4 * y * n4 / n3 if n3 else 0.9)
+        discounts.append([max(quality.LEAST_DISCOUNT, x) for x in d])
+
+    def p(gram):
+        if not gram:
+            return 1 / quality.ALPHABET
+        k = len(gram)
+        same = {g: c for g, c in counts[k].items() if g[:-1] == gram[:-1]}
+        below = p(gram[1:])
+        if not same:
+            return below
+        d = {g: min(c, discounts[k][min(c, 3) - 1]) for g, c in same.items()}
+        total = sum(same.values())
+        own = same.get(gram, 0)
+        return (own - d.get(gram, 0)) / total + sum(d.values()) / total * below
+    return p
+
+
+@pytest.fixture(scope="module")
+def fitted(llm, tmp_path_factory):
+    from touchledger.plans.workspace import Workspace
+
+    docs = llm.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id bigint, text string").repartition(3)
+    return quality.QualityModel.fit(docs, Workspace(llm, str(tmp_path_factory.mktemp("model"))))
+
+
+def test_probabilities_are_those_of_the_definition(fitted):
+    table, p = np.exp(fitted.dense().astype(np.float64)), plain_model(TEXTS, fitted.symbols)
+    rng = np.random.default_rng(1)
+    seen = [c for t in TEXTS for c in quality.codes((t or "").encode(), fitted.symbols).tolist()]
+    for code in {*seen, *rng.integers(0, quality.ALPHABET ** quality.ORDER, 200).tolist()}:
+        gram = tuple(code >> quality.BITS * k & quality.ALPHABET - 1 for k in range(quality.ORDER - 1, -1, -1))
+        assert table[code] == pytest.approx(p(gram), rel=1e-4)
+
+
+def test_probabilities_of_a_context_add_up_to_one(fitted):
+    table = np.exp(fitted.dense().astype(np.float64)).reshape(-1, quality.ALPHABET)
+    assert np.allclose(table.sum(1), 1, atol=1e-4)
+
+
+def test_perplexity_of_a_text_and_of_its_parts(llm, fitted, documents, monkeypatch):
+    docs = documents((1, "the cat on a mat"), (2, None), (3, ""), (4, "#### zzzz"), (5, "the cat sat on the mat " * 3000))
+    got = {r["doc_id"]: r["p"] for r in docs.select("doc_id", quality.perplexities(docs, fitted)(docs["text"]).alias("p")).collect()}
+    p = plain_model(TEXTS, fitted.symbols)
+    for doc, text in ((1, "the cat on a mat"), (2, ""), (3, ""), (4, "#### zzzz")):
+        s = [int(fitted.symbols[32])] * 3 + [int(fitted.symbols[b]) for b in text.encode()] + [int(fitted.symbols[32])]
+        logs = [math.log(p(tuple(s[i - 3:i + 1]))) for i in range(3, len(s))]
+        assert got[doc] == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-3)
+    assert got[4] > 5 * got[1] > 5 * got[5]
+    table = fitted.dense()
+    raw = ("the cat sat on the mat " * 40).encode()
+    whole = table[quality.codes(raw, fitted.symbols)].sum()
+    monkeypatch.setattr(quality, "_PORTION", 64)
+    parts = 0.0
+    for at in range(0, len(raw) + 1, 64):
+        first = max(0, at - quality.ORDER)
+        code = quality.codes(raw[first:at + 64], fitted.symbols)[at - first:]
+        parts += table[code if at + 64 > len(raw) else code[:-1]].sum()
+    assert parts == pytest.approx(whole, rel=1e-5)
+
+
+def test_thresholds_by_language(llm, documents, workspace):
+    rows = [(i, f"this is plain text number {i} of a series", "en") for i in range(40)]
+    rows += [(100 + i, f"voici un texte simple numéro {i} de la série", "fr") for i in range(40)]
+    rows += [(200, "#@!$ %^&* ~~~~ ||||", "en"), (201, "plain text of a series", None), (202, None, "en"), (203, "this is text number 5", "xx"),
+             (None, "this is plain text number 3 of a series", "en"), (0, rows[0][1], "en")]
+    docs = documents(*rows, schema="doc_id bigint, text string, lang string")
+    ids = documents(*[(i,) for i in range(30)], *[(100 + i,) for i in range(30)], (None,), schema="doc_id bigint")
+    got = quality.judge(docs, ids, slack=1.5, workspace=workspace).collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r for r in got}
+    assert not by[200]["kept"] and by[35]["kept"] and by[135]["kept"] and by[0]["kept"]
+    assert by[35]["threshold"] != by[135]["threshold"] and by[201]["threshold"] == by[203]["threshold"]
+
+
+def test_no_trusted_text_and_no_documents(llm, documents, workspace):
+    docs = documents((1, "a", "en"), (2, None, None), schema="doc_id bigint, text string, lang string")
+    none = documents(schema="doc_id bigint")
+    got = quality.judge(docs, none, workspace=workspace).collect()
+    assert {r["kept"] for r in got} == {True} and {round(r["perplexity"], 3) for r in got} == {64.0}
+    assert quality.judge(docs.limit(0), none, workspace=workspace).count() == 0
+
+
+def test_junk_goes_and_good_documents_stay(llm):
+    from touchledger.llm.queries import op7_quality
+
+    kept = {r["doc_id"]: r["kept"] for r in op7_quality(llm, "/root/testdata/sf0.01").collect()}
+    labels = llm.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    good = [kept[r["doc_id"]] for r in labels if r["quality"] == 1]
+    junk = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
+    assert sum(good) / len(good) > 0.97 and sum(junk) / len(junk) < 0.35

@@ -107,14 +107,15 @@ def _steps(state: dict, name: str, grad, rate: float, at: int):
     return rate * (m / (1 - 0.9 ** at)) / (np.sqrt(v / (1 - 0.999 ** at)) + 1e-8)
 
 
-def train(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 3, batch: int = 128,
-          rate: float = 0.03, decay: float = 0.3, least: int = 30, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 150, batch: int = 128,
+          rate: float = 0.06, decay: float = 0.3, seed: int = 7) -> tuple[np.ndarray, float]:
     """Each bucket's product with the softmax weights (toxic less clean), and the bias.
 
     ``parts`` hold, for some documents after the other, what ``features`` gives; they are used up.
     """
     rng = np.random.default_rng(seed)
     # A bucket that few documents have tells the sample apart, not toxic from clean; it stays at zero.
+    least = min(30, max(5, len(labels) // 100))
     common = sum(np.bincount(bucket, minlength=BUCKETS) for _, bucket, _ in parts) >= least
     kept, number, sizes = np.flatnonzero(common), (np.cumsum(common) - 1).astype(np.int32), []
     for i, (size, bucket, share) in enumerate(parts):
@@ -126,34 +127,32 @@ def train(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.nda
     first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
     table = (rng.normal(size=(len(kept), DIMENSIONS)) / DIMENSIONS).astype(np.float32)
     weights, bias = (rng.normal(size=(DIMENSIONS, 2)) / DIMENSIONS).astype(np.float32), np.zeros(2, np.float32)
-    m1, m2, state, at = np.zeros_like(table), np.zeros_like(table), {}, 0
-    total = epochs * -(-len(labels) // batch)
-    for _ in range(epochs):
-        order = rng.permutation(len(labels))
-        for begin in range(0, len(order), batch):
-            chosen = order[begin:begin + batch]
-            at += 1
-            step = rate * (1 - 0.95 * at / total)
-            n = first[chosen + 1] - first[chosen]
-            entry = np.arange(n.sum()) + np.repeat(first[chosen] - np.cumsum(n) + n, n)
-            owner, value = np.repeat(np.arange(len(chosen)), n), SCALE * share[entry]
-            touched, local = np.unique(bucket[entry], return_inverse=True)
-            now = table[touched]
-            mean = np.stack([np.bincount(owner, value * now[local, k], len(chosen)) for k in range(DIMENSIONS)], 1)
-            logit = mean @ weights + bias
-            p = np.exp(logit - logit.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(chosen)), labels[chosen]] -= 1
-            p /= len(chosen)
-            back = p @ weights.T
-            grad = np.stack([np.bincount(local, value * back[owner, k], len(touched)) for k in range(DIMENSIONS)],
-                            1).astype(np.float32)
-            m1[touched] = 0.9 * m1[touched] + 0.1 * grad
-            m2[touched] = 0.999 * m2[touched] + 0.001 * grad * grad
-            table[touched] = now * (1 - step * decay) - step * (m1[touched] / (1 - 0.9 ** at)) / (
-                np.sqrt(m2[touched] / (1 - 0.999 ** at)) + 1e-8)
-            weights -= _steps(state, "weights", mean.T @ p, step, at).astype(np.float32)
-            bias -= _steps(state, "bias", p.sum(0), step, at).astype(np.float32)
+    m1, m2, state, order = np.zeros_like(table), np.zeros_like(table), {}, np.zeros(0, np.int64)
+    for at in range(1, steps + 1):
+        if len(order) < batch:
+            order = np.concatenate([order, rng.permutation(len(labels))])
+        chosen, order = order[:batch], order[batch:]
+        step = rate * (1 - 0.95 * at / steps)
+        n = first[chosen + 1] - first[chosen]
+        entry = np.arange(n.sum()) + np.repeat(first[chosen] - np.cumsum(n) + n, n)
+        owner, value = np.repeat(np.arange(len(chosen)), n), SCALE * share[entry]
+        touched, local = np.unique(bucket[entry], return_inverse=True)
+        now = table[touched]
+        mean = np.stack([np.bincount(owner, value * now[local, k], len(chosen)) for k in range(DIMENSIONS)], 1)
+        logit = mean @ weights + bias
+        p = np.exp(logit - logit.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        p[np.arange(len(chosen)), labels[chosen]] -= 1
+        p /= len(chosen)
+        back = p @ weights.T
+        grad = np.stack([np.bincount(local, value * back[owner, k], len(touched)) for k in range(DIMENSIONS)],
+                        1).astype(np.float32)
+        m1[touched] = 0.9 * m1[touched] + 0.1 * grad
+        m2[touched] = 0.999 * m2[touched] + 0.001 * grad * grad
+        table[touched] = now * (1 - step * decay) - step * (m1[touched] / (1 - 0.9 ** at)) / (
+            np.sqrt(m2[touched] / (1 - 0.999 ** at)) + 1e-8)
+        weights -= _steps(state, "weights", mean.T @ p, step, at).astype(np.float32)
+        bias -= _steps(state, "bias", p.sum(0), step, at).astype(np.float32)
     out = np.zeros(BUCKETS, np.float32)
     out[kept] = SCALE * table @ (weights[:, 1] - weights[:, 0])
     return out, float(bias[1] - bias[0])
