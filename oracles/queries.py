@@ -164,7 +164,7 @@ EXTRACTS = {
 }
 EXTRACT_ROWS = _union([
     f"select '{n}' as result_set, '{c}' as field, (select count(*) from {r}) as rows, (select count({c}) from {r}) as filled, "
-    f"(select cast(round(sum(cast({c} as decimal(38,10))), 2) as double) from {r}) as total" for n, (r, cs) in EXTRACTS.items() for c in cs])
+    f"(select cast(round(sum(cast({c} as decimal(38,10))), 4) as double) from {r}) as total" for n, (r, cs) in EXTRACTS.items() for c in cs])
 
 WEIGHT = "select deal_id, touchpoint_id, channel, round(credit, 8) as credit from touch_credit where model = '{0}'"
 RUNS = ("select e as run_id, moment as started_at, moment + to_seconds(40) as finished_at, "

@@ -181,12 +181,11 @@ def test_registry_and_oracles_cover_the_same_queries():
 
 def test_text_exports_give_the_same_marts_as_typed_feeds(spark, tmp_path):
     from touchledger.plans.queries import _landed
-    from touchledger.sources.landing import land_raw
 
     typed = warehouse(spark, FOLDER)
     landed = _landed(typed)
     assert all(t == "string" for df in landed.values() for c, t in df.dtypes if not c.startswith("_"))
-    text = Warehouse(spark, land_raw(spark, f"{typed.workspace.root}/exports"))
+    text = Warehouse(spark, landed)
     for name in ("channel_summary", "retention", "funnel_monthly"):
         ours, theirs = (sorted(map(str, getattr(wh, name).collect())) for wh in (text, typed))
         assert ours == theirs and ours

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -59,7 +60,7 @@ def _end(name: str) -> Query:
 
 def _landed(wh: Warehouse, names: Iterable[str] = RAW_FEEDS) -> dict[str, DataFrame]:
     """Feeds written as CSV exports and landed again."""
-    folder = f"{wh.workspace.root}/exports"
+    folder = f"{wh.workspace.root}/exports-{uuid.uuid4().hex}"
     for name in names:
         (driver_tables.as_text(wh.feeds[name]).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
          .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(f"{folder}/{name}.csv"))
@@ -96,7 +97,7 @@ def _drift(wh: Warehouse) -> DataFrame:
 def _dashboard(wh: Warehouse) -> DataFrame:
     for name in nightly.MARTS:
         wh.shared(name)
-    path = f"{wh.workspace.root}/dashboard"
+    path = f"{wh.workspace.root}/dashboard-{uuid.uuid4().hex}"
     dashboard_extract(nightly.extracts(wh), path, wh.cfg.lookback_days)
     document = json.loads(wh.spark.read.text(path).first()[0])
     out = []
@@ -104,7 +105,7 @@ def _dashboard(wh: Warehouse) -> DataFrame:
         found = found if isinstance(found, list) else [found]
         numbers = {k: [r[k] for r in found if isinstance(r[k], (int, float)) and not isinstance(r[k], bool)]
                    for k in (found[0] if name not in ("meta", "metrics") and found else {})}
-        out += [(name, k, len(found), len(v), round(math.fsum(v), 2)) for k, v in numbers.items() if v]
+        out += [(name, k, len(found), len(v), round(math.fsum(v), 4)) for k, v in numbers.items() if v]
     return wh.spark.createDataFrame(out, "result_set string, field string, rows bigint, filled bigint, total double")
 
 
@@ -141,7 +142,7 @@ def _row_check(name: str) -> Query:
 def _exported_truth(wh: Warehouse) -> DataFrame:
     """Models scored against a measured effect that comes as an export, as text."""
     feeds = {**{n: wh.feeds[n] for n in wh.feeds}, "channel_incrementality": driver_tables.as_text(wh.incremental_lift)}
-    return Warehouse(wh.spark, feeds, wh.cfg, wh.workspace).truth_evaluation
+    return Warehouse(wh.spark, feeds, wh.cfg).truth_evaluation
 
 
 QUERIES: dict[str, Query] = {
