@@ -44,7 +44,7 @@ def test_only_the_text_decides(llm, documents):
     docs = documents((1, "der die das und nicht", "de"), (2, "the and of to in", "en"), (3, "ein und der mit von", "de"),
                      (4, "is it that for was", "en"), schema="doc_id bigint, text string, lang string")
     model = language.LanguageModel.fit(docs)
-    odd = documents((9, "der und das", "en"), (10, None, "de"), (11, "123 !?", "de"), (12, "", None), (9, "der und das", "en"),
+    odd = documents((9, "der und das", "en"), (10, None, "de"), (11, "123 ½²Ⅷ !?", "de"), (12, "", None), (9, "der und das", "en"),
                     (13, "the " * 200_000, None), (None, "mit von der", None), schema="doc_id bigint, text string, score string")
     got = [(r["doc_id"], r["lang_pred"]) for r in language.identify(odd, model).collect()]
     assert sorted(got, key=str) == sorted([(9, "de"), (10, "und"), (11, "und"), (12, "und"), (9, "de"), (13, "en"), (None, "de")], key=str)

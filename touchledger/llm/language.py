@@ -15,7 +15,6 @@ sorts first; repeated rows each get their row; input columns with a result's nam
 from __future__ import annotations
 
 import itertools
-import re
 
 import numpy as np
 import pandas as pd
@@ -30,7 +29,6 @@ SAMPLE, LANGUAGES = 4000, 1000
 #: The two best codewords are ambiguous if their scores differ by less.
 MARGIN = 0.2
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.array([b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256)], np.uint32)
 _MIX = np.uint32(0x9E3779B1)
 _SHIFT = np.uint32(32 - 12)
@@ -54,6 +52,10 @@ def codewords(n: int, seed: int = 5) -> np.ndarray:
     return best[1]
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def _grams(raw: np.ndarray) -> list[np.ndarray]:
     folded = _FOLD[raw]
     two = folded[:-1] * np.uint32(257) + folded[1:]
@@ -94,7 +96,7 @@ class LanguageModel:
             (F.lit(k), F.lit(int(parts * min(1.0, each / n)))) for k, n in counts.items()))
         place = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id"), F.col("text")), F.lit(parts))
         rows = known.where(place < shares[F.col("lang")]).select("lang", "text", place.alias("place")).collect()
-        rows = sorted((r["lang"], r["place"], r["text"]) for r in rows if _LETTER.search(r["text"]))
+        rows = sorted((r["lang"], r["place"], r["text"]) for r in rows if has_letter(r["text"]))
         languages = sorted({r[0] for r in rows})
         number = {k: i for i, k in enumerate(languages)}
         return cls._train(languages, [r[2] for r in rows], np.array([number[r[0]] for r in rows], int))
@@ -125,7 +127,7 @@ class LanguageModel:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """Language, score and whether the decoding is ambiguous."""
         out = [(UNDETERMINED, 0.0, False)] * len(texts)
-        some = [i for i, t in enumerate(texts) if t and self.languages and _LETTER.search(t)]
+        some = [i for i, t in enumerate(texts) if t and self.languages and has_letter(t)]
         for at in range(0, len(some), 128):
             own = some[at:at + 128]
             if len(self.languages) == 1:
