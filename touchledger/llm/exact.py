@@ -29,13 +29,16 @@ class DigestIndex:
     """A digest table at a path; a later session that opens the same path goes on with it.
 
     The number of buckets is a property of the written files, so a path has to be opened with the number it began with.
+    Without one it is the session's number of shuffle partitions: then a batch, dealt as Spark deals it, writes one file
+    for each bucket, and joins with the index bucket by bucket.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
-        self.spark, self.path, self.buckets = spark, path, buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path = spark, path
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"""CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet
-                      CLUSTERED BY (digest) SORTED BY (digest) INTO {int(buckets)} BUCKETS LOCATION '{path}'""")
+                      CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{path}'""")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -68,10 +71,12 @@ class DigestIndex:
     def keep(self, docs: DataFrame, workspace: Workspace | None = None) -> DataFrame:
         """The documents of a batch that stay, with all their columns.
 
-        Joined by digest and id together, so that a text with many copies is no hot key.
+        Joined by digest and id in one key, so that a text with many copies is no hot key, and repeated rows are
+        reduced to one where the join has brought them: the texts move once.
         """
-        staying = self.add(docs, workspace).where("kept").select(F.col("digest").alias("_digest"),
-                                                                 F.col("doc_id").alias("_doc_id"))
-        marked = docs.withColumn("_sha", digest_of(docs["text"]))
-        same = (marked["_sha"] == staying["_digest"]) & marked["doc_id"].cast("bigint").eqNullSafe(staying["_doc_id"])
-        return marked.join(staying.hint("merge"), same).dropDuplicates(["_digest", "_doc_id"]).select(*docs.columns)
+        def key(digest: Column, doc_id: Column) -> Column:
+            return F.concat(digest, F.coalesce(doc_id.cast("bigint").cast("string"), F.lit("")).cast("binary"))
+
+        staying = self.add(docs, workspace).where("kept").select(key(F.col("digest"), F.col("doc_id")).alias("_key"))
+        marked = docs.withColumn("_key", key(digest_of(F.col("text")), F.col("doc_id")))
+        return marked.hint("merge").join(staying.hint("merge"), "_key").dropDuplicates(["_key"]).select(*docs.columns)
