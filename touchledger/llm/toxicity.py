@@ -29,7 +29,7 @@ from touchledger.llm.common import remainder
 BUCKETS = 1 << 18
 DIMENSIONS = 8
 #: Bound of the sample of labelled documents: clean ones, toxic ones.
-SAMPLE = (6000, 3000)
+SAMPLE = (5000, 2500)
 #: The mean over a document's words is scaled by this before the softmax: a few words in a hundred are to decide.
 SCALE = 50.0
 #: Words without a bucket that are counted in every document.
@@ -117,13 +117,16 @@ def train(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.nda
     # A bucket that few documents have tells the sample apart, not toxic from clean; it stays at zero.
     least = min(30, max(5, len(labels) // 100))
     common = sum(np.bincount(bucket, minlength=BUCKETS) for _, bucket, _ in parts) >= least
-    kept, number, sizes = np.flatnonzero(common), (np.cumsum(common) - 1).astype(np.int32), []
-    for i, (size, bucket, share) in enumerate(parts):
-        use = common[bucket]
+    kept, number, sizes, end = np.flatnonzero(common), (np.cumsum(common) - 1).astype(np.int32), [], 0
+    entries = sum(int(common[bucket].sum()) for _, bucket, _ in parts)
+    bucket, share = np.empty(entries, np.int32), np.empty(entries, np.float32)
+    parts.reverse()
+    while parts:
+        size, some, part = parts.pop()
+        use = common[some]
         sizes.append(np.bincount(np.repeat(np.arange(len(size)), size)[use], minlength=len(size)))
-        parts[i] = (number[bucket[use]], share[use])
-    bucket, share = (np.concatenate(x) for x in zip(*parts))
-    parts.clear()
+        begin, end = end, end + int(use.sum())
+        bucket[begin:end], share[begin:end] = number[some[use]], part[use]
     first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
     table = (rng.normal(size=(len(kept), DIMENSIONS)) / DIMENSIONS).astype(np.float32)
     weights, bias = (rng.normal(size=(DIMENSIONS, 2)) / DIMENSIONS).astype(np.float32), np.zeros(2, np.float32)
@@ -178,12 +181,14 @@ class ToxicityModel:
     def fit(cls, docs: DataFrame, labels: DataFrame, bound: tuple[int, int] = SAMPLE) -> ToxicityModel:
         """Trains on a bounded sample of the labels given."""
         rows = sorted(((r["doc_id"], r["text"] or "", r["toxic"]) for r in sample(docs, labels, bound).collect()))
-        toxic = np.array([r[2] for r in rows], np.int64)
+        toxic, texts, parts = np.array([r[2] for r in rows], np.int64), [r[1] for r in rows], []
+        del rows
         if len(set(toxic.tolist())) < 2:
             return cls(np.zeros(BUCKETS, np.float32), 40.0 if len(toxic) and toxic[0] else -40.0)
-        texts, parts = [r[1] for r in rows], []
         for some in _portions(texts):
             parts.append(features([texts[i] for i in some]))
+            for i in some:
+                texts[i] = ""
         return cls(*train(parts, toxic))
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
