@@ -30,6 +30,9 @@ def test_article_without_what_stands_around_it():
     ("<ARTICLE><P CLASS=x>UP</P></ARTICLE>", "UP"), ("<div hidden>x</div><p>y</p>", "y"), ("<p>a</p></div></p><p>b", "a\n\nb"),
     ("<article>x<p title='a>b'>y</p></article>", "x\n\ny"), ("<p title=\"open>z</p>", "z"), ("<script>never closed <p>x", ""),
     ("<div role='navigation'>n</div><p>t</p>", "t"), ("<article><p>a b c</p></article>", "a b c"),
+    ("<article><header><h1><a>Head</a></h1><span>by me</span></header><p>t</p></article>", "Head\n\nt"),
+    ("<div class='articleBody'><p>in</p></div><p>out</p>", "in"), ("<p>a<br>b</p>", "a b"),
+    ("<main><p>t</p><ul class='share-links'><li>x</li></ul><div id='sidebar'>s</div></main>", "t"),
     ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n\n2\n\n3"), ("<a>all</a> <a>links</a>", "")])
 def test_odd_pages(page, want):
     assert text_of(page) == want

@@ -147,7 +147,7 @@ def texts(page: str):
                 stack.pop()
         top = stack[-1]
         name, pieces, hidden = _attributes(m.group(3) or "")
-        inside = top.main or tag in MAIN or tag in ("div", "section") and "articlebody" in pieces
+        inside = top.main or tag in MAIN or tag in ("div", "section") and {"article", "body"} <= set(pieces)
         header = top.header or tag == "header" or "header" in pieces
         dropped = (top.dropped or hidden or tag in BOILERPLATE or tag not in ("html", "body") and
                    any(p in HINTS for p in pieces))
@@ -275,12 +275,19 @@ def templates(pages: DataFrame, workspace: Workspace) -> DataFrame:
             .agg(F.flatten(F.collect_list("class")).alias("tokens")))
 
 
+def _block(element: Element) -> str:
+    """Kind of the block that an inline element is in."""
+    while element.tag in INLINE and element.up is not None:
+        element = element.up
+    return element.tag
+
+
 def extract(page: str | None, template: frozenset) -> str:
     """The main text of a page, given the tokens of its host's template."""
     found = list(blocks(page or ""))
     chosen = []
     for text, element, linked in found:
-        if element.dropped or element.header and element.tag not in HEADINGS:
+        if element.dropped or element.header and _block(element) not in HEADINGS:
             continue
         # Nested classes: a text can only be the template's if the elements around it are.
         if element.path in template and all(t in template for t in _tokens(text, element.path)) and not element.main:
