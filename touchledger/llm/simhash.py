@@ -103,17 +103,19 @@ def links(fingerprints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFram
 def components(edges: DataFrame, workspace: Workspace) -> DataFrame:
     """(node, root) for every node with a link; alternating large-star and small-star contractions.
 
-    A hub is no hot group: neighbours are only reduced to their minimum, and the join back is one that Spark can split.
+    A hub is no hot group: its neighbours are only reduced to their minimum, in the tasks first. The minima are written
+    before they are joined back, so that both sides of the join come out of an exchange and Spark can split the hub's.
     """
     edges = workspace.settle(edges.select("a", "b"), f"links-{uuid.uuid4().hex}")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = workspace.settle(least, f"least-{uuid.uuid4().hex}")
         large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        large = workspace.settle(large.where("u <> v").distinct(), f"large-{uuid.uuid4().hex}")
         # Every pair of large now leads from a node to a smaller one.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = workspace.settle(large.groupBy("u").agg(F.min("v").alias("m")), f"low-{uuid.uuid4().hex}")
         small = (large.join(low.hint("merge"), "u")
                  .select(F.explode(F.expr("array(struct(u as a, m as b), struct(v as a, m as b))")).alias("e"))
                  .select("e.a", "e.b").where("a <> b").distinct())
@@ -149,9 +151,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
              workspace: Workspace | None = None) -> DataFrame:
-    """The documents with one of each group, with all their columns."""
+    """The documents with one of each group, with all their columns; the texts move once."""
+    def key(text_hash, doc_id):
+        return F.concat_ws(":", text_hash.cast("string"), doc_id.cast("bigint").cast("string"))
+
     kept = (near_duplicates(docs, shingle, max_distance, workspace).where("kept")
-            .select(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).distinct())
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
-    same = marked["doc_id"].cast("bigint").eqNullSafe(kept["_doc_id"]) & (marked["_hash"] == kept["_text_hash"])
-    return (marked.join(kept.hint("merge"), same).dropDuplicates(["_doc_id", "_text_hash"]).select(*docs.columns))
+            .select(key(F.col("text_hash"), F.col("doc_id")).alias("_key")).distinct())
+    marked = docs.withColumn("_key", key(F.xxhash64("text"), F.col("doc_id")))
+    return marked.hint("merge").join(kept.hint("merge"), "_key").dropDuplicates(["_key"]).select(*docs.columns)
