@@ -63,7 +63,8 @@ class DigestIndex:
         (fresh.repartition(self.buckets, "digest").sortWithinPartitions("digest")
          .write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
          .saveAsTable(self.name))
-        held = groups.join(self.rows().hint("merge"), "digest")
+        # Written, so that both sides of the last join come out of an exchange and Spark can split a text with many copies.
+        held = workspace.settle(groups.join(self.rows().hint("merge"), "digest"), f"held-{batch}")
         return (keyed.hint("merge").join(held.hint("merge"), "digest")
                 .select(keyed["doc_id"], "digest", "keep_id", "group_size",
                         ((F.col("batch") == batch) & (keyed["row"] == F.col("last.row"))).alias("kept")))
