@@ -108,3 +108,30 @@ def test_nulls_repeats_and_clashing_columns(llm, workspace, limit):
     got = sorted(((r["page_id"], r["url"], r["text"], r["n_chars"]) for r in html.main_texts(frame, workspace, limit).collect()), key=str)
     assert got == sorted([(1, "http://a/1", "x", 1), (1, "http://a/1", "x", 1), (None, None, "", 0), (2, "not a url", "", 0)], key=str)
     assert html.main_texts(frame.limit(0), Workspace(llm, workspace.root), limit).count() == 0
+
+
+def articles(n, repeats):
+    """Pages with an article of a few own paragraphs and texts that repeat, in elements without a telling name."""
+    rng, pages = random.Random(5), []
+    for i in range(n):
+        own = [" ".join(f"word{rng.randrange(500)}" for _ in range(rng.randint(4, 30))) for _ in range(rng.randint(2, 5))]
+        some = "".join(r for k, r in enumerate(repeats) if k == 0 or i % 5)
+        markup = f"<html><body><article><h1>Title {i}</h1><h2>In short</h2>" + "".join(f"<p>{p}</p>" for p in own) + some
+        pages.append((i, f"https://news.example/{i}", markup + "</article></body></html>", own))
+    return pages
+
+
+def test_template_within_articles(llm, workspace, limit):
+    notice, box = "<p>Get word42 by post every week</p>", "<div class='k7'><p>Ann has written here since the first day, and lives in a small town by the sea.</p></div>"
+    long = "<p>You can read three of our stories every month without paying anything for it, and more if you like us.</p>"
+    pages = articles(40, [notice, box, long])
+    frame = llm.createDataFrame([p[:3] for p in pages], "page_id bigint, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html.main_texts(frame, workspace, limit).collect()}
+    for i, _, _, own in pages:
+        assert got[i].split("\n\n") == [f"Title {i}", "In short", *own]
+
+
+def test_copies_of_an_article_keep_their_text(llm, workspace):
+    page = "<html><body><article><h1>Gone</h1><p>This page is no longer here</p></article></body></html>"
+    frame = llm.createDataFrame([(i, "https://copy.example/", page) for i in range(12)], "page_id bigint, url string, html string")
+    assert {r["text"] for r in html.main_texts(frame, workspace).collect()} == {"Gone\n\nThis page is no longer here"}

@@ -1,7 +1,7 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its elements, told apart by their path, and its texts, told apart by path and word (a text of more
-than twelve words is one token). Over the pages of a host every token has an occurrence vector: how often it occurs on
+Tokens of a page are its elements, told apart by their path, and its texts, told apart by path, as a whole and, up to
+twelve words, word by word. Over the pages of a host every token has an occurrence vector: how often it occurs on
 each page. Tokens that share a vector form an equivalence class; a class of several tokens that occurs on at least half
 of the host's pages belongs to the template, if the elements around its tokens do too, so that classes nest. What a page
 has between the tokens of the template are the slots, and their values are its data.
@@ -12,7 +12,8 @@ no page moves. Hosts with few pages take the template of all hosts together.
 
 Slots are told apart by the elements around them. Those of navigation, headers, footers, sidebars, notices, adverts,
 forms and comments are left out; where the page has slots in an article or main element, only these are taken, else
-all but those that consist of links in most pages. Texts that are template tokens throughout are left out.
+all but those that consist of links in most pages. Texts that are template tokens throughout are left out, in an article
+too; its headings stay, and an article that is the template's throughout (pages that are copies) stays whole.
 
 Defined results: null and empty pages give the empty text; a page without a host belongs to the host ``''``; a page that
 is cut off, or whose elements are not closed, is read as far as it goes; repeated rows count as pages of their own and
@@ -158,7 +159,7 @@ def texts(page: str):
                     yield " ", top
                 continue
         else:
-            element = Element(tag, _hash(top.path, tag + name), dropped, inside, top.link, header, top)
+            element = Element(tag, _hash(top.path, tag + name) & ~1, dropped, inside, top.link, header, top)
             yield None, element
         if tag in RAW:
             end = _END[tag].search(page, at)
@@ -198,9 +199,30 @@ def blocks(page: str, starts: list | None = None):
         yield joined, owner, linked
 
 
+def _block(element: Element) -> Element:
+    """The block that an inline element is in."""
+    while element.tag in INLINE and element.up is not None:
+        element = element.up
+    return element
+
+
 def _tokens(text: str, path: int) -> list[int]:
-    words = text.split(" ")
-    return [_hash(path, "\0" + w) for w in words] if len(words) <= LONG else [_hash(path, "\1" + text)]
+    """The token of the whole text, odd if it is long and even otherwise, as all others are; then those of its words."""
+    words, whole = text.split(" "), _hash(path, "\1" + text)
+    return [whole & ~1, *(_hash(path, "\0" + w) & ~1 for w in words)] if len(words) <= LONG else [whole | 1]
+
+
+def _repeated(text: str, element: Element, template: frozenset) -> bool:
+    """Whether a text is the template's, and the elements around it are.
+
+    A text that occurs as a whole needs only the element around its own to be in the template: of an element that comes
+    as often as a page has paragraphs, one may hold the same text on all pages.
+    """
+    whole, *words = _tokens(text, element.path)
+    if whole in template:
+        block = _block(element)
+        return block.path in template or block.up is None or block.up.up is None or block.up.path in template
+    return bool(words) and element.path in template and all(t in template for t in words)
 
 
 def host_of(url: str | None) -> str:
@@ -271,33 +293,28 @@ def templates(pages: DataFrame, workspace: Workspace) -> DataFrame:
                 .where((F.col("pages") >= SUPPORT * F.col("of")) & (F.col("token") != 0)))
     # At most 1 / SUPPORT times the tokens of a page stand on as many pages, so these lists are short.
     return (frequent.groupBy("host", "vector", "pages", "total").agg(F.collect_list("token").alias("class"))
-            .where(F.size("class") >= CLASS_SIZE).groupBy("host")
+            # A long text that repeats is as many tokens by itself.
+            .where((F.size("class") >= CLASS_SIZE) | F.exists("class", lambda t: t.bitwiseAND(F.lit(1)) == 1))
+            .groupBy("host")
             .agg(F.flatten(F.collect_list("class")).alias("tokens")))
 
 
-def _block(element: Element) -> str:
-    """Kind of the block that an inline element is in."""
-    while element.tag in INLINE and element.up is not None:
-        element = element.up
-    return element.tag
-
-
 def extract(page: str | None, template: frozenset) -> str:
     """The main text of a page, given the tokens of its host's template."""
     found = list(blocks(page or ""))
     chosen = []
     for text, element, linked in found:
-        if element.dropped or element.header and _block(element) not in HEADINGS:
-            continue
-        # Nested classes: a text can only be the template's if the elements around it are.
-        if element.path in template and all(t in template for t in _tokens(text, element.path)) and not element.main:
+        if element.dropped or element.header and _block(element).tag not in HEADINGS:
             continue
-        chosen.append((text, element, linked))
-    if any(element.main for _, element, _ in chosen):
+        chosen.append((text, element, linked, _repeated(text, element, template)))
+    if any(element.main for _, element, _, _ in chosen):
         chosen = [c for c in chosen if c[1].main]
+        # Without a slot of its own the page is a copy of others, and nothing tells its text from the template.
+        if not all(c[3] for c in chosen):
+            chosen = [c for c in chosen if not c[3] or _block(c[1]).tag in HEADINGS]
     else:
-        chosen = [c for c in chosen if c[2] < 0.5 * len(c[0]) and not c[1].header]
-    return "\n\n".join(text for text, _, _ in chosen)
+        chosen = [c for c in chosen if c[2] < 0.5 * len(c[0]) and not c[1].header and not c[3]]
+    return "\n\n".join(c[0] for c in chosen)
 
 
 def main_texts(pages: DataFrame, workspace: Workspace | None = None, broadcast: int = BROADCAST) -> DataFrame:
