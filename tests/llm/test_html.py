@@ -135,3 +135,20 @@ def test_copies_of_an_article_keep_their_text(llm, workspace):
     page = "<html><body><article><h1>Gone</h1><p>This page is no longer here</p></article></body></html>"
     frame = llm.createDataFrame([(i, "https://copy.example/", page) for i in range(12)], "page_id bigint, url string, html string")
     assert {r["text"] for r in html.main_texts(frame, workspace).collect()} == {"Gone\n\nThis page is no longer here"}
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<div class='content-sidebar-wrap'><main><p>t</p></main></div>", "t"),
+    ("<div class='has-sidebar'><article><p>t</p></article></div><p>out</p>", "t"),
+    ("<div class='no-comments'><article><p>t</p></article></div>", "t"),
+    ("<div class='sidebar'><main><article><p>t</p></article></main></div><p>out</p>", "t"),
+    ("<div class='widget'><article><p>t</p></article></div><p>out</p>", "t"),
+    ("<div class='related'><article><p>teaser</p></article></div><article><p>t</p></article>", "t"),
+    ("<article><p>t</p></article><div id='comments'><article class='comment'><p>Nice</p></article></div>", "t"),
+    ("<article><p>t</p><section id='discussion'><p>d</p></section></article>", "t\n\nd"),
+    ("<article><h2 id='related-work'>R</h2><h2 id='search'>S</h2><p class='notice-period'>n</p></article>", "R\n\nS\n\nn"),
+    ("<article><p>t</p><ul class='related'><li><a>x</a></li></ul><div class='post-sidebar'>s</div><div class='ad-2'>b</div></article>", "t"),
+    ("<nav class='sidebar'><main><p>x</p></main></nav><p>t</p>", "t"),
+    ("<div class='site-header no-header'><p>x</p></div><div class='no-header'><p>t</p></div>", "t")])
+def test_names_drop_only_what_they_name(page, want):
+    assert text_of(page) == want

@@ -11,8 +11,10 @@ up in the tasks and shuffled once per task, host and token, so a host with a thi
 no page moves. Hosts with few pages take the template of all hosts together.
 
 Slots are told apart by the elements around them. Those of navigation, headers, footers, sidebars, notices, adverts,
-forms and comments are left out; where the page has slots in an article or main element, only these are taken, else
-all but those that consist of links in most pages. Texts that are template tokens throughout are left out, in an article
+forms and comments are left out; a class or id says so only as a whole name, never on a heading, and a name that an
+article's part may have as well counts within one only for texts that repeat or consist of links. A main element, or the
+only article, below an element with such a name is taken. Where the page has slots in an article or main element, only
+these are taken, else all but those that consist of links in most pages. Texts that are template tokens throughout are left out, in an article
 too; its headings stay, and an article that is the template's throughout (pages that are copies) stays whole.
 
 Defined results: null and empty pages give the empty text; a page without a host belongs to the host ``''``; a page that
@@ -22,6 +24,7 @@ each get their text; columns of the input with a result's name give way.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from collections import Counter
@@ -42,6 +45,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp template noembed noframes svg math".split())
 BOILERPLATE = frozenset("nav footer aside form script style noscript template iframe button select option textarea "
                         "input label menu dialog head object canvas audio video map fieldset legend".split())
+HEADER = frozenset({"header"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset("article main".split())
 HINTS = frozenset(
@@ -50,6 +54,13 @@ HINTS = frozenset(
     "sidebar aside widget menu nav navbar navigation breadcrumb breadcrumbs masthead footer comment comments "
     "commentlist disqus reply replies respond discussion related recommended recommendations share sharing social "
     "toolbar pagination pager copyright login search skip".split())
+#: Hints that may as well name a part of an article; there they count only with evidence beside them.
+UNSURE = frozenset(
+    "notice notification alert banner popup modal overlay menu aside widget footer comment reply replies respond "
+    "discussion related recommended recommendations promotion copyright login search skip".split())
+#: Pieces that leave a class or id name a hint: before one, after one.
+BEFORE = frozenset("site page post entry article top bottom left right main primary secondary global".split())
+AFTER = frozenset("box bar list link links icon icons button buttons left right top bottom".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar "
                   "toolbar".split())
 #: Elements whose start ends an open one of these kinds.
@@ -83,19 +94,42 @@ def _hash(parent: int, name: str) -> int:
 
 
 class Element:
-    """An open element: its path's hash, whether it is boilerplate, in an article, in a link or in a header."""
+    """An open element: its path's hash, whether it is boilerplate, in an article, in a link or in a header.
 
-    __slots__ = ("tag", "path", "dropped", "main", "link", "header", "up")
+    ``hinted`` says that it is boilerplate by a name alone, ``below`` that it is in an article under such an element,
+    ``unsure`` that it is in an article, in an element with a name that may mean boilerplate.
+    """
+
+    __slots__ = ("tag", "path", "dropped", "main", "link", "header", "up", "hinted", "below", "unsure")
 
-    def __init__(self, tag, path, dropped, main, link, header, up):
+    def __init__(self, tag, path, dropped, main, link, header, up, hinted=False, below=False, unsure=False):
         self.tag, self.path, self.dropped, self.main, self.link = tag, path, dropped, main, link
-        self.header, self.up = header, up
+        self.header, self.up, self.hinted, self.below, self.unsure = header, up, hinted, below, unsure
+
+
+def _hint(name: str, hints: frozenset) -> bool:
+    """Whether a class or id name as a whole is a hint: one, or several with only words around them that say where."""
+    pieces = [p.lower() for p in _PIECE.findall(name)]
+    if name.lower() in hints or "".join(pieces) in hints:
+        return True
+    while pieces and (pieces[-1] in AFTER or pieces[-1].isdigit()):
+        pieces.pop()
+    at = next((i for i, p in enumerate(pieces) if p not in BEFORE), len(pieces))
+    return at < len(pieces) and all(p in HINTS or p in hints for p in pieces[at:]) and any(p in hints for p in pieces[at:])
+
+
+@functools.lru_cache(maxsize=50_000)
+def _kinds(marks: str) -> tuple[bool, bool, bool, bool]:
+    """Of class and id: whether one of their names is a sure hint, an unsure one, a header, an article's body."""
+    names = marks.split()
+    return (any(_hint(n, HINTS - UNSURE) for n in names), any(_hint(n, UNSURE) for n in names),
+            any(_hint(n, HEADER) for n in names), {"article", "body"} <= {p.lower() for p in _PIECE.findall(marks)})
 
 
-def _attributes(raw: str) -> tuple[str, list[str], bool]:
-    """Name in the path, pieces of class and id, whether the element is hidden or has a role that is boilerplate."""
+def _attributes(raw: str) -> tuple[str, tuple[bool, bool, bool, bool], bool]:
+    """Name in the path, kinds of its class and id, whether the element is hidden or has a role that is boilerplate."""
     if not raw or "=" not in raw and "hidden" not in raw:
-        return "", [], False
+        return "", (False,) * 4, False
     found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(raw):
         found.setdefault(m.group(1).lower(), (m.group(2) or "").strip("\"'"))
@@ -103,7 +137,7 @@ def _attributes(raw: str) -> tuple[str, list[str], bool]:
     style = found.get("style", "").replace(" ", "").lower()
     out = ("hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
            or found.get("role", "").lower() in ROLES)
-    return "." + ".".join(marks.split()) if marks.strip() else "", [p.lower() for p in _PIECE.findall(marks)], out
+    return "." + ".".join(marks.split()) if marks.strip() else "", _kinds(marks) if marks.strip() else (False,) * 4, out
 
 
 def texts(page: str):
@@ -147,19 +181,28 @@ def texts(page: str):
             while stack[-1].tag in closes:
                 stack.pop()
         top = stack[-1]
-        name, pieces, hidden = _attributes(m.group(3) or "")
-        inside = top.main or tag in MAIN or tag in ("div", "section") and {"article", "body"} <= set(pieces)
-        header = top.header or tag == "header" or "header" in pieces
-        dropped = (top.dropped or hidden or tag in BOILERPLATE or tag not in ("html", "body") and
-                   any(p in HINTS for p in pieces))
+        name, (sure, unsure, named_header, article_body), hidden = _attributes(m.group(3) or "")
+        named = tag not in HEADINGS and tag not in MAIN and tag not in ("html", "body")
+        starts = tag in MAIN or tag in ("div", "section") and article_body
+        inside = top.main or starts
+        header = top.header or tag == "header" or named and named_header
+        # An article or main element starts anew below a name, but not below what is boilerplate by more than that.
+        held = top.dropped and not top.hinted or hidden or tag in BOILERPLATE
+        hinted = not held and (named and (sure or unsure and not top.main) or top.hinted and (
+            not starts or tag == "article" and (sure or unsure)))
+        dropped = held or hinted
+        below = inside and tag != "main" and (top.below or starts and top.hinted)
+        doubt = top.unsure or named and unsure and top.main
         if tag in INLINE:
-            element = Element(tag, top.path, dropped, top.main, top.link or tag == "a", top.header, top)
+            element = Element(tag, top.path, dropped, top.main, top.link or tag == "a", top.header, top, hinted, top.below,
+                              doubt)
             if tag in ("br", "img", "wbr"):
                 if tag == "br":
                     yield " ", top
                 continue
         else:
-            element = Element(tag, _hash(top.path, tag + name) & ~1, dropped, inside, top.link, header, top)
+            element = Element(tag, _hash(top.path, tag + name) & ~1, dropped, inside, top.link, header, top, hinted, below,
+                              doubt)
             yield None, element
         if tag in RAW:
             end = _END[tag].search(page, at)
@@ -306,9 +349,12 @@ def extract(page: str | None, template: frozenset) -> str:
     for text, element, linked in found:
         if element.dropped or element.header and _block(element).tag not in HEADINGS:
             continue
+        if element.unsure and linked >= 0.5 * len(text):
+            continue  # a name that may mean boilerplate, and links
         chosen.append((text, element, linked, _repeated(text, element, template)))
     if any(element.main for _, element, _, _ in chosen):
-        chosen = [c for c in chosen if c[1].main]
+        # An article below an element named as boilerplate is a comment or a teaser if there is another.
+        chosen = [c for c in chosen if c[1].main and not c[1].below] or [c for c in chosen if c[1].main]
         # Without a slot of its own the page is a copy of others, and nothing tells its text from the template.
         if not all(c[3] for c in chosen):
             chosen = [c for c in chosen if not c[3] or _block(c[1]).tag in HEADINGS]
