@@ -152,3 +152,19 @@ def test_copies_of_an_article_keep_their_text(llm, workspace):
     ("<div class='site-header no-header'><p>x</p></div><div class='no-header'><p>t</p></div>", "t")])
 def test_names_drop_only_what_they_name(page, want):
     assert text_of(page) == want
+
+
+def test_only_slots_of_links_on_most_pages_go(llm, workspace, limit):
+    """On pages without an article: a paragraph, a heading and an item that is a link stay where others are text."""
+    pages = []
+    for i in range(20):
+        link = ("<a href='/x'>", "</a>") if i == 7 else ("", "")
+        slots = "".join(f"<{t}>{link[0]}own{i} {t} text{link[1]}</{t}>" for t in ("h2", "p", "li"))
+        top = "".join(f"<span><a href='/{i}/{k}'>place{i * 10 + k}</a></span> " for k in range(3))
+        pages.append((i, "https://linked.example/", f"<html><body><div class='t'>{top}</div><div class='b'>{slots}</div></body></html>"))
+    pages.append((20, "https://small.example/", "<div class='t'><a>all links</a></div><p>one text</p>"))
+    frame = llm.createDataFrame(pages, "page_id bigint, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html.main_texts(frame, workspace, limit).collect()}
+    for i in range(20):
+        assert got[i].split("\n\n") == [f"own{i} {t} text" for t in ("h2", "p", "li")]
+    assert got[20] == "one text"

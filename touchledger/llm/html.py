@@ -14,7 +14,8 @@ Slots are told apart by the elements around them. Those of navigation, headers,
 forms and comments are left out; a class or id says so only as a whole name, never on a heading, and a name that an
 article's part may have as well counts within one only for texts that repeat or consist of links. A main element, or the
 only article, below an element with such a name is taken. Where the page has slots in an article or main element, only
-these are taken, else all but those that consist of links in most pages. Texts that are template tokens throughout are left out, in an article
+these are taken, else all but those that consist of links, for half or more of their characters, on half or more of the
+host's pages and on the page itself. Texts that are template tokens throughout are left out, in an article
 too; its headings stay, and an article that is the template's throughout (pages that are copies) stays whole.
 
 Defined results: null and empty pages give the empty text; a page without a host belongs to the host ``''``; a page that
@@ -273,14 +274,24 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def _tokens_of(page: str) -> list[int]:
-    """All tokens of a page, each as often as it occurs; 0 stands for the page."""
+def _tokens_of(page: str, found: list | None = None) -> list[int]:
+    """All tokens of a page, each as often as it occurs; 0 stands for the page. ``found`` gets the page's blocks."""
     out = [0]
-    for text, element, _ in blocks(page, out):
-        out += _tokens(text, element.path)
+    for block in blocks(page, out):
+        out += _tokens(block[0], block[1].path)
+        if found is not None:
+            found.append(block)
     return out
 
 
+def _linked(found: list) -> set[int]:
+    """Paths of the slots of a page that are links for half or more of their characters."""
+    sums: dict[int, float] = {}
+    for text, element, linked in found:
+        sums[element.path] = sums.get(element.path, 0.0) + linked - 0.5 * len(text)
+    return {path for path, more in sums.items() if more >= 0}
+
+
 _SIGN = 1 << 63
 
 
@@ -289,7 +300,7 @@ def _signed(n: int) -> int:
 
 
 def _occurrences(batches, most: int = 200_000):
-    """(host, token, vector, pages, occurrences), summed up over as many pages as the bound on entries lets."""
+    """(host, token, vector, pages, occurrences, pages that have links there), summed up over as many pages as the bound on entries lets."""
     sums: dict[tuple[int, int], list[int]] = {}
 
     def out():
@@ -297,23 +308,26 @@ def _occurrences(batches, most: int = 200_000):
         sums.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array([_signed(x) for x in column], pa.int64()) for column in
-             ([k[0] for k in keys], [k[1] for k in keys], *([v[i] for v in values] for i in range(3)))],
-            names=["host", "token", "vector", "pages", "total"])
+             ([k[0] for k in keys], [k[1] for k in keys], *([v[i] for v in values] for i in range(4)))],
+            names=["host", "token", "vector", "pages", "total", "linked"])
 
     for batch in batches:
         for number, url, page in zip(*(batch.column(c).to_pylist() for c in ("number", "url", "html"))):
-            host, mixes = xxhash.xxh64_intdigest(host_of(url).encode()), {}
-            for token, n in Counter(_tokens_of(page or "")).items():
+            host, mixes, found = xxhash.xxh64_intdigest(host_of(url).encode()), {}, []
+            tokens = Counter(_tokens_of(page or "", found))
+            linked = _linked(found)
+            for token, n in tokens.items():
                 mix = mixes.get(n)
                 if mix is None:
                     mix = mixes[n] = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), number & (1 << 64) - 1)
                 s = sums.get((host, token))
                 if s is None:
-                    sums[host, token] = [mix, 1, n]
+                    sums[host, token] = [mix, 1, n, int(token in linked)]
                 else:
                     s[0] ^= mix
                     s[1] += 1
                     s[2] += n
+                    s[3] += token in linked
             if len(sums) >= most:
                 yield out()
     if sums:
@@ -321,48 +335,64 @@ def _occurrences(batches, most: int = 200_000):
 
 
 def templates(pages: DataFrame, workspace: Workspace) -> DataFrame:
-    """(host, tokens): hash of the host, 0 for all hosts together, and the tokens of its template."""
+    """(host, tokens, links): hash of the host, 0 for all hosts together; the tokens of its template, null if it has none
+    of its own; and the paths of its slots that consist of links."""
     numbered = pages.select(F.xxhash64("page_id", "url", F.length("html")).alias("number"), "url", "html")
     added = [F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")]
-    counted = (numbered.mapInArrow(_occurrences, "host bigint, token bigint, vector bigint, pages bigint, total bigint")
-               .groupBy("host", "token").agg(*added))
+    schema = "host bigint, token bigint, vector bigint, pages bigint, total bigint, linked bigint"
+    counted = (numbered.mapInArrow(_occurrences, schema)
+               .groupBy("host", "token").agg(*added, F.sum("linked").alias("linked")))
     counted = workspace.settle(counted, "tokens")
     common = counted.groupBy("token").agg(*added).select(F.lit(0).cast("bigint").alias("host"), "*")
-    counted = counted.unionByName(common)
+    own = counted.where("token = 0").select(F.col("host").alias("_host"), F.col("pages").alias("of"))
+    # Of these, too, a host has at most 1 / SUPPORT times those of a page; any number of pages will do.
+    links = (counted.where("linked > 0").join(own.hint("merge"), F.col("host") == F.col("_host"))
+             .where(F.col("linked") >= SUPPORT * F.col("of")).groupBy("host").agg(F.collect_list("token").alias("links")))
+    counted = counted.drop("linked").unionByName(common)
     whole = counted.where("token = 0").select(F.col("host").alias("_host"), F.col("pages").alias("of"))
     # Tokens on fewer pages than half the smallest host that counts are in no template.
     frequent = (counted.where(F.col("pages") >= FEW_PAGES * SUPPORT)
                 .join(whole.where(F.col("of") >= FEW_PAGES).hint("merge"), F.col("host") == F.col("_host"))
                 .where((F.col("pages") >= SUPPORT * F.col("of")) & (F.col("token") != 0)))
     # At most 1 / SUPPORT times the tokens of a page stand on as many pages, so these lists are short.
-    return (frequent.groupBy("host", "vector", "pages", "total").agg(F.collect_list("token").alias("class"))
+    tokens = (frequent.groupBy("host", "vector", "pages", "total").agg(F.collect_list("token").alias("class"))
             # A long text that repeats is as many tokens by itself.
             .where((F.size("class") >= CLASS_SIZE) | F.exists("class", lambda t: t.bitwiseAND(F.lit(1)) == 1))
-            .groupBy("host")
-            .agg(F.flatten(F.collect_list("class")).alias("tokens")))
+            .groupBy("host").agg(F.flatten(F.collect_list("class")).alias("tokens")))
+    return (tokens.unionByName(links, allowMissingColumns=True).groupBy("host")
+            .agg(F.first("tokens", True).alias("tokens"), F.first("links", True).alias("links")))
+
 
+def extract(page: str | None, template: frozenset, links: frozenset | None = None) -> str:
+    """The main text of a page, given the tokens of its host's template and its host's slots of links.
 
-def extract(page: str | None, template: frozenset) -> str:
-    """The main text of a page, given the tokens of its host's template."""
+    Without the latter the page is the only one of its host.
+    """
     found = list(blocks(page or ""))
-    chosen = []
-    for text, element, linked in found:
+    chosen, linked = [], _linked(found)
+    if links is not None:
+        linked &= links
+    for text, element, _ in found:
         if element.dropped or element.header and _block(element).tag not in HEADINGS:
             continue
-        if element.unsure and linked >= 0.5 * len(text):
+        if element.unsure and element.path in linked:
             continue  # a name that may mean boilerplate, and links
-        chosen.append((text, element, linked, _repeated(text, element, template)))
-    if any(element.main for _, element, _, _ in chosen):
+        chosen.append((text, element, _repeated(text, element, template)))
+    if any(element.main for _, element, _ in chosen):
         # An article below an element named as boilerplate is a comment or a teaser if there is another.
         chosen = [c for c in chosen if c[1].main and not c[1].below] or [c for c in chosen if c[1].main]
         # Without a slot of its own the page is a copy of others, and nothing tells its text from the template.
-        if not all(c[3] for c in chosen):
-            chosen = [c for c in chosen if not c[3] or _block(c[1]).tag in HEADINGS]
+        if not all(c[2] for c in chosen):
+            chosen = [c for c in chosen if not c[2] or _block(c[1]).tag in HEADINGS]
     else:
-        chosen = [c for c in chosen if c[2] < 0.5 * len(c[0]) and not c[1].header and not c[3]]
+        chosen = [c for c in chosen if c[1].path not in linked and not c[1].header and not c[2]]
     return "\n\n".join(c[0] for c in chosen)
 
 
+def _set(tokens) -> frozenset | None:
+    return None if tokens is None else frozenset(int(t) & (1 << 64) - 1 for t in tokens)
+
+
 def main_texts(pages: DataFrame, workspace: Workspace | None = None, broadcast: int = BROADCAST) -> DataFrame:
     """The pages with text and n_chars.
 
@@ -371,19 +401,21 @@ def main_texts(pages: DataFrame, workspace: Workspace | None = None, broadcast:
     spark = pages.sparkSession
     workspace = workspace or Workspace(spark)
     learnt = workspace.settle(templates(pages, workspace), "templates")
-    size = learnt.agg(F.sum(F.size("tokens") * 8 + 16)).first()[0] or 0
+    none = F.array().cast("array<bigint>")
+    sizes = [F.size(F.coalesce(c, none)) for c in ("tokens", "links")]
+    size = learnt.agg(F.sum((sizes[0] + sizes[1]) * 8 + 16)).first()[0] or 0
     pages = pages.drop("text", "n_chars", "_template")
     if size <= broadcast:
-        held = spark.sparkContext.broadcast({r["host"] & (1 << 64) - 1: frozenset(t & (1 << 64) - 1 for t in r["tokens"])
+        held = spark.sparkContext.broadcast({r["host"] & (1 << 64) - 1: (_set(r["tokens"]), _set(r["links"] or []))
                                              for r in learnt.collect()})
 
         @F.pandas_udf("string")
         def read(urls: pd.Series, bodies: pd.Series) -> pd.Series:
             known = held.value
-            common, out = known.get(0, frozenset()), []
+            common, out = known.get(0, (None, None))[0], []
             for url, body in zip(urls, bodies):
-                own = known.get(xxhash.xxh64_intdigest(host_of(url).encode()), common)
-                out.append(extract(body, own))
+                own, links = known.get(xxhash.xxh64_intdigest(host_of(url).encode()), (None, frozenset()))
+                out.append(extract(body, (common or frozenset()) if own is None else own, links))
             return pd.Series(out, dtype=object)
         done = pages.withColumn("text", read.asNondeterministic()(F.col("url"), F.col("html")))
     else:
@@ -392,15 +424,14 @@ def main_texts(pages: DataFrame, workspace: Workspace | None = None, broadcast:
             return pd.Series([_signed(xxhash.xxh64_intdigest(host_of(u).encode())) for u in urls], dtype=np.int64)
 
         @F.pandas_udf("string")
-        def read(bodies: pd.Series, tokens: pd.Series) -> pd.Series:
-            return pd.Series([extract(b, frozenset(int(t) & (1 << 64) - 1 for t in k))
-                              for b, k in zip(bodies, tokens)], dtype=object)
+        def read(bodies: pd.Series, tokens: pd.Series, links: pd.Series) -> pd.Series:
+            return pd.Series([extract(b, _set(k), _set(n)) for b, k, n in zip(bodies, tokens, links)], dtype=object)
         common = learnt.where("host = 0").select(F.col("tokens").alias("_common"))
         named = (pages.withColumn("_host", number(F.col("url")))
                  .join(learnt.where("host <> 0").hint("merge"), F.col("_host") == F.col("host"), "left"))
-        none = F.array().cast("array<bigint>")
         row = common.first()
         common = F.lit(row["_common"]) if row else none
-        done = (named.withColumn("text", read.asNondeterministic()(F.col("html"), F.coalesce("tokens", common, none)))
+        done = (named.withColumn("text", read.asNondeterministic()(F.col("html"), F.coalesce("tokens", common, none),
+                                                                    F.coalesce("links", none)))
                 .select(*pages.columns, "text"))
     return done.withColumn("n_chars", F.length("text").cast("bigint"))
