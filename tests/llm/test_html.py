@@ -2,6 +2,7 @@ import html as entities
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from touchledger.llm import html
@@ -168,3 +169,26 @@ def test_only_slots_of_links_on_most_pages_go(llm, workspace, limit):
     for i in range(20):
         assert got[i].split("\n\n") == [f"own{i} {t} text" for t in ("h2", "p", "li")]
     assert got[20] == "one text"
+
+
+def test_pages_that_come_twice_have_the_classes_of_those_that_come_once(llm, workspace):
+    """Tokens on as many pages, but not on the same ones, are no class."""
+    def page(i):
+        some = "".join(f"<p>only{k}</p>" for k in range(6) if (i + k) % 6 < 4)
+        return i, f"https://twice.example/{i}", f"<html><body><div>{some}</div><b>own{i}</b></body></html>"
+    once = llm.createDataFrame([page(i) for i in range(12)], "page_id bigint, url string, html string")
+    got = [{r["host"]: set(r["tokens"]) for r in html.templates(f, Workspace(llm, workspace.root)).collect()}
+           for f in (once, once.unionAll(once).repartition(5))]
+    assert got[0] == got[1]
+    assert {r["text"].count("only") for r in html.main_texts(once.unionAll(once), workspace).collect()} == {4}
+
+
+def test_vectors_are_sums_modulo_a_power_of_two(llm, workspace):
+    pages = [(i, "https://sum.example/", "<p>a b c</p>") for i in range(20)]
+    frame = llm.createDataFrame(pages, "page_id bigint, url string, html string")
+    numbered = frame.selectExpr("xxhash64(page_id, url, length(html)) AS number", "url", "html")
+    batch = numbered.toArrow().to_batches()
+    whole = pa.Table.from_batches(list(html._occurrences(batch))).to_pylist()
+    html.templates(frame.repartition(7), workspace)
+    held = {(r["host"], r["token"]): r["vector"] for r in llm.read.parquet(f"{workspace.root}/tokens").collect()}
+    assert held == {(r["host"], r["token"]): r["vector"] for r in whole}

@@ -6,7 +6,7 @@ each page. Tokens that share a vector form an equivalence class; a class of seve
 of the host's pages belongs to the template, if the elements around its tokens do too, so that classes nest. What a page
 has between the tokens of the template are the slots, and their values are its data.
 
-A vector is held as the exclusive or of a mix of page and count, with the number of pages and occurrences; it is summed
+A vector is held as the sum modulo 2^64 of a mix of page and count, with the number of pages and occurrences; it is summed
 up in the tasks and shuffled once per task, host and token, so a host with a third of all pages is no hot group, and
 no page moves. Hosts with few pages take the template of all hosts together.
 
@@ -324,7 +324,7 @@ def _occurrences(batches, most: int = 200_000):
                 if s is None:
                     sums[host, token] = [mix, 1, n, int(token in linked)]
                 else:
-                    s[0] ^= mix
+                    s[0] = (s[0] + mix) & (1 << 64) - 1
                     s[1] += 1
                     s[2] += n
                     s[3] += token in linked
@@ -338,7 +338,11 @@ def templates(pages: DataFrame, workspace: Workspace) -> DataFrame:
     """(host, tokens, links): hash of the host, 0 for all hosts together; the tokens of its template, null if it has none
     of its own; and the paths of its slots that consist of links."""
     numbered = pages.select(F.xxhash64("page_id", "url", F.length("html")).alias("number"), "url", "html")
-    added = [F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")]
+    # Halves of 32 bits, so that no sum overflows.
+    half = F.lit((1 << 32) - 1)
+    low, high = F.sum(F.col("vector").bitwiseAND(half)), F.sum(F.shiftrightunsigned("vector", 32))
+    high = (high + F.shiftrightunsigned(low, 32)).bitwiseAND(half)
+    added = [F.shiftleft(high, 32).bitwiseOR(low.bitwiseAND(half)).alias("vector"), F.sum("pages").alias("pages"), F.sum("total").alias("total")]
     schema = "host bigint, token bigint, vector bigint, pages bigint, total bigint, linked bigint"
     counted = (numbered.mapInArrow(_occurrences, schema)
                .groupBy("host", "token").agg(*added, F.sum("linked").alias("linked")))
