@@ -116,3 +116,62 @@ def test_junk_goes_and_good_documents_stay(llm):
     good = [kept[r["doc_id"]] for r in labels if r["quality"] == 1]
     junk = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
     assert sum(good) / len(good) > 0.97 and sum(junk) / len(junk) < 0.35
+
+
+def plain_words(texts, own, text, model):
+    """Log probability by bigrams of words of all texts but ``own``; discounts from all texts."""
+    table = model.dense()
+
+    def pairs(t):
+        words = quality._WORD.findall(t.encode())
+        return Counter(zip([b"", *words], words))
+
+    def discount(counts):
+        c = Counter(counts.values())
+        n1, n2, n3, n4 = (c[i] for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
+        d = (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75, 3 - 4 * y * n4 / n3 if n3 else 0.9)
+        return lambda n: min(n, max(quality.LEAST_DISCOUNT, d[min(n, 3) - 1])) if n else 0.0
+    every = sum((pairs(t) for t in texts), Counter())
+    d2, d1 = discount(every), discount(Counter(b for _, b in every))
+    c2 = sum((pairs(t) for i, t in enumerate(texts) if i != own), Counter())
+    c1 = Counter(b for _, b in c2)
+    raw, total = text.encode(), 0.0
+    logs = table[quality.codes(raw, model.symbols)].astype(float)
+    spans = [m.start() for m in quality._WORD.finditer(raw)]
+    words, sums, ends = quality._WORD.findall(raw), {}, [*spans[1:], len(logs)]
+    grams = list(zip([b"", *words], words))
+    for g, a, b in zip(grams, [0, *spans[1:]], ends):
+        sums.setdefault(g, []).append(logs[a:b].sum())
+    for a, b in grams:
+        p = math.exp(sum(sums[a, b]) / len(sums[a, b]))
+        p = (c1[b] - d1(c1[b])) / sum(c1.values()) + sum(map(d1, c1.values())) / sum(c1.values()) * p
+        same = {g: n for g, n in c2.items() if g[0] == a}
+        if same:
+            p = (c2[a, b] - d2(c2[a, b])) / sum(same.values()) + sum(map(d2, same.values())) / sum(same.values()) * p
+        total += math.log(p)
+    return total / len(logs)
+
+
+def test_words_are_measured_by_the_definition_and_trusted_ones_by_the_others(llm, documents, workspace):
+    texts = ["the cat sat on the mat", "a cat and a hat , a cat", "the hat on the cat \u00e9t\u00e9 \u6f22\u5b57 12 %", "the cat sat on the mat"]
+    others = ["the mat sat on a cat", "zebra \u6f22 99 %%", "  on the  the "]
+    docs = documents(*[(i, t, "en") for i, t in enumerate(texts + others)], schema="doc_id bigint, text string, lang string").repartition(3)
+    ids = documents(*[(i,) for i in range(len(texts))], schema="doc_id bigint")
+    got = {r["doc_id"]: r["perplexity"] for r in quality.judge(docs, ids, workspace=workspace).collect()}
+    model = quality.QualityModel.fit(docs.where(f"doc_id < {len(texts)}"), workspace)
+    for i, t in enumerate(texts + others):
+        assert got[i] == pytest.approx(math.exp(-plain_words(texts, i if i < len(texts) else None, t, model)), rel=1e-3), t
+
+
+def test_senseless_order_and_symbols_of_one_class_are_told_apart(llm, documents, workspace):
+    """The order of known words, digits for digits and capitals for capitals, which the spelling alone cannot see."""
+    line = "every small town has one old church near the river"
+    good = [(i, f"{line} and it was built in 1872 by Kim", "en") for i in range(30)]
+    words = good[0][1].split()
+    shuffled = " ".join(words[::2] + words[1::2])
+    odd = [(100, shuffled, "en"), (101, good[0][1].replace("1872", "#%@!"), "en"), (102, good[0][1].replace("Kim", "Xim"), "en")]
+    docs = documents(*good, *odd, schema="doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.judge(docs, documents(*[(i,) for i in range(30)], schema="doc_id bigint"), workspace=workspace).collect()}
+    assert got[0]["kept"] and not any(got[i]["kept"] for i in (100, 101, 102))
+    assert got[100]["perplexity"] > 3 * got[0]["perplexity"]

@@ -1,15 +1,24 @@
-"""Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
+"""Quality by perplexity under interpolated modified Kneser-Ney models of trusted text.
 
-The model is of order four over a fixed alphabet: the 63 most frequent bytes of the trusted text, in UTF-8, and one
-symbol for all others. So it works for any script, has at most 64^4 n-grams whatever the corpus, and junk, which is
-written in rare symbols or unusual runs of common ones, is improbable. Trusted documents are counted whole in the tasks;
-counts are added up in shards by n-gram, and the statistics of Kneser-Ney smoothing (continuations, discounts from counts
-of counts, back-off weights) are aggregates and joins of these shards. Only the finished probabilities of the n-grams
-seen, at most 64^4 numbers, are broadcast.
+Words are modelled by bigrams: all those of the trusted text, however many. A word is a run of letters and digits, a
+character of a script without spaces, or any other character but white space, as it is written. Its spelling is
+modelled by n-grams of order four over a fixed alphabet, the 63 most frequent bytes of the trusted text, in UTF-8, and
+one symbol for all others; a word's bytes, with the white space after it, have the probability that the words back off
+to. So words that are not known, in any script, are as probable as their spelling, and known ones in an order that is
+not known as probable as the words alone.
 
-A document's perplexity is exp of the mean negative log probability of its symbols, with three spaces before the first
-and one after the last. It is kept if that is at most its language's threshold, a quantile of the perplexities of the
-trusted documents of the language (of all, for a language that has none).
+Trusted documents are counted whole in the tasks; counts are added up in shards by n-gram, and the statistics of
+Kneser-Ney smoothing (continuations, discounts from counts of counts, back-off weights) are aggregates and joins of
+these shards. Of the spelling only the finished probabilities of the n-grams seen, at most 64^4 numbers, are broadcast.
+Of the words nothing is: each document's bigrams, counted once per document, are joined with the counts of the bigrams,
+of their first words and of their second words, and meet again by document.
+
+A trusted document is measured by what the others have: its own bigrams are taken off the counts, the continuations and
+the discounts, so that the thresholds hold for text that the model has not seen.
+
+A document's perplexity is exp of the mean negative log probability of its bytes, with spaces before the first and one
+after the last. It is kept if that is at most its language's threshold, a quantile of the perplexities of the trusted
+documents of the language (of all, for a language that has none).
 
 Defined results: a null or empty text has one symbol, the closing space; documents of a null language are one language;
 without trusted text every perplexity is the alphabet's size and everything is kept; repeated rows each get their row
@@ -18,13 +27,16 @@ and count as often as they come; input columns other than doc_id, text and lang
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchledger.llm.common import once
 from touchledger.plans.workspace import Workspace
@@ -38,6 +50,11 @@ LEAST_DISCOUNT = 0.1
 BROADCAST_ROWS = 2_000_000
 #: Symbols that are counted at once.
 _PORTION = 1 << 22
+#: Bigrams of documents that are handed over at once.
+_GRAMS = 1 << 17
+#: Words in UTF-8: letters and digits of scripts with spaces; else single characters.
+_WORD = re.compile(rb"(?:[0-9A-Za-z_]|[\xc3-\xdf].|\xe0[\xa0-\xb7].|\xe1..|[\xea-\xed]..)+|"
+                   rb"\xc2.|\xe0..|[\xe2-\xe9\xee\xef]..|[\xf0-\xf4]...|\S", re.DOTALL)
 
 
 def alphabet(trusted: DataFrame) -> np.ndarray:
@@ -102,6 +119,16 @@ def counts(trusted: DataFrame, symbols: np.ndarray) -> DataFrame:
     return rows.mapInArrow(count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def discounts(level: DataFrame) -> list[float]:
+    """What is taken off counts of one, of two, and of three and more."""
+    few = level.agg(*[F.sum((F.col("n") == k).cast("bigint")) for k in (1, 2, 3, 4)]).first()
+    n1, n2, n3, n4 = (float(x or 0) for x in few)
+    y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
+    # Never nothing: each context keeps a share for symbols that it has not had.
+    return [max(LEAST_DISCOUNT, x) for x in (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75,
+                                             3 - 4 * y * n4 / n3 if n3 else 0.9)]
+
+
 def smoothed(counted: DataFrame, workspace: Workspace) -> list[DataFrame]:
     """For each order from the lowest: (code, p, rest), where ``rest`` is the back-off weight of the n-gram's context.
 
@@ -114,12 +141,7 @@ def smoothed(counted: DataFrame, workspace: Workspace) -> list[DataFrame]:
         levels.append(levels[-1].groupBy(ending.alias("code")).agg(F.count(F.lit(1)).alias("n")))
     out: list[DataFrame] = []
     for order, level in enumerate(reversed(levels), 1):
-        few = level.agg(*[F.sum((F.col("n") == k).cast("bigint")) for k in (1, 2, 3, 4)]).first()
-        n1, n2, n3, n4 = (float(x or 0) for x in few)
-        y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
-        # Never nothing: each context keeps a share for symbols that it has not had.
-        d = [max(LEAST_DISCOUNT, x) for x in (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75,
-                                              3 - 4 * y * n4 / n3 if n3 else 0.9)]
+        d = discounts(level)
         discount = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
         level = level.withColumns({"context": F.shiftright("code", BITS), "d": F.least(discount, F.col("n").cast("double"))})
         context = level.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
@@ -176,26 +198,166 @@ def _dense(model: QualityModel) -> np.ndarray:
 
 
 def perplexities(docs: DataFrame, model: QualityModel):
-    """Column function: the perplexity of a text."""
+    """Column function: the perplexity of a text by its spelling alone."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def perplexity(texts: pd.Series) -> pd.Series:
         table, out = once(_dense, held.value), []
         for text in texts:
-            raw, total, n = (text or "").encode(), 0.0, 0
-            # Parts of a long text overlap by a context.
-            for at in range(0, len(raw) + 1, _PORTION):
-                first = max(0, at - ORDER)
-                code = codes(raw[first:at + _PORTION], held.value.symbols)[at - first:]
-                code = code if at + _PORTION > len(raw) else code[:-1]
-                total += float(table[code].sum(dtype=np.float64))
-                n += len(code)
-            out.append(np.exp(-total / n))
+            logs = spelling((text or "").encode(), table, held.value.symbols)
+            out.append(np.exp(-float(logs.sum(dtype=np.float64)) / len(logs)))
         return pd.Series(out, dtype=np.float64)
     return perplexity.asNondeterministic()
 
 
+def spelling(raw: bytes, table: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Log probability of each byte of a text and of the space after it."""
+    out = []
+    # Parts of a long text overlap by a context.
+    for at in range(0, len(raw) + 1, _PORTION):
+        first = max(0, at - ORDER)
+        code = codes(raw[first:at + _PORTION], symbols)[at - first:]
+        out.append(table[code if at + _PORTION > len(raw) else code[:-1]])
+    return np.concatenate(out)
+
+
+def bigrams(raw: bytes, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the distinct bigrams of a text: first word (0 before a text), second word, how often, and the sum of the
+    second word's log probabilities by its spelling."""
+    starts, words = [], []
+    for m in _WORD.finditer(raw):
+        starts.append(m.start())
+        words.append(xxhash.xxh64_intdigest(m.group()))
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    second = np.array(words, np.uint64)
+    first = np.concatenate([np.zeros(1, np.uint64), second[:-1]])
+    starts[0] = 0
+    spelt = np.add.reduceat(logs.astype(np.float64), np.array(starts))
+    order = np.lexsort((second, first))
+    first, second, spelt = first[order], second[order], spelt[order]
+    new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
+    return (first[new].view(np.int64), second[new].view(np.int64), np.diff(np.append(new, len(first))),
+            np.add.reduceat(spelt, new))
+
+
+def grams_of(rows: DataFrame, model: QualityModel) -> DataFrame:
+    """For every document a row with ``size``, its number of bytes and one, and ``spelt``, its log probability by
+    spelling; and a row with ``n`` for each of its bigrams."""
+    held = rows.sparkSession.sparkContext.broadcast(model)
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    schema = T.StructType([T.StructField(n, kinds.get(n, T.LongType())) for n in (
+        "row", "doc_id", "lang", "trusted", "size", "first", "second", "n")] + [T.StructField("spelt", T.DoubleType())])
+
+    def count(batches):
+        table = once(_dense, held.value)
+        for batch in batches:
+            waiting, size, whole = [], 0, []
+
+            def out():
+                k = [len(w[2]) for w in waiting]
+                held_of = {"row": np.repeat([w[0] for w in waiting], k), "trusted": np.repeat([w[1] for w in waiting], k)}
+                for i, name in enumerate(("first", "second", "n", "spelt"), 2):
+                    held_of[name] = np.concatenate([w[i] for w in waiting])
+                return held_of
+
+            def record(some, n):
+                return pa.RecordBatch.from_arrays([
+                    some[f.name].cast(types[f.name]) if isinstance(some.get(f.name), pa.Array) else
+                    pa.array(some[f.name], types[f.name]) if f.name in some else pa.nulls(n, types[f.name])
+                    for f in schema.fields], names=schema.names)
+
+            types = {n: batch.schema.field(n).type if n in batch.schema.names else
+                     pa.float64() if n == "spelt" else pa.int64() for n in schema.names}
+            for row, trusted, text in zip(*(batch.column(c) for c in ("row", "trusted", "text"))):
+                raw = bytes(text.as_buffer() or b"")
+                logs = spelling(raw, table, held.value.symbols)
+                whole.append((len(logs), float(logs.sum(dtype=np.float64))))
+                found = bigrams(raw, logs)
+                if len(found[0]):
+                    waiting.append((row.as_py(), trusted.as_py(), *found))
+                    size += len(found[0])
+                if size >= _GRAMS:
+                    some = out()
+                    yield record(some, size)
+                    waiting, size = [], 0
+            if size:
+                yield record(out(), size)
+            own = {c: batch.column(c) for c in ("row", "doc_id", "lang", "trusted")}
+            yield record(own | {"size": [w[0] for w in whole], "spelt": [w[1] for w in whole]}, batch.num_rows)
+
+    return rows.mapInArrow(count, schema)
+
+
+def _taken(n: np.ndarray, d: list[float]) -> np.ndarray:
+    """The discount of each count."""
+    return np.minimum(np.array([0.0, *d])[np.minimum(n, 3).astype(np.int64)], n)
+
+
+def log_probability(first, second, n, spelt, trusted, c2, total, held, c1, of, rest, d2, d1) -> float:
+    """Of a document, from its bigrams, their counts (c2), the counts and discounts of their first words (total, held)
+    and the continuations of their second words (c1), as well as the number of continuations and their discounts.
+
+    A trusted document's own bigrams are taken off first.
+    """
+    if trusted:
+        left = c2 - n
+        which, at = np.unique(first, return_inverse=True)
+        total = total - np.bincount(at, n, len(which))[at]
+        held = held - np.bincount(at, _taken(c2, d2) - _taken(left, d2), len(which))[at]
+        which, begin, at = np.unique(second, return_index=True, return_inverse=True)
+        lost = np.bincount(at, left == 0, len(which))
+        remaining = np.rint(c1[begin] - lost)
+        of, rest = of - lost.sum(), rest - (_taken(c1[begin], d1) - _taken(remaining, d1)).sum()
+        c2, c1 = left, remaining[at]
+    below = np.exp(np.maximum(spelt / n, -700.0))
+    if of > 0:
+        below = (c1 - _taken(c1, d1)) / of + rest / of * below
+    seen = total > 0.5
+    among_all = np.where(seen, total, 1.0)
+    p = np.where(seen, (c2 - _taken(c2, d2)) / among_all + held / among_all * below, below)
+    return float((n * np.log(p)).sum())
+
+
+def measure(rows: DataFrame, model: QualityModel, workspace: Workspace) -> DataFrame:
+    """(doc_id, lang, trusted, perplexity) of documents with ``trusted``, 1 or 0, and ``text`` in UTF-8."""
+    def settle(df, name):
+        return workspace.settle(df, f"{name}-{uuid.uuid4().hex}")
+
+    every = settle(grams_of(rows.withColumn("row", F.monotonically_increasing_id()), model), "grams")
+    grams = every.where("n is not null").select("row", "trusted", "first", "second", "n", "spelt")
+    pairs = settle(grams.where("trusted = 1").groupBy("first", "second").agg(F.sum("n").alias("n")), "pairs")
+    ends = settle(pairs.groupBy("second").agg(F.count(F.lit(1)).alias("n")), "ends")
+    d2, d1 = discounts(pairs), discounts(ends)
+
+    def taken(d):
+        one = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        return F.sum(F.least(one, F.col("n").cast("double")))
+
+    begins = settle(pairs.groupBy("first").agg(F.sum("n").alias("total"), taken(d2).alias("held")), "begins")
+    of, rest = ends.agg(F.sum("n"), taken(d1)).first()
+    of, rest = float(of or 0), float(rest or 0)
+    for table, keys, names in ((pairs, ("first", "second"), {"n": "c2"}), (begins, ("first",), {"total": "total", "held": "held"}),
+                               (ends, ("second",), {"n": "c1"})):
+        # Each side comes out of a shuffle of its own, so that a frequent word's bigrams are split.
+        other = table.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(a).alias(b) for a, b in names.items()])
+        same = [F.col(k) == F.col(f"_{k}") for k in keys]
+        grams = (grams.hint("merge").join(other.hint("merge"), same[0] if len(same) == 1 else same[0] & same[1], "left")
+                 .drop(*other.columns[:len(keys)]).fillna(0, list(names.values())))
+
+    def add(table: pa.Table) -> pa.Table:
+        c = {n: table[n].to_numpy() for n in table.column_names if n not in ("row", "trusted")}
+        total = log_probability(c["first"], c["second"], c["n"], c["spelt"], table["trusted"][0].as_py(), c["c2"],
+                                c["total"].astype(np.float64), c["held"], c["c1"], of, rest, d2, d1)
+        return pa.table({"_row": table["row"][:1], "log": pa.array([total])})
+
+    logs = grams.groupBy("row").applyInArrow(add, "_row bigint, log double")
+    docs = every.where("size is not null").select("row", "doc_id", "lang", "trusted", "size", "spelt")
+    joined = docs.hint("merge").join(logs.hint("merge"), F.col("row") == F.col("_row"), "left")
+    return joined.select("doc_id", "lang", "trusted", F.exp(-F.coalesce("log", "spelt") / F.col("size")).alias("perplexity"))
+
+
 def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose doc_id is in a table of distinct ids; broadcast if that is small."""
     small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
@@ -210,10 +372,13 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, s
     rows = docs.select("doc_id", "lang", "text")
     trusted = among(rows, ids)
     model = QualityModel.fit(trusted, workspace)
-    measured = workspace.settle(
-        rows.select("doc_id", "lang", perplexities(docs, model)(F.col("text")).alias("perplexity")),
-        f"perplexity-{uuid.uuid4().hex}")
-    known = among(measured, ids)
+    flags = ids.select(F.col("doc_id").alias("_id"), F.lit(1).cast("bigint").alias("trusted"))
+    small = ids.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    flagged = (rows.join(F.broadcast(flags) if small else flags.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
+               .select("doc_id", "lang", F.coalesce("trusted", F.lit(0).cast("bigint")).alias("trusted"),
+                       F.coalesce("text", F.lit("")).cast("binary").alias("text")))
+    measured = workspace.settle(measure(flagged, model, workspace), f"perplexity-{uuid.uuid4().hex}")
+    known = measured.where("trusted = 1")
     limit = (F.percentile_approx("perplexity", quantile, 10_000) * slack)
     by_language = known.groupBy(F.col("lang").alias("_lang")).agg(limit.alias("own"))
     every = known.agg(limit).first()[0]
