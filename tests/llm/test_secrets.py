@@ -68,3 +68,16 @@ def test_documents_with_nulls_and_clashing_columns(llm, documents):
     got = sorted(((r["doc_id"], r["n_assign"], r["spans"]) for r in secrets.find_secrets(docs).collect()), key=str)
     assert got == sorted([(1, 0, ""), (2, 0, ""), (3, 1, "assign:0:13"), (3, 1, "assign:0:13"), (None, 0, "")], key=str)
     assert secrets.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_constants_are_put_into_the_expressions_that_use_them():
+    assert literals('A = "abcd"; B = "efg9!"; password = A + B') == ["abcd", "efg9!"]
+    assert literals('BASE = "Ab9-"\nFULL = BASE + "cD3!efG7"\nexport AUTH_TOKEN=${FULL}') == ["Ab9-", "cD3!efG7"]
+    assert literals('A = "abcd"\nA = A + "Ef9!"\npwd = A') == ["abcd", "Ef9!"]
+    assert literals('A = "abcd"\nA = "zZ8"\npwd = A + "Ef9!"') == ["zZ8", "Ef9!"]
+    assert literals('pwd = A + "x9!"\nA = "abcd"') == ["x9!", "abcd"]
+    assert literals('A = "abcd"; B = "efg9!"; colour = A + B') == []
+    assert literals('A = B + "k"\nB = A + "j"\npwd = A + B') == []
+    long = 'A0 = "q"\n' + "".join(f"A{i} = A{i - 1} + A{i - 1}\n" for i in range(1, 60)) + 'passwd = A59 + "Zt4!bN"'
+    assert literals(long)[-1] == "Zt4!bN"
+    assert literals("".join(f"A{i} = A{i + 1}\n" for i in range(5000)) + 'A5000 = "aB3"\npwd = A0 + "cD4!"') == ["aB3", "cD4!"]

@@ -4,6 +4,8 @@ A text is searched for assignments in source and configuration syntax: a name, d
 (``=``, ``:=``, ``=>``, ``:``) and a value of string literals, bare words and names joined by ``+``. Names that are
 assigned a literal are constants of the text; where a constant's name or ``${NAME}`` is assigned on, its literal goes
 with it. A literal is a secret if the sensitivity of a name it reaches times the strength of the literal is high enough.
+So are all literals of an expression, constants put in, whose joined value is as strong as that for the name it is
+assigned to; a constant has the value assigned last before its use, or else first after it.
 Three fixed patterns (assignments to known names, access keys, hexadecimal runs) are applied beside it.
 
 Defined results: spans count code points, ends are exclusive, and for quoted literals they leave out the quotes; a span
@@ -13,6 +15,7 @@ repeated rows each get their own; input columns with a result's name give way.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -41,6 +44,8 @@ ABOUT = {"name", "id", "path", "file", "url", "uri", "count", "length", "len", "
          "prompt", "expires", "expiry", "ttl", "timeout", "policy", "public", "max", "min", "regex", "pattern"}
 THRESHOLD = 0.45
 SHORTEST = 6
+#: Parts of an expression from which on a part that it has had is not put in again.
+REPEATS = 1 << 12
 
 _OPERATOR = re.compile(r":=|=>|==|!=|<=|>=|::|[:=]")
 _NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
@@ -114,6 +119,46 @@ def assignments(text: str):
             yield name, parts
 
 
+def values(found: list) -> list[list[tuple[int, int]]]:
+    """For every assignment, the spans of the literals that make up its value if its name is sensitive."""
+    places: dict[str, list[int]] = {}
+    for i, (name, _) in enumerate(found):
+        places.setdefault(name, []).append(i)
+
+    def meant(name: str, i: int) -> int:
+        at = places[name]
+        before = bisect.bisect_left(at, i)
+        return at[before - 1] if before else next((j for j in at if j != i), i)
+
+    out = []
+    for i, (name, parts) in enumerate(found):
+        spans: list[tuple[int, int]] = []
+        out.append(spans)
+        if sensitivity(name) <= 0 or not any(p[0] == "name" and p[1] in places for p in parts):
+            continue
+        # Expressions that are being put in, innermost last: a constant within its own value is left out.
+        stack, inside, had, steps = [(i, iter(parts))], {i}, set(), 0
+        while stack:
+            at, rest = stack[-1]
+            part = next(rest, None)
+            if part is None:
+                stack.pop()
+                inside.discard(at)
+                continue
+            steps += 1
+            if part[0] == "literal" or part[1] not in places:
+                if steps < REPEATS or part[-2:] not in had:
+                    spans.append(part[-2:])
+                    had.add(part[-2:])
+                continue
+            source = meant(part[1], at)
+            if source not in inside and (steps < REPEATS or source not in had):
+                had.add(source)
+                inside.add(source)
+                stack.append((source, iter(found[source][1])))
+    return out
+
+
 def lexed_spans(text: str) -> list[tuple[int, int]]:
     """Literals that reach a sensitive name, in it or through constants."""
     found = list(assignments(text))
@@ -148,6 +193,9 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
         whole = "".join(text[a:b] for a, b in spans)
         if reach[name] * strength(whole) >= THRESHOLD:
             out |= {(a, b) for a, b in spans if b > a}
+    for (name, _), spans in zip(found, values(found)):
+        if spans and sensitivity(name) * strength("".join(text[a:b] for a, b in spans)) >= THRESHOLD:
+            out |= {(a, b) for a, b in spans if b > a}
     return sorted(out)
 
 
