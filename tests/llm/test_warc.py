@@ -130,3 +130,25 @@ def test_empty_tables(source, tmp_path):
     pages = source.createDataFrame([], "page_id bigint, url string, html string")
     warc.records_of(pages).write.format("warc").mode("append").save(path)
     assert read(source, path).count() == 0
+
+
+def test_a_digest_with_many_pages_is_split_over_tasks(llm, workspace):
+    """A third of the pages are one; the settings are small enough for the skew join to see it."""
+    small = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k"}
+    before = {k: llm.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            llm.conf.set(k, v)
+        pages = llm.range(0, 6000, 1, 12).selectExpr(
+            "id AS page_id", "concat_ws('/', transform(sequence(1, 40), k -> hash(id, k))) AS url",
+            "CASE WHEN id % 3 = 0 THEN 'gone' ELSE string(id) END AS html")
+        rows = warc.records_of(pages, workspace=workspace).selectExpr("refers_to", "payload", "target_uri", "spark_partition_id() AS task")
+        tasks = rows.groupBy("task").agg({"refers_to": "count", "payload": "count", "target_uri": "max"}).collect()
+    finally:
+        for k, v in before.items():
+            llm.conf.unset(k) if v is None else llm.conf.set(k, v)
+    revisits = [r["count(refers_to)"] for r in tasks]
+    assert sum(revisits) == 1999 and sum(r["count(payload)"] for r in tasks) == 4001
+    assert max(revisits) < 1000

@@ -33,6 +33,8 @@ from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourc
                                     LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith,
                                     WriterCommitMessage)
 
+from touchledger.plans.workspace import Workspace
+
 SCHEMA = ("record_type string, record_id string, target_uri string, date string, content_type string, "
           "refers_to string, payload_digest string, payload_bytes bigint, payload binary, file string, offset bigint")
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -400,17 +402,20 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcSource)
 
 
-def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def records_of(pages: DataFrame, least_bytes: int = 0, workspace: Workspace | None = None) -> DataFrame:
     """Rows for the writer: of pages with equal html of at least ``least_bytes`` bytes, that with the smallest page_id
     (a null one only if there is no other) is a response and the others revisit it.
 
     Rows that repeat page_id and html are all responses if the page is. The html moves once, dealt by its digest; a
-    digest with very many pages is split by the skew join, for the other side has one row of it.
+    digest with very many pages is split by the skew join, for the other side has one row of it, and is written before
+    the join, so that both sides come straight out of a shuffle.
     """
+    workspace = workspace or Workspace(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").alias("target_uri"),
                         F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha1", F.unhex(F.sha1("payload")))
     first = rows.select("sha1", "page_id").groupBy(F.col("sha1").alias("_sha1")).agg(F.min("page_id").alias("first"))
+    first = workspace.settle(first, f"first-{uuid.uuid4().hex}")
     joined = rows.hint("merge").join(first.hint("merge"), F.col("sha1") == F.col("_sha1"))
     full = F.octet_length("payload").cast("bigint")
     revisit = (full >= least_bytes) & ~F.col("page_id").eqNullSafe(F.col("first"))
