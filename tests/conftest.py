@@ -30,8 +30,3 @@ def frame(spark):
         raw = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"`{n}` {kinds.get(t, t)}" for n, t in fields))
         return raw.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
     return make
-
-
-def rows(df, *order):
-    """Rows as tuples in a fixed order."""
-    return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from world import at, chain, deal, timeline, touch, written

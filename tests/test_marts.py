@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from frames import rows
 
 from touchledger.config import MODELS
 from touchledger.operators import lift, marts
