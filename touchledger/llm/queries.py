@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchledger.llm import decontaminate, exact, html, language, packing, quality, secrets, simhash, toxicity, warc
+from touchledger.llm import (decontaminate, exact, html, language, packing, quality, secrets, simhash, token_counts,
+                             toxicity, warc)
 from touchledger.llm.common import prepared, remainder, table
 from touchledger.plans.workspace import Workspace
 
@@ -79,9 +80,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.size("spans") > 0).alias("contaminated"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepared(spark), sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, token_counts.byte_bpe()).drop("text")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_packing, op2_warc, op3_simhash, op4_language, op5_html, op6_exact_dedup, op7_quality, op8_secrets,
-    op9_toxicity, op10_decontamination)}
+    op9_toxicity, op10_decontamination, op13_token_counts)}
 
 ORACLES = {
     "op6_exact_dedup": """
