@@ -1,0 +1,147 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from touchledger.llm import collocations as co
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def words_of(text):
+    return [re.findall(r"[^\x20\x09]+", piece) for piece in re.split(r"[.,;:!?\x0a-\x0d]", lowered(text))]
+
+
+def counts_by_hand(rows):
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        for w in words_of(text):
+            n[lang or "und"] += len(w)
+            f.update((lang or "und", tuple(w[i:i + m])) for m in range(1, 6) for i in range(len(w) - m + 1))
+    return f, n
+
+
+def by_hand(rows, threshold, first=2000, share=100):
+    """The definition, by Python integers."""
+    f, n = counts_by_hand(rows)
+    frequent = {k: a for k, a in f.items() if a >= threshold}
+    out = {}
+    for (lang, p), a in frequent.items():
+        inside = any(b * 100 >= a * share and len(q) > len(p) and x == lang
+                     and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1)) for (x, q), b in frequent.items())
+        if len(p) < 2 or inside:
+            continue
+        score, k = min((1000 * a * n[lang] // (f[lang, p[:k]] * f[lang, p[k:]]), k) for k in range(1, len(p)))
+        out.setdefault(lang, []).append((" ".join(p), a, f[lang, p[:k]], f[lang, p[k:]], n[lang], score))
+    return sorted((lang, i + 1, *row) for lang, found in out.items() for i, row in enumerate(
+        sorted(found, key=lambda r: (-r[5], -r[1], r[0].encode()))[:first]))
+
+
+def found(frame):
+    return sorted(map(tuple, frame.collect()))
+
+
+def made(rng, n):
+    texts = []
+    for _ in range(n):
+        parts = rng.choices(["new york city", "New York", "a b a b a b", "the", "é", "of the", "x", "Straße", "\x00", "\x1f", "un deux"], k=12)
+        texts.append((rng.choice(["en", "de", None, "und"]), "".join(p + rng.choice([" ", "\t", "  ", ". ", ",", "\n", "\x0b"]) for p in parts)))
+    return texts
+
+
+def frame_of(documents, rows):
+    return documents(*[(i, t, lang) for i, (lang, t) in enumerate(rows)], schema="doc_id bigint, text string, lang string")
+
+
+@pytest.mark.parametrize("threshold,share", [(6, 100), (3, 100), (10, 60)])
+def test_equal_to_the_definition(documents, workspace, threshold, share):
+    rows = made(random.Random(threshold), 120)
+    got = co.collocations(frame_of(documents, rows), threshold, share=share, first=40, workspace=workspace)
+    assert found(got) == by_hand(rows, threshold, 40, share)
+
+
+def test_small_blocks_portions_and_vocabularies(documents, workspace, monkeypatch):
+    rows = made(random.Random(1), 60) + [("en", "new york city " * 300), ("en", "q" * 500 + " new york")]
+    import touchledger.llm.collocations as module
+
+    words, out = module.Words(), Counter()
+    monkeypatch.setattr(module, "BLOCK", 7)
+    monkeypatch.setattr(module, "PORTION", 20)
+    monkeypatch.setattr(module, "VOCABULARY", 9)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in rows]), pa.array([t for _, t in rows])], ["lang", "text"])
+    for numbers, carry in module.blocks([batch], words, 5):
+        for size, at, h in module.phrase_hashes(numbers, words.hashes, carry, 5):
+            assert len(at) == len(h)
+            out.update((words.langs[words.lang[numbers[i]]], tuple(words.list[k].decode() for k in numbers[i:i + size])) for i in at)
+    assert out == counts_by_hand(rows)[0]
+
+
+def test_summary_keeps_every_frequent_cell():
+    rng = np.random.default_rng(3)
+    for threshold, capacity in ((50, 800), (20, 2100)):
+        cells = np.r_[rng.integers(0, 1 << 20, 30_000), rng.integers(0, 40, 9_000), np.repeat(777, threshold)].astype(np.uint32)
+        rng.shuffle(cells)
+        assert capacity > len(cells) / threshold
+        state = co.Summary(np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        for part in np.array_split(cells, 13):
+            own = co.Summary(*np.unique(part, return_counts=True))
+            state = co.Summary.merged([state, co.Summary.unpack(own.pack())]).cut(capacity, threshold)
+            assert len(state.cells) <= capacity
+        truth = Counter(cells.tolist())
+        assert 0 < state.error < threshold
+        assert {c for c, n in truth.items() if n >= threshold} <= set(state.survivors(threshold).tolist())
+        assert all(n <= truth[c] <= n + state.error for c, n in zip(state.cells.tolist(), state.counters.tolist()))
+        assert all(n <= state.error for c, n in truth.items() if c not in set(state.cells.tolist()))
+
+
+def test_summary_grows_rather_than_pass_the_threshold():
+    many = co.Summary(np.arange(100, dtype=np.uint32), np.full(100, 30))
+    cut = many.cut(10, 20)
+    assert len(cut.cells) == 100 and cut.error == 19 and cut.survivors(20).size == 100
+    empty = co.Summary.unpack(co.Summary.merged([many]).cut(10, 31).pack())
+    assert len(empty.cells) == 0 and empty.error == 30
+
+
+def test_coinciding_hashes_do_not_mix_phrases():
+    numbers = np.array([1, 2, 3, 4, 1, 2], np.int64)
+    phrases, counts = co._counted(numbers, np.array([0, 2, 4]), 2, np.array([9, 9, 9], np.uint64))
+    assert dict(zip(map(tuple, phrases.tolist()), counts.tolist())) == {(1, 2): 2, (3, 4): 1}
+
+
+def test_exact_beyond_64_bits(llm):
+    counts = llm.createDataFrame([("en", "a b", 2, 10**13), ("en", "a", 1, 3 * 10**13), ("en", "b", 1, 10**13 + 7), ("en", "", 0, 9 * 10**13)],
+                                 "lang string, phrase string, size int, n bigint")
+    r = co.scores(counts).first()
+    assert r["score"] == 1000 * 10**13 * 9 * 10**13 // (3 * 10**13 * (10**13 + 7))
+
+
+def test_nulls_empty_tables_and_clashing_columns(documents, workspace):
+    rows = [(None, None, 1, "a", 5), (1, "a b", None, "b", 6), (1, "a b", None, "b", 6), (2, "", "en", "c", 7)]
+    frame = documents(*[(i, t, lang if isinstance(lang, str) else None, p, n) for i, t, lang, p, n in rows],
+                      schema="doc_id bigint, text string, lang string, phrase string, n int")
+    assert found(co.collocations(frame, 2, workspace=workspace)) == [("und", 1, "a b", 2, 2, 2, 4, 2000)]
+    assert found(co.collocations(frame, 3, workspace=workspace)) == []
+    assert found(co.collocations(frame.limit(0), 2, workspace=workspace)) == []
+
+
+def test_many_languages_and_partitions(llm, documents, workspace, monkeypatch):
+    rng = random.Random(4)
+    rows = [(f"l{rng.randint(0, 30)}", "p q r. p q" if rng.random() < 0.5 else "q p") for _ in range(400)]
+    monkeypatch.setattr(co, "LANGUAGES", 3)
+    got = co.collocations(frame_of(documents, rows), 5, partition_mass=64, workspace=workspace)
+    assert found(got) == by_hand(rows, 5)
+
+
+def test_first_rows_of_a_language_over_its_parts(llm):
+    from pyspark.sql import functions as F
+
+    frame = llm.range(500).select(F.lit("en").alias("lang"), F.format_string("p%03d", "id").alias("phrase"), (F.col("id") % 7).alias("score"))
+    got = co.ranked(frame, 10, [F.desc("score"), F.asc("phrase")]).orderBy("rank").collect()
+    want = sorted(((-(i % 7), f"p{i:03d}") for i in range(500)))[:10]
+    assert [(r["rank"], r["phrase"]) for r in got] == [(k + 1, p) for k, (_, p) in enumerate(want)]

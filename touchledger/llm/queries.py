@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchledger.llm import (decontaminate, exact, html, language, packing, quality, secrets, simhash, token_counts,
-                             toxicity, warc)
+from touchledger.llm import (collocations, decontaminate, exact, html, language, packing, quality, secrets, simhash,
+                             token_counts, toxicity, warc)
 from touchledger.llm.common import prepared, remainder, table
 from touchledger.plans.workspace import Workspace
 
@@ -80,6 +80,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.size("spans") > 0).alias("contaminated"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(prepared(spark), sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepared(spark), sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, token_counts.byte_bpe()).drop("text")
@@ -87,7 +91,7 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_packing, op2_warc, op3_simhash, op4_language, op5_html, op6_exact_dedup, op7_quality, op8_secrets,
-    op9_toxicity, op10_decontamination, op13_token_counts)}
+    op9_toxicity, op10_decontamination, op12_collocations, op13_token_counts)}
 
 ORACLES = {
     "op6_exact_dedup": """
@@ -120,4 +124,37 @@ ORACLES = {
         SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(list, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+            FROM documents),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        phrases AS (
+            SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+            FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+                  FROM pieces, range(1, 6) sizes(size) WHERE len(w) >= size)),
+        counts AS (SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY ALL HAVING count(*) >= 100),
+        cuts AS (
+            SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+            FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counts WHERE size > 1)),
+        scored AS (
+            SELECT c.lang, c.phrase, c.a, c.k, h.f AS l, t.f AS r, n,
+                   1000::HUGEINT * c.a * n // (h.f::HUGEINT * t.f) AS score
+            FROM cuts c JOIN counts h ON h.lang = c.lang AND h.phrase = c.head
+            JOIN counts t ON t.lang = c.lang AND t.phrase = c.tail JOIN totals ON totals.lang = c.lang),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        inner_parts AS (
+            SELECT lang, f, array_to_string(w[i:i + part - 1], ' ') AS phrase
+            FROM (SELECT *, unnest(range(1, size - part + 2)) AS i
+                  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS part
+                        FROM counts WHERE size > 2))),
+        longer AS (SELECT lang, phrase, max(f) AS f FROM inner_parts GROUP BY lang, phrase),
+        ranked AS (
+            SELECT lang, phrase, a, l, r, n, CAST(score AS BIGINT) AS score,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE longer.f IS NULL OR 100 * longer.f < 100 * a)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
 }
