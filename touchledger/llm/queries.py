@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchledger.llm import (collocations, decontaminate, exact, html, language, packing, quality, secrets, simhash,
-                             token_counts, toxicity, warc)
+                             token_counts, toxicity, warc, whitening)
 from touchledger.llm.common import prepared, remainder, table
 from touchledger.plans.workspace import Workspace
 
@@ -80,6 +80,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.size("spans") > 0).alias("contaminated"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(prepared(spark), sf_dir, "embeddings"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(prepared(spark), sf_dir, "documents"))
 
@@ -91,7 +95,7 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_packing, op2_warc, op3_simhash, op4_language, op5_html, op6_exact_dedup, op7_quality, op8_secrets,
-    op9_toxicity, op10_decontamination, op12_collocations, op13_token_counts)}
+    op9_toxicity, op10_decontamination, op11_whitening, op12_collocations, op13_token_counts)}
 
 ORACLES = {
     "op6_exact_dedup": """
