@@ -174,6 +174,7 @@ DEAL_ROWS = """deal_id, deal_name, company_id, company_name, domain, industry, s
 
 SELECTS = {
     "land_raw": LANDED,
+    "land_raw_split": "select doc_id, lang, source, length(text) as n_chars, md5(text) as text_md5 from documents",
     "schema_drift": _drift(),
     "load_manifest": f"select coalesce(feed, 'all') as \"table\", cast(sum(rows) as bigint) as rows from ({MANIFEST}) group by rollup (feed)",
     "stg_companies": "select * from companies",

@@ -62,8 +62,7 @@ def _landed(wh: Warehouse, names: Iterable[str] = RAW_FEEDS) -> dict[str, DataFr
     """Feeds written as CSV exports and landed again."""
     folder = f"{wh.workspace.root}/exports-{uuid.uuid4().hex}"
     for name in names:
-        (driver_tables.as_text(wh.feeds[name]).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(f"{folder}/{name}.csv"))
+        driver_tables.export(driver_tables.as_text(wh.feeds[name]), f"{folder}/{name}.csv")
     return landing.land_raw(wh.spark, folder, tables=list(names))
 
 
@@ -85,6 +84,16 @@ def _land_raw(wh: Warehouse) -> DataFrame:
     return _filled({name: getattr(landed, name) for name in nightly.STAGING})
 
 
+def _land_split(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks, commas and quotes as an export, landed again range by range."""
+    wh = warehouse(spark, folder)
+    docs, root = spark.read.parquet(f"{folder}/documents.parquet"), f"{wh.workspace.root}/exports-{uuid.uuid4().hex}"
+    driver_tables.export(docs.select("doc_id", "text", "lang", "source"), f"{root}/documents.csv")
+    landed = landing.land_raw(spark, root, tables=["documents"], multi_line="split")["documents"]
+    return landed.select(F.col("doc_id").cast("bigint"), "lang", "source", F.length("text").cast("bigint").alias("n_chars"),
+                         F.md5("text").alias("text_md5"))
+
+
 def _drift(wh: Warehouse) -> DataFrame:
     """The landed headers against stored ones, of which one has another order, one lacks a column and one is missing."""
     stored = {k: list(v) for k, v in RAW_FEEDS.items()}
@@ -148,6 +157,7 @@ def _exported_truth(wh: Warehouse) -> DataFrame:
 QUERIES: dict[str, Query] = {
     # landing
     "land_raw": _query(_land_raw),
+    "land_raw_split": _land_split,
     "schema_drift": _query(_drift),
     "load_manifest": _query(lambda wh: landing.load_manifest(_landed(wh))),
     # staging

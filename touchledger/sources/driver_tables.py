@@ -311,5 +311,11 @@ def as_text(feed: DataFrame) -> DataFrame:
                          for c, t in feed.dtypes])
 
 
+def export(feed: DataFrame, path: str) -> None:
+    """Writes a feed as CSV, with quotes doubled within quoted cells."""
+    (feed.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(path))
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/pages.parquet").select("page_id", "url")

@@ -11,37 +11,50 @@ from pyspark.sql import functions as F
 
 from touchledger.sinks import write_layer
 from touchledger.sources.feeds import LOADED_AT, text_schema
+from touchledger.sources.split_csv import read_split
 
 # A cell that cannot occur in an export. It stands for "no value", so that a quoted empty cell stays an
 # empty string while an unquoted one becomes NULL.
 _NO_VALUE = "\u0001"
 
 
-def _csv(spark: SparkSession, multi_line: bool):
+CELLS = {"nullValue": _NO_VALUE, "emptyValue": "", "quote": '"', "escape": '"'}
+
+
+def _csv(spark: SparkSession, path: str, size: int, multi_line: bool | str) -> DataFrame:
     """A short or long row, and a part file with another header, stop the load."""
-    return (spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
-            .option("enforceSchema", False).option("columnPruning", False)
-            .option("nullValue", _NO_VALUE).option("emptyValue", "")
-            .option("quote", '"').option("escape", '"').option("multiLine", multi_line))
+    whole = (spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST")
+             .option("enforceSchema", False).option("columnPruning", False).options(**CELLS)
+             .option("multiLine", multi_line is not False))
+    if multi_line == "split" or multi_line is True and size > _range_bytes(spark):
+        return read_split(spark, path, whole.csv(path).columns, CELLS)
+    return whole.csv(path)
+
+
+def _range_bytes(spark: SparkSession) -> int:
+    """Bytes of a file that one task reads at most."""
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
 
 
-def _exports(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the CSV exports in a folder; an export is one file or a folder of part files.
+def _exports(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """CSV exports that a path pattern finds, with the bytes of their largest file; an export is one file or a folder of them.
 
-    Only the paths are read, and there is one name per table, so the list on the driver stays short.
+    Only the listing is read, and there is one row per table, so what the driver gets stays short.
     """
     tail = F.regexp_extract("path", r"([^/]+)\.csv(?:/[^/]*)?$", 1)
-    listing = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*.csv").select(tail.alias("name"))
-    return sorted(r["name"] for r in listing.distinct().collect() if r["name"])
+    listing = spark.read.format("binaryFile").load(pattern).select(tail.alias("name"), "length")
+    found = listing.where("name != ''").groupBy("name").agg(F.max("length").alias("length"))
+    return {r["name"]: r["length"] for r in found.orderBy("name").collect()}
 
 
 def land_raw(spark: SparkSession, folder: str, load_ts: datetime | None = None, fmt: str = "csv",
-             tables: list[str] | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
+             tables: list[str] | None = None, multi_line: bool | str = True) -> dict[str, DataFrame]:
     """Every export in ``folder`` as a DataFrame of text columns named after its header, plus the load time.
 
-    ``tables`` names the exports when the caller knows them, which saves listing the folder. Quoted cells may hold
-    line breaks, for which a file is read by one task; deliver large exports as part files. Only where no cell has a
-    line break, ``multi_line=False`` splits files. Reading a table with a malformed row raises.
+    ``tables`` names the exports to land, otherwise all are. Quoted cells may hold line breaks. A file that fits one
+    task is then read by one; a larger one is split at any byte by counting quotes (``sources.split_csv``), as with
+    ``multi_line="split"`` all are. ``multi_line=False`` is for exports without a line break in any cell. Reading a table
+    with a malformed row raises.
     """
     stamp = F.lit(load_ts) if load_ts else F.current_timestamp()
     root = folder.rstrip("/")
@@ -51,8 +64,11 @@ def land_raw(spark: SparkSession, folder: str, load_ts: datetime | None = None,
         found = {t: spark.read.parquet(f"{root}/{t}.parquet") for t in tables}
         landed = {t: df.select([F.col(c).cast("string").alias(c) for c in df.columns]) for t, df in found.items()}
     else:
-        names = tables if tables is not None else _exports(spark, root)
-        landed = {t: _csv(spark, multi_line).csv(f"{root}/{t}.csv") for t in names}
+        # sizes matter only where they decide how a table is read
+        listed = tables is None or multi_line is True
+        sizes = _exports(spark, f"{root}/{'{' + ','.join(tables) + '}' if tables else '*'}.csv") if listed else {}
+        names = sizes if tables is None else tables
+        landed = {t: _csv(spark, f"{root}/{t}.csv", sizes.get(t, 0), multi_line) for t in names}
     return {t: df.withColumn(LOADED_AT, stamp.cast("timestamp")) for t, df in landed.items()}
 
 
