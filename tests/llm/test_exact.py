@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from touchledger.llm.exact import DigestIndex
 
 
@@ -34,6 +36,35 @@ def test_index_outlives_the_handle(llm, documents, workspace, tmp_path):
     assert later.add(documents(schema="doc_id bigint, text string"), workspace).count() == 0
 
 
+def test_another_number_of_buckets(llm, documents, workspace, tmp_path):
+    path, rows = str(tmp_path / "index"), [(i, f"text {i}") for i in range(200)]
+    assert DigestIndex(llm, path, 8).add(documents(*rows), workspace).where("kept").count() == 200
+    before = llm.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("3", "16"):
+            llm.conf.set("spark.sql.shuffle.partitions", partitions)
+            later = DigestIndex(llm, path)
+            got = later.add(documents(*rows, (999, "new " + partitions)), workspace)
+            assert later.buckets == 8 and got.count() == 201 and got.where("kept").count() == 1
+    finally:
+        llm.conf.set("spark.sql.shuffle.partitions", before)
+    for buckets in (4, 16):
+        with pytest.raises(ValueError, match="has 8 buckets"):
+            DigestIndex(llm, path, buckets)
+    assert DigestIndex(llm, path, 8).rows().count() == 202
+
+
+def test_a_batch_entered_again_keeps_what_it_kept(llm, documents, workspace, tmp_path):
+    index = DigestIndex(llm, str(tmp_path / "index"), 4)
+    index.add(documents((1, "a")), workspace, "first")
+    batch = documents((2, "a"), (3, "b"), (4, "b"), (5, None))
+    once = result(index.add(batch, workspace, "second"))
+    assert result(index.add(batch, workspace, "second")) == once and [g[0] for g in once if g[4]] == [4, 5]
+    assert sorted(r["doc_id"] for r in index.keep(batch, workspace, "second").collect()) == [4, 5]
+    assert result(index.add(batch, workspace, "third")) and index.rows().count() == 3
+    assert not [g for g in result(index.add(batch, workspace, "third")) if g[4]]
+
+
 def test_kept_documents_have_all_their_columns(llm, documents, workspace, tmp_path):
     rows = [(1, "a", "x"), (2, "a", "y"), (2, "a", "y"), (None, "b", "z"), (4, None, None)]
     frame = documents(*rows, schema="doc_id bigint, text string, lang string")
