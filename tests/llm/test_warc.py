@@ -61,8 +61,8 @@ def test_predicates_are_pushed_and_unwanted_payloads_not_decoded(source, archive
     assert sorted(r[0] for r in frame.collect()) == ["urn:x-page:3", "urn:x-page:8", "urn:x-page:none"]
     schema = source.createDataFrame([], warc.SCHEMA).schema
     decoded = []
-    finish = warc._Stream._finish
-    monkeypatch.setattr(warc._Stream, "_finish", lambda self, state, inflate, parts: decoded.append(parts is not None) or finish(self, state, inflate, parts))
+    peek = warc._Member.peek
+    monkeypatch.setattr(warc._Member, "peek", lambda self, at, n: decoded.append(n) or peek(self, at, n))
     from pyspark.sql.datasource import EqualTo, In, IsNotNull, Not, StringStartsWith
 
     reader = warc.WarcReader(archive, schema, 1 << 20, False)
@@ -100,6 +100,26 @@ def test_archives_of_others(source, tmp_path):
     assert read(source, str(tmp_path), "record_type string").where("record_type = 'resource'").count() == 2
 
 
+def test_several_records_in_one_member(source, tmp_path):
+    def make(k, n):
+        body = bytes([65 + k]) * n
+        return f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:{k}>\r\nContent-Length: {n}\r\n\r\n".encode() + body + b"\r\n\r\n"
+    sizes = [3, 0, 200_000, 7, 90_000, 1]
+    records = [make(k, n) for k, n in enumerate(sizes)]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(records[:3])) + warc.member(b"".join(records[3:5])) + gzip.compress(records[5]))
+    rows = read(source, str(tmp_path)).orderBy("record_id").collect()
+    assert [(r["record_id"], bytes(r["payload"])) for r in rows] == [(f"urn:{k}", bytes([65 + k]) * n) for k, n in enumerate(sizes)]
+    assert [r[0] for r in read(source, str(tmp_path), "record_id string").orderBy("record_id").collect()] == [f"urn:{k}" for k in range(6)]
+    assert read(source, str(tmp_path)).where("record_id = 'urn:4'").first()["payload_bytes"] == 90_000
+    whole = b"".join(records[:3])
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(whole[:-100]))
+    with pytest.raises(Exception, match="ends inside a record"):
+        read(source, str(tmp_path)).collect()
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(whole + b"WARC/1.0\r\nrest"))
+    with pytest.raises(Exception, match="ends inside a record's header"):
+        read(source, str(tmp_path)).collect()
+
+
 def test_members_are_gzip(archive):
     import glob
 

@@ -257,49 +257,77 @@ class _Stream:
 
     def _members(self):
         while self.at < self.size:
-            offset, skip = self.at, 0
+            offset, skip, content = self.at, 0, 0
             start = self._need(1 << 10)
             if start[:3] != b"\x1f\x8b\x08":
                 raise ValueError(f"no gzip member at {offset}")
             if start[3] & 4 and start[12:14] == b"sl":
-                skip = struct.unpack("<I", start[16:20])[0]
-            # The header first: as much of the member as gives it, and no more.
-            inflate, raw, taken, n = zlib.decompressobj(31), b"", 0, 2048
-            while _END not in raw and not inflate.eof:
-                source = inflate.unconsumed_tail or self._need(taken + n)[taken:]
-                if not source:
-                    raise ValueError(f"the member at {offset} is cut off")
-                if not inflate.unconsumed_tail:
-                    taken += len(source)
-                raw += inflate.decompress(source, 4096)
-            end = raw.find(_END)
-            state = {"raw": raw, "taken": taken, "done": inflate.eof}
-
-            def whole(state=state, inflate=inflate, end=end):
-                parts = [state["raw"][end + 4:]]
-                self._finish(state, inflate, parts)
-                body = b"".join(parts)
-                return body[:-4] if body.endswith(_END) else body
-
-            yield offset, raw[:end], whole
-            if skip:
-                self._advance(skip)
-            else:
-                self._finish(state, inflate, None)
-                self._advance(state["taken"] - len(inflate.unused_data))
-
-    def _finish(self, state, inflate, parts) -> None:
-        """Inflates the rest of a member."""
-        while not inflate.eof:
-            source = inflate.unconsumed_tail
+                skip, content = struct.unpack("<II", start[16:24])
+            inside, first = _Member(self, offset), True
+            # A member may hold several records; only one that says how long it is may be skipped, if it holds one.
+            while first or inside.more():
+                head = inside.head()
+                length = int(fields(head)["content-length"])
+                yield offset, head, lambda at=len(head) + 4, n=length: inside.peek(at, n)
+                if first and skip and content == len(head) + 4 + length + 4:
+                    break
+                inside.drop(len(head) + 4 + length)
+                first, skip = False, 0
+            self._advance(skip or inside.taken - len(inside.inflate.unused_data))
+
+
+class _Member:
+    """What one gzip member holds, inflated as far as it is asked for."""
+
+    def __init__(self, stream: _Stream, offset: int):
+        self.stream, self.offset = stream, offset
+        self.inflate, self.raw, self.taken = zlib.decompressobj(31), b"", 0
+
+    def _inflate(self, most: int) -> bool:
+        """Inflates up to so many bytes more; not at the member's end."""
+        if self.inflate.eof:
+            return False
+        source = self.inflate.unconsumed_tail
+        if not source:
+            source = self.stream._need(self.taken + (_READ if self.taken else 2048))[self.taken:]
             if not source:
-                source = self._need(state["taken"] + _READ)[state["taken"]:]
-                if not source:
-                    raise ValueError("a member is cut off")
-                state["taken"] += len(source)
-            more = inflate.decompress(source, _READ)
-            if parts is not None:
-                parts.append(more)
+                raise ValueError(f"the member at {self.offset} is cut off")
+            self.taken += len(source)
+        self.raw += self.inflate.decompress(source, most)
+        return True
+
+    def more(self) -> bool:
+        """Whether another record follows; line ends between records do not count."""
+        self.raw = self.raw.lstrip(b"\r\n")
+        while not self.raw and self._inflate(4096):
+            self.raw = self.raw.lstrip(b"\r\n")
+        return bool(self.raw)
+
+    def head(self) -> bytes:
+        while (end := self.raw.find(_END)) < 0:
+            if not self._inflate(4096):
+                raise ValueError(f"the member at {self.offset} ends inside a record's header")
+        return self.raw[:end]
+
+    def peek(self, at: int, n: int) -> bytes:
+        """Bytes of the record's block."""
+        parts, size = [self.raw], len(self.raw)
+        while size < at + n:
+            self.raw = b""
+            if not self._inflate(_READ):
+                raise ValueError(f"the member at {self.offset} ends inside a record")
+            parts.append(self.raw)
+            size += len(self.raw)
+        self.raw = b"".join(parts)
+        return self.raw[at:at + n]
+
+    def drop(self, n: int) -> None:
+        """Inflates past a record and throws it away."""
+        while len(self.raw) < n:
+            n, self.raw = n - len(self.raw), b""
+            if not self._inflate(_READ):
+                raise ValueError(f"the member at {self.offset} ends inside a record")
+        self.raw = self.raw[n:]
 
 
 def fields(head: bytes) -> dict[str, str]:
