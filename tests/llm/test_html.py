@@ -192,3 +192,39 @@ def test_vectors_are_sums_modulo_a_power_of_two(llm, workspace):
     html.templates(frame.repartition(7), workspace)
     held = {(r["host"], r["token"]): r["vector"] for r in llm.read.parquet(f"{workspace.root}/tokens").collect()}
     assert held == {(r["host"], r["token"]): r["vector"] for r in whole}
+
+
+def texts_of(page):
+    return [text for text, element, _ in html.blocks(page) if not element.dropped]
+
+
+@pytest.mark.parametrize("line,text", [
+    ('<span class="share">Share</span> Real text here.', "Real text here."), ("<span hidden>x</span>Text", "Text"),
+    ("Text <span hidden>x</span>goes on", "Text goes on"), ("Text<span hidden>x</span>", "Text"),
+    ('<button>b</button> <em>Text</em> <span class="share">s</span>', "Text")])
+def test_boilerplate_within_a_line_leaves_the_line(line, text):
+    assert texts_of(f"<article><h1>T</h1><p>{line}</p><p>Next</p></article>") == ["T", text, "Next"]
+
+
+def test_formulas_and_preformatted_text_stay():
+    page = ("<article><p>Let <math><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>tex</annotation></math> hold.</p>"
+            "<xmp>a <b> &amp; c</xmp><p>End</p><xmp>rest")
+    assert texts_of(page) == ["Let x=2 hold.", "a <b> &amp; c", "End", "rest"]
+
+
+def test_comments_without_an_end():
+    assert texts_of("<p>a</p><!-- <p>b</p>") == ["a"] and texts_of("<p>a</p><!-- b") == ["a"]
+    assert texts_of("<p>a</p><!-- x --><p>b < c</p> d <") == ["a", "b < c", "d <"]
+
+
+@pytest.mark.parametrize("page", [
+    "<a=" * 350_000, "<a=" * 350_000 + ">", "<div " * 200_000, "<div>" * 80_000 + "</x>" * 140_000, "<" * 1_000_000,
+    '<a "' * 250_000 + ">", "<b>" * 100_000 + "</a>" * 200_000, "<a><p>" + "<b>" * 100_000 + "</a>" * 200_000, "<!--" * 250_000,
+    "<script>" + "</script " * 100_000, "<!" * 400_000, "<div>x" * 100_000, '<a x="' * 150_000 + "'>"])
+def test_a_megabyte_of_anything_takes_seconds(page):
+    import time
+
+    began = time.process_time()
+    for _ in html.blocks(page):
+        pass
+    assert time.process_time() - began < 6

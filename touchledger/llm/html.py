@@ -41,11 +41,16 @@ from touchledger.plans.workspace import Workspace
 
 # Kinds of elements in HTML, and words in class and id names that say what an element is for.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math q rp "
-                   "rt ruby s samp small span strike strong sub sup svg time tt u var wbr".split())
+                   "rt ruby s samp small span strike strong sub sup svg time tt u var wbr "
+                   # elements of formulas
+                   "annotation annotation-xml maction merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+                   "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover "
+                   "semantics".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp template noembed noframes svg math".split())
+RAW = frozenset("script style textarea title noscript iframe xmp template noembed noframes svg".split())
 BOILERPLATE = frozenset("nav footer aside form script style noscript template iframe button select option textarea "
-                        "input label menu dialog head object canvas audio video map fieldset legend".split())
+                        "input label menu dialog head object canvas audio video map fieldset legend annotation "
+                        "annotation-xml".split())
 HEADER = frozenset({"header"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset("article main".split())
@@ -74,7 +79,7 @@ FEW_PAGES, CLASS_SIZE, SUPPORT = 8, 3, 0.5
 #: Bytes of templates up to which they are broadcast.
 BROADCAST = 64 << 20
 
-_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>|[!?/][^>]*>)""",
+_TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+|[^>]*+)>|[!?/][^>]*>)""",
                   re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([A-Za-z_:][\w:.-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _PIECE = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
@@ -101,11 +106,12 @@ class Element:
     ``unsure`` that it is in an article, in an element with a name that may mean boilerplate.
     """
 
-    __slots__ = ("tag", "path", "dropped", "main", "link", "header", "up", "hinted", "below", "unsure")
+    __slots__ = ("tag", "path", "dropped", "main", "link", "header", "up", "hinted", "below", "unsure", "anchor")
 
     def __init__(self, tag, path, dropped, main, link, header, up, hinted=False, below=False, unsure=False):
         self.tag, self.path, self.dropped, self.main, self.link = tag, path, dropped, main, link
         self.header, self.up, self.hinted, self.below, self.unsure = header, up, hinted, below, unsure
+        self.anchor = 0  # place of the link that holds it, if nothing but inline elements is between
 
 
 def _hint(name: str, hints: frozenset) -> bool:
@@ -145,42 +151,46 @@ def texts(page: str):
     """(text, element) for every text, (None, element) at the start of every element but inline ones, (None, None) at
     their ends."""
     root = Element("", 0, False, False, False, False, None)
-    stack, at, buffer = [root], 0, []
-    for m in iter(lambda: _TAG.search(page, at), None):
+    stack, at = [root], 0
+    # Tags end by the last > of the page; how many elements of a name are open. So no text is searched twice in vain.
+    last, opened = page.rfind(">") + 1, Counter()
+
+    def close(place: int) -> None:
+        opened.subtract(e.tag for e in stack[place:])
+        del stack[place:]
+
+    for m in iter(lambda: _TAG.search(page, at, last), None):
         if m.start() > at:
             yield page[at:m.start()], stack[-1]
         at = m.end()
         tag = m.group(2)
         if not tag:
+            if m.group().startswith("<!--") and not m.group().endswith("-->"):
+                at = len(page)  # a comment without an end
             continue
         tag = tag.lower()
         if m.group(1):
             if tag in INLINE:
                 if tag != "br" and stack[-1].tag == tag:
-                    stack.pop()
-                elif tag == "a":
-                    # A link ends here, even if what is open in it has not.
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i].tag == "a":
-                            del stack[i:]
-                            break
-                        if stack[i].tag not in INLINE:
-                            break
+                    close(len(stack) - 1)
+                elif tag == "a" and stack[-1].anchor:
+                    close(stack[-1].anchor)  # a link ends here, even if what is open in it has not
                 continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if opened[tag] > 0:
+                place = len(stack) - 1
+                while stack[place].tag != tag:
+                    place -= 1
+                close(place)
             yield None, None
             continue
         if tag not in INLINE:
             # What cannot hold a block ends at one.
             while stack[-1].tag in INLINE or stack[-1].tag == "p" or stack[-1].tag in HEADINGS and (
                     tag == "p" or tag in HEADINGS):
-                stack.pop()
+                close(len(stack) - 1)
             closes = CLOSES.get(tag, ())
             while stack[-1].tag in closes:
-                stack.pop()
+                close(len(stack) - 1)
         top = stack[-1]
         name, (sure, unsure, named_header, article_body), hidden = _attributes(m.group(3) or "")
         named = tag not in HEADINGS and tag not in MAIN and tag not in ("html", "body")
@@ -206,13 +216,21 @@ def texts(page: str):
                               doubt)
             yield None, element
         if tag in RAW:
-            end = _END[tag].search(page, at)
+            end = _END[tag].search(page, at, max(at, last))
+            if tag == "xmp":  # text as it stands, without references
+                yield page[at:end.start() if end else len(page)].replace("&", "&amp;"), element
+                yield None, None
             at = end.end() if end else len(page)
             continue
         if tag not in VOID and not (m.group(3) or "").endswith("/"):
+            if tag in INLINE:
+                element.anchor = len(stack) if tag == "a" else top.anchor
             stack.append(element)
-    if at < len(page):
-        yield page[at:], stack[-1]
+            opened[tag] += 1
+    rest = page[at:]
+    rest = rest[:rest.index("<!--")] if "<!--" in rest else rest
+    if rest:
+        yield rest, stack[-1]
 
 
 def blocks(page: str, starts: list | None = None):
@@ -220,27 +238,30 @@ def blocks(page: str, starts: list | None = None):
 
     ``starts`` gets the path of every element that is no inline one, where it starts.
     """
-    parts, owner, linked = [], None, 0
+    def flushed():
+        """The block's text, or, if it has nothing but boilerplate, that."""
+        for parts, owner, linked in (kept, out):
+            joined = " ".join("".join(parts).split())
+            if joined:
+                yield joined, owner, linked
+                return
+
+    kept, out = [[], None, 0], [[], None, 0]
     for text, element in texts(page):
         if text is None:
             if starts is not None and element is not None:
                 starts.append(element.path)
-            if parts:
-                joined = " ".join("".join(parts).split())
-                if joined:
-                    yield joined, owner, linked
-            parts, owner, linked = [], None, 0
-        elif element.dropped and owner is not None and not owner.dropped:
-            continue  # boilerplate within a line
-        else:
-            if owner is None and not text.isspace():
-                owner = element
-            parts.append(entities.unescape(text) if "&" in text else text)
-            if element.link:
-                linked += len(text)
-    joined = " ".join("".join(parts).split())
-    if joined:
-        yield joined, owner, linked
+            yield from flushed()
+            kept, out = [[], None, 0], [[], None, 0]
+            continue
+        # boilerplate within a line is no part of it, wherever it stands
+        line = out if element.dropped else kept
+        if line[1] is None and not text.isspace():
+            line[1] = element
+        line[0].append(entities.unescape(text) if "&" in text else text)
+        if element.link:
+            line[2] += len(text)
+    yield from flushed()
 
 
 def _block(element: Element) -> Element:
