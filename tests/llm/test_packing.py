@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from touchledger.llm import packing
 
@@ -16,18 +18,31 @@ def tokens():
     return packing.WordTokens(*PATHS)
 
 
+@functools.cache
+def library():
+    """The tokenizer as its file gives it."""
+    return Tokenizer.from_file(PATHS[0])
+
+
 def whole(tokens, text):
-    return tokens.tokenizer.encode(text, add_special_tokens=False).ids
+    return library().encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(list(" \n\t\r\x0b\x85  'sreab1½.,é漢ї<|>")), st.characters(codec="utf-8")),
                max_size=40))
-def test_word_by_word_is_the_tokenizer(text):
+def test_every_text_has_the_tokenizers_ids(text):
     tokens = packing.once(packing.WordTokens, *PATHS)
     assert tokens.of(text).tolist() == whole(tokens, text)
 
 
+def test_random_pieces_have_the_tokenizers_ids(tokens):
+    rng = random.Random(8)
+    pieces = [" the", "<|endoftext|>", "  ", " ", "\n", "'s", "é", " 漢", "word", " 12", "\t", "ǆ", "ɐ"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(600)]
+    assert [np.frombuffer(b, tokens.kind).tolist() for b in tokens.batch(texts)] == [whole(tokens, t) for t in texts]
+
+
 @pytest.mark.parametrize("text", ["", " ", "  ", "   a", "a   b", "a \n b", "a\n  b  ", "it's  we'll <|endoftext|> x", "x" * 5000,
                                   "漢字 かな", " lead", "trail ", "a  ", "tab\t \tb", "é" * 70 + " " + "z" * 200])
 def test_runs_of_white_space_and_odd_texts(tokens, text):
@@ -37,8 +52,23 @@ def test_runs_of_white_space_and_odd_texts(tokens, text):
 def test_remembered_words_are_bounded(tokens, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 10)
     tokens.clear()
-    text = " ".join(f"word{i}" for i in range(100))
-    assert tokens.of(text).tolist() == whole(tokens, text) and len(tokens) <= 10
+    for k in range(30):
+        text = "漢 " + " ".join(f"word{i}" for i in range(3 * k, 3 * k + 9))
+        assert tokens.of(text).tolist() == whole(tokens, text) and len(tokens) <= 19 and len(tokens.old) <= 19
+
+
+def test_strings_of_added_tokens_are_what_the_tokenizer_makes_of_them(tokens, documents, workspace):
+    texts = ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", "<|endoftext", "x  <|endoftext|>  y", "word " * 3000 + "<|endoftext|>"]
+    assert [np.frombuffer(b, tokens.kind).tolist() for b in tokens.batch(texts)] == [whole(tokens, t) for t in texts]
+    assert whole(tokens, texts[0]) == [50256]
+    docs = list(enumerate(texts))
+    check(packed(documents(*docs), workspace), docs, tokens)
+
+
+def test_words_of_a_batch_are_learnt_together(tokens):
+    texts = ["one two\nthree", "two\n\n four 漢字 é", "five\x0bsix  seven", "", " one", "\n \n", "it's two's\r\n nine"]
+    tokens.clear()
+    assert [np.frombuffer(b, tokens.kind).tolist() for b in tokens.batch(texts)] == [whole(tokens, t) for t in texts]
 
 
 def test_hilbert_curve_visits_every_cell_by_single_steps():

@@ -15,6 +15,7 @@ pieces. Columns of the input other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -30,30 +31,32 @@ LENGTH = 2048
 CLOSING_ID = 1
 #: Dimensions of the hashed vectors and of the curve, and bits for each of the latter.
 HASHED, DIMENSIONS, BITS = 1024, 3, 16
-#: Words whose tokens a worker remembers.
-REMEMBERED = 300_000
+#: Words whose tokens a worker remembers, in each of two generations.
+REMEMBERED = 200_000
 #: Tokens that a range should hold; keys in the sample that bounds the ranges, for each range and at most.
 RANGE_TOKENS, SAMPLE_PER_RANGE, SAMPLE = 4_000_000, 100, 1_000_000
 
 
 class WordTokens(dict):
-    """Token ids of words after a space, as little-endian unsigned 16 or 32 bits, remembered up to a bound.
+    """Token ids of texts, as little-endian unsigned 16 or 32 bits; itself remembers those of words after a space.
 
-    The pre-tokenizer of byte-level BPE never joins text across a space that follows a non-space, so a text can be
-    tokenized word by word. Words in characters beyond Latin, and texts with runs of white space in which that does
-    not hold, go to the tokenizer itself; the others' merges come from the rank file of the same vocabulary.
+    A text in Latin script is encoded whole, by the merges of the rank file of the same vocabulary. Another one is
+    tokenized word by word, for the pre-tokenizer of byte-level BPE never joins text across a space that follows a
+    non-space: what is not remembered of the words of a batch is encoded in one call, a line each, or by the tokenizer
+    itself if it is beyond Latin or has a line break. Texts with the string of an added token, and those beyond Latin
+    with runs of white space, go to the tokenizer whole.
     """
 
-    #: White space before a space that is not the last of its run.
-    _RUN = re.compile(r"\s (?=\s|\Z)")
+    #: White space before a space that is not the last of its run; what the rank file's pattern may cut differently.
+    _RUN, _LATIN = re.compile(r"\s (?=\s|\Z)"), bytes(range(0xC9))
 
     def __init__(self, tokenizer_path: str, ranks_path: str | None, pattern: str | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = sorted(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.ranks = None
+        self.ranks, self.old = None, {}
         if ranks_path:
             import base64
 
@@ -62,27 +65,53 @@ class WordTokens(dict):
             with open(ranks_path, "rb") as file:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
             self.ranks = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            self.line = ranks[b"\n"]
+
+    def _latin(self, text: str) -> bool:
+        """Whether all characters are below U+0240: their first bytes in UTF-8 are below C9."""
+        return text.isascii() or not text.encode("utf-8", "replace").translate(None, self._LATIN)
 
     def encode(self, text: str) -> bytes:
-        if self.ranks is not None and (text.isascii() or max(text) < "ɐ"):
-            ids = self.ranks.encode_ordinary(text)
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
+    def learn(self, words: set[str]) -> None:
+        """Makes the ids of these words known. Words are in two generations, of which the older one goes."""
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
-        ids = self.encode(" " + word)
-        if len(word) < 64:
-            self[word] = ids
-        return ids
+        new, old = words.difference(self), self.old
+        known = new.intersection(old)
+        self.update((w, old[w]) for w in known)
+        new -= known
+        plain = [w for w in new if self._latin(w) and "\n" not in w] if self.ranks is not None else []
+        if plain:
+            ids = np.array(self.ranks.encode_ordinary("\n".join([f" {w}" for w in plain])), self.kind)
+            ends = np.flatnonzero(ids == self.line)
+            starts = np.r_[0, ends + 1].tolist()
+            raw, size = ids.tobytes(), self.kind.itemsize
+            self.update(zip(plain, [raw[a * size:b * size] for a, b in zip(starts, [*ends.tolist(), len(ids)])]))
+            new.difference_update(plain)
+        self.update((w, self.encode(" " + w)) for w in new)
+
+    def _whole(self, text: str) -> bytes | None:
+        """Ids of a text that is not to be tokenized word by word."""
+        if any(a in text for a in self.added):
+            return self.encode(text)
+        if self.ranks is not None and self._latin(text):
+            return np.array(self.ranks.encode_ordinary(text), self.kind).tobytes()
+        return self.encode(text) if self._RUN.search(text) else None
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts."""
+        out = list(map(self._whole, texts))
+        cut = {k: texts[k].split(" ") for k, ids in enumerate(out) if ids is None}
+        self.learn(set(itertools.chain.from_iterable(c[1:] for c in cut.values())))
+        for k, c in cut.items():
+            out[k] = (self.encode(c[0]) if c[0] else b"") + b"".join(map(self.__getitem__, c[1:]))
+        return out
 
     def of(self, text: str) -> np.ndarray:
-        if self._RUN.search(text):
-            return np.frombuffer(self.encode(text), self.kind)
-        first, *rest = text.split(" ")
-        return np.frombuffer((self.encode(first) if first else b"") + b"".join(map(self.__getitem__, rest)), self.kind)
+        return np.frombuffer(self.batch([text])[0], self.kind)
 
 
 def hilbert_index(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -118,12 +147,16 @@ def _projection(seed: int) -> np.ndarray:
     return np.random.default_rng(seed).normal(size=(HASHED, DIMENSIONS))
 
 
-def curve_key(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """Coordinates of a document: its hashed token counts, damped and of unit length, projected and squashed."""
-    bucket = (ids.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(22)
-    vector = np.log1p(np.bincount(bucket, minlength=HASHED))
-    norm = np.sqrt(vector @ vector)
-    return (vector / norm if norm else vector) @ projection
+def curve_keys(ids: np.ndarray, counts: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Coordinates of documents, a row each: hashed token counts, damped and of unit length, projected.
+
+    ``ids`` are those of all documents one after the other, ``counts`` how many each has.
+    """
+    bucket = ((ids.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(22)).astype(np.int64)
+    bucket += np.repeat(np.arange(len(counts)) * HASHED, counts)
+    vectors = np.log1p(np.bincount(bucket, minlength=len(counts) * HASHED).reshape(-1, HASHED))
+    norms = np.sqrt((vectors * vectors).sum(1, keepdims=True))
+    return (vectors / np.where(norms > 0, norms, 1)) @ projection
 
 
 def _places(coordinates: np.ndarray) -> np.ndarray:
@@ -136,14 +169,12 @@ def tokenized(docs: DataFrame, tokenizer: tuple, closing_id: int | None = CLOSIN
     def run(batches):
         tokens, projection = once(WordTokens, *tokenizer), once(_projection, seed)
         end = np.array([] if closing_id is None else [closing_id], tokens.kind)
+        end = end.tobytes()
         for batch in batches:
-            ids, counts, points = [], [], []
-            for text in batch.column("text"):
-                own = np.concatenate([tokens.of(text.as_py() or ""), end])
-                ids.append(own.tobytes())
-                counts.append(len(own))
-                points.append(curve_key(own, projection))
-            keys = hilbert_index(_places(np.array(points).reshape(-1, DIMENSIONS)))
+            ids = [own + end for own in tokens.batch([t or "" for t in batch.column("text").to_pylist()])]
+            counts = np.array([len(own) for own in ids], np.int64) // tokens.kind.itemsize
+            points = curve_keys(np.frombuffer(b"".join(ids), tokens.kind), counts, projection)
+            keys = hilbert_index(_places(points))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tie"), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()),
                  pa.array(ids, pa.binary())], names=["doc_id", "tie", "n", "key", "ids"])
