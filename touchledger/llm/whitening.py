@@ -104,7 +104,7 @@ def exact_sums(vectors: DataFrame, size: int, of_batch) -> list[int]:
 
     out = [0] * size
     added = vectors.select("v").mapInArrow(run, "place int, limb int, value bigint").groupBy("place", "limb")
-    for r in added.agg(F.sum("value").alias("value")).toLocalIterator():
+    for r in added.agg(F.sum("value").alias("value")).collect():
         out[r["place"]] += r["value"] << _LIMB * r["limb"]
     return out
 
@@ -210,7 +210,7 @@ def identity_error(rows: DataFrame, model: Whitening) -> float:
 
     parts = rows.select("v").mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value").alias("value"))
     got = np.zeros(k * k + k)
-    for r in parts.toLocalIterator():
+    for r in parts.collect():
         got[r["place"]] = r["value"]
     mean = got[k * k:] / model.n
     return float(np.abs(got[:k * k].reshape(k, k) / model.n - np.outer(mean, mean) - np.eye(k)).max())
