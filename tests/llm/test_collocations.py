@@ -75,7 +75,7 @@ def test_small_blocks_portions_and_vocabularies(documents, workspace, monkeypatc
     import pyarrow as pa
 
     batch = pa.RecordBatch.from_arrays([pa.array([x or "und" for x, _ in rows]), pa.array([t for _, t in rows])], ["lang", "text"])
-    for numbers, carry in module.blocks([batch], words, 5):
+    for numbers, carry, _ in module.blocks([batch], words, 5):
         for size, at, h in module.phrase_hashes(numbers, words.hashes, carry, 5):
             assert len(at) == len(h)
             out.update((words.langs[words.lang[numbers[i]]], tuple(words.list[k].decode() for k in numbers[i:i + size])) for i in at)
@@ -109,9 +109,23 @@ def test_summary_grows_rather_than_pass_the_threshold():
 
 
 def test_coinciding_hashes_do_not_mix_phrases():
-    numbers = np.array([1, 2, 3, 4, 1, 2], np.int64)
-    phrases, counts = co._counted(numbers, np.array([0, 2, 4]), 2, np.array([9, 9, 9], np.uint64))
-    assert dict(zip(map(tuple, phrases.tolist()), counts.tolist())) == {(1, 2): 2, (3, 4): 1}
+    counts = co.Counts(2)
+    for _ in range(2):
+        counts.add(np.array([9, 9, 9, 4], np.uint64), np.array([[1, 2], [3, 4], [1, 2], [5, 6]]), np.ones(4, np.int64))
+    hashes, phrases, n = counts.settle()
+    assert {tuple(p): (h, c) for h, p, c in zip(hashes.tolist(), phrases.tolist(), n.tolist())} == {(1, 2): (9, 4), (3, 4): (9, 2), (5, 6): (4, 2)}
+    assert [len(x) for x in co.Counts(3).settle()] == [0, 0, 0]
+
+
+def test_a_full_filter_and_small_portions_change_nothing(documents, workspace, monkeypatch):
+    """All bits set: partitions keep to the survivors' cells."""
+    rows = made(random.Random(3), 150)
+    monkeypatch.setattr(co, "filter_of", lambda found, cells: (8, b"\xff" * cells.partitions))
+    monkeypatch.setattr(co, "HELD", 200)
+    monkeypatch.setattr(co, "COUNTED", 50)
+    monkeypatch.setattr(co, "BLOCK", 60)
+    monkeypatch.setattr(co, "VOCABULARY", 12)
+    assert found(co.collocations(frame_of(documents, rows), 5, workspace=workspace)) == by_hand(rows, 5)
 
 
 def test_exact_beyond_64_bits(llm):

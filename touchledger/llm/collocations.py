@@ -9,8 +9,9 @@ phrase. Should the mass be dealt unevenly, a summary rather grows beyond its cap
 threshold.
 
 Second pass. Survivors mark bits of a filter of bounded size. Tasks count the phrases that pass it, by their words and
-not by their hashes; Spark adds the counts up, and what stays below the threshold goes. So hashes that coincide cost time
-alone. Parts of a frequent phrase are frequent themselves, hence all counts that a score needs are there.
+not by their hashes, and hand the counts over by hash partition again, where those of survivors' cells are added up and
+what stays below the threshold goes. So hashes that coincide cost time alone. Parts of a frequent phrase are frequent
+themselves, hence all counts that a score needs are there.
 
 Defined results: a null language counts as ``und``, a null text as empty; only A-Z are lower-cased; texts, pieces
 and words may have any length; repeated rows count each; a table without rows or without frequent phrases gives no
@@ -22,7 +23,7 @@ from __future__ import annotations
 import itertools
 import re
 import uuid
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,8 @@ THRESHOLD, LONGEST, FIRST, SHARE = 100, 5, 2000, 100
 PARTITION_MASS, SPARE = 1 << 26, 4
 #: Words that a task hashes at once; cells of its summaries before they are handed over.
 BLOCK, HELD = 1 << 19, 1 << 22
+#: Rows of exact counts that a task collects before it adds up those of one phrase.
+COUNTED = 1 << 19
 #: Bits of the survivors' filter: for each survivor, at least and at most (128 MB).
 FILTER_EACH, FILTER_LEAST, FILTER_MOST = 64, 1 << 23, 1 << 30
 #: Languages whose totals are broadcast; more are joined by a shuffle.
@@ -93,17 +96,18 @@ class Words:
         self.hashes, self.lang, self._fresh = np.concatenate(hashes), np.concatenate(langs), []
 
 
-def blocks(batches, words: Words, longest: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Numbers of the words of (lang, text) batches, in blocks; and how many at a block's head belong to the last one.
+def blocks(batches, words: Words, longest: int) -> Iterator[tuple[np.ndarray, int, bool]]:
+    """Numbers of the words of (lang, text) batches, in blocks; how many at a block's head belong to the last one; and
+    whether the numbers end their meaning with this block, which the very last one does.
 
     A text that goes over several blocks leaves its last words to the next one, so no phrase is cut.
     """
     nothing = np.zeros(0, np.int64)
     held, size, carry = [], 0, nothing
 
-    def block():
+    def block(ends: bool):
         words.settle()
-        return np.concatenate([carry, *held]), len(carry)
+        return np.concatenate([carry, *held]), len(carry), ends
 
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1)):
@@ -112,15 +116,13 @@ def blocks(batches, words: Words, longest: int) -> Iterator[tuple[np.ndarray, in
                 held.append(words.numbers(lang.as_py(), part))
                 size += len(held[-1])
                 if size >= BLOCK:
-                    yield (last := block())
+                    yield (last := block(False))
                     carry, held, size = last[0][len(last[0]) - longest + 1:], [], 0
             if len(words.list) > VOCABULARY:
-                if held:
-                    yield block()
+                yield block(True)
                 words.clear()
                 carry, held, size = nothing, [], 0
-    if held:
-        yield block()
+    yield block(True)
 
 
 def _portions(raw: bytes) -> Iterator[bytes]:
@@ -223,7 +225,7 @@ def summaries(texts: DataFrame, cells: Cells, longest: int) -> DataFrame:
     """A row (part, summary) for each hash partition and each time a task hands over what it has."""
     def run(batches):
         words, held, size = Words(), [], 0
-        for numbers, carry in blocks(batches, words, longest):
+        for numbers, carry, _ in blocks(batches, words, longest):
             for _, _, h in phrase_hashes(numbers, words.hashes, carry, longest):
                 held.append(cells.of(h))
                 size += len(h)
@@ -299,45 +301,120 @@ def filter_of(found: DataFrame, cells: Cells) -> tuple[int, bytes]:
     return slice_bits, bytes(bits)
 
 
-def _counted(numbers: np.ndarray, at: np.ndarray, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different phrases (rows of words' numbers) at these positions, and their counts."""
-    rows = numbers[at[:, None] + np.arange(size)]
-    _, first, which, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-    if np.array_equal(rows[first][which], rows):
-        return rows[first], counts
-    return np.unique(rows, axis=0, return_counts=True)  # two phrases have one hash
+class Counts:
+    """Exact counts of phrases of one length: their hashes, their words' numbers, and how often each occurs."""
 
+    def __init__(self, size: int):
+        self.size, self.parts, self.rows = size, [], 0
 
-def exact_counts(texts: DataFrame, cells: Cells, filtered: tuple[int, bytes], longest: int, threshold: int) -> DataFrame:
-    """lang, phrase, its number of words and its count, for all that occur often enough; and all words, as size 0."""
-    slice_bits, spark = filtered[0], texts.sparkSession
-    shared = spark.sparkContext.broadcast(filtered[1])
+    def add(self, hashes: np.ndarray, phrases: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append(self._merged(hashes, phrases, counts))
+        self.rows += len(self.parts[-1][0])
+        if len(self.parts) > 1 and self.rows > 2 * len(self.parts[0][0]) + COUNTED:
+            self.settle()
+
+    def settle(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self.parts) != 1:
+            none = (np.zeros(0, np.uint64), np.zeros((0, self.size), np.int64), np.zeros(0, np.int64))
+            self.parts = [self._merged(*map(np.concatenate, zip(*(self.parts or [none]))))]
+        self.rows = len(self.parts[0][0])
+        return self.parts[0]
+
+    @staticmethod
+    def _merged(hashes, phrases, counts):
+        distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if not np.array_equal(phrases[first][which], phrases):  # two phrases have one hash
+            phrases, first, which = np.unique(phrases, axis=0, return_index=True, return_inverse=True)
+            return hashes[first], phrases, np.bincount(which.ravel(), counts).astype(np.int64)
+        return distinct, phrases[first], np.bincount(which, counts, minlength=len(first)).astype(np.int64)
+
+
+def counted(texts: DataFrame, cells: Cells, filtered: tuple[int, bytes], longest: int) -> DataFrame:
+    """Rows (part, lang, cells, phrases, counts): what a task has counted of the phrases that pass the filter.
+
+    The words of a language are counted under the empty phrase, in a partition by the language's hash.
+    """
+    slice_bits, shared = filtered[0], texts.sparkSession.sparkContext.broadcast(filtered[1])
 
     def run(batches):
         bits, words = np.frombuffer(shared.value, np.uint8), Words()
-        for numbers, carry in blocks(batches, words, longest):
+        counts, of_lang = [Counts(size) for size in range(1, longest + 1)], Counter()
+        for numbers, carry, ends in blocks(batches, words, longest):
             for size, at, h in phrase_hashes(numbers, words.hashes, carry, longest):
                 if size == 1:
-                    of_lang = np.bincount(words.lang[numbers[at]], minlength=len(words.langs))
-                    yield from rows(words.langs, [b""] * len(words.langs), 0, of_lang)
+                    for lang, n in enumerate(np.bincount(words.lang[numbers[at]]).tolist()):
+                        of_lang[words.langs[lang]] += n
                 bit = cells.bit(cells.of(h), slice_bits)
                 hit = (bits[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
                 if hit.any():
-                    found, counts = _counted(numbers, at[hit], size, h[hit])
-                    langs = [words.langs[k] for k in words.lang[found[:, 0]]]
-                    yield from rows(langs, [b" ".join([words.list[k] for k in f]) for f in found.tolist()], size, counts)
-
-    def rows(langs, phrases, size, counts):
-        for i in range(0, len(phrases), 1 << 14):
-            part = slice(i, i + (1 << 14))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(langs[part], pa.string()), pa.array(phrases[part], pa.binary()).cast(pa.string()),
-                 pa.array([size] * len(phrases[part]), pa.int32()), pa.array(counts[part], pa.int64())],
-                names=["lang", "phrase", "size", "n"])
+                    at, h = at[hit], h[hit]
+                    counts[size - 1].add(h, numbers[at[:, None] + np.arange(size)], np.ones(len(at), np.int64))
+            if ends or sum(c.rows for c in counts) > HELD:
+                for c in counts:
+                    yield from handed(words, *c.settle())
+                    c.parts, c.rows = [], 0
+        for lang, n in of_lang.items():
+            yield batch_of([(xxhash.xxh64_intdigest(lang) % cells.partitions, lang, [0], [""], [n])])
+
+    def handed(words, hashes, phrases, counts):
+        codes, langs = cells.of(hashes), words.lang[phrases[:, 0]] if len(phrases) else np.zeros(0, np.int64)
+        order = np.lexsort((codes, langs, codes >> np.uint64(32)))
+        codes, langs, phrases, counts = codes[order], langs[order], phrases[order], counts[order]
+        parts = (codes >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.r_[True, (parts[1:] != parts[:-1]) | (langs[1:] != langs[:-1])]) if len(codes) else codes
+        out, size = [], 0
+        for a, b in zip(cuts.tolist(), [*cuts.tolist()[1:], len(codes)]):
+            texts = [b" ".join([words.list[k] for k in p]).decode() for p in phrases[a:b].tolist()]
+            out.append((int(parts[a]), words.langs[langs[a]], codes[a:b].astype(np.uint32), texts, counts[a:b]))
+            size += b - a
+            if size > 1 << 14:
+                yield batch_of(out)
+                out, size = [], 0
+        if out:
+            yield batch_of(out)
+
+    def batch_of(rows):
+        kinds = (pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                                          names=["part", "lang", "cells", "phrases", "counts"])
+
+    return texts.mapInArrow(run, "part int, lang string, cells array<bigint>, phrases array<string>, counts array<bigint>")
+
+
+def exact_counts(handed: DataFrame, found: DataFrame, partitions: int, threshold: int) -> DataFrame:
+    """lang, phrase, its number of words and its count, for all that occur often enough; and all words, as size 0.
+
+    A partition's task gets the survivors first and adds up the counts of their cells alone, so it holds no more
+    phrases than the capacity allows, however full the filter may be.
+    """
+    survivors = found.select("part", F.col("summary").alias("survivors"), *[F.lit(None).cast(t).alias(c) for c, t in handed.dtypes[1:]])
+    both = survivors.unionByName(handed.withColumn("survivors", F.lit(None).cast("binary")))
 
-    counted = texts.mapInArrow(run, "lang string, phrase string, size int, n bigint")
-    return (counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-            .where((F.col("size") == 0) | (F.col("n") >= threshold)))
+    def run(batches):
+        known, sums, now = set(), Counter(), None
+        for batch in batches:
+            for part, packed, lang, at, phrases, counts in zip(*(batch.column(c) for c in range(6))):
+                if part.as_py() != now:
+                    yield from frequent(sums)
+                    known, sums, now = set(), Counter(), part.as_py()
+                if packed.is_valid:
+                    known = set(Summary.unpack(packed.as_py()).cells.tolist())
+                    continue
+                lang = lang.as_py()
+                for cell, phrase, n in zip(at.as_py(), phrases.as_py(), counts.as_py()):
+                    if cell in known or not phrase:
+                        sums[lang, phrase] += n
+        yield from frequent(sums)
+
+    def frequent(sums):
+        rows = [(lang, p, p.count(" ") + 1 if p else 0, n) for (lang, p), n in sums.items() if n >= threshold or not p]
+        for at in range(0, len(rows), 1 << 13):
+            kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[at:at + (1 << 13)]), kinds)],
+                                             names=["lang", "phrase", "size", "n"])
+
+    placed = both.repartitionById(partitions, F.col("part")).sortWithinPartitions("part", F.col("survivors").isNull())
+    return placed.mapInArrow(run, "lang string, phrase string, size int, n bigint")
 
 
 def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST,
@@ -357,8 +434,8 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LO
     capacity = SPARE * (share // threshold + 1)
     found = workspace.settle(
         survivors(summaries(texts, cells, longest), partitions, capacity, threshold), f"survivors-{run}")
-    counted = exact_counts(texts, cells, filter_of(found, cells), longest, threshold)
-    return workspace.settle(counted, f"phrases-{run}")
+    handed = counted(texts, cells, filter_of(found, cells), longest)
+    return workspace.settle(exact_counts(handed, found, partitions, threshold), f"phrases-{run}")
 
 
 def scores(counts: DataFrame) -> DataFrame:
