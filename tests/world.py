@@ -9,7 +9,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from touchledger.config import DIRECT_CHANNELS, MODELS, AttributionConfig
-from touchledger.operators import attribution, journeys
+from touchledger.operators import asof, attribution, journeys
 from touchledger.operators.numbering import place_rows
 from touchledger.operators.touches import TIMELINE, account_touches
 
@@ -51,7 +51,8 @@ def chain(spark, deals, touches, leads=(), cfg=AttributionConfig()):
     touched = spark.createDataFrame(list(touches), TOUCH)
     moments = spark.createDataFrame(list(leads), "deal_id bigint, lead_at timestamp")
     numbered = timeline(touched)
-    anchors = journeys.deal_anchors(opps, numbered, moments, cfg)
+    probes = written(place_rows(journeys.window_probes(opps, numbered, moments, cfg), asof.ORDER))
+    anchors = journeys.deal_anchors(opps, probes, moments, cfg)
     pairs = journeys.deal_journeys(anchors, numbered, cfg)
     return opps, anchors, pairs, attribution.fct_attribution(pairs, anchors, cfg)
 

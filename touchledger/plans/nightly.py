@@ -25,7 +25,8 @@ STAGING = ("stg_companies", "stg_contacts", "stg_deals", "stg_stage_history", "s
            "stg_subscription_events")
 # Tables in the order of their dependencies: what has been written is what later layers read.
 IDENTITY = ("identity_contacts", "identity_people", "identity_email_map")
-INTERMEDIATE = ("identity_client_map", "lead_events", "touchpoints", "opportunities", "deal_touch_window")
+# The pairs of deals and touches are joined once and written, for the window table and the fact table are both made of them.
+INTERMEDIATE = ("identity_client_map", "lead_events", "touchpoints", "opportunities", "deal_journeys", "deal_touch_window")
 MARTS = ("fct_attribution", "fct_opportunities", "channel_performance", "channel_summary", "model_disagreement",
          "funnel_monthly", "velocity", "retention", "truth_evaluation", "data_quality")
 # Result set of the dashboard -> mart and reading order.

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from touchledger.config import AttributionConfig
 from touchledger.operators import (
+    asof,
     attribution,
     catalogue,
     crm,
@@ -180,8 +181,14 @@ class Warehouse:
 
     @cached_property
     def deal_anchors(self):
-        return journeys.deal_anchors(
-            self.shared("opportunities"), self.account_touches, self.deal_lead_moment, self.cfg)
+        return journeys.deal_anchors(self.shared("opportunities"), self.window_probes, self.shared("deal_lead_moment"), self.cfg)
+
+    @cached_property
+    def window_probes(self):
+        """The written copy of touches and deals' moments, sorted by account and time."""
+        probes = journeys.window_probes(
+            self.shared("opportunities"), self.account_touches, self.shared("deal_lead_moment"), self.cfg)
+        return self.workspace.settle(place_rows(probes, asof.ORDER), "window_probes")
 
     @cached_property
     def deal_journeys(self):
@@ -189,12 +196,12 @@ class Warehouse:
 
     @cached_property
     def deal_touch_window(self):
-        return journeys.deal_touch_window(self.deal_journeys)
+        return journeys.deal_touch_window(self.latest("deal_journeys"))
 
     # attribution -------------------------------------------------------------------------------------
     @cached_property
     def fct_attribution(self):
-        return attribution.fct_attribution(self.deal_journeys, self.shared("deal_anchors"), self.cfg)
+        return attribution.fct_attribution(self.latest("deal_journeys"), self.shared("deal_anchors"), self.cfg)
 
     @cached_property
     def fct_opportunities(self):
