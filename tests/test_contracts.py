@@ -69,3 +69,42 @@ def test_rounded_credit_of_many_touches_adds_up_to_one(spark, touches):
 def test_a_thousandth_too_much_is_reported(frame):
     bad = frame("deal_id bigint; model string; credit double", (1, "linear", 0.501), (1, "linear", 0.5))
     assert c.credit_sums_to_one(bad).count() == 1
+
+
+def test_repeated_values_of_many_columns_are_found_by_their_hashes(spark, frame):
+    clean = spark.range(500).selectExpr("id", "concat('v', id) as name")
+    broken = frame("k bigint; v string", (1, "a"), (1, "b"), (2, "a"), (None, "a"), (None, None), (3, None))
+    columns = {"clean.id": (clean, "id"), "clean.name": (clean, "name"), "broken.k": (broken, "k"), "broken.v": (broken, "v")}
+    assert c.count_repeated(columns) == {"clean.id": 0, "clean.name": 0, "broken.k": 1, "broken.v": 1}
+    text = c.repeated_hashes(columns)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_values_that_share_a_hash_are_no_repeats(frame, monkeypatch):
+    monkeypatch.setattr(c.F, "xxhash64", lambda col: F.length(col).cast("bigint"))
+    df = frame("v string", ("a",), ("b",), ("cc",), ("dd",), ("dd",))
+    assert c.count_repeated({"v": (df, "v")}) == {"v": 1}
+
+
+def test_both_deal_contracts_come_from_one_aggregate(frame):
+    from touchledger.config import MODELS
+
+    opps = frame("deal_id bigint", (1,), (2,), (3,))
+    credit = frame("deal_id bigint; model string; credit double", *[(1, m, 0.5) for m in MODELS for _ in range(2)],
+                   *[(2, m, 1.0) for m in MODELS[1:]], (9, "linear", 0.7), (9, "nobody", 0.2))
+    got = dict(rows(c.count_deal_credit(opps, credit)))
+    assert got == {"credit_sums_to_one": c.credit_sums_to_one(credit.filter("model <> 'nobody'")).count(),
+                   "every_deal_in_every_model": c.every_deal_in_every_model(opps, credit).count()}
+    assert got == {"credit_sums_to_one": 1, "every_deal_in_every_model": 6}
+    assert dict(rows(c.count_deal_credit(opps.limit(0), credit.limit(0)))) == {"credit_sums_to_one": 0, "every_deal_in_every_model": 0}
+
+
+def test_a_write_takes_counts_along(spark, frame, tmp_path):
+    from touchledger.plans.workspace import Workspace
+
+    workspace = Workspace(spark, str(tmp_path))
+    df = frame("k bigint; v string", (1, None), (None, None), (3, "x"))
+    again = workspace.settle(df, "t", {"no_k": F.count_if(F.col("k").isNull()), "sum": F.sum("k")})
+    assert workspace.observed == {"t": {"no_k": 1, "sum": 4}} and again.count() == 3
+    workspace.settle(df.repartition(3).limit(0), "none", {"n": F.count("k")})
+    assert workspace.observed["none"] == {"n": 0}

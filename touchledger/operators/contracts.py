@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchledger.config import MODELS
 from touchledger.functions import exact_sum
 from touchledger.operators.attribution import CREDIT_DIGITS, each_model
 
@@ -25,6 +26,37 @@ def expect_unique(df: DataFrame, col: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1))
 
 
+def repeated_hashes(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """(contract, hash) of the 64-bit hashes that occur more than once in a column; one shuffle for all columns.
+
+    Only a contract's number and the hash of each value move, not the value.
+    """
+    names = list(columns)
+    stacked = reduce(DataFrame.unionAll, [
+        df.filter(F.col(col).isNotNull()).select(F.lit(k).alias("_contract"), F.xxhash64(col).alias("_hash"))
+        for k, (df, col) in enumerate(columns.values())])
+    twice = stacked.groupBy("_contract", "_hash").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    return twice.select(F.element_at(F.array(*map(F.lit, names)), F.col("_contract") + 1).alias("contract"),
+                        F.col("_hash").alias("hash"))
+
+
+def count_repeated(columns: dict[str, tuple[DataFrame, str]]) -> dict[str, int]:
+    """Contract -> number of values that occur more than once, for several columns.
+
+    Two equal values have equal hashes. So a column without a repeated hash is clean, and of another one only the rows
+    whose hash is repeated are compared by their values.
+    """
+    hashes = repeated_hashes(columns)
+    suspects = {r["contract"] for r in hashes.select("contract").distinct().collect()}
+    out = dict.fromkeys(columns, 0)
+    for name in sorted(suspects):
+        df, col = columns[name]
+        own = hashes.filter(F.col("contract") == name).select("hash")
+        rows = df.select(col, F.xxhash64(col).alias("hash")).join(own, "hash", "left_semi")
+        out[name] = expect_unique(rows, col).count()
+    return out
+
+
 def expect_not_null(df: DataFrame, col: str) -> DataFrame:
     """Rows without a value."""
     return df.filter(F.col(col).isNull())
@@ -54,6 +86,33 @@ def credit_sums_to_one(attribution: DataFrame, tolerance: float = 1e-5) -> DataF
             .filter(F.abs(F.col("total_credit") - 1) > F.lit(tolerance) + rounding).drop("rows"))
 
 
+def count_deal_credit(opps: DataFrame, attribution: DataFrame, tolerance: float = 1e-5) -> DataFrame:
+    """Violations of ``credit_sums_to_one`` and ``every_deal_in_every_model``, from one aggregate by deal.
+
+    Models beyond the known ones are not looked at here; they break the vocabulary of ``model``.
+    """
+    of = {m: F.col("model") == m for m in MODELS}
+    sums = attribution.groupBy("deal_id").agg(
+        *[F.sum(F.when(is_m, F.col("credit"))).alias(f"credit_{m}") for m, is_m in of.items()],
+        *[F.count_if(is_m).alias(f"rows_{m}") for m, is_m in of.items()])
+    known = opps.groupBy("deal_id").agg(F.count(F.lit(1)).alias("deals"))
+
+    def off(m: str) -> Column:
+        rounding = F.col(f"rows_{m}") * F.lit(0.5 * 10.0 ** -CREDIT_DIGITS)
+        return (F.abs(F.col(f"credit_{m}") - 1) > F.lit(tolerance) + rounding).cast("bigint")
+
+    def absent(m: str) -> Column:
+        return F.when(F.coalesce(f"rows_{m}", F.lit(0)) == 0, F.col("deals"))
+
+    def total(part) -> Column:
+        return F.coalesce(F.sum(reduce(Column.__add__, [F.coalesce(part(m), F.lit(0)) for m in MODELS])), F.lit(0))
+
+    counts = sums.join(known, "deal_id", "full").agg(total(off).alias("off"), total(absent).alias("absent"))
+    return counts.select(F.inline(F.array(
+        F.struct(F.lit("credit_sums_to_one").alias("contract"), F.col("off").alias("violations")),
+        F.struct(F.lit("every_deal_in_every_model").alias("contract"), F.col("absent").alias("violations")))))
+
+
 def every_deal_in_every_model(opps: DataFrame, attribution: DataFrame) -> DataFrame:
     """Deal x model pairs without any credit row."""
     expected = opps.select("deal_id").withColumn("model", each_model())
@@ -102,14 +161,15 @@ def summarise(contracts: dict[str, DataFrame], counted: list[DataFrame] | None =
     return reduce(DataFrame.unionByName, [*counts, *(counted or [])])
 
 
-def contract_gate(contracts: dict[str, DataFrame], counted: list[DataFrame] | None = None) -> DataFrame:
+def contract_gate(contracts: dict[str, DataFrame], counted: list[DataFrame] | None = None,
+                  known: dict[str, int] | None = None) -> DataFrame:
     """Summary of all contracts; raises when one is broken, so call it before publishing.
 
-    Only one count per contract reaches the driver.
+    Only one count per contract reaches the driver. ``known`` are counts that have been taken before, say by writes.
     """
     summary = summarise(contracts, counted)
-    found = summary.collect()
-    broken = [f"{r['contract']}: {r['violations']}" for r in found if r["violations"]]
+    found = sorted([*map(tuple, summary.collect()), *(known or {}).items()])
+    broken = [f"{name}: {n}" for name, n in found if n]
     if broken:
-        raise ContractViolation("; ".join(sorted(broken)))
-    return summary.sparkSession.createDataFrame([tuple(r) for r in found], "contract string, violations bigint")
+        raise ContractViolation("; ".join(broken))
+    return summary.sparkSession.createDataFrame(found, "contract string, violations bigint")

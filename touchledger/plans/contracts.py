@@ -3,41 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchledger.config import DEAL_STAGES, EMAIL_EVENT_TYPES, MODELS
+from touchledger.config import MODELS
 from touchledger.operators import contracts as c
 from touchledger.operators.identity import phone_conflicts, signal_conflicts
+from touchledger.plans.rules import ACCEPTED, NOT_NULL, RELATIONSHIPS, UNIQUE, WATCHED, row_checks
 from touchledger.plans.warehouse import Warehouse
 
-# Which columns must be unique, filled, known to a parent, or from a vocabulary.
-UNIQUE = {
-    "stg_companies": ["company_id", "domain"], "stg_contacts": ["contact_id"], "stg_deals": ["deal_id"],
-    "stg_sessions": ["session_id"], "stg_calls": ["call_id"], "identity_contacts": ["contact_id"],
-    "identity_email_map": ["email"], "identity_client_map": ["client_id"], "touchpoints": ["touchpoint_id"],
-    "opportunities": ["deal_id"], "fct_attribution": ["attribution_id"], "fct_opportunities": ["deal_id"],
-    "data_quality": ["check_name"],
-}
-NOT_NULL = {
-    "stg_companies": ["company_id", "domain"], "stg_contacts": ["contact_id", "email"],
-    "stg_deals": ["deal_id", "amount", "company_id"], "stg_sessions": ["session_id"], "stg_calls": ["call_id"],
-    "identity_contacts": ["contact_id"], "identity_email_map": ["email"], "identity_client_map": ["client_id"],
-    "touchpoints": ["touchpoint_id", "company_id"], "opportunities": ["deal_id"],
-    "fct_attribution": ["attribution_id"], "fct_opportunities": ["deal_id"],
-}
-RELATIONSHIPS = (
-    ("stg_deals", "company_id", "stg_companies", "company_id"),
-    ("stg_sessions", "channel", "dim_channel", "channel"),
-    ("touchpoints", "channel", "dim_channel", "channel"),
-    ("fct_attribution", "channel", "dim_channel", "channel"),
-)
-ACCEPTED = (
-    ("stg_deals", "current_stage", DEAL_STAGES),
-    ("stg_email_events", "event_type", EMAIL_EVENT_TYPES),
-    ("fct_attribution", "model", MODELS),
-)
 # A layer's columns, given the warehouse and their names.
 Reader = Callable[[Warehouse, str, list[str]], DataFrame]
 # Layers several contracts read.
@@ -102,8 +78,24 @@ def check_unambiguous(wh: Warehouse) -> DataFrame:
     return c.contract_gate(ambiguous(wh))
 
 
+def counted_on_write(wh: Warehouse) -> dict[str, int]:
+    """Contracts of single rows and of the won revenue, from what the writes of the layers have counted."""
+    seen = wh.workspace.observed
+    counts = {name: seen[t][name] for t in WATCHED for name in row_checks(t)}
+    won, credited = seen["opportunities"]["won"], [seen["fct_attribution"][f"won:{m}"] for m in MODELS]
+    counts["won_revenue_reconciles"] = sum(
+        x is not None and won is not None and abs(x - won) > Decimal("0.01") for x in credited)
+    return counts
+
+
 def check_all(wh: Warehouse) -> DataFrame:
-    """The 43 contracts, and the ambiguous phones and signal keys. Raises when one is broken."""
+    """The 43 contracts, and the ambiguous phones and signal keys. Raises when one is broken.
+
+    The layers are written first, if they are not yet, and their rows are counted on the way.
+    """
+    wh.materialise(WATCHED)
+    known = counted_on_write(wh)
+    known |= c.count_repeated({f"unique:{t}.{col}": (wh.shared(t), col) for t, cols in UNIQUE.items() for col in cols})
     keys = {k: v for k, v in ambiguous(wh).items() if k != "unambiguous_addresses"}  # one of the 43
-    grouped = {**unique(wh), **relationships(wh), **accepted_values(wh), **credit_totals(wh), **keys}
-    return c.contract_gate(grouped, [*not_null(wh), credit_rows(wh)])
+    deals = c.count_deal_credit(wh.shared("opportunities"), wh.shared("fct_attribution"))
+    return c.contract_gate({**relationships(wh), **keys}, [deals], known)

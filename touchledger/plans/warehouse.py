@@ -28,6 +28,7 @@ from touchledger.operators import (
     touches,
 )
 from touchledger.operators.numbering import PLACE, place_rows
+from touchledger.plans.rules import watches
 from touchledger.plans.workspace import Workspace
 from touchledger.sources.feeds import dim_channel
 
@@ -46,7 +47,7 @@ class Warehouse:
         if name == "touchpoints":
             return self.placed_touches.drop(*PLACE)
         if name not in self._written:
-            self._written[name] = self.workspace.settle(getattr(self, name), name)
+            self._written[name] = self.workspace.settle(getattr(self, name), name, watches(name))
         return self._written[name]
 
     def materialise(self, names: Iterable[str]) -> None:
@@ -165,7 +166,7 @@ class Warehouse:
     @cached_property
     def placed_touches(self):
         """The one written copy of the touches, sorted by account and time."""
-        return self.workspace.settle(place_rows(self.touchpoints, touches.TIMELINE), "touchpoints")
+        return self.workspace.settle(place_rows(self.touchpoints, touches.TIMELINE), "touchpoints", watches("touchpoints"))
 
     @cached_property
     def account_touches(self):

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -23,16 +24,24 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
+        #: table -> what its write has counted
+        self.observed: dict[str, dict] = {}
         self.root = f"{root or shared_folder(spark)}/run-{uuid.uuid4().hex}"
         if root is None:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
 
-    def settle(self, df: DataFrame, name: str) -> DataFrame:
+    def settle(self, df: DataFrame, name: str, watch: Mapping[str, Column] | None = None) -> DataFrame:
         """Writes a table once and returns a reader of it.
 
-        Cuts the lineage, survives lost executors, and gives later joins a real size to plan with.
+        Cuts the lineage, survives lost executors, and gives later joins a real size to plan with. ``watch`` names
+        aggregates that the write takes along, in ``observed``, so that they cost no pass of their own.
         """
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        if watch:
+            seen = Observation(f"{name}-{uuid.uuid4().hex}")
+            df.observe(seen, *[c.alias(n) for n, c in watch.items()]).write.parquet(path)
+            self.observed[name] = seen.get
+        else:
+            df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
