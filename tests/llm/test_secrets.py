@@ -4,6 +4,8 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import pytest
+
 from touchledger.llm import secrets
 
 # The patterns as the contract has them.
@@ -50,8 +52,7 @@ def test_names_decide_which_literals_are_secret():
 def test_constants_carry_their_literals_on():
     text = 'K = "Zx81-qq7/Rt"\nsettings.colour = "Zx81-other/Rt"\nclient(db_password=K)\n'
     assert literals(text) == ["Zx81-qq7/Rt"]
-    assert literals('BASE = "Ab9-"\nFULL = BASE + "cD3!efG7"\nexport AUTH_TOKEN=${FULL}') == ["Ab9-", "cD3!efG7"] or \
-        literals('BASE = "Ab9-"\nFULL = BASE + "cD3!efG7"\nexport AUTH_TOKEN=${FULL}') == ["cD3!efG7"]
+    assert literals('BASE = "Ab9-"\nFULL = BASE + "cD3!efG7"\nexport AUTH_TOKEN=${FULL}') == ["Ab9-", "cD3!efG7"]
     assert literals('A = B\nB = A\npasswd = A') == []
 
 
@@ -81,3 +82,33 @@ def test_constants_are_put_into_the_expressions_that_use_them():
     long = 'A0 = "q"\n' + "".join(f"A{i} = A{i - 1} + A{i - 1}\n" for i in range(1, 60)) + 'passwd = A59 + "Zt4!bN"'
     assert literals(long)[-1] == "Zt4!bN"
     assert literals("".join(f"A{i} = A{i + 1}\n" for i in range(5000)) + 'A5000 = "aB3"\npwd = A0 + "cD4!"') == ["aB3", "cD4!"]
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: "\n".join(f'password{k + 1} = password{k} + "x{k}"' for k in range(n)),
+    lambda n: "\n".join(f'password{k} = "aB3dE{k}x9!"' for k in range(n)),
+    lambda n: 'secret0 = "aB"\n' + "\n".join(f"secret{k + 1} = secret{k} + secret{k}" for k in range(n)),
+    lambda n: "\n".join(f"token{k} = token{(k + 1) % n}" for k in range(n))])
+def test_ten_times_the_lines_take_about_ten_times_as_long(make):
+    import time
+
+    def seconds(n):
+        text, began = make(n), time.process_time()
+        secrets.scan(text)
+        return time.process_time() - began
+    seconds(100)
+    assert seconds(10_000) < 40 * seconds(1_000) + 0.5
+
+
+def test_a_value_of_any_number_of_parts_is_scored_whole():
+    doubled = 'k0 = "aB"\n' + "".join(f"k{i} = k{i - 1} + k{i - 1}\n" for i in range(1, 200)) + 'password = k199 + "7!"'
+    assert literals(doubled) == ["aB", "7!"]
+    assert literals('k0 = "x"\n' + "".join(f"k{i} = k{i - 1} + k{i - 1}\n" for i in range(1, 40)) + "password = k39") == []
+
+
+def test_strength_is_that_of_the_text():
+    for text in ("x7Gq!9zT2w", "abcdef", "changeme", "a b c d e f", "x" * 3000, "Ab1!" * 900):
+        parts = secrets.Value()
+        for c in text:
+            parts.add(secrets.Value.of(c))
+        assert parts.strength() == secrets.strength(text) == secrets.Value.of(text).strength()

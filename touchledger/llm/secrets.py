@@ -44,8 +44,8 @@ ABOUT = {"name", "id", "path", "file", "url", "uri", "count", "length", "len", "
          "prompt", "expires", "expiry", "ttl", "timeout", "policy", "public", "max", "min", "regex", "pattern"}
 THRESHOLD = 0.45
 SHORTEST = 6
-#: Parts of an expression from which on a part that it has had is not put in again.
-REPEATS = 1 << 12
+#: Characters up to which a value is compared with placeholders; a longer one is a placeholder only if all are the same.
+PLACEHOLDER = 1 << 10
 
 _OPERATOR = re.compile(r":=|=>|==|!=|<=|>=|::|[:=]")
 _NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
@@ -75,13 +75,7 @@ def sensitivity(name: str) -> float:
 
 def strength(literal: str) -> float:
     """Of a literal as a secret, from its length, its characters' entropy and their kinds."""
-    if len(literal) < SHORTEST or _PLACEHOLDER.match(literal) or any(c.isspace() for c in literal):
-        return 0.0
-    n = len(literal)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(literal).values())
-    kinds = sum((any(c.isdigit() for c in literal), any(c.isupper() for c in literal),
-                 any(c.islower() for c in literal), any(not c.isalnum() for c in literal)))
-    return min(1.0, 0.1 * min(n, 16) / 4 + 0.12 * entropy + 0.1 * (kinds - 1))
+    return Value.of(literal).strength()
 
 
 def assignments(text: str):
@@ -119,8 +113,77 @@ def assignments(text: str):
             yield name, parts
 
 
-def values(found: list) -> list[list[tuple[int, int]]]:
-    """For every assignment, the spans of the literals that make up its value if its name is sensitive."""
+class Value:
+    """What ``strength`` needs of a text that is put together, without the text: parts may be many, or grow by doubling."""
+
+    __slots__ = ("length", "counts", "short")
+
+    def __init__(self, length: int = 0, counts: Counter | None = None, short: str | None = ""):
+        self.length, self.counts, self.short = length, counts or Counter(), short
+
+    @classmethod
+    def of(cls, text: str) -> Value:
+        return cls(len(text), Counter(text), text if len(text) <= PLACEHOLDER else None)
+
+    def add(self, other: Value) -> None:
+        self.length += other.length
+        self.counts.update(other.counts)
+        both = None if self.short is None or other.short is None else self.short + other.short
+        self.short = both if both is not None and len(both) <= PLACEHOLDER else None
+
+    def strength(self) -> float:
+        if self.length < SHORTEST or any(c.isspace() for c in self.counts):
+            return 0.0
+        if self._placeholder():
+            return 0.0
+        n = self.length
+        entropy = -sum(k / n * math.log2(k / n) for k in self.counts.values())
+        kinds = sum((any(c.isdigit() for c in self.counts), any(c.isupper() for c in self.counts),
+                     any(c.islower() for c in self.counts), any(not c.isalnum() for c in self.counts)))
+        return min(1.0, 0.1 * min(n, 16) / 4 + 0.12 * entropy + 0.1 * (kinds - 1))
+
+    def _placeholder(self) -> bool:
+        if self.short is not None:
+            return bool(_PLACEHOLDER.match(self.short))
+        return len(self.counts) == 1 and bool(_PLACEHOLDER.match(next(iter(self.counts))))  # of one character only
+
+
+def _circles(edges: list[list[int]]) -> list[int]:
+    """Of each node a number that it shares with those that it reaches and that reach it."""
+    order, low, group, stack, count = [0] * len(edges), [0] * len(edges), [-1] * len(edges), [], 0
+    for root in range(len(edges)):
+        if order[root]:
+            continue
+        count += 1
+        order[root] = low[root] = count
+        stack.append(root)
+        path = [(root, iter(edges[root]))]
+        while path:
+            node, rest = path[-1]
+            target = next((t for t in rest if not order[t] or group[t] < 0), None)
+            if target is None:
+                path.pop()
+                if path:
+                    low[path[-1][0]] = min(low[path[-1][0]], low[node])
+                if low[node] == order[node]:
+                    while group[node] < 0:
+                        group[stack.pop()] = node
+            elif order[target]:
+                low[node] = min(low[node], order[target])
+            else:
+                count += 1
+                order[target] = low[target] = count
+                stack.append(target)
+                path.append((target, iter(edges[target])))
+    return group
+
+
+def strong_values(found: list, text: str) -> set[tuple[int, int]]:
+    """Spans of the literals that make up strong values of sensitive names, with constants put in.
+
+    A name means its last assignment before, or else its first one. What leads back to where it is used is left out. Each
+    assignment is put together once, whatever uses it.
+    """
     places: dict[str, list[int]] = {}
     for i, (name, _) in enumerate(found):
         places.setdefault(name, []).append(i)
@@ -128,35 +191,39 @@ def values(found: list) -> list[list[tuple[int, int]]]:
     def meant(name: str, i: int) -> int:
         at = places[name]
         before = bisect.bisect_left(at, i)
-        return at[before - 1] if before else next((j for j in at if j != i), i)
+        return at[before - 1] if before else at[0] if at[0] != i else at[1] if len(at) > 1 else i
 
-    out = []
-    for i, (name, parts) in enumerate(found):
-        spans: list[tuple[int, int]] = []
-        out.append(spans)
-        if sensitivity(name) <= 0 or not any(p[0] == "name" and p[1] in places for p in parts):
-            continue
-        # Expressions that are being put in, innermost last: a constant within its own value is left out.
-        stack, inside, had, steps = [(i, iter(parts))], {i}, set(), 0
-        while stack:
-            at, rest = stack[-1]
-            part = next(rest, None)
-            if part is None:
-                stack.pop()
-                inside.discard(at)
-                continue
-            steps += 1
-            if part[0] == "literal" or part[1] not in places:
-                if steps < REPEATS or part[-2:] not in had:
-                    spans.append(part[-2:])
-                    had.add(part[-2:])
-                continue
-            source = meant(part[1], at)
-            if source not in inside and (steps < REPEATS or source not in had):
-                had.add(source)
-                inside.add(source)
-                stack.append((source, iter(found[source][1])))
-    return out
+    sources = [[meant(p[1], i) if p[0] == "name" and p[1] in places else -1 for p in parts]
+               for i, (_, parts) in enumerate(found)]
+    edges = [[s for s in own if s >= 0] for own in sources]
+    group = _circles(edges)
+    used = [[s if s >= 0 and group[s] != group[i] else -1 if s < 0 else None for s in own] for i, own in enumerate(sources)]
+
+    def ordered(roots):
+        """What the roots are made of, and they themselves, sources first."""
+        done, out = set(), []
+        for root in roots:
+            path = [] if root in done else [(root, iter(used[root]))]
+            done.add(root)
+            while path:
+                node, rest = path[-1]
+                source = next((s for s in rest if s is not None and s >= 0 and s not in done), None)
+                if source is None:
+                    out.append(path.pop()[0])
+                else:
+                    done.add(source)
+                    path.append((source, iter(used[source])))
+        return out
+
+    wanted = [i for i, (name, _) in enumerate(found) if edges[i] and sensitivity(name) > 0]
+    value: dict[int, Value] = {}
+    for i in ordered(wanted):
+        value[i] = Value()
+        for part, source in zip(found[i][1], used[i]):
+            if source is not None:
+                value[i].add(value[source] if source >= 0 else Value.of(text[part[-2]:part[-1]]))
+    strong = [i for i in wanted if sensitivity(found[i][0]) * value[i].strength() >= THRESHOLD]
+    return {part[-2:] for i in ordered(strong) for part, source in zip(found[i][1], used[i]) if source == -1}
 
 
 def lexed_spans(text: str) -> list[tuple[int, int]]:
@@ -193,10 +260,7 @@ def lexed_spans(text: str) -> list[tuple[int, int]]:
         whole = "".join(text[a:b] for a, b in spans)
         if reach[name] * strength(whole) >= THRESHOLD:
             out |= {(a, b) for a, b in spans if b > a}
-    for (name, _), spans in zip(found, values(found)):
-        if spans and sensitivity(name) * strength("".join(text[a:b] for a, b in spans)) >= THRESHOLD:
-            out |= {(a, b) for a, b in spans if b > a}
-    return sorted(out)
+    return sorted(out | {(a, b) for a, b in strong_values(found, text) if b > a})
 
 
 def _ordered(spans) -> str:
@@ -209,7 +273,10 @@ def scan(text: str | None) -> tuple[int, int, int, str, str]:
     text = text or ""
     base = base_spans(text)
     count = Counter(k for _, _, k in base)
-    more = [(a, b, "lexed") for a, b in lexed_spans(text) if not any(c <= a and b <= d for c, d, _ in base)]
+    # spans of one kind do not overlap, so the one that may hold another is the last that begins at or before it
+    kinds = {kind: ([a for a, _, k in base if k == kind], [b for _, b, k in base if k == kind]) for kind in count}
+    more = [(a, b, "lexed") for a, b in lexed_spans(text) if not any(
+        (at := bisect.bisect_right(starts, a)) and b <= ends[at - 1] for starts, ends in kinds.values())]
     return (count["assign"], count["access"], count["hex"], hashlib.sha256(_ordered(base).encode()).hexdigest(),
             _ordered(base + more))
 
