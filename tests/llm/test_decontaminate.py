@@ -87,3 +87,12 @@ def test_empty_benchmark_and_empty_documents(llm, workspace):
     assert decontaminate.find_hits(docs, items.limit(0), workspace=workspace).where("size(spans) > 0").isEmpty()
     assert decontaminate.find_hits(docs.limit(0), items, workspace=workspace).count() == 0
     assert decontaminate.remove_hits(docs, items.limit(0), workspace=workspace).count() == 7
+
+
+def test_an_item_of_one_word_over_and_over_takes_linear_time():
+    import time
+
+    automaton = SuffixAutomaton([("i", [b"a"] * 30_000)], 10)
+    began = time.process_time()
+    assert automaton.scan([b"a"] * 30_000) == ([(0, 30_000)], {"i"})
+    assert time.process_time() - began < 1

@@ -30,10 +30,13 @@ class SuffixAutomaton:
                 self._insert(coded)
         for item, coded in read:
             self._own(item, coded)
-        # The nearest state on the way up, itself included, at which a short item ends.
-        self.above = [-1] * len(self.link)
+        # The nearest state on the way up, itself included, at which a short item ends; and the last one on the way up
+        # that still has the width of a window.
+        self.above, self.top = [-1] * len(self.link), [0] * len(self.link)
         for s in sorted(range(1, len(self.link)), key=self.length.__getitem__):
-            self.above[s] = s if s in self.short else self.above[self.link[s]]
+            up = self.link[s]
+            self.above[s] = s if s in self.short else self.above[up]
+            self.top[s] = self.top[up] if self.length[up] >= width else s
 
     def _state(self, length: int, link: int, moves: dict[int, int]) -> int:
         self.next.append(moves)
@@ -112,10 +115,7 @@ class SuffixAutomaton:
             match += 1
             hit = 0
             if match >= width:
-                at = state
-                while length[link[at]] >= width:
-                    at = link[at]
-                found |= self.owners[at]
+                found |= self.owners[self.top[state]]
                 hit = width
             at = above[state]
             while at > 0:
