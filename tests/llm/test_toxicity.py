@@ -107,3 +107,11 @@ def test_one_class_or_no_labels(llm, documents):
         scores = [r[0] for r in docs.select(toxicity.scorer(model, llm.sparkContext)(docs["text"])).collect()]
         assert len(scores) == 4 and {int(s >= 0.5) for s in scores} == want
     assert toxicity.score_documents(docs.limit(0), frame).count() == 0
+
+
+def test_the_sample_is_bounded_in_bytes(documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", (100, 35))
+    docs = documents(*[(i, "x" * 10) for i in range(40)], (5, "x" * 10), (5, "x" * 10), (41, None))
+    labels = documents(*[(i, i % 2) for i in range(42)], schema="doc_id bigint, toxic int")
+    got = [r["toxic"] for r in toxicity.sample(docs, labels, (8, 30)).collect()]
+    assert got.count(1) == 3 and got.count(0) == 8

@@ -21,7 +21,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchledger.llm.common import remainder
@@ -30,6 +30,10 @@ BUCKETS = 1 << 18
 DIMENSIONS = 8
 #: Bound of the sample of labelled documents: clean ones, toxic ones.
 SAMPLE = (5000, 2500)
+#: Bytes of the sample's texts, clean and toxic; documents beyond are left out of the sample, however few it then has.
+SAMPLE_BYTES = (48 << 20, 24 << 20)
+#: Share of the sample's documents that a bucket must have to be learnt, and documents at least.
+SHARE, LEAST = 0.01, 5
 #: The mean over a document's words is scaled by this before the softmax: a few words in a hundred are to decide.
 SCALE = 50.0
 #: Words without a bucket that are counted in every document.
@@ -115,8 +119,7 @@ def train(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.nda
     """
     rng = np.random.default_rng(seed)
     # A bucket that few documents have tells the sample apart, not toxic from clean; it stays at zero.
-    least = min(30, max(5, len(labels) // 100))
-    common = sum(np.bincount(bucket, minlength=BUCKETS) for _, bucket, _ in parts) >= least
+    common = sum(np.bincount(bucket, minlength=BUCKETS) for _, bucket, _ in parts) >= max(LEAST, SHARE * len(labels))
     kept, number, sizes, end = np.flatnonzero(common), (np.cumsum(common) - 1).astype(np.int32), [], 0
     entries = sum(int(common[bucket].sum()) for _, bucket, _ in parts)
     bucket, share = np.empty(entries, np.int32), np.empty(entries, np.float32)
@@ -165,12 +168,19 @@ def sample(docs: DataFrame, labels: DataFrame, bound: tuple[int, int] = SAMPLE)
     """(doc_id, text, toxic) of a bounded number of labelled documents, by the order of a hash of the id.
 
     The ids are chosen among the labels alone; only these, at most ``sum(bound)`` of them, are broadcast to the texts.
+    Both the rows and, by ``SAMPLE_BYTES``, their texts are bounded.
     """
     known = (labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id")
              .agg(F.max("toxic").cast("int").alias("toxic")))
     mixed = F.xxhash64(F.lit("toxicity"), F.col("doc_id"))
     chosen = [known.where(F.col("toxic") == k).orderBy(mixed, "doc_id").limit(n) for k, n in enumerate(bound)]
-    return docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+    # of rows that share an id the smallest text stands for all, so there are as many as were chosen
+    texts = texts.groupBy("doc_id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    row = Window.partitionBy("toxic").orderBy(mixed, "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    most = F.when(F.col("toxic") == 1, SAMPLE_BYTES[1]).otherwise(SAMPLE_BYTES[0])
+    return (texts.withColumn("_bytes", F.sum(F.octet_length("text").cast("bigint")).over(row)).where(F.col("_bytes") <= most)
+            .select("doc_id", "text", "toxic"))
 
 
 class ToxicityModel:
