@@ -109,3 +109,9 @@ def test_lead_events(frame, contacts):
     got = rows(ident.lead_events(fills, mails, email_map).select("person_id", "lead_source", "company_id"), "lead_source")
     assert got == [(1, "demo_form", 10), (1, "interested_reply", 10)]
     assert ident.lead_events(fills, mails, email_map).filter(F.col("lead_at").isNull()).count() == 0
+
+
+def test_phones_without_digits_that_would_merge_contacts(frame):
+    schema = "contact_id bigint; is_personal_email boolean; phone_key string"
+    assert ident.empty_phones(frame(schema, (1, True, ""), (2, True, ""), (3, False, "1"), (4, False, None))).count() == 0
+    assert rows(ident.empty_phones(frame(schema, (1, True, ""), (2, False, ""), (3, None, "")))) == [(1, 1)]

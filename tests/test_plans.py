@@ -51,9 +51,8 @@ def broadcasts(text: str) -> list[str]:
 def test_only_fixed_lookups_are_broadcast(spark, large):
     wh = warehouse(spark, FOLDER)
     for name in ("touchpoints", "deal_anchors", "deal_journeys", "fct_attribution", "fct_opportunities"):
-        # the offsets of the placed touches, a row per partition
-        assert all("[_part#" in line for line in broadcasts(plan(getattr(wh, name)))), name
-    assert "Broadcast" not in plan(wh.touchpoints)
+        # the offsets of placed rows, a row per partition, and the bits of the known cookies, a bounded number
+        assert all("[_part#" in line or "[_slot#" in line for line in broadcasts(plan(getattr(wh, name)))), name
     wh.shared("fct_attribution")
     assert plan(wh.channel_performance).count("BroadcastHashJoin") == 1
 
@@ -86,6 +85,16 @@ def shared(spark):
     return warehouse(spark, FOLDER)
 
 
+@pytest.mark.parametrize("name", ["touchpoints", "funnel_monthly", "data_quality"])
+def test_sessions_of_unknown_cookies_are_dropped_before_a_shuffle(spark, large, shared, name):
+    lines = plan(getattr(shared, name)).splitlines()
+    asked = [i for i, line in enumerate(lines) if "BroadcastHashJoin [_slot#" in line]
+    assert len(asked) == 1
+    # above the test of the bit, and only there, rows are dealt by cookie
+    dealt = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(client_id" in line]
+    assert dealt and dealt[0] < asked[0] and not any("Exchange hashpartitioning" in line for line in lines[asked[0]:asked[0] + 6])
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     wh = warehouse(spark, FOLDER)
     text = plan(wh.stg_calls.filter(F.col("outcome") == "no_answer").select("call_id"))
@@ -112,9 +121,14 @@ def test_workspace_falls_back_to_the_warehouse_and_else_raises():
     class Conf(dict):
         conf = property(lambda self: self)
 
-    assert shared_folder(Conf({"spark.sql.warehouse.dir": "hdfs:/tables/"})) == "hdfs:/tables"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(Conf())
+    cluster = {"spark.master": "spark://host:7077"}
+    assert shared_folder(Conf(cluster | {"spark.sql.warehouse.dir": "hdfs:/tables/"})) == "hdfs:/tables"
+    assert shared_folder(Conf(cluster | {"spark.checkpoint.dir": "file:/shared/"})) == "file:/shared"
+    assert shared_folder(Conf({"spark.master": "local[4]", "spark.sql.warehouse.dir": "file:/x/spark-warehouse"})) == "file:/x/spark-warehouse"
+    for unset in ({}, cluster | {"spark.sql.warehouse.dir": "file:/x/spark-warehouse"},
+                  {"spark.master": "local-cluster[2,1,1024]", "spark.sql.warehouse.dir": "/x/spark-warehouse"}):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(Conf(unset))
 
 
 def test_a_later_session_reads_every_layer_by_name(spark, tmp_path):
@@ -130,7 +144,7 @@ def test_nightly_run_publishes_and_logs(spark, tmp_path):
     root = str(tmp_path)
     feeds = warehouse(spark, FOLDER).feeds
     for run_id in (1, 2):
-        wh = nightly.run(spark, feeds, root, run_id, revision="abc")
+        wh = nightly.run(spark, feeds, root, run_id, revision="abc", company="Acme", pitch="We sell anvils")
     assert nightly.published(spark, root, "channel_summary").count() == wh.latest("channel_summary").count() > 0
     assert spark.read.parquet(f"{root}/published").orderBy("run_id").collect()[-1]["folder"] == wh.workspace.root
     document = json.loads(spark.read.text(f"{wh.workspace.root}/dashboard").first()[0])
@@ -141,7 +155,8 @@ def test_nightly_run_publishes_and_logs(spark, tmp_path):
     assert [(r["run_id"], r["status"], r["revision"]) for r in log] == [(1, "success", "abc"), (2, "success", "abc")]
     assert json.loads(log[0]["summary"])["opps"] == 1500
     assert [s["step"] for s in json.loads(log[0]["steps"])] == [
-        "staging", "identity", "unambiguous", "build", "contracts", "publish"]
+        "staging", "phones", "identity", "unambiguous", "build", "contracts", "publish"]
+    assert (document["meta"]["company"], document["meta"]["pitch"]) == ("Acme", "We sell anvils")
 
 
 def test_ambiguous_keys_stop_a_run_before_touches_are_built(spark, tmp_path):
@@ -156,6 +171,17 @@ def test_ambiguous_keys_stop_a_run_before_touches_are_built(spark, tmp_path):
     assert not list(tmp_path.glob("run-*/touchpoints"))
 
 
+def test_phones_without_digits_stop_a_run_before_contacts_are_joined(spark, tmp_path):
+    driver = warehouse(spark, FOLDER).feeds
+    feeds = {name: driver[name] for name in driver}
+    feeds["hubspot_contacts"] = feeds["hubspot_contacts"].withColumn(
+        "phone", F.when(F.pmod(F.col("hs_object_id").cast("bigint"), F.lit(3)) == 0, F.lit("n/a")).otherwise(F.col("phone")))
+    with pytest.raises(ContractViolation, match="phones_with_digits"):
+        nightly.run(spark, feeds, str(tmp_path), run_id=4)
+    assert json.loads(spark.read.parquet(f"{tmp_path}/pipeline_runs").first()["steps"])[-1] == {"step": "phones", "ok": False}
+    assert not list(tmp_path.glob("run-*/identity_contacts"))
+
+
 def test_broken_contract_keeps_the_published_tables(spark, tmp_path):
     root = str(tmp_path)
     driver = warehouse(spark, FOLDER).feeds

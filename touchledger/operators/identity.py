@@ -5,8 +5,8 @@ needs one join to reach both its person and its account.
 
 A phone, address or name that belongs to several people breaks a contract. ``on_conflict`` decides what a join on
 such a key does: ``fanout``, the default, returns every match; ``min_id`` keeps the lowest person. A nightly run
-checks these contracts before it builds any touches, so a key that very many people share stops it instead of
-multiplying rows.
+checks phones before contacts are joined at all, phones without a digit among them, and the other keys before it builds
+any touches, so a key that very many people share stops it instead of multiplying rows.
 """
 
 from __future__ import annotations
@@ -65,6 +65,14 @@ def phone_conflicts(contacts: DataFrame) -> DataFrame:
             .filter((F.col("work_contacts") > 1) & (F.col("personal_contacts") > 0)))
 
 
+def empty_phones(contacts: DataFrame) -> DataFrame:
+    """One row if phones without a digit would merge personal contacts into work contacts, none otherwise."""
+    personal = F.col("is_personal_email")
+    return (contacts.filter(F.col("phone_key") == "")
+            .agg(F.count_if(~personal).alias("work_contacts"), F.count_if(personal).alias("personal_contacts"))
+            .filter((F.col("work_contacts") > 0) & (F.col("personal_contacts") > 0)))
+
+
 def identity_people(id_contacts: DataFrame, contacts: DataFrame, companies: DataFrame) -> DataFrame:
     """One row per person with an account, described by the person's own contact.
 

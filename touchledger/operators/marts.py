@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchledger.config import MODELS, UNATTRIBUTED
 from touchledger.functions import exact_sum, month_of, safe_ratio, settle
 from touchledger.operators.attribution import each_model
+from touchledger.operators.membership import Membership
 
 
 def channel_performance(attribution: DataFrame, spend: DataFrame, dim: DataFrame) -> DataFrame:
@@ -59,8 +60,9 @@ def model_disagreement(summary: DataFrame) -> DataFrame:
 
 
 def funnel_monthly(sessions: DataFrame, client_map: DataFrame, leads: DataFrame, calls: DataFrame,
-                   opps: DataFrame) -> DataFrame:
-    """Sessions to won revenue per calendar month, from the first to the last month with a session.
+                   opps: DataFrame, cookies: Membership | None = None) -> DataFrame:
+    """Sessions to won revenue per calendar month, from the first to the last month with a session. ``cookies`` are the
+    known ones, if their set is at hand.
 
     Each source is reduced to months on its own; the reduced rows are stacked and added up, so five
     measures need one small aggregate instead of five joins.
@@ -68,15 +70,15 @@ def funnel_monthly(sessions: DataFrame, client_map: DataFrame, leads: DataFrame,
     def monthly(df, at, **measures):
         return df.groupBy(month_of(F.col(at)).alias("month")).agg(*[c.alias(n) for n, c in measures.items()])
 
-    visits = sessions.groupBy("client_id", month_of(F.col("started_at")).alias("month")).agg(
-        F.count(F.lit(1)).alias("n"))
-    known = visits.join(client_map.select("client_id", F.lit(True).alias("known")), "client_id", "left")
+    visits = (cookies.may_hold(sessions, "client_id") if cookies else sessions).groupBy(
+        "client_id", month_of(F.col("started_at")).alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    known = visits.join(client_map.select("client_id"), "client_id")
     first_leads = leads.groupBy("person_id").agg(F.min("lead_at").alias("first_lead_at"))
     won = F.col("is_won")
     one = F.count(F.lit(1))
     parts = [
-        known.groupBy("month").agg(F.sum("n").alias("sessions"),
-                                   F.sum(F.when(F.col("known"), F.col("n"))).alias("identified_sessions")),
+        monthly(sessions, "started_at", sessions=one),
+        known.groupBy("month").agg(F.sum("n").alias("identified_sessions")),
         monthly(first_leads, "first_lead_at", new_leads=one),
         monthly(calls.filter(F.col("outcome") == "meeting_booked"), "called_at", voice_meetings_booked=one),
         monthly(opps, "created_at", opps_created=one, pipeline_created_usd=F.sum("amount")),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from touchledger.config import PAID_CHANNELS, QUALITY_THRESHOLDS, Threshold
 from touchledger.functions import safe_ratio
+from touchledger.operators.membership import Membership
 
 DESCRIPTIONS = {
     "utm_coverage_paid_clicks": "Paid ad clicks that reached the site with their tags, as a share of all paid clicks",
@@ -30,20 +31,18 @@ def _parts(df: DataFrame, check: str, num: Column | None = None, den: Column | N
 
 def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, anchors: DataFrame,
                  client_map: DataFrame, id_contacts: DataFrame, touches: DataFrame, signals: DataFrame,
-                 thresholds: dict[str, Threshold] | None = None) -> DataFrame:
-    """One row per check with its value, threshold and status.
+                 thresholds: dict[str, Threshold] | None = None, cookies: Membership | None = None) -> DataFrame:
+    """One row per check with its value, threshold and status. ``cookies`` are the known ones, if their set is at hand.
 
     Every source contributes one-row parts; the parts of a check are added up, so shares whose two halves
     come from different tables need no join.
     """
     limits = {**QUALITY_THRESHOLDS, **(thresholds or {})}
     rows, won = F.count(F.lit(1)), F.col("is_won")
-    # sessions shrink to one row per cookie before they meet the map
-    cookies = sessions.groupBy("client_id").agg(
-        rows.alias("n"), F.count_if(F.col("channel").isin(*PAID_CHANNELS)).alias("tagged"))
-    cookies = cookies.join(client_map.select("client_id", F.lit(True).alias("known")), "client_id", "left")
-    session_totals = cookies.agg(F.sum("n").alias("n"), F.sum("tagged").alias("tagged"),
-                                 F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)).alias("known"))
+    session_totals = sessions.agg(rows.alias("n"), F.count_if(F.col("channel").isin(*PAID_CHANNELS)).alias("tagged"))
+    # sessions shrink to one row per cookie before they meet the map, and those of unknown cookies before that
+    visits = (cookies.may_hold(sessions, "client_id") if cookies else sessions).groupBy("client_id").agg(rows.alias("n"))
+    known_sessions = visits.join(client_map.select("client_id"), "client_id")
     deal_totals = opps.agg(
         F.sum(F.when(won, F.col("amount"))).alias("won_usd"), rows.alias("n"),
         F.count_if("is_missing_contact").alias("missing"), F.count_if("was_reopened").alias("reopened"))
@@ -61,8 +60,8 @@ def data_quality(sessions: DataFrame, spend: DataFrame, opps: DataFrame, anchors
             for k, n, d in entries])).alias("p")).select("p.*")
 
     parts = [
-        spread(session_totals, ("utm_coverage_paid_clicks", "tagged", None),
-               ("identified_session_share", "known", "n")),
+        spread(session_totals, ("utm_coverage_paid_clicks", "tagged", None), ("identified_session_share", None, "n")),
+        _parts(known_sessions, "identified_session_share", num=F.coalesce(F.sum("n"), F.lit(0))),
         _parts(spend, "utm_coverage_paid_clicks", den=F.sum("clicks")),
         _parts(blind, "unattributed_won_revenue_share", num=F.coalesce(F.sum("amount"), F.lit(0))),
         spread(deal_totals, ("unattributed_won_revenue_share", None, "won_usd"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchledger.functions import surrogate_key
+from touchledger.operators.membership import Membership
 from touchledger.operators.numbering import number_rows
 
 _SHAPE = ["source_record_id", "person_id", "company_id", "touched_at", "channel", "touch_type", "source_system"]
@@ -21,11 +22,14 @@ def _touch(df: DataFrame, key: str | None, record: str, at: str, channel: Column
 
 
 def touchpoints(sessions: DataFrame, client_map: DataFrame, email_events: DataFrame, email_map: DataFrame,
-                matched_signals: DataFrame, bot: DataFrame, calls: DataFrame) -> DataFrame:
+                matched_signals: DataFrame, bot: DataFrame, calls: DataFrame,
+                cookies: Membership | None = None) -> DataFrame:
     """Web sessions of known cookies, email clicks and replies, matched signals, bot replies, answered calls.
 
-    The three feeds keyed by email address are stacked before the one join that finds person and account.
+    The three feeds keyed by email address are stacked before the one join that finds person and account. With ``cookies``,
+    the known ones, sessions of others are dropped before that of cookies, so that they are not shuffled.
     """
+    sessions = cookies.may_hold(sessions, "client_id") if cookies else sessions
     # source_system and touch_type names, which touch ids are derived from.
     web = _touch(sessions, "client_id", "session_id", "started_at", F.col("channel"), F.lit("web_session"), "ga4")
     mails = _touch(email_events.filter(F.col("event_type").isin("click", "reply")), "email", "email_event_id",

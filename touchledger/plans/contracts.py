@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchledger.config import MODELS
 from touchledger.operators import contracts as c
-from touchledger.operators.identity import phone_conflicts, signal_conflicts
+from touchledger.operators.identity import empty_phones, phone_conflicts, signal_conflicts
 from touchledger.plans.rules import ACCEPTED, NOT_NULL, RELATIONSHIPS, UNIQUE, WATCHED, row_checks
 from touchledger.plans.warehouse import Warehouse
 
@@ -73,6 +73,12 @@ def ambiguous(wh: Warehouse) -> dict[str, DataFrame]:
             "unambiguous_signals": signal_conflicts(wh.latest("stg_signals"), wh.latest("identity_people"))}
 
 
+def check_phones(wh: Warehouse) -> DataFrame:
+    """The contracts of phones, on staging alone: before contacts are joined by them. Raises when one is broken."""
+    contacts = wh.latest("stg_contacts")
+    return c.contract_gate({"unambiguous_phones": phone_conflicts(contacts), "phones_with_digits": empty_phones(contacts)})
+
+
 def check_unambiguous(wh: Warehouse) -> DataFrame:
     """The contracts that keep a shared key from multiplying rows. Raises when one is broken."""
     return c.contract_gate(ambiguous(wh))

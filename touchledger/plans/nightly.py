@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from touchledger.config import AttributionConfig
 from touchledger.operators.numbering import PLACE
-from touchledger.plans.contracts import check_all, check_unambiguous
+from touchledger.plans.contracts import check_all, check_phones, check_unambiguous
 from touchledger.plans.warehouse import Warehouse
 from touchledger.plans.workspace import Workspace
 from touchledger.sinks import append_run_log, dashboard_extract
@@ -51,8 +51,12 @@ def extracts(wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id: int,
-        cfg: AttributionConfig = AttributionConfig(), revision: str | None = None) -> Warehouse:
-    """Builds all layers, publishes them once every contract holds, and logs the run either way."""
+        cfg: AttributionConfig = AttributionConfig(), revision: str | None = None, company: str = "",
+        pitch: str = "") -> Warehouse:
+    """Builds all layers, publishes them once every contract holds, and logs the run either way.
+
+    ``company`` and ``pitch`` head the dashboard.
+    """
     started = datetime.now(timezone.utc)
     wh = Warehouse(spark, feeds, cfg, Workspace(spark, root))
     steps: list[tuple[str, bool]] = []
@@ -64,7 +68,7 @@ def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id:
         steps[-1] = (name, True)
 
     def publish() -> None:
-        dashboard_extract(extracts(wh), f"{wh.workspace.root}/dashboard", cfg.lookback_days)
+        dashboard_extract(extracts(wh), f"{wh.workspace.root}/dashboard", cfg.lookback_days, company=company, pitch=pitch)
         summary.update({k: float(v) for k, v in wh.run_summary.first().asDict().items()})
         (spark.createDataFrame([(run_id, wh.workspace.root, datetime.now(timezone.utc))],
                                "run_id bigint, folder string, published_at timestamp")
@@ -73,6 +77,8 @@ def run(spark: SparkSession, feeds: Mapping[str, DataFrame], root: str, run_id:
     try:
         # Written, so that a later session can read them by name, and so that raw text is parsed once.
         step("staging", lambda: wh.materialise(STAGING))
+        # Before contacts meet by phone: one that very many share would multiply them.
+        step("phones", lambda: check_phones(wh))
         step("identity", lambda: wh.materialise(IDENTITY))
         # Before any touches are built: an ambiguous key would multiply them.
         step("unambiguous", lambda: check_unambiguous(wh))

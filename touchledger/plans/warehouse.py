@@ -22,6 +22,7 @@ from touchledger.operators import (
     journeys,
     lift,
     marts,
+    membership,
     opportunities,
     quality,
     staging,
@@ -144,6 +145,13 @@ class Warehouse:
     def identity_client_map(self):
         return identity.identity_client_map(self.latest("stg_form_fills"), self.shared("email_lookup"))
 
+    @cached_property
+    def known_cookies(self):
+        """Bits of the known cookies, written, as joins of all sessions use them."""
+        clients = self.shared("identity_client_map")
+        bits = membership.bits_for(clients.count())
+        return membership.Membership(self.workspace.settle(membership.words(clients, "client_id", bits), "known_cookies"), bits)
+
     @cached_property
     def people_keys(self):
         return identity.people_keys(self.latest("identity_people"), self.cfg.on_conflict)
@@ -161,7 +169,7 @@ class Warehouse:
     def touchpoints(self):
         return touches.touchpoints(
             self.latest("stg_sessions"), self.shared("identity_client_map"), self.latest("stg_email_events"), self.shared("email_lookup"),
-            self.match_signals, self.latest("stg_bot_threads"), self.latest("stg_calls"))
+            self.match_signals, self.latest("stg_bot_threads"), self.latest("stg_calls"), self.known_cookies)
 
     @cached_property
     def placed_touches(self):
@@ -228,7 +236,7 @@ class Warehouse:
     def funnel_monthly(self):
         return marts.funnel_monthly(
             self.latest("stg_sessions"), self.shared("identity_client_map"), self.latest("lead_events"), self.latest("stg_calls"),
-            self.shared("opportunities"))
+            self.shared("opportunities"), self.known_cookies)
 
     @cached_property
     def velocity(self):
@@ -262,7 +270,8 @@ class Warehouse:
         return quality.data_quality(
             self.latest("stg_sessions"), self.latest("stg_spend_daily"), self.shared("opportunities"),
             self.shared("deal_anchors"), self.shared("identity_client_map"),
-            self.shared("identity_contacts"), self.shared("touchpoints"), self.latest("stg_signals"))
+            self.shared("identity_contacts"), self.shared("touchpoints"), self.latest("stg_signals"),
+            cookies=self.known_cookies)
 
     @cached_property
     def dashboard_summary(self):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -9,9 +10,17 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach: ``spark.checkpoint.dir``, or else the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
-    if not folder:
+    """The folder all executors reach: ``spark.checkpoint.dir``, or else the warehouse.
+
+    Spark's own default for the warehouse is a folder of the driver's machine, so one without a shared store counts only
+    where driver and executors are one process.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    folder = spark.conf.get("spark.sql.warehouse.dir", None)
+    alone = re.match(r"local(\[|$)", spark.conf.get("spark.master", None) or "")
+    if not folder or not alone and re.match("file:|/", folder):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
