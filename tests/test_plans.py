@@ -159,6 +159,22 @@ def test_nightly_run_publishes_and_logs(spark, tmp_path):
     assert (document["meta"]["company"], document["meta"]["pitch"]) == ("Acme", "We sell anvils")
 
 
+def test_old_runs_are_pruned_and_the_published_and_the_running_stay(spark, tmp_path):
+    import datetime as dt
+
+    root = str(tmp_path)
+    for k in range(4):
+        (tmp_path / f"run-{k}" / "t").mkdir(parents=True)
+    (tmp_path / "run-5").mkdir()  # not published: running, or failed
+    rows = [(k, f"file:{root}/run-{k}", dt.datetime(2025, 1, 1 + k)) for k in range(4)]
+    spark.createDataFrame(rows, "run_id bigint, folder string, published_at timestamp").coalesce(1).write.parquet(f"{root}/published")
+    assert nightly.prune(spark, root, keep=2) == [f"{root}/run-0", f"{root}/run-1"]
+    assert sorted(p.name for p in tmp_path.glob("run-*")) == ["run-2", "run-3", "run-5"] and (tmp_path / "published").exists()
+    assert nightly.prune(spark, root, keep=1, unpublished_hours=-1) == [f"{root}/run-2", f"{root}/run-5"]
+    with pytest.raises(ValueError):
+        nightly.prune(spark, root, keep=0)
+
+
 def test_ambiguous_keys_stop_a_run_before_touches_are_built(spark, tmp_path):
     driver = warehouse(spark, FOLDER).feeds
     feeds = {name: driver[name] for name in driver}

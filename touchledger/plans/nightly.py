@@ -99,3 +99,29 @@ def published(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table of the latest published run."""
     folder = spark.read.parquet(f"{root}/published").orderBy(F.desc("published_at")).first()["folder"]
     return spark.read.parquet(f"{folder}/{name}").drop(*PLACE)
+
+
+def prune(spark: SparkSession, root: str, keep: int = 3, unpublished_hours: float = 48.0) -> list[str]:
+    """Deletes the folders of old runs and returns their paths.
+
+    The ``keep`` latest published runs stay, and so does every unpublished one that was begun less than
+    ``unpublished_hours`` ago, for it may still be running. Logs and the list of published runs stay whole.
+    """
+    if keep < 1:
+        raise ValueError("the published run must stay")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # a row per run, and a folder per run
+    runs = spark.read.parquet(f"{root}/published").orderBy(F.desc("published_at")).select("folder").collect()
+    names = [r["folder"].rstrip("/").rsplit("/", 1)[-1] for r in runs]
+    stay, published = set(names[:keep]), set(names)
+    oldest = (datetime.now(timezone.utc).timestamp() - unpublished_hours * 3600) * 1000
+    gone = []
+    for status in system.listStatus(path):
+        name = status.getPath().getName()
+        if not status.isDirectory() or not name.startswith("run-") or name in stay:
+            continue
+        if name in published or status.getModificationTime() < oldest:
+            system.delete(status.getPath(), True)
+            gone.append(f"{root.rstrip('/')}/{name}")
+    return sorted(gone)

@@ -11,22 +11,12 @@ from pyspark.sql import functions as F
 
 from touchledger.operators.catalogue import metric_definitions
 
-VIEW_LAYERS = ("staging",)
 # Rows that a result set of the dashboard can have.
 REPORT_ROWS = 100_000
 
 
-def write_layer(df: DataFrame, layer: str, name: str, root: str | None = None, mode: str = "overwrite") -> DataFrame:
-    """Publishes a table of a layer and returns what readers will see.
-
-    Staging stays a view, so filters and column selections of its readers reach the raw scan. Every other
-    layer is a Parquet table under ``root/layer/name``.
-    """
-    if layer in VIEW_LAYERS:
-        df.createOrReplaceTempView(f"{layer}_{name}")
-        return df
-    if root is None:
-        raise ValueError("a table layer needs a root folder")
+def write_layer(df: DataFrame, layer: str, name: str, root: str, mode: str = "overwrite") -> DataFrame:
+    """Writes a table of a layer, staging like any other, to ``root/layer/name`` and returns what readers will see."""
     path = f"{root.rstrip('/')}/{layer}/{name}"
     df.write.mode(mode).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
