@@ -173,11 +173,10 @@ def frequent_lengths(docs: DataFrame, path: str, size: int = FREQUENT, sample: i
 
     rows = docs.count()
     texts = docs.select("text").where("text != ''").sample(min(1.0, sample / max(rows, 1)), 7)
-    seen, tokens = Counter(), {}
-    for r in texts.repartition(SAMPLE_TASKS).mapInArrow(tops, "piece string, n bigint, tokens int").collect():
-        seen[r["piece"]] += r["n"]
-        tokens[r["piece"]] = r["tokens"]
-    return packed({p: tokens[p] for p, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:size]})
+    found = texts.repartition(SAMPLE_TASKS).mapInArrow(tops, "piece string, n bigint, tokens int").toArrow()
+    found = found.group_by("piece").aggregate([("n", "sum"), ("tokens", "max")])
+    found = found.sort_by([("n_sum", "descending"), ("piece", "ascending")]).slice(0, size)
+    return packed(dict(zip(found["piece"].to_pylist(), found["tokens_max"].to_pylist())))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
