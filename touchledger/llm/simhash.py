@@ -142,7 +142,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     stars = components(links(classes, max_distance), workspace)
     rooted = classes.join(stars.hint("merge"), F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
-    heads = rooted.groupBy("root").agg(F.min("first").alias("head"))
+    # written, so that both sides of the join come out of an exchange and Spark can split a large component
+    rooted = workspace.settle(rooted, f"rooted-{uuid.uuid4().hex}")
+    heads = workspace.settle(rooted.groupBy("root").agg(F.min("first").alias("head")), f"heads-{uuid.uuid4().hex}")
     named = rooted.join(heads.hint("merge"), "root").select("fp", "head")
     return rows.join(named.hint("merge"), "fp").select(
         "doc_id", "fp", "text_hash", F.col("head.doc_id").alias("component_id"),
