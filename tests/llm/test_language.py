@@ -63,3 +63,22 @@ def test_close_codewords_are_flagged():
     model = language.LanguageModel._train(["de", "en", "fr"], texts, np.repeat([0, 1, 2], 20))
     clear, mixed = model.predict(["der und die nicht", "der und the of"])
     assert not clear[2] and clear[1] > mixed[1]
+
+
+def test_every_language_is_learnt_and_the_sample_is_bounded(documents, monkeypatch):
+    schema = "doc_id bigint, text string, lang string"
+    rows = [(i, f"{'abcdefghij'[i % 10] * 3} word{i}", f"l{i % 10}") for i in range(600)] + [(1000, "zzz alone", "rare")] + [(1, "bbb word1", "l1")] * 50
+    texts = []
+    monkeypatch.setattr(language.LanguageModel, "_train", classmethod(lambda cls, languages, t, label: texts.append((languages, t, label))))
+    language.LanguageModel.fit(documents(*rows, schema=schema), sample=33)
+    languages, found, label = texts[-1]
+    assert languages == sorted([f"l{i}" for i in range(10)] + ["rare"]) and np.bincount(label).tolist() == [3] * 10 + [1]
+    again = documents(*rows, schema=schema).repartition(7)
+    language.LanguageModel.fit(again, sample=33)
+    assert texts[-1][1] == found
+    monkeypatch.setattr(language, "SAMPLE_BYTES", 11 * 15)
+    language.LanguageModel.fit(again, sample=330)
+    assert np.bincount(texts[-1][2]).tolist() == [1] * 11
+    monkeypatch.setattr(language, "LANGUAGES", 4)
+    language.LanguageModel.fit(again, sample=33)
+    assert len(texts[-1][0]) == 4 and "rare" not in texts[-1][0]

@@ -4,8 +4,9 @@ Every language has a codeword; for each bit a logistic classifier over hashed by
 with a one from those with a zero. The decoder takes the codeword with the least loss, summed over the bits with weights
 for how well each bit's classifier knows that language, and flags a text whose two best codewords are close.
 
-The classifiers are trained in numpy on a bounded sample: texts whose hash falls under a share that is set for each
-language, so that about ``SAMPLE`` are read in all. The broadcast model has a fixed number of buckets.
+The classifiers are trained in numpy on a bounded sample: of each language the texts with the smallest hashes, as many of
+each, ``SAMPLE`` in all and of ``SAMPLE_BYTES``, but one at least. Of more than ``LANGUAGES`` languages the most frequent
+are learnt, and other texts get one of these. The broadcast model has a fixed number of buckets.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; texts of a null language are not learnt
 from; with one language learnt every other text gets it, with none every text is ``und``; ties go to the language that
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from touchledger.llm.common import remainder
 
 BUCKETS = 1 << 12
-#: Bound of the sample of labelled documents, over all languages (in expectation), and of the languages.
-SAMPLE, LANGUAGES = 4000, 1000
+#: Bound of the sample of labelled documents, over all languages, in rows and in bytes; and of the languages.
+SAMPLE, SAMPLE_BYTES, LANGUAGES = 4000, 64 << 20, 1000
 #: The two best codewords are ambiguous if their scores differ by less.
 MARGIN = 0.2
 UNDETERMINED = "und"
@@ -85,18 +86,30 @@ class LanguageModel:
         """Learns from the rows given (columns doc_id, text and lang)."""
         known = docs.where("lang is not null and text is not null")
         counts = dict(sorted(tuple(r) for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-                             .limit(LANGUAGES + 1).collect()))
-        if len(counts) > LANGUAGES:
-            raise ValueError(f"more than {LANGUAGES} languages; raise LANGUAGES to learn them")
+                             .limit(LANGUAGES).collect()))
         if not counts:
             return cls([], np.zeros((0, 0)), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), np.zeros((0, 0)))
         each = max(1, sample // len(counts))
-        parts = 1 << 30
-        shares = F.create_map(*itertools.chain.from_iterable(
-            (F.lit(k), F.lit(int(parts * min(1.0, each / n)))) for k, n in counts.items()))
+        parts = 1 << 60
         place = F.pmod(F.xxhash64(F.lit("language"), F.col("doc_id"), F.col("text")), F.lit(parts))
-        rows = known.where(place < shares[F.col("lang")]).select("lang", "text", place.alias("place")).collect()
-        rows = sorted((r["lang"], r["place"], r["text"]) for r in rows if has_letter(r["text"]))
+
+        def below(limits: dict[str, int]) -> Column:
+            return place <= F.create_map(*itertools.chain.from_iterable(
+                (F.lit(k), F.lit(n)) for k, n in limits.items()))[F.col("lang")]
+
+        # The smallest hashes of each language: enough are looked at that their number cannot fall short by chance.
+        ample = {k: int(parts * min(1.0, (2 * each + 64) / n)) for k, n in counts.items()}
+        sizes = known.where(below(ample)).groupBy("lang", place.alias("place")).agg(F.max(F.octet_length("text")).alias("size"))
+        taken: dict[str, list[tuple[int, int]]] = {}
+        for lang, at, size in sorted((r["lang"], r["place"], r["size"]) for r in sizes.collect()):
+            own = taken.setdefault(lang, [])
+            if not own or len(own) < each and sum(n for _, n in own) + size <= SAMPLE_BYTES // len(counts):
+                own.append((at, size))
+        last = {k: own[-1][0] for k, own in taken.items()}
+        chosen = known.where(below(last)).groupBy("lang", place.alias("place")).agg(F.min("text").alias("text"))
+        among = {(k, at) for k, own in taken.items() for at, _ in own}
+        rows = sorted((r["lang"], r["place"], r["text"]) for r in chosen.collect() if (r["lang"], r["place"]) in among)
+        rows = [r for r in rows if has_letter(r[2])]
         languages = sorted({r[0] for r in rows})
         number = {k: i for i, k in enumerate(languages)}
         return cls._train(languages, [r[2] for r in rows], np.array([number[r[0]] for r in rows], int))
