@@ -167,6 +167,35 @@ EXTRACT_ROWS = _union([
     f"(select cast(round(sum(cast({c} as decimal(38,10))), 4) as double) from {r}) as total" for n, (r, cs) in EXTRACTS.items() for c in cs])
 
 WEIGHT = "select deal_id, touchpoint_id, channel, round(credit, 8) as credit from touch_credit where model = '{0}'"
+# result set -> fields that are texts; those of one row are given as values
+EXTRACT_TEXTS = {
+    "summary": ("first_deal", "last_deal"), "monthly": ("month",), "channels": ("model", "channel", "channel_group"),
+    "disagreement": ("channel",), "truth": ("model", "channel"), "velocity": ("first_touch_channel",),
+    "retention": ("first_touch_channel",), "quality": ("check_name", "direction", "status"),
+}
+_RUN_TEXTS = {"started_at": "strftime(started_at, '%Y-%m-%dT%H:%M:%S.%gZ')", "finished_at": "strftime(finished_at, '%Y-%m-%dT%H:%M:%S.%gZ')",
+              "status": "status", "summary": "cast(summary as varchar)"}
+
+
+def _counted(name: str, field: str, text: str, relation: str) -> str:
+    return (f"select '{name}' as result_set, '{field}' as field, {text} as text, count(*) as n from {relation} "
+            f"where {text} is not null group by {text}")
+
+
+def _dashboard_texts(runs: str) -> str:
+    shown = {field: k for k, field in enumerate(("name", "source_table", "source_column", "grain", "version", "definition", "changelog"))}
+    single = [("meta", "company", "Benchmark Ltd"), ("meta", "pitch", "Tables, not slides"), ("meta", "lookback_days", "90"),
+              *[("quality", "description", v) for v in DESCRIPTIONS.values()],
+              *[("metrics", field, m[k]) for m in METRICS for field, k in shown.items() if isinstance(m[k], str)]]
+    return _union([
+        *[_counted(name, f, f"cast({f} as varchar)", EXTRACTS[name][0]) for name, fields in EXTRACT_TEXTS.items() for f in fields],
+        *[_counted("runs", f, text, f"({runs})") for f, text in _RUN_TEXTS.items()],
+        *[f"select '{name}' as result_set, 'in order' as field, '' as text, greatest(count(*) - 1, 0) as n from {EXTRACTS[name][0]}"
+          for name in EXTRACT_TEXTS if name != "summary"],
+        "select result_set, field, text, count(*) as n from (values " + ", ".join(
+            f"('{a}', '{b}', {_text(c)})" for a, b, c in single) + ") given(result_set, field, text) group by all"])
+
+
 RUNS = ("select e as run_id, moment as started_at, moment + to_seconds(40) as finished_at, "
         "if(kind = 'error', 'failed', 'success') as status, {0} props as summary from ev")
 DEAL_ROWS = """deal_id, deal_name, company_id, company_name, domain, industry, size_band, contact_id, is_missing_contact,
@@ -250,6 +279,7 @@ select count(*) as opps, count(*) filter (is_won) as won, cast(sum(amount) filte
         f"when '{k}' then {_text(v)}" for k, v in DESCRIPTIONS.items()) + " end as description from quality",
     "metric_catalogue": METRIC_ROWS,
     "dashboard_extract": EXTRACT_ROWS,
+    "dashboard_texts": _dashboard_texts(RUNS.format("") + " order by e desc limit 14"),
     "credited_pipeline_by_company": f"select domain, {money('pipeline')} as attributed_pipeline from company_pipeline",
     "channel_score": "select channel, round(win_rank, 9) as win_rank, round(rev_rank, 9) as rev_rank from channel_score",
     "latest_deal_per_company": "select * from latest_deal",

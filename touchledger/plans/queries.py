@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from collections import Counter
 from collections.abc import Callable, Iterable
 from functools import reduce
 
@@ -103,13 +104,30 @@ def _drift(wh: Warehouse) -> DataFrame:
     return landing.schema_drift(wh.spark, stored, _landed(wh))
 
 
-def _dashboard(wh: Warehouse) -> DataFrame:
+def _document(wh: Warehouse) -> dict:
+    """The dashboard's document as it was written."""
     for name in nightly.MARTS:
         wh.shared(name)
     path = f"{wh.workspace.root}/dashboard-{uuid.uuid4().hex}"
-    dashboard_extract(nightly.extracts(wh), path, wh.cfg.lookback_days)
-    document = json.loads(wh.spark.read.text(path).first()[0])
-    out = []
+    dashboard_extract(nightly.extracts(wh), path, wh.cfg.lookback_days, company="Benchmark Ltd", pitch="Tables, not slides")
+    return json.loads(wh.spark.read.text(path).first()[0])
+
+
+def _dashboard_texts(wh: Warehouse) -> DataFrame:
+    """How often each text stands in each field, and how many rows of a result set are followed by one in its order."""
+    document, out = _document(wh), Counter()
+    for name, found in document.items():
+        for row in found if isinstance(found, list) else [found]:
+            out.update((name, k, v) for k, v in row.items() if isinstance(v, str) and k != "built_at")
+    out["meta", "lookback_days", str(document["meta"]["lookback_days"])] += 1
+    for name, (_, *order) in nightly.EXTRACTS.items():
+        keys = [[-r[c] if direction is F.desc else r[c] for direction, c in order] for r in document[name]]
+        out[name, "in order", ""] = sum(a <= b for a, b in zip(keys, keys[1:]))
+    return wh.spark.createDataFrame([(*k, n) for k, n in out.items()], "result_set string, field string, text string, n bigint")
+
+
+def _dashboard(wh: Warehouse) -> DataFrame:
+    document, out = _document(wh), []
     for name, found in document.items():
         found = found if isinstance(found, list) else [found]
         numbers = {k: [r[k] for r in found if isinstance(r[k], (int, float)) and not isinstance(r[k], bool)]
@@ -199,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "data_quality": _layer("data_quality", "checked_at"),
     "metric_catalogue": _layer("metric_catalogue"),
     "dashboard_extract": _query(_dashboard),
+    "dashboard_texts": _query(_dashboard_texts),
     # CRM
     "credited_pipeline_by_company": _layer("credited_pipeline_by_company"),
     "channel_score": _query(
