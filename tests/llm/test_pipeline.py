@@ -98,12 +98,13 @@ def test_stages_take_nulls_repeats_and_no_rows(llm, stages, tmp_path):
         for name, stage in corpus_pipeline.STAGES:
             docs = workspace.settle(stage(llm, docs, FOLDER), name)
         found = {r["doc_id"] for r in docs.collect()}
-        assert found == ({1, None, 3} if some else set()) or found == ({2, None, 3} if some else set())
+        # of the texts that are empty or null the largest id stays
+        assert found == ({2, None, 3} if some else set())
 
 
 def test_registry():
     names = entry.queries()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.QUERIES) < set(names) and "pipeline" in names and set(queries.ORACLES) <= set(queries.QUERIES)
 
 
