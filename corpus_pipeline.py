@@ -1,7 +1,11 @@
 """The corpus pipeline: toxicity, exact dedup, SimHash near-dedup, benchmark decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and read again as the next one's
-docs. All but the last return the columns of documents. A frame without rows passes every stage.
+docs. All but the last return the columns of documents, others that the frame has included, whatever their names.
+
+Defined results: a null text counts as empty and may stay, as the null it was; a null id is an id smaller than any other;
+of rows with equal texts the one with the largest id stays, of repeated rows one; texts of any length are processed whole;
+a frame without rows passes every stage.
 """
 
 from __future__ import annotations
