@@ -115,3 +115,13 @@ def test_nothing_else_imports_the_subpackage():
     for file in [*root.glob("touchledger/**/*.py"), *root.glob("oracles/*.py"), *root.glob("tests/*.py"), root / "bench.py"]:
         if "llm" not in file.parts:
             assert "llm" not in file.read_text(), file
+
+
+def test_columns_with_clashing_names_pass_every_stage(llm, stages, tmp_path):
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, predicted int, _key string, digest string, fp string"
+    rows = [(k, f"plain words number {k} " + " ".join(f"w{k}x{j}" for j in range(40)), "en", "s", 9, 0.25, 1, "k", "d", "f") for k in range(4)]
+    docs, workspace = llm.createDataFrame(rows, schema), Workspace(llm, str(tmp_path))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = workspace.settle(stage(llm, docs, FOLDER), name)
+        assert docs.columns == [c.split()[0] for c in schema.split(", ")]
+    assert sorted((r["doc_id"], r["score"], r["predicted"], r["_key"]) for r in docs.collect()) == [(k, 0.25, 1, "k") for k in range(4)]
