@@ -76,3 +76,37 @@ def test_window_of_several_blocks(spark):
     assert journeys._blocks(AttributionConfig()) == (1, 90 * 86_400_000_000)
     number, width = journeys._blocks(AttributionConfig(half_life_days=0.02))
     assert number == 9 and number * width >= 90 * 86_400_000_000
+
+
+def test_both_ways_to_the_landmarks_agree(spark, uneven):
+    from pyspark.sql import DataFrame
+
+    rng = random.Random(11)
+    touches = [touch(f"t{i:04d}", rng.choice([1, 1, 2, 3]), at(-rng.randint(0, 250) / 2), rng.choice(["direct", "referral"])) for i in range(300)]
+    deals = [deal(i, rng.choice([1, 2, 3, 4]), -rng.randint(0, 60)) for i in range(60)] + [(99, None, None, at(0), None, False, False)]
+    leads = [(i, at(-rng.randint(0, 120))) for i in range(0, 60, 3)]
+    opps, anchors, _, _ = chain(spark, deals, touches, leads)
+    from world import TOUCH, timeline
+
+    moments = spark.createDataFrame(leads, "deal_id bigint, lead_at timestamp")
+    numbered = timeline(spark.createDataFrame(touches, TOUCH))
+    other = journeys.deal_anchors_by_pairs(opps, numbered, moments)
+    assert other.dtypes == anchors.dtypes
+
+    def rounded(df: DataFrame):
+        return sorted((tuple(r) for r in df.withColumn("decay_total", F.round("decay_total", 9)).collect()), key=str)
+    assert rounded(other) == rounded(anchors)
+    formed = journeys.candidate_pairs(opps, numbered).first()["pairs"]
+    assert formed >= sum(r["touch_count"] or 0 for r in anchors.collect())
+
+
+def test_dense_accounts_are_looked_up(spark):
+    from touchledger.plans.queries import warehouse
+    from touchledger.plans.warehouse import Warehouse
+
+    feeds = warehouse(spark, "/root/testdata/sf0.001").feeds
+    plans = {}
+    for dense in (0.0, 1e9):
+        wh = Warehouse(spark, feeds, AttributionConfig(dense_pairs=dense))
+        plans[dense] = ("window_probes" in wh.__dict__, sorted(map(str, wh.deal_anchors.drop("decay_total").collect())), "window_probes" in wh.__dict__)
+    assert plans[0.0][2] and not plans[1e9][2] and plans[0.0][1] == plans[1e9][1]

@@ -43,13 +43,15 @@ class AttributionConfig:
     """Knobs of the attribution chain.
 
     ``on_conflict`` is what joins do with an ambiguous phone, address or name (see operators.identity).
-    ``bucket_days`` only shapes the physical plan (see operators.journeys); results do not depend on it.
+    ``bucket_days`` and ``dense_pairs`` only shape the physical plan (see operators.journeys); results do not depend on
+    them. The latter is the number of pairs for each touch and deal from which on landmarks are looked up without pairs.
     """
 
     lookback_days: int = 90
     half_life_days: float = 7.0
     anchor_weight: float = 0.30
     bucket_days: int = 30
+    dense_pairs: float = 16.0
     on_conflict: str = "fanout"
 
 

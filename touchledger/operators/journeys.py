@@ -24,14 +24,17 @@ from touchledger.functions import DAY_MICROS, days_between, time_bucket
 from touchledger.operators.asof import as_of
 
 
+def _spread(deals: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """A row per deal and time bucket that its window touches."""
+    created, width = F.unix_micros("created_at"), float(cfg.bucket_days * DAY_MICROS)
+    return (deals.filter(F.col("created_at").isNotNull() & F.col("company_id").isNotNull())
+            .withColumn("bucket", F.explode(F.sequence(F.floor((created - cfg.lookback_days * DAY_MICROS) / width),
+                                                       F.floor(created / width)))))
+
+
 def in_lookback(events: DataFrame, at: str, deals: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """Pairs of a deal and an event of its account with created − look-back < event time <= created."""
-    lookback = cfg.lookback_days * DAY_MICROS
-    width = float(cfg.bucket_days * DAY_MICROS)
-    created = F.unix_micros("created_at")
-    spread = (deals.filter(F.col("created_at").isNotNull() & F.col("company_id").isNotNull())
-              .withColumn("bucket", F.explode(F.sequence(F.floor((created - lookback) / width),
-                                                         F.floor(created / width)))))
+    lookback, created, spread = cfg.lookback_days * DAY_MICROS, F.unix_micros("created_at"), _spread(deals, cfg)
     placed = events.withColumn("bucket", time_bucket(F.col(at), cfg.bucket_days))
     when = F.unix_micros(at)
     # events on the left: a sort-merge join streams its left side and buffers only the deals of one key
@@ -120,6 +123,42 @@ def deal_anchors(opps: DataFrame, probes: DataFrame, lead_moment: DataFrame,
         "decay_total")
 
 
+def candidate_pairs(opps: DataFrame, account_touches: DataFrame, cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
+    """One row with the number of pairs that deals and touches would form by account and time bucket, from counts alone."""
+    key = ["company_id", "bucket"]
+    touches = (account_touches.groupBy("company_id", time_bucket(F.col("touched_at"), cfg.bucket_days).alias("bucket"))
+               .agg(F.count(F.lit(1)).alias("touches")))
+    deals = (_spread(opps.select("company_id", "created_at"), cfg).groupBy(*key).agg(F.count(F.lit(1)).alias("deals")))
+    product = F.col("touches").cast("decimal(19,0)") * F.col("deals")
+    return touches.join(deals, key).agg(F.coalesce(F.sum(product.cast("decimal(38,0)")), F.lit(0)).alias("pairs"))
+
+
+def deal_anchors_by_pairs(opps: DataFrame, account_touches: DataFrame, lead_moment: DataFrame,
+                          cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
+    """``deal_anchors`` from the pairs of deals and touches themselves, for accounts with few touches to a deal.
+
+    The pairs are aggregated in the tasks that form them.
+    """
+    deals = (opps.select("deal_id", "company_id", "amount", "created_at", "closed_at", "is_won")
+             .join(lead_moment, "deal_id", "left"))
+    pairs = in_lookback(account_touches.select("company_id", "touched_at", "channel", "account_seq"), "touched_at",
+                        deals.select("deal_id", "company_id", "created_at", "lead_at"), cfg)
+    seq, age = F.col("account_seq"), days_between(F.col("created_at"), F.col("touched_at"))
+    landmarks = pairs.groupBy("deal_id").agg(
+        F.min(seq).alias("first_seq"),
+        F.max(seq).alias("last_seq"),
+        F.max(F.when(~F.col("channel").isin(*DIRECT_CHANNELS), seq)).alias("non_direct_seq"),
+        F.max(F.when(F.col("touched_at") <= F.col("lead_at"), seq)).alias("lead_seq"),
+        F.sum(_decay(age, cfg)).alias("decay_total"))
+    place = lambda c: F.col(c) - F.col("first_seq") + 1
+    return deals.join(landmarks, "deal_id", "left").select(
+        *deals.columns, "first_seq",
+        place("last_seq").alias("touch_count"),
+        place("non_direct_seq").alias("last_non_direct_number"),
+        place("lead_seq").alias("lead_touch_number"),
+        "decay_total")
+
+
 def deal_journeys(anchors: DataFrame, account_touches: DataFrame,
                   cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
     """Every deal x touch pair of the look-back windows with the deal's facts and landmarks."""

@@ -190,7 +190,11 @@ class Warehouse:
 
     @cached_property
     def deal_anchors(self):
-        return journeys.deal_anchors(self.shared("opportunities"), self.window_probes, self.shared("deal_lead_moment"), self.cfg)
+        opps, leads = self.shared("opportunities"), self.shared("deal_lead_moment")
+        rows = self.placed_touches.count() + opps.count()
+        if journeys.candidate_pairs(opps, self.account_touches, self.cfg).first()["pairs"] < self.cfg.dense_pairs * rows:
+            return journeys.deal_anchors_by_pairs(opps, self.account_touches, leads, self.cfg)
+        return journeys.deal_anchors(opps, self.window_probes, leads, self.cfg)
 
     @cached_property
     def window_probes(self):
