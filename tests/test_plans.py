@@ -231,3 +231,13 @@ def test_text_exports_give_the_same_marts_as_typed_feeds(spark, tmp_path):
     for name in ("channel_summary", "retention", "funnel_monthly"):
         ours, theirs = (sorted(map(str, getattr(wh, name).collect())) for wh in (text, typed))
         assert ours == theirs and ours
+
+
+def test_layers_are_written_in_a_codec_that_halves_hexadecimal_keys(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    keys = spark.range(20000).select(F.md5(F.col("id").cast("string")).alias("k")).coalesce(1)
+    written = Workspace(spark, str(tmp_path)).settle(keys, "keys")
+    (file,) = tmp_path.glob("run-*/keys/*.parquet")
+    assert written.count() == 20000 and pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+    assert file.stat().st_size < 20 * 20000
