@@ -108,3 +108,13 @@ def test_a_write_takes_counts_along(spark, frame, tmp_path):
     assert workspace.observed == {"t": {"no_k": 1, "sum": 4}} and again.count() == 3
     workspace.settle(df.repartition(3).limit(0), "none", {"n": F.count("k")})
     assert workspace.observed["none"] == {"n": 0}
+
+
+def test_repeated_keys_are_shuffled_as_bytes_and_given_as_text(frame):
+    key = "0123456789abcdef" * 2
+    values = [key, key, key.upper(), key.upper(), key + "\n", key + "\n", key[:-1], "x", "x", "x", "", "", None, None, "f" * 32]
+    found = c.expect_unique(frame("k string", *[(v,) for v in values]), "k")
+    assert found.dtypes == [("value", "string"), ("rows", "bigint")]
+    assert sorted(map(tuple, found.collect())) == sorted([(key, 2), (key.upper(), 2), (key + "\n", 2), ("x", 3), ("", 2)])
+    assert "unhex" in found._jdf.queryExecution().executedPlan().toString()
+    assert c.expect_unique(frame("k bigint", (1,), (1,), (2,)), "k").collect() == [(1, 2)]

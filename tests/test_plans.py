@@ -241,3 +241,27 @@ def test_layers_are_written_in_a_codec_that_halves_hexadecimal_keys(spark, tmp_p
     (file,) = tmp_path.glob("run-*/keys/*.parquet")
     assert written.count() == 20000 and pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
     assert file.stat().st_size < 20 * 20000
+
+
+def test_rows_are_doubled_without_building_a_layer_twice(spark):
+    from touchledger.plans import broken
+
+    wh = warehouse(spark, FOLDER)
+    found = broken.doubled(wh, "stg_deals", ["deal_id"])
+    deals = wh.stg_deals.select("deal_id")
+    assert sorted(found.collect()) == sorted(deals.union(deals.filter(broken.spoilt("deal_id"))).collect())
+    assert plan(found).count("FileScan") == 1 and found.columns == ["deal_id"]
+
+
+def test_tasks_are_small_unless_the_session_says_otherwise(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        warehouse(spark, FOLDER)
+        assert spark.conf.get(key) == "8m"
+        spark.conf.set(key, "32m")
+        warehouse(spark, FOLDER)
+        assert spark.conf.get(key) == "32m"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchledger.config import MODELS
 from touchledger.functions import exact_sum
@@ -21,9 +22,18 @@ class ContractViolation(RuntimeError):
 
 
 def expect_unique(df: DataFrame, col: str) -> DataFrame:
-    """Values that occur more than once."""
-    return (df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value"))
-            .agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1))
+    """Values that occur more than once.
+
+    Surrogate keys, 32 hexadecimal digits, are shuffled as the 16 bytes that they stand for; any other text as it is.
+    """
+    known, value = df.filter(F.col(col).isNotNull()), F.col(col)
+    rows = F.count(F.lit(1)).alias("rows")
+    if df.schema[col].dataType != T.StringType():
+        return known.groupBy(value.alias("value")).agg(rows).filter(F.col("rows") > 1)
+    key = value.rlike(r"^[0-9a-f]{32}\z")
+    return (known.groupBy(F.when(key, F.unhex(value)).alias("_key"), F.when(~key, value).alias("_text")).agg(rows)
+            .filter(F.col("rows") > 1)
+            .select(F.coalesce("_text", F.lower(F.hex("_key"))).alias("value"), "rows"))
 
 
 def repeated_hashes(columns: dict[str, tuple[DataFrame, str]]) -> DataFrame:

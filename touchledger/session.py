@@ -12,6 +12,9 @@ RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+# Only where a session has no value of its own. A join of deals and touches gives many times the bytes that it reads, so a
+# task of Spark's 64 MB holds too many rows to aggregate them in memory.
+TASK_BYTES = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
 
 
 def build_session(app: str = "touchledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,3 +32,11 @@ def pin(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     return spark
+
+
+def limit_tasks(spark: SparkSession) -> SparkSession:
+    """Smaller tasks after a shuffle, unless the session says how large they are."""
+    key, value = TASK_BYTES
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, value)
+    return spark
