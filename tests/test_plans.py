@@ -265,3 +265,18 @@ def test_tasks_are_small_unless_the_session_says_otherwise(spark):
         assert spark.conf.get(key) == "32m"
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_deals_of_untouched_accounts_are_not_spread_over_time_buckets(spark):
+    from touchledger.operators import journeys
+
+    wh = warehouse(spark, FOLDER)
+    opps, leads = wh.shared("opportunities"), wh.shared("deal_lead_moment")
+    lost = opps.limit(3).withColumns({"deal_id": -F.col("deal_id") - 1, "company_id": F.lit(-5).cast("bigint")})
+    opps = opps.union(lost).union(lost.withColumn("company_id", F.lit(None).cast("bigint")))
+    assert wh.touched_accounts.may_hold(lost, "company_id").count() == 0
+    found = [sorted(map(str, journeys.deal_anchors_by_pairs(opps, wh.account_touches, leads, wh.cfg, touched).collect()))
+             for touched in (None, wh.touched_accounts)]
+    assert found[0] == found[1] and len(found[0]) == opps.count()
+    assert "getbit" in plan(wh.deal_anchors) or "getbit" in plan(journeys.deal_anchors_by_pairs(
+        opps, wh.account_touches, leads, wh.cfg, wh.touched_accounts))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from touchledger.config import DIRECT_CHANNELS, AttributionConfig
 from touchledger.functions import DAY_MICROS, days_between, time_bucket
 from touchledger.operators.asof import as_of
+from touchledger.operators.membership import Membership
 
 
 def _spread(deals: DataFrame, cfg: AttributionConfig) -> DataFrame:
@@ -134,15 +135,17 @@ def candidate_pairs(opps: DataFrame, account_touches: DataFrame, cfg: Attributio
 
 
 def deal_anchors_by_pairs(opps: DataFrame, account_touches: DataFrame, lead_moment: DataFrame,
-                          cfg: AttributionConfig = AttributionConfig()) -> DataFrame:
+                          cfg: AttributionConfig = AttributionConfig(), touched: Membership | None = None) -> DataFrame:
     """``deal_anchors`` from the pairs of deals and touches themselves, for accounts with few touches to a deal.
 
-    The pairs are aggregated in the tasks that form them.
+    The pairs are aggregated in the tasks that form them. With ``touched``, the accounts that have touches, deals of others
+    are not spread over time buckets and shuffled.
     """
     deals = (opps.select("deal_id", "company_id", "amount", "created_at", "closed_at", "is_won")
              .join(lead_moment, "deal_id", "left"))
+    asked = deals.select("deal_id", "company_id", "created_at", "lead_at")
     pairs = in_lookback(account_touches.select("company_id", "touched_at", "channel", "account_seq"), "touched_at",
-                        deals.select("deal_id", "company_id", "created_at", "lead_at"), cfg)
+                        touched.may_hold(asked, "company_id") if touched else asked, cfg)
     seq, age = F.col("account_seq"), days_between(F.col("created_at"), F.col("touched_at"))
     landmarks = pairs.groupBy("deal_id").agg(
         F.min(seq).alias("first_seq"),

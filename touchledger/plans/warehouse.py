@@ -181,6 +181,13 @@ class Warehouse:
     def account_touches(self):
         return touches.account_touches(self.placed_touches)
 
+    @cached_property
+    def touched_accounts(self):
+        """Bits of the accounts that have touches, written, as deals of other accounts have no pairs to look for."""
+        accounts = self.placed_touches.filter("touched_at is not null and company_id is not null").select("company_id").distinct()
+        bits = membership.bits_for(accounts.count())
+        return membership.Membership(self.workspace.settle(membership.words(accounts, "company_id", bits), "touched_accounts"), bits)
+
     @cached_property
     def opportunities(self):
         return opportunities.opportunities(self.latest("stg_deals"), self.latest("stg_stage_history"), self.latest("stg_companies"))
@@ -193,8 +200,9 @@ class Warehouse:
     def deal_anchors(self):
         opps, leads = self.shared("opportunities"), self.shared("deal_lead_moment")
         rows = self.placed_touches.count() + opps.count()
-        if journeys.candidate_pairs(opps, self.account_touches, self.cfg).first()["pairs"] < self.cfg.dense_pairs * rows:
-            return journeys.deal_anchors_by_pairs(opps, self.account_touches, leads, self.cfg)
+        asked = self.touched_accounts.may_hold(opps, "company_id")
+        if journeys.candidate_pairs(asked, self.account_touches, self.cfg).first()["pairs"] < self.cfg.dense_pairs * rows:
+            return journeys.deal_anchors_by_pairs(opps, self.account_touches, leads, self.cfg, self.touched_accounts)
         return journeys.deal_anchors(opps, self.window_probes, leads, self.cfg)
 
     @cached_property
