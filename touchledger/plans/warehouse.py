@@ -35,6 +35,11 @@ from touchledger.session import limit_tasks
 from touchledger.sources.feeds import dim_channel
 
 
+#: What reports and the CRM take of the deal facts.
+DEAL_FACTS = ("deal_id", "company_name", "domain", "amount", "created_at", "closed_at", "is_closed", "is_won", "cycle_days",
+              "first_touch_channel")
+
+
 class Warehouse:
     """All layers over one set of raw feeds (see sources.feeds for their names)."""
 
@@ -230,6 +235,20 @@ class Warehouse:
         return attribution.fct_opportunities(
             self.shared("opportunities"), self.shared("deal_anchors"), self.account_touches)
 
+    @cached_property
+    def deal_facts(self):
+        """The columns of the deal facts that reports and the CRM read."""
+        return self.latest("fct_opportunities").select(*DEAL_FACTS)
+
+    def write_report_inputs(self) -> None:
+        """Writes what several reports read of the fact tables.
+
+        The fact tables need not be written for that: their keys and texts, which no report reads, are most of their bytes.
+        """
+        if "fct_opportunities" not in self._written:
+            self.shared("deal_facts")
+        self.shared("channel_performance")
+
     # marts -------------------------------------------------------------------------------------------
     @cached_property
     def channel_performance(self):
@@ -253,7 +272,7 @@ class Warehouse:
 
     @cached_property
     def velocity(self):
-        return marts.velocity(self.latest("fct_opportunities"))
+        return marts.velocity(self.latest("deal_facts"))
 
     @cached_property
     def subscription_movements(self):
@@ -262,7 +281,7 @@ class Warehouse:
     @cached_property
     def retention(self):
         return marts.retention(
-            self.subscription_movements, self.latest("fct_opportunities"))
+            self.subscription_movements, self.latest("deal_facts"))
 
     @cached_property
     def incremental_lift(self):
@@ -311,12 +330,11 @@ class Warehouse:
 
     @cached_property
     def latest_deal_per_company(self):
-        return crm.latest_deal_per_company(self.latest("fct_opportunities"))
+        return crm.latest_deal_per_company(self.latest("deal_facts"))
 
     def crm_payload(self, limit: int | None = None) -> DataFrame:
-        # the fact tables feed three inputs of the payload, so they are written first
-        self.shared("fct_attribution")
-        self.shared("fct_opportunities")
+        # three inputs of the payload are made of them
+        self.write_report_inputs()
         return crm.crm_payload(
             self.latest_deal_per_company, self.credited_pipeline_by_company, self.channel_score, limit)
 
