@@ -282,7 +282,7 @@ def test_deals_of_untouched_accounts_are_not_spread_over_time_buckets(spark):
         opps, wh.account_touches, leads, wh.cfg, wh.touched_accounts))
 
 
-REPORTS = ("metric_catalogue", "crm_payload")
+REPORTS = ("metric_catalogue", "crm_payload", "dashboard")
 
 
 @pytest.mark.parametrize("name", REPORTS)
