@@ -115,3 +115,16 @@ def test_phones_without_digits_that_would_merge_contacts(frame):
     schema = "contact_id bigint; is_personal_email boolean; phone_key string"
     assert ident.empty_phones(frame(schema, (1, True, ""), (2, True, ""), (3, False, "1"), (4, False, None))).count() == 0
     assert rows(ident.empty_phones(frame(schema, (1, True, ""), (2, False, ""), (3, None, "")))) == [(1, 1)]
+
+
+def test_phones_multiply_contacts_only_where_matches_outnumber_them(frame):
+    from touchledger.operators.identity import multiplying_phones
+
+    def contacts(work, personal, others):
+        rows = [("1", False)] * work + [("1", True)] * personal + [(None, None)] * others
+        return frame("phone_key string; is_personal_email boolean", *rows)
+
+    assert multiplying_phones(contacts(2, 2, 0)).count() == 0
+    assert multiplying_phones(contacts(3, 3, 2)).collect() == [(8, 9.0)]
+    assert multiplying_phones(contacts(3, 3, 3)).count() == 0
+    assert multiplying_phones(contacts(1, 50, 0)).count() == 0

@@ -4,9 +4,9 @@ The person's account is found once, while contacts are merged, and travels with
 needs one join to reach both its person and its account.
 
 A phone, address or name that belongs to several people breaks a contract. ``on_conflict`` decides what a join on
-such a key does: ``fanout``, the default, returns every match; ``min_id`` keeps the lowest person. A nightly run
-checks phones before contacts are joined at all, phones without a digit among them, and the other keys before it builds
-any touches, so a key that very many people share stops it instead of multiplying rows.
+such a key does: ``fanout``, the default, returns every match; ``min_id`` keeps the lowest person. Before contacts
+are joined at all, a nightly run checks that no phones, those without a digit among them, multiply them, and every ambiguous
+key before it builds any touches, so a key that very many people share stops it instead of multiplying rows.
 """
 
 from __future__ import annotations
@@ -65,6 +65,16 @@ def phone_conflicts(contacts: DataFrame) -> DataFrame:
             .filter((F.col("work_contacts") > 1) & (F.col("personal_contacts") > 0)))
 
 
+def multiplying_phones(contacts: DataFrame) -> DataFrame:
+    """One row if phones of several work contacts would give more rows to personal contacts than there are contacts."""
+    personal, several = F.col("is_personal_email"), F.col("phone_key").isNotNull() & (F.col("work_contacts") > 1)
+    groups = contacts.groupBy("phone_key").agg(
+        F.count(F.lit(1)).alias("contacts"), F.count_if(~personal).alias("work_contacts"),
+        F.count_if(personal).alias("personal_contacts"))
+    matches = F.when(several, F.col("work_contacts").cast("double") * F.col("personal_contacts"))
+    return groups.agg(F.sum("contacts").alias("contacts"), F.sum(matches).alias("matches")).filter("matches > contacts")
+
+
 def empty_phones(contacts: DataFrame) -> DataFrame:
     """One row if phones without a digit would merge personal contacts into work contacts, none otherwise."""
     personal = F.col("is_personal_email")
