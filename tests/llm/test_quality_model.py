@@ -175,3 +175,64 @@ def test_senseless_order_and_symbols_of_one_class_are_told_apart(llm, documents,
     got = {r["doc_id"]: r for r in quality.judge(docs, documents(*[(i,) for i in range(30)], schema="doc_id bigint"), workspace=workspace).collect()}
     assert got[0]["kept"] and not any(got[i]["kept"] for i in (100, 101, 102))
     assert got[100]["perplexity"] > 3 * got[0]["perplexity"]
+
+
+def test_words_are_found_by_bytes_as_by_the_expression():
+    rng = np.random.default_rng(3)
+    signs = [chr(c) for c in (0, 9, 10, 11, 12, 13, 28, 32, 46, 48, 65, 95, 0xA0, 0xE9, 0x3B1, 0x7FF, 0x800, 0xDFF, 0xE00, 0xE40, 0xFFF,
+                              0x1000, 0x2000, 0x4E00, 0xA000, 0xD7FF, 0xE000, 0x10000, 0x10FFFF)]
+    for k in range(3000):
+        raw = "".join(rng.choice(signs, rng.integers(0, 12))).encode()
+        if k % 4 == 0:
+            raw = bytes(rng.choice(np.frombuffer(raw + b"\xc3\xe0\x80 ", np.uint8), 8))
+        starts, ends = quality.spans(raw)
+        assert list(zip(starts.tolist(), ends.tolist())) == [m.span() for m in quality._WORD.finditer(raw)]
+
+
+def test_words_of_a_block_are_told_apart():
+    import pyarrow as pa
+    import xxhash
+
+    texts = [b"a \x00 a a\x00b abcdefgh abcdefghi abcdefghj abcdefghabcdefgh abcdefghibcdefgh", b"", b"x" * 40 + b" " + b"x" * 41, b" \xc3", b"\x28 a "]
+    block = quality.Block(pa.table({"text": pa.array(texts, pa.binary()), "trusted": [1, 1, 0, 1, 0]}))
+    words = [quality._WORD.findall(t) for t in texts]
+    hashes = [[xxhash.xxh64_intdigest(w) for w in of] for of in words]
+    assert block.keys[block.words].tolist() == sum(hashes, [])
+    assert block.keys[block.before].tolist() == sum(([0, *of][:len(of)] for of in hashes), [])
+    assert dict(zip(block.keys.tolist(), block.word_counts().tolist()))[0] == 2
+
+
+def test_arrays_come_back_from_their_packed_form():
+    arrays = [np.array([], np.uint64), np.array([0, 0], np.uint64), np.array([1, 2 ** 64 - 1, 255, 256], np.uint64)]
+    assert [a.tolist() for a in quality.unpack(quality.pack(*arrays))] == [a.tolist() for a in arrays]
+
+
+def test_perplexities_do_not_depend_on_blocks_and_shards(llm, documents, workspace, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 30) % 60), "en") for i in range(40)] + [(40, None, None), (0, "w1 w2 w3", "en")]
+    docs = documents(*rows, schema="doc_id bigint, text string, lang string").repartition(2)
+    ids = documents(*[(i,) for i in range(0, 40, 3)], schema="doc_id bigint")
+    found = []
+    for block, shards in ((1 << 20, 8), (200, 1), (1, 3)):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        monkeypatch.setattr(quality, "LEAST_SHARDS", shards)
+        got = quality.judge(docs, ids, workspace=workspace).collect()
+        found.append(sorted((r["doc_id"], round(r["perplexity"], 6), r["kept"]) for r in got))
+    assert len(found[0]) == len(rows) and found[0] == found[1] == found[2]
+
+
+def test_no_row_is_written_for_each_bigram(llm, documents, tmp_path):
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    from touchledger.plans.workspace import Workspace
+
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"word{int(x)}" for x in rng.integers(0, 4000, 400)), "en") for i in range(200)]
+    docs = documents(*rows, schema="doc_id bigint, text string, lang string").repartition(2)
+    model = quality.QualityModel.fit(docs.where("doc_id % 3 = 0"), Workspace(llm, str(tmp_path / "model")))
+    trusted = (F.col("doc_id") % 3 == 0).cast("bigint")
+    flagged = docs.select("doc_id", "lang", trusted.alias("trusted"), F.col("text").cast("binary").alias("text"))
+    assert quality.measure(flagged, model, Workspace(llm, str(tmp_path / "measured"))).count() == len(rows)
+    written = sum(pq.read_metadata(f).num_rows for f in (tmp_path / "measured").rglob("*.parquet"))
+    assert written < 10 * len(rows)

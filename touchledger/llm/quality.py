@@ -10,8 +10,11 @@ not known as probable as the words alone.
 Trusted documents are counted whole in the tasks; counts are added up in shards by n-gram, and the statistics of
 Kneser-Ney smoothing (continuations, discounts from counts of counts, back-off weights) are aggregates and joins of
 these shards. Of the spelling only the finished probabilities of the n-grams seen, at most 64^4 numbers, are broadcast.
-Of the words nothing is: each document's bigrams, counted once per document, are joined with the counts of the bigrams,
-of their first words and of their second words, and meet again by document.
+Of the words nothing is. The documents are written once, in blocks of neighbours, and stay there. Each block asks the
+shards of words for the numbers of its distinct words, then the shards of bigrams for the counts of its distinct bigrams
+of known words, handing in what its own trusted documents have of them; a shard adds up what the blocks hand in and
+answers each block in the order in which it has asked. The shards of bigrams tell those of words what begins and ends
+with a word, and these tell the blocks. Questions and answers are sorted, packed arrays, a row for each block and shard.
 
 A trusted document is measured by what the others have: its own bigrams are taken off the counts, the continuations and
 the discounts, so that the thresholds hold for text that the model has not seen.
@@ -33,7 +36,9 @@ import uuid
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,11 +55,25 @@ LEAST_DISCOUNT = 0.1
 BROADCAST_ROWS = 2_000_000
 #: Symbols that are counted at once.
 _PORTION = 1 << 22
-#: Bigrams of documents that are handed over at once.
-_GRAMS = 1 << 17
+#: Bytes of text to a block of documents, and to a shard of words or bigrams, of which there are so many at least.
+BLOCK, SHARD, LEAST_SHARDS = 24 << 20, 32 << 20, 8
+#: Of a word: the bigrams that it begins; how many distinct ones of count one, two, and more; how many it ends.
+STATISTICS = 5
+#: What blocks and shards tell one another; ``numbers`` has counts of a shard as a whole.
+MESSAGE = T.StructType([T.StructField("kind", T.StringType()), T.StructField("target", T.LongType()),
+                        T.StructField("source", T.LongType()), T.StructField("data", T.BinaryType()),
+                        T.StructField("numbers", T.ArrayType(T.LongType()))])
 #: Words in UTF-8: letters and digits of scripts with spaces; else single characters.
 _WORD = re.compile(rb"(?:[0-9A-Za-z_]|[\xc3-\xdf].|\xe0[\xa0-\xb7].|\xe1..|[\xea-\xed]..)+|"
                    rb"\xc2.|\xe0..|[\xe2-\xe9\xee\xef]..|[\xf0-\xf4]...|\S", re.DOTALL)
+#: The same by bytes, for valid UTF-8: what a byte begins, or that it is inside a character.
+_SPACE, _LETTER, _SINGLE, _INSIDE = range(4)
+_KINDS = np.array([_SPACE if b in b" \t\n\r\v\f" else _INSIDE if 0x80 <= b < 0xC0 else
+                   _LETTER if re.match(rb"[0-9A-Za-z_\xc3-\xe1\xea-\xed]", bytes([b])) else _SINGLE for b in range(256)], np.uint8)
+#: The first bytes of eight.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Bytes of text that are divided into words at once.
+_TOGETHER = 1 << 20
 
 
 def alphabet(trusted: DataFrame) -> np.ndarray:
@@ -122,7 +141,11 @@ def counts(trusted: DataFrame, symbols: np.ndarray) -> DataFrame:
 def discounts(level: DataFrame) -> list[float]:
     """What is taken off counts of one, of two, and of three and more."""
     few = level.agg(*[F.sum((F.col("n") == k).cast("bigint")) for k in (1, 2, 3, 4)]).first()
-    n1, n2, n3, n4 = (float(x or 0) for x in few)
+    return _discounts(*(x or 0 for x in few))
+
+
+def _discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
+    """From how many counts are one, two, three and four."""
     y = n1 / (n1 + 2 * n2) if n1 + n2 else 0.0
     # Never nothing: each context keeps a share for symbols that it has not had.
     return [max(LEAST_DISCOUNT, x) for x in (1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 0.75,
@@ -222,72 +245,276 @@ def spelling(raw: bytes, table: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def bigrams(raw: bytes, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the distinct bigrams of a text: first word (0 before a text), second word, how often, and the sum of the
-    second word's log probabilities by its spelling."""
-    starts, words = [], []
-    for m in _WORD.finditer(raw):
-        starts.append(m.start())
-        words.append(xxhash.xxh64_intdigest(m.group()))
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    second = np.array(words, np.uint64)
-    first = np.concatenate([np.zeros(1, np.uint64), second[:-1]])
-    starts[0] = 0
-    spelt = np.add.reduceat(logs.astype(np.float64), np.array(starts))
-    order = np.lexsort((second, first))
-    first, second, spelt = first[order], second[order], spelt[order]
-    new = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
-    return (first[new].view(np.int64), second[new].view(np.int64), np.diff(np.append(new, len(first))),
-            np.add.reduceat(spelt, new))
-
-
-def grams_of(rows: DataFrame, model: QualityModel) -> DataFrame:
-    """For every document a row with ``size``, its number of bytes and one, and ``spelt``, its log probability by
-    spelling; and a row with ``n`` for each of its bigrams."""
-    held = rows.sparkSession.sparkContext.broadcast(model)
-    kinds = {f.name: f.dataType for f in rows.schema.fields}
-    schema = T.StructType([T.StructField(n, kinds.get(n, T.LongType())) for n in (
-        "row", "doc_id", "lang", "trusted", "size", "first", "second", "n")] + [T.StructField("spelt", T.DoubleType())])
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of natural numbers by byte planes, compressed."""
+    raw = []
+    for a in arrays:
+        planes = np.ascontiguousarray(a, "<u8").view(np.uint8).reshape(len(a), 8).T
+        used = 8 - next((k for k in range(8) if planes[7 - k].any()), 8)
+        raw += [np.array([len(a), used], "<u8").tobytes(), np.ascontiguousarray(planes[:used]).tobytes()]
+    whole = b"".join(raw)
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd", 5).compress(whole, asbytes=True)
+
+
+def unpack(packed: bytes) -> list[np.ndarray]:
+    raw = pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+    out, at = [], 0
+    while at < len(raw):
+        n, used = np.frombuffer(raw, "<u8", 2, at).tolist()
+        planes = np.zeros((n, 8), np.uint8)
+        planes[:, :used] = np.frombuffer(raw, np.uint8, n * used, at + 16).reshape(used, n).T
+        out.append(planes.view("<u8").reshape(n))
+        at += 16 + n * used
+    return out
 
-    def count(batches):
-        table = once(_dense, held.value)
+
+def _steps(ascending: np.ndarray) -> np.ndarray:
+    return np.diff(ascending.astype(np.uint64), prepend=np.uint64(0))
+
+
+def _message(rows: list[tuple]) -> pa.Table:
+    """Rows of (kind, target, source, arrays), and of counts, which are read as numbers."""
+    names, kinds = zip(*((f.name, f.dataType) for f in MESSAGE.fields))
+    types = dict(zip(names, (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))))
+    full = [(kind, target, source, None, [int(x) for x in data]) if kind == "counts" else
+            (kind, target, source, pack(*data), None) for kind, target, source, data in rows]
+    return pa.table({n: pa.array([r[i] for r in full], types[n]) for i, n in enumerate(names)})
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """The documents with the block that they are in: neighbours of a partition, up to ``BLOCK`` bytes of text."""
+    def deal(batches):
+        block, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            waiting, size, whole = [], 0, []
-
-            def out():
-                k = [len(w[2]) for w in waiting]
-                held_of = {"row": np.repeat([w[0] for w in waiting], k), "trusted": np.repeat([w[1] for w in waiting], k)}
-                for i, name in enumerate(("first", "second", "n", "spelt"), 2):
-                    held_of[name] = np.concatenate([w[i] for w in waiting])
-                return held_of
-
-            def record(some, n):
-                return pa.RecordBatch.from_arrays([
-                    some[f.name].cast(types[f.name]) if isinstance(some.get(f.name), pa.Array) else
-                    pa.array(some[f.name], types[f.name]) if f.name in some else pa.nulls(n, types[f.name])
-                    for f in schema.fields], names=schema.names)
-
-            types = {n: batch.schema.field(n).type if n in batch.schema.names else
-                     pa.float64() if n == "spelt" else pa.int64() for n in schema.names}
-            for row, trusted, text in zip(*(batch.column(c) for c in ("row", "trusted", "text"))):
-                raw = bytes(text.as_buffer() or b"")
-                logs = spelling(raw, table, held.value.symbols)
-                whole.append((len(logs), float(logs.sum(dtype=np.float64))))
-                found = bigrams(raw, logs)
-                if len(found[0]):
-                    waiting.append((row.as_py(), trusted.as_py(), *found))
-                    size += len(found[0])
-                if size >= _GRAMS:
-                    some = out()
-                    yield record(some, size)
-                    waiting, size = [], 0
-            if size:
-                yield record(out(), size)
-            own = {c: batch.column(c) for c in ("row", "doc_id", "lang", "trusted")}
-            yield record(own | {"size": [w[0] for w in whole], "spelt": [w[1] for w in whole]}, batch.num_rows)
-
-    return rows.mapInArrow(count, schema)
+            of = []
+            for n in pc.binary_length(batch.column("text")).to_pylist():
+                if size and size + n > BLOCK:
+                    block, size = block + 1, 0
+                of.append(block)
+                size += n + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of, pa.int64())], names=[*batch.schema.names, "block"])
+
+    return rows.mapInArrow(deal, T.StructType([*rows.schema.fields, T.StructField("block", T.LongType())]))
+
+
+def spans(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end."""
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        found = np.array([m.span() for m in _WORD.finditer(raw)], np.int64).reshape(-1, 2)
+        return found[:, 0], found[:, 1]
+    data = np.frombuffer(raw, np.uint8)
+    kind = _KINDS[data]
+    some = np.flatnonzero(data == 0xE0)
+    kind[some[data[some + 1] >= 0xB8]] = _SINGLE
+    at = np.flatnonzero(kind != _INSIDE)
+    kind = kind[at]
+    letter = kind == _LETTER
+    # A word ends at the next one or at white space.
+    edge = ~letter
+    edge[:1] = True
+    edge[1:] |= ~letter[:-1]
+    at, word = at[edge], kind[edge] != _SPACE
+    return at[word], np.append(at[1:], len(raw))[word]
+
+
+def _numbered(raw: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
+    """The number of each word, equal for equal words; and how many numbers there are."""
+    padded, size = raw + bytes(8), ends - starts
+    eight = np.ndarray(len(raw), "<u8", padded, strides=(1,))
+    number, count = np.empty(len(starts), starts.dtype), 0
+    # Words of up to 16 bytes are told apart by their first and last eight and their length.
+    some = np.flatnonzero(size <= 8)
+    number[some], found = pd.factorize(eight[starts[some]] & _FIRST[size[some]])
+    count += len(found)
+    some = np.flatnonzero((size > 8) & (size <= 16))
+    head, tail = pd.factorize(eight[starts[some]]), pd.factorize(eight[ends[some] - 8])
+    code, found = pd.factorize((head[0] * len(tail[1]) + tail[0]) * 8 + size[some] - 9)
+    number[some] = code + count
+    count += len(found)
+    some, places = np.flatnonzero(size > 16), {}
+    for i, a, b in zip(some.tolist(), starts[some].tolist(), ends[some].tolist()):
+        number[i] = count + places.setdefault(raw[a:b], len(places))
+    return number, count + len(places)
+
+
+class Block:
+    """The words and bigrams of a block's documents.
+
+    ``keys`` are the hashes of its distinct words, rising, 0 for the place before a text; ``words`` and ``before`` are the
+    places in them of each word and of the one before it, document after document, of which ``cuts`` are the ends.
+    """
+
+    def __init__(self, docs: pa.Table):
+        self.texts = docs["text"].to_pylist()
+        begins = np.cumsum([0, *(len(raw) + 1 for raw in self.texts)])
+        raw = b"\n".join([*self.texts, b""])
+        # As small as they can be: there are several of these numbers to a word of the block.
+        kind = np.int32 if len(raw) < 1 << 31 else np.int64
+        found, at = [(np.zeros(0, kind),) * 2], 0
+        for i in range(len(self.texts)):
+            if begins[i + 1] - begins[at] >= _TOGETHER or i + 1 == len(self.texts):
+                try:
+                    raw[begins[at]:begins[i + 1]].decode()
+                    parts = [(begins[at], begins[i + 1])]
+                except UnicodeDecodeError:
+                    parts = [(a, b - 1) for a, b in zip(begins[at:i + 1], begins[at + 1:])]
+                found += [tuple((x + a).astype(kind) for x in spans(raw[a:b])) for a, b in parts]
+                at = i + 1
+        starts, ends = (np.concatenate(x) for x in zip(*found))
+        del found
+        number, count = _numbered(raw, starts, ends)
+        first = np.empty(count, np.int64)
+        first[number[::-1]] = np.arange(len(number))[::-1]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())),
+                             np.uint64, count)
+        self.keys, place = np.unique(np.append(hashes, np.uint64(0)), return_inverse=True)
+        self.words, self.cuts = place.astype(kind)[number], np.searchsorted(starts, begins.astype(kind))
+        #: Where the words begin in their documents.
+        self.starts = starts - np.repeat(begins[:-1].astype(kind), np.diff(self.cuts))
+        self.before = np.roll(self.words, 1)
+        self.heads = self.cuts[:-1][np.diff(self.cuts) > 0]
+        self.before[self.heads] = 0
+        self.trusted = docs["trusted"].to_pylist()
+        #: Of each word, whether its document is trusted.
+        self.own = np.repeat(np.array(self.trusted, bool), np.diff(self.cuts))
+
+    def word_counts(self) -> np.ndarray:
+        """How often each word occurs in the block's trusted documents; the place before a text counts as one."""
+        n = np.bincount(self.words[self.own], minlength=len(self.keys))
+        n[0] += self.own[self.heads].sum()
+        return n
+
+
+class Asked:
+    """What a block asks the shards for: its words, and its bigrams of known words, in the shards' order.
+
+    A word's shard is a range of hashes. A known word has a number, its rank in its shard times the number of shards, plus
+    that, plus one; frequent words have small ones. A bigram's shard is the sum of its numbers, so that the bigrams of one
+    word are spread, modulo the number of shards; the quotient of the second number is what is left of it.
+    """
+
+    def __init__(self, block: Block, shards: int):
+        self.block, self.shards = block, shards
+        starts = np.array([(s << 64) // shards for s in range(shards)], np.uint64)
+        self.cuts = np.append(np.searchsorted(block.keys, starts), len(block.keys))
+
+    def words(self) -> list[tuple]:
+        n = self.block.word_counts()
+        return [(s, _steps(self.block.keys[a:b]), n[a:b])
+                for s, (a, b) in enumerate(zip(self.cuts, self.cuts[1:])) if b > a]
+
+    def know(self, answers: dict[int, list[np.ndarray]]) -> None:
+        """Takes the numbers of the words."""
+        self.number = np.zeros(len(self.block.keys), np.int64)
+        for s, (rank,) in answers.items():
+            rank = rank.astype(np.int64)
+            self.number[self.cuts[s]:self.cuts[s + 1]] = np.where(rank > 0, (rank - 1) * self.shards + s + 1, 0)
+        if self.number.max() >> 32:
+            raise ValueError("more than 2^32 words")
+        #: The distinct bigrams of the block, first word times number of words plus second word, and which one is where.
+        at, self.codes = pd.factorize(self.block.before.astype(np.int64) * len(self.block.keys) + self.block.words)
+        self.at = at.astype(self.block.words.dtype)
+        self.n = np.bincount(self.at[self.block.own], minlength=len(self.codes))
+        first, second = (self.number[x] for x in np.divmod(self.codes, len(self.block.keys)))
+        known = np.flatnonzero((first > 0) & (second > 0))
+        first, second = first[known], second[known]
+        shard, inner = (first + second) % self.shards, first.astype(np.uint64) << np.uint64(32) | (second // self.shards).astype(np.uint64)
+        order = np.lexsort((inner, shard))
+        #: Where the known bigrams are in ``codes``, in the order in which they are asked for.
+        self.known, self.inner = known[order], inner[order]
+        self.pair_cuts = np.searchsorted(shard[order], np.arange(self.shards + 1))
+
+    def pairs(self) -> list[tuple]:
+        n = self.n[self.known]
+        return [(s, _steps(self.inner[a:b]), n[a:b])
+                for s, (a, b) in enumerate(zip(self.pair_cuts, self.pair_cuts[1:])) if b > a]
+
+    def pair_counts(self, answers: dict[int, list[np.ndarray]]) -> np.ndarray:
+        """The count in all trusted text of each of ``codes``."""
+        out = np.zeros(len(self.codes), np.int64)
+        for s, (c2,) in answers.items():
+            out[self.known[self.pair_cuts[s]:self.pair_cuts[s + 1]]] = c2
+        return out
+
+    def word_statistics(self, answers: dict[int, list[np.ndarray]]) -> np.ndarray:
+        """For each word what ``STATISTICS`` names."""
+        out = np.zeros((STATISTICS, len(self.number)), np.int64)
+        for s, found in answers.items():
+            at = self.cuts[s] + np.flatnonzero(self.number[self.cuts[s]:self.cuts[s + 1]])
+            out[:, at] = np.array(found, np.int64)
+        return out
+
+
+def _answers(messages: pa.Table, kind: str, by: str = "source") -> dict[int, list[np.ndarray]]:
+    return {m[by]: unpack(m["data"]) for m in messages.filter(pc.equal(messages["kind"], kind)).to_pylist()}
+
+
+def _joined(messages: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """The distinct keys of a shard's messages, their counts added up, the place of each message's keys among them, and
+    where each message's keys are."""
+    parts = [unpack(m["data"]) for m in messages]
+    ends = np.cumsum([0, *(len(p[0]) for p in parts)]).tolist()
+    keys = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    n = np.concatenate([p[1] for p in parts])
+    # The parts are in order, which a stable sort makes use of.
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    new = np.append(True, keys[1:] != keys[:-1])
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.cumsum(new) - 1
+    every = keys[new]
+    return (every, np.bincount(at, n, len(every)).astype(np.int64), at,
+            [(m["source"], a, b) for m, a, b in zip(messages, ends, ends[1:])])
+
+
+def _number_words(asked: pa.Table) -> pa.Table:
+    """To each block the ranks of its words in a shard, by how often trusted text has them; 0 if it does not."""
+    shard = asked["target"][0].as_py()
+    every, n, at, parts = _joined(asked.to_pylist())
+    known = np.flatnonzero(n)
+    rank = np.zeros(len(every), np.int64)
+    rank[known[np.argsort(-n[known], kind="stable")]] = np.arange(1, len(known) + 1)
+    return _message([("words", block, shard, [rank[at[a:b]]]) for block, a, b in parts])
+
+
+def _classes(n: np.ndarray) -> list[int]:
+    """How many are one, two, three and four; how many are three and more; and their sum."""
+    return [*(int((n == k).sum()) for k in (1, 2, 3, 4)), int((n > 2).sum()), int(n.sum())]
+
+
+def _count_pairs(shards: int):
+    def count(asked: pa.Table) -> pa.Table:
+        """To each block the counts of its bigrams in a shard; to the words' shards what these say of their words."""
+        shard = asked["target"][0].as_py()
+        every, n, at, parts = _joined(asked.to_pylist())
+        rows = [("pairs", block, shard, [n[at[a:b]]]) for block, a, b in parts]
+        every, n = every[n > 0], n[n > 0]
+        first = (every >> np.uint64(32)).astype(np.int64)
+        second = (every & np.uint64((1 << 32) - 1)).astype(np.int64) * shards + (shard - first) % shards
+        (firsts, f), (seconds, s) = (np.unique(x - 1, return_inverse=True) for x in (first, second))
+        of = [np.bincount(f, x, len(firsts)).astype(np.int64) for x in (n, n == 1, n == 2, n > 2)]
+        c1 = np.bincount(s, minlength=len(seconds))
+        for k in range(shards):
+            a, b = firsts % shards == k, seconds % shards == k
+            if a.any() or b.any():
+                rows.append(("statistics", k, shard, [_steps(firsts[a] // shards), *(x[a] for x in of), _steps(seconds[b] // shards), c1[b]]))
+        return _message([*rows, ("counts", None, shard, _classes(n))])
+    return count
+
+
+def _add_statistics(messages: pa.Table) -> pa.Table:
+    """To each block the statistics of its known words in a shard."""
+    shard = messages["shard"][0].as_py()
+    blocks = _answers(messages, "words", "target")
+    size = max((int(rank.max(initial=0)) for rank, in blocks.values()), default=0)
+    total = np.zeros((STATISTICS, size), np.int64)
+    for first, *of, second, c1 in _answers(messages, "statistics").values():
+        total[:-1, np.cumsum(first, dtype=np.int64)] += np.array(of, np.int64)
+        total[-1, np.cumsum(second, dtype=np.int64)] += c1.astype(np.int64)
+    rows = [("answers", block, shard, total[:, rank[rank > 0].astype(np.int64) - 1]) for block, (rank,) in blocks.items()]
+    return _message([*rows, ("counts", None, shard, _classes(total[-1]))])
 
 
 def _taken(n: np.ndarray, d: list[float]) -> np.ndarray:
@@ -322,40 +549,80 @@ def log_probability(first, second, n, spelt, trusted, c2, total, held, c1, of, r
 
 def measure(rows: DataFrame, model: QualityModel, workspace: Workspace) -> DataFrame:
     """(doc_id, lang, trusted, perplexity) of documents with ``trusted``, 1 or 0, and ``text`` in UTF-8."""
-    def settle(df, name):
-        return workspace.settle(df, f"{name}-{uuid.uuid4().hex}")
-
-    every = settle(grams_of(rows.withColumn("row", F.monotonically_increasing_id()), model), "grams")
-    grams = every.where("n is not null").select("row", "trusted", "first", "second", "n", "spelt")
-    pairs = settle(grams.where("trusted = 1").groupBy("first", "second").agg(F.sum("n").alias("n")), "pairs")
-    ends = settle(pairs.groupBy("second").agg(F.count(F.lit(1)).alias("n")), "ends")
-    d2, d1 = discounts(pairs), discounts(ends)
-
-    def taken(d):
-        one = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
-        return F.sum(F.least(one, F.col("n").cast("double")))
-
-    begins = settle(pairs.groupBy("first").agg(F.sum("n").alias("total"), taken(d2).alias("held")), "begins")
-    of, rest = ends.agg(F.sum("n"), taken(d1)).first()
-    of, rest = float(of or 0), float(rest or 0)
-    for table, keys, names in ((pairs, ("first", "second"), {"n": "c2"}), (begins, ("first",), {"total": "total", "held": "held"}),
-                               (ends, ("second",), {"n": "c1"})):
-        # Each side comes out of a shuffle of its own, so that a frequent word's bigrams are split.
-        other = table.select(*[F.col(k).alias(f"_{k}") for k in keys], *[F.col(a).alias(b) for a, b in names.items()])
-        same = [F.col(k) == F.col(f"_{k}") for k in keys]
-        grams = (grams.hint("merge").join(other.hint("merge"), same[0] if len(same) == 1 else same[0] & same[1], "left")
-                 .drop(*other.columns[:len(keys)]).fillna(0, list(names.values())))
-
-    def add(table: pa.Table) -> pa.Table:
-        c = {n: table[n].to_numpy() for n in table.column_names if n not in ("row", "trusted")}
-        total = log_probability(c["first"], c["second"], c["n"], c["spelt"], table["trusted"][0].as_py(), c["c2"],
-                                c["total"].astype(np.float64), c["held"], c["c1"], of, rest, d2, d1)
-        return pa.table({"_row": table["row"][:1], "log": pa.array([total])})
-
-    logs = grams.groupBy("row").applyInArrow(add, "_row bigint, log double")
-    docs = every.where("size is not null").select("row", "doc_id", "lang", "trusted", "size", "spelt")
-    joined = docs.hint("merge").join(logs.hint("merge"), F.col("row") == F.col("_row"), "left")
-    return joined.select("doc_id", "lang", "trusted", F.exp(-F.coalesce("log", "spelt") / F.col("size")).alias("perplexity"))
+    spark, run = rows.sparkSession, uuid.uuid4().hex
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(LEAST_SHARDS, size // SHARD)
+    # Written once, block by block, so that no later step moves the texts again.
+    buckets, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"quality_blocks_{run}"
+    (dealt(rows).write.format("parquet").option("path", f"{workspace.root}/blocks-{run}").option("compression", "zstd")
+     .option("parquet.compression.codec.zstd.level", "9").option("parquet.page.size", str(8 << 20)).bucketBy(buckets, "block").saveAsTable(name))
+    blocks = spark.table(name)
+
+    def settle(df: DataFrame, what: str) -> DataFrame:
+        return workspace.settle(df, f"{what}-{run}")
+
+    def by_shard(messages: DataFrame, shard: str = "target"):
+        return messages.repartition(shards, shard).groupBy(shard)
+
+    def with_answers(run, answers: DataFrame, schema) -> DataFrame:
+        # The blocks stay where they are: the answers are dealt as the blocks' table is.
+        return blocks.groupBy("block").cogroup(answers.withColumnRenamed("target", "block").groupBy("block")).applyInArrow(run, schema)
+
+    def counts(messages: DataFrame) -> list[int]:
+        found = messages.where("kind = 'counts'").agg(*[F.sum(F.col("numbers")[i]) for i in range(6)]).first()
+        return [x or 0 for x in found]
+
+    def ask_words(docs: pa.Table) -> pa.Table:
+        block = docs["block"][0].as_py()
+        return _message([("ask", s, block, data) for s, *data in Asked(Block(docs), shards).words()])
+
+    def ask_pairs(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        asked = Asked(Block(docs), shards)
+        asked.know(_answers(answers, "words"))
+        block = docs["block"][0].as_py()
+        return _message([("ask", s, block, data) for s, *data in asked.pairs()])
+
+    words = settle(by_shard(blocks.groupBy("block").applyInArrow(ask_words, MESSAGE)).applyInArrow(_number_words, MESSAGE), "words")
+    pairs = settle(by_shard(with_answers(ask_pairs, words, MESSAGE)).applyInArrow(_count_pairs(shards), MESSAGE), "pairs")
+    to_words = words.withColumn("shard", F.col("source")).unionByName(
+        pairs.where("kind = 'statistics'").withColumn("shard", F.col("target")))
+    statistics = settle(by_shard(to_words, "shard").applyInArrow(_add_statistics, MESSAGE), "statistics")
+
+    n1, n2, n3, n4, _, _ = counts(pairs)
+    d2 = _discounts(n1, n2, n3, n4)
+    n1, n2, n3, n4, more, of = counts(statistics)
+    d1 = _discounts(n1, n2, n3, n4)
+    rest = float(_taken(np.arange(1, 4), d1) @ [n1, n2, more])
+    held = spark.sparkContext.broadcast(model)
+
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        table, symbols = once(_dense, held.value), held.value.symbols
+        block = Block(docs)
+        asked = Asked(block, shards)
+        asked.know(_answers(answers, "words"))
+        c2 = asked.pair_counts(_answers(answers, "pairs"))
+        total, *classes, c1 = asked.word_statistics(_answers(answers, "answers")).astype(np.float64)
+        kept = _taken(np.arange(1, 4), d2) @ classes
+        out = []
+        for raw, trusted, a, b in zip(block.texts, block.trusted, block.cuts, block.cuts[1:]):
+            logs = spelling(raw, table, symbols).astype(np.float64)
+            log = float(logs.sum())
+            if b > a:
+                starts = block.starts[a:b].copy()
+                starts[0] = 0
+                found, at, n = np.unique(asked.at[a:b], return_inverse=True, return_counts=True)
+                spelt = np.bincount(at, np.add.reduceat(logs, starts))
+                first, second = np.divmod(asked.codes[found], len(block.keys))
+                log = log_probability(first, second, n, spelt, trusted, c2[found], total[first], kept[first], c1[second],
+                                      of, rest, d2, d1)
+            out.append(np.exp(-log / len(logs)))
+        return docs.select(["doc_id", "lang", "trusted"]).append_column("perplexity", pa.array(out, pa.float64()))
+
+    result = T.StructType([*(rows.schema[n] for n in ("doc_id", "lang", "trusted")), T.StructField("perplexity", T.DoubleType())])
+    answers = (words.unionByName(pairs.where("kind = 'pairs'")).unionByName(statistics.where("kind = 'answers'")))
+    measured = settle(with_answers(score, answers, result), "perplexity")
+    spark.sql(f"DROP TABLE {name}")
+    return measured
 
 
 def among(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -377,7 +644,7 @@ def judge(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, s
     flagged = (rows.join(F.broadcast(flags) if small else flags.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
                .select("doc_id", "lang", F.coalesce("trusted", F.lit(0).cast("bigint")).alias("trusted"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("text")))
-    measured = workspace.settle(measure(flagged, model, workspace), f"perplexity-{uuid.uuid4().hex}")
+    measured = measure(flagged, model, workspace)
     known = measured.where("trusted = 1")
     limit = (F.percentile_approx("perplexity", quantile, 10_000) * slack)
     by_language = known.groupBy(F.col("lang").alias("_lang")).agg(limit.alias("own"))
