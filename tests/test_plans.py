@@ -3,6 +3,7 @@
 import contextlib
 import io
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -267,6 +268,33 @@ def test_tasks_are_small_unless_the_session_says_otherwise(spark):
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def test_a_table_is_broadcast_by_its_rows_not_by_its_files(spark):
+    """Rows of 33 MB lie in files far below Spark's 10 MB; a join may not bring them to the driver for that."""
+    session = spark.newSession()
+    wh = warehouse(session, FOLDER)
+    rows = session.range(300_000).withColumn("name", F.concat(F.lit("one long name " * 5), F.col("id").cast("string")))
+    many = wh.workspace.settle(rows, "many")
+    few = wh.workspace.settle(rows.limit(100), "few")
+    assert sum(p.stat().st_size for p in pathlib.Path(wh.workspace.root.removeprefix("file:")).rglob("many/*.parquet")) < 4e6
+    keys = session.range(1_000_000).select((F.col("id") % 400_000).alias("id"))
+    for table, joined, way in ((many, 800_000, "SortMergeJoin"), (few, 300, "BroadcastHashJoin")):
+        found = keys.join(table, "id").agg(F.count("name").alias("n"))
+        assert found.collect()[0]["n"] == joined
+        final = plan(found).partition("Initial Plan")[0]
+        assert way in final and ("BroadcastHashJoin" in final) == (way == "BroadcastHashJoin")
+
+
+def test_limits_of_the_session_hold_for_measured_sizes(spark):
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    for given, used in (({planned: "256k"}, str(256 << 10)), ({planned: "1g"}, str(2 << 20)), ({planned: "-1"}, "-1"), ({measured: "30m"}, "30m")):
+        session = spark.newSession()
+        for key, value in given.items():
+            session.conf.set(key, value)
+        for _ in range(2):
+            warehouse(session, FOLDER)
+            assert (session.conf.get(planned), session.conf.get(measured)) == ("-1", used)
+
+
 def test_deals_of_untouched_accounts_are_not_spread_over_time_buckets(spark):
     from touchledger.operators import journeys
 

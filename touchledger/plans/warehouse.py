@@ -31,7 +31,7 @@ from touchledger.operators import (
 from touchledger.operators.numbering import PLACE, place_rows
 from touchledger.plans.rules import watches
 from touchledger.plans.workspace import Workspace
-from touchledger.session import limit_tasks
+from touchledger.session import limit_tasks, measure_broadcasts
 from touchledger.sources.feeds import dim_channel
 
 
@@ -45,7 +45,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, feeds: Mapping[str, DataFrame], cfg: AttributionConfig = AttributionConfig(),
                  workspace: Workspace | None = None):
-        self.spark, self.feeds, self.cfg = limit_tasks(spark), feeds, cfg
+        self.spark, self.feeds, self.cfg = measure_broadcasts(limit_tasks(spark)), feeds, cfg
         self.workspace = workspace or Workspace(spark)
         self._written: dict[str, DataFrame] = {}
 
