@@ -45,7 +45,9 @@ def extracts(wh: Warehouse) -> dict[str, DataFrame]:
     """The nine result sets of the dashboard, each a bounded report in its reading order."""
     results = {"summary": wh.dashboard_summary}
     for name, (mart, *order) in EXTRACTS.items():
-        results[name] = wh.latest(mart).drop("checked_at").orderBy(*[direction(c) for direction, c in order])
+        rows = wh.latest(mart).drop("checked_at")
+        # ties in the order of the other columns, or they would lie as a join has left them
+        results[name] = rows.orderBy(*[direction(c) for direction, c in order], *rows.columns)
     results["runs"] = wh.recent_runs
     return results
 
